@@ -41,11 +41,15 @@ def _is_syllable(char: Column) -> Column:
     return char.between("가", "힣")
 
 
+def _decomposed() -> str:
+    """The letters of all syllables in code order, one per space-separated entry."""
+    return " ".join(a + b + c for a in LEADS for b in VOWELS for c in TAILS)
+
+
 def _letters(char: Column) -> Column:
-    offset = F.ascii(char) - _BASE
-    syllable = F.concat(_lead(offset), _vowel(offset), _tail(offset))
+    by_code = F.split(F.lit(_decomposed()), " ")  # folded into one constant array
     return (
-        F.when(_is_syllable(char), syllable)
+        F.when(_is_syllable(char), F.get(by_code, F.ascii(char) - _BASE))
         .when(char.between("ㄱ", "ㅎ"), F.concat(char, F.lit("--")))
         .when(char.between("ㅏ", "ㅣ"), F.concat(F.lit("-"), char, F.lit("-")))
         .otherwise(char)
@@ -74,10 +78,13 @@ def loosen_echoes(col) -> Column:
     line = _col(col)
     chars = F.split(line, "")
 
-    def one(char: Column, i: Column) -> Column:
+    none = F.array(F.lit(""))
+    before_all = F.concat(none, F.slice(chars, F.lit(1), F.size(chars) - 1))
+    after_all = F.concat(F.slice(chars, F.lit(2), F.size(chars)), none)
+
+    def one(x: Column) -> Column:
+        char, before, after = x["c"], x["b"], x["a"]
         offset = F.ascii(char) - _BASE
-        before = F.when(i > 0, F.get(chars, i - 1)).otherwise(F.lit(""))
-        after = F.coalesce(F.get(chars, i + 1), F.lit(""))
         lead, tail = _lead(offset), _tail(offset)
         return (
             F.when(~_is_syllable(char), char)
@@ -86,7 +93,8 @@ def loosen_echoes(col) -> Column:
             .otherwise(char)
         )
 
-    loose = F.array_join(F.transform(chars, one), "")
+    around = F.arrays_zip(chars.alias("c"), before_all.alias("b"), after_all.alias("a"))
+    loose = F.array_join(F.transform(around, one), "")
     return F.when(line.rlike("[가-힣]") & line.rlike("[ㄱ-ㅎ]"), loose).otherwise(line)
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .hashing import unit_hash
@@ -24,3 +26,21 @@ def cosine(a, b) -> Column:
 def random_vector(word, dim: int, seed: int = 7) -> Column:
     """Reproducible start vector of a word, every entry uniform in [-0.5, 0.5)."""
     return F.array(*[unit_hash(seed, word, i) - 0.5 for i in range(dim)])
+
+
+def mean_vectors(
+    rows: DataFrame, keys: Sequence[str], vec: str = "vec", weight: str = "w", out: str = "vec", dim: int | None = None
+) -> DataFrame:
+    """Weighted mean vector per key, as ``array<double>``.
+
+    One plain sum per position: these aggregate in fixed-width hash buffers on the map side, where
+    an object aggregate would fall back to sorting after a few keys.
+    """
+    if dim is None:
+        first = rows.select(F.size(vec)).first()
+        dim = first[0] if first else 0
+    w = F.col(weight)
+    sums = [F.sum(F.get(vec, F.lit(i)).cast("double") * w).alias(f"_{i}") for i in range(dim)]
+    totals = rows.groupBy(*keys).agg(F.sum(w).alias("_w"), *sums)
+    mean = F.array(*[F.col(f"_{i}") / F.col("_w") for i in range(dim)]) if dim else F.array().cast("array<double>")
+    return totals.select(*keys, mean.alias(out))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import small_table
+from ..session import measured
 
 
 def _batch_lookup(shared, value_type):
@@ -45,9 +45,8 @@ def lookup(
 
     ``key`` is unique in ``table``; ``line_keys`` identify a row of ``df``.
     """
-    pairs = table.select(key, value)
+    pairs, small = measured(table.select(key, value))
     value_type = pairs.schema[value].dataType
-    small = small_table(pairs)
     if small is not None:
         index = {w: i for i, w in enumerate(small.column(key).to_pylist())}
         values = small.column(value).combine_chunks()
@@ -56,7 +55,7 @@ def lookup(
         shared = df.sparkSession.sparkContext.broadcast((index, values))
         return df.withColumn(out, _batch_lookup(shared, value_type)(F.col(array)))
     keys = list(line_keys)
-    elements = df.select(*keys, F.posexplode(array).alias("_pos", key))
+    elements = df.select(*keys, F.posexplode_outer(array).alias("_pos", key)).filter("_pos is not null")
     found = elements.join(pairs, key, "left").groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("_pos", F.col(value).alias("_v")))).alias("_found")
     )

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.arrays import unnest
 from ..functions.hashing import hash32
 from ..session import cut_lineage
 
@@ -81,14 +82,12 @@ def shard_documents(docs: DataFrame, n: int, key: str = "doc_id", text: str = "t
 
     Only (key, line count) is sorted; the text moves once, in the join with the offsets.
     """
-    lines = docs.withColumn("_lines", F.split(F.col(text), "\n"))
     counts = docs.select(key, F.size(F.split(F.col(text), "\n")).cast("bigint").alias("_n"))
     starts = running_total(counts, [key], "_n", "_first").drop("_n")
     ordinal = F.col("_first") + F.col("line_no")
+    joined = docs.select(key, text).join(starts, key)
     return (
-        lines.select(key, "_lines")
-        .join(starts, key)
-        .select(key, "_first", F.posexplode("_lines").alias("line_no", "line"))
+        unnest(joined, [key, "_first"], F.split(F.col(text), "\n"), "line", "line_no")
         .withColumn("ordinal", ordinal)
         .withColumn("shard", F.floor(ordinal / n).cast("bigint"))
         .drop("_first")

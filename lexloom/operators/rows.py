@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..functions.arrays import unnest
 
 
 def explode_lines(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per line of every document, keyed by (document, line number)."""
-    return docs.select(key, F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "line"))
+    return unnest(docs, [key], F.split(F.col(text), "\n"), "line", "line_no")
 
 
 def parse_labelled(lines: DataFrame, col: str = "line") -> tuple[DataFrame, DataFrame]:
@@ -44,7 +45,7 @@ def label_flag(value: str) -> bool:
 
 def to_sentences(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per sentence, the document and the order kept."""
-    return docs.select(key, F.posexplode(tx.sentences_of(text)).alias("sent_no", "sentence"))
+    return unnest(docs, [key], tx.sentences_of(text), "sentence", "sent_no")
 
 
 def format_pos(tagged, pos: bool = False) -> Column:

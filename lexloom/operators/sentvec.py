@@ -11,12 +11,13 @@ import pyarrow.compute as pc
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_limit, small_table
+from ..functions.arrays import unnest
+from ..functions.vectors import mean_vectors
+from ..session import broadcast_limit, measured
 
 LINE_KEYS = ("doc_id",)
 
@@ -42,19 +43,13 @@ def sentence_vectors(
     words = vectors.select("word", "vec", F.lit(1.0).alias("weight"))
     if weights is not None:
         words = vectors.select("word", "vec").join(weights.select("word", "weight"), "word")
-    small = small_table(words)
+    words, small = measured(words)
     if small is not None:
         return df.withColumn(out, _mean_in_task(df.sparkSession, small)(F.col(col)))
     keys = list(keys)
-    counts = df.select(*keys, F.explode(col).alias("word")).groupBy(*keys, "word").agg(F.count("*").alias("_n"))
-    weight = F.col("_n") * F.col("weight")
-    means = (
-        counts.join(words, "word")
-        .groupBy(*keys)
-        .agg(Summarizer.mean(array_to_vector("vec"), weight).alias("_m"))
-        .select(*keys, vector_to_array("_m").alias(out))
-    )
-    return df.join(means, keys, "left")
+    counts = unnest(df, keys, col, "word").groupBy(*keys, "word").agg(F.count("*").alias("_n"))
+    rows = counts.join(words, "word").select(*keys, "vec", (F.col("_n") * F.col("weight")).alias("w"))
+    return df.join(mean_vectors(rows, keys, "vec", "w", out), keys, "left")
 
 
 def _mean_in_task(spark, table: pa.Table):

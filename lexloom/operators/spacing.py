@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..functions.arrays import unnest
 from .lookup import lookup
 from .rows import drop_blank
 
@@ -68,10 +69,10 @@ def _contexts(win: Column) -> Column:
 
 def spacing_train(lines: DataFrame, col: str = "line") -> DataFrame:
     """(ctx_kind, ctx, n_space, n_total) over all gaps of all lines."""
-    gaps = _with_windows(lines, col).select(F.explode("_gaps").alias("g")).filter("g is not null")
+    gaps = unnest(_with_windows(lines, col), [], "_gaps", "g")
     windows = gaps.groupBy("g.win").agg(F.sum("g.sp").alias("n_space"), F.count("*").alias("n_total"))
     return (
-        windows.select(F.explode(_contexts(F.col("win"))).alias("c"), "n_space", "n_total")
+        unnest(windows, ["n_space", "n_total"], _contexts(F.col("win")), "c")
         .groupBy("c.ctx_kind", "c.ctx")
         .agg(F.sum("n_space").alias("n_space"), F.sum("n_total").alias("n_total"))
     )
@@ -88,10 +89,10 @@ def spacing_apply(
     """Insert the missing spaces; blank lines are dropped, all other columns stay."""
     stripped = drop_blank(lines.withColumn(col, tx.strip_line(col)), col)
     gapped = _with_windows(stripped, col)
-    windows = gapped.select(F.explode("_gaps").alias("g")).filter("g.sp = 0").select("g.win").distinct()
+    windows = unnest(gapped, [], "_gaps", "g").filter("g.sp = 0").select("g.win").distinct()
     seen = model.filter(F.col("n_total") >= min_seen)
     wanted = (
-        windows.select("win", F.explode(_contexts(F.col("win"))).alias("c"))
+        unnest(windows, ["win"], _contexts(F.col("win")), "c")
         .select("win", "c.*")
         .join(seen, ["ctx_kind", "ctx"])
         .groupBy("win")

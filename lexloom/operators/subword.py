@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..session import cut_lineage, small_table
+from ..functions.arrays import unnest
+from ..session import cut_lineage, measured, spread
 from .lookup import lookup
 from .order import with_ordinal
 from .tokenizers import distinct_tokens
@@ -85,6 +86,20 @@ def _independent(ranked: list, known: set, exact: bool, batch: int) -> list:
     return chosen
 
 
+def _inner(sym: str) -> Column:
+    return F.substr(F.col(sym), F.lit(2), F.length(sym) - 2)
+
+
+def _merged(symbols: DataFrame, pending: list[str]) -> DataFrame:
+    """Apply merges in order. The list is one constant, so every round compiles to the same code."""
+    if not pending:
+        return symbols
+    pairs = F.split(F.lit("\x04".join(pending)), "\x04")
+    joint = F.lit(_CLOSE + _OPEN)
+    merge = lambda sym, pair: F.replace(sym, pair, F.replace(pair, joint, F.lit("")))
+    return symbols.withColumn("sym", F.aggregate(pairs, F.col("sym"), merge))
+
+
 def bpe_train(
     df: DataFrame,
     vocab_size: int = 32000,
@@ -102,21 +117,21 @@ def bpe_train(
     lines = df.select(tx.strip_line(col).alias(col))
     words = token_counts(lines.select(tx.split_tokens(col).alias("t")), "t")
     words = cut_lineage(words.select(_marked(F.col("word")).alias("word"), "cnt"))
-    weighted = words.select(F.explode(F.split("word", "")).alias("ch"), "cnt").groupBy("ch").agg(F.sum("cnt").alias("cnt"))
+    weighted = unnest(words, ["cnt"], F.split("word", ""), "ch").groupBy("ch").agg(F.sum("cnt").alias("cnt"))
     alphabet = cut_lineage(covered_characters(weighted, coverage))
     chars = [r.ch for r in alphabet.orderBy(F.desc("cnt"), "ch").collect()]  # at most one row per Unicode character
     wanted = vocab_size - len(META_PIECES) - len(chars)
     known = f"[^{''.join(re.escape(c) for c in chars)}]"
     plain = F.regexp_replace("word", known, _RARE)
-    symbols = cut_lineage(
-        words.select(F.regexp_replace(plain, "(?s)(.)", f"{_OPEN}$1{_CLOSE}").alias("sym"), "cnt")
+    symbols = spread(
+        cut_lineage(words.select(F.regexp_replace(plain, "(?s)(.)", f"{_OPEN}$1{_CLOSE}").alias("sym"), "cnt"))
     )
     merged: dict[str, None] = {}  # new pieces in order
-    known, since_cut = set(chars), 0
+    known, pending = set(chars), []
     while len(merged) < wanted:
-        parts = F.split(F.expr("substring(sym, 2, length(sym) - 2)"), _CLOSE + _OPEN)
+        now = _merged(symbols, pending)
         ranked = (
-            symbols.select(F.explode(_adjacent(parts)).alias("p"), "cnt")
+            unnest(now.select("cnt", F.split(_inner("sym"), _CLOSE + _OPEN).alias("parts")), ["cnt"], _adjacent(F.col("parts")), "p")
             .groupBy("p.a", "p.b")
             .agg(F.sum("cnt").alias("n"))
             .orderBy(F.desc("n"), "a", "b")
@@ -127,16 +142,14 @@ def bpe_train(
         if not chosen:
             break
         for row in chosen:
-            pair = _OPEN + row.a + _CLOSE + _OPEN + row.b + _CLOSE
-            symbols = symbols.withColumn("sym", F.replace("sym", F.lit(pair), F.lit(_OPEN + row.a + row.b + _CLOSE)))
+            pending.append(_OPEN + row.a + _CLOSE + _OPEN + row.b + _CLOSE)
             if row.a + row.b not in known:
                 merged[row.a + row.b] = None
             known.add(row.a + row.b)
-        # A word that is one symbol by now has nothing left to merge.
-        symbols = symbols.filter(F.contains("sym", F.lit(_CLOSE + _OPEN)))
-        since_cut += len(chosen)
-        if since_cut >= MERGES_PER_CUT:
-            symbols, since_cut = cut_lineage(symbols), 0
+        if len(pending) >= MERGES_PER_CUT:
+            # A word that is one symbol by now has nothing left to merge.
+            left = _merged(symbols, pending).filter(F.contains("sym", F.lit(_CLOSE + _OPEN)))
+            symbols, pending = spread(cut_lineage(left)), []
     pieces = list(META_PIECES) + list(merged) + chars
     n_meta = len(META_PIECES)
     rows = [(i, p, 0.0 if i < n_meta else float(n_meta - i)) for i, p in enumerate(pieces)]
@@ -201,8 +214,7 @@ def wordpiece_words(
     line_keys: Sequence[str] = LINE_KEYS,
 ) -> DataFrame:
     """Greedy pieces of the words in an array column."""
-    tokens = vocab.select("token")
-    small = small_table(tokens)
+    tokens, small = measured(vocab.select("token"))
     if small is None:
         table = _greedy_table(distinct_tokens(df, col, "word"), tokens, max_chars)
         nested = lookup(df, col, table, "word", "pieces", "_pieces", line_keys)
@@ -263,9 +275,9 @@ def wordpiece(
 
 def _substrings(words: DataFrame, longest: int) -> DataFrame:
     """(word, start, len, sub) of all substrings up to ``longest`` characters."""
-    starts = words.withColumn("start", F.explode(F.sequence(F.lit(1), F.length("word"))))
+    starts = unnest(words, ["*"], F.when(F.length("word") > 0, F.sequence(F.lit(1), F.length("word"))), "start")
     reach = F.least(F.lit(longest), F.length("word") - F.col("start") + 1)
-    return starts.withColumn("len", F.explode(F.sequence(F.lit(1), reach))).withColumn(
+    return unnest(starts, ["*"], F.sequence(F.lit(1), reach), "len").withColumn(
         "sub", F.substr(F.col("word"), F.col("start"), F.col("len"))
     )
 
@@ -359,9 +371,10 @@ def unigram_train(
     spark = df.sparkSession
     tokens = df.select(tx.split_tokens(tx.strip_line(col)).alias("t"))
     raw = token_counts(tokens, "t").select(_marked(F.col("word")).alias("word"), "cnt")
-    parts = raw.select(F.explode(F.split("word", user_symbol_pattern(user))).alias("word"), "cnt").filter("word <> ''")
-    words = cut_lineage(parts.groupBy("word").agg(F.sum("cnt").alias("cnt")))
-    chars = words.select(F.explode(F.split("word", "")).alias("ch"), "cnt").groupBy("ch").agg(F.sum("cnt").alias("cnt"))
+    parts = unnest(raw, ["cnt"], F.split("word", user_symbol_pattern(user)), "part").filter("part <> ''")
+    parts = parts.withColumnRenamed("part", "word")
+    words = cut_lineage(spread(parts.groupBy("word").agg(F.sum("cnt").alias("cnt"))))
+    chars = unnest(words, ["cnt"], F.split("word", ""), "ch").groupBy("ch").agg(F.sum("cnt").alias("cnt"))
     alphabet = {r.ch: r.cnt for r in covered_characters(chars, coverage).collect()}  # at most one row per Unicode character
     seeds = (
         _substrings(words, longest)
@@ -404,12 +417,11 @@ def unigram_encode(
     line_keys: Sequence[str] = LINE_KEYS,
 ) -> DataFrame:
     """Most likely pieces of every word; a character without a piece stays as itself."""
-    pieces = vocab.filter(F.col("kind").isin("piece", "user")).select("piece", "score")
+    pieces, small = measured(vocab.filter(F.col("kind").isin("piece", "user")).select("piece", "score"))
     marked = F.transform(tx.split_tokens(tx.strip_line(col)), _marked)
     lines = df.withColumn("_words", marked)
     bounds = pieces.agg(F.max(F.length("piece")), F.min("score")).first()
     longest, unknown = bounds[0] or 1, (bounds[1] or 0.0) - 10.0
-    small = small_table(pieces)
     if small is not None:
         scores = dict(zip(small.column(0).to_pylist(), small.column(1).to_pylist()))
         shared = df.sparkSession.sparkContext.broadcast(scores)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..functions.arrays import unnest
 from ..functions.hangul import normalize_repeats, to_jamo
 from .lookup import lookup
 
@@ -79,14 +80,13 @@ def tokenize(
 
 
 def distinct_tokens(df: DataFrame, col: str = "tokens", out: str = "token") -> DataFrame:
-    return df.select(F.explode(col).alias(out)).distinct()
+    return unnest(df, [], col, out).distinct()
 
 
 def _prefixes(tokens: DataFrame, shortest: int, longest: int) -> DataFrame:
     ends = F.sequence(F.lit(shortest), F.least(F.length("token"), F.lit(longest)))
     return (
-        tokens.filter(F.length("token") >= shortest)
-        .select("token", F.explode(ends).alias("len"))
+        unnest(tokens.filter(F.length("token") >= shortest), ["token"], ends, "len")
         .withColumn("word", F.substring(F.col("token"), F.lit(1), F.col("len")))
     )
 

@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.arrays import unnest
 from .order import with_ordinal
 
 
 def token_counts(df: DataFrame, col: str = "tokens") -> DataFrame:
     """(word, cnt) of every distinct token; counts combine before the shuffle."""
-    return df.select(F.explode(col).alias("word")).groupBy("word").agg(F.count("*").alias("cnt"))
+    return unnest(df, [], col, "word").groupBy("word").agg(F.count("*").alias("cnt"))
 
 
 def vocab_count(df: DataFrame, min_count: int = 5, col: str = "tokens") -> DataFrame:
@@ -56,5 +57,5 @@ def covered_characters(counts: DataFrame, coverage: float) -> DataFrame:
 
 def char_coverage(df: DataFrame, coverage: float = 0.9995, col: str = "line") -> DataFrame:
     """(ch, cnt) of the alphabet that holds the wanted share of the text, spaces left out."""
-    chars = df.select(F.explode(F.split(col, "")).alias("ch")).filter(~F.col("ch").isin("", " "))
+    chars = unnest(df, [], F.split(col, ""), "ch").filter(~F.col("ch").isin("", " "))
     return covered_characters(chars.groupBy("ch").agg(F.count("*").alias("cnt")), coverage)

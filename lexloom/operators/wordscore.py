@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import unnest
 from .vocab import token_counts
 
 
@@ -18,7 +19,7 @@ def prefix_counts(df: DataFrame, longest: int = 10, col: str = "tokens") -> Data
     Tokens are counted first, so prefixes are made once per distinct token.
     """
     ends = F.sequence(F.lit(1), F.least(F.length("word"), F.lit(longest + 1)))
-    prefixes = token_counts(df, col).filter("word <> ''").select("word", "cnt", F.explode(ends).alias("_end"))
+    prefixes = unnest(token_counts(df, col).filter("word <> ''"), ["word", "cnt"], ends, "_end")
     return (
         prefixes.select(F.substring(F.col("word"), F.lit(1), F.col("_end")).alias("word"), "cnt")
         .groupBy("word")

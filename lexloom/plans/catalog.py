@@ -12,7 +12,8 @@ from ..functions import text as tx
 from ..functions.hangul import normalize_repeats, to_jamo
 from ..functions.vectors import random_vector
 from ..operators import cooccur, embed, factorize, order, pretrain, rows, sentvec, sets, spacing, subword, tokenizers, vocab, wordscore
-from ..session import cut_lineage, shared_folder
+from ..functions.arrays import unnest
+from ..session import cut_lineage, shared_folder, spread
 from ..sources import corpora, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,7 +30,7 @@ def query(fn: Query) -> Query:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 def documents(spark, folder):
@@ -143,14 +144,14 @@ def s07_pairs_csv(spark, folder):
 def word_vectors(spark, folder, dim: int = 8, min_count: int = 5) -> DataFrame:
     """Reproducible start vectors of the vocabulary words."""
     words = vocab.token_counts(doc_tokens(spark, folder)).filter(F.col("cnt") >= min_count)
-    vec = F.transform(random_vector(F.col("word"), dim), lambda v: F.round(v, 4))
-    return words.select("word", vec.alias("vec"))
+    return words.select("word", random_vector(F.col("word"), dim).alias("vec"))
 
 
 @query
 def s08_read_vectors(spark, folder):
     path = scratch(spark)
-    sinks.write_vectors(word_vectors(spark, folder), path)
+    short = F.transform("vec", lambda v: F.round(v, 4))
+    sinks.write_vectors(word_vectors(spark, folder).select("word", short.alias("vec")), path)
     return corpora.read_vectors(spark, path).select("word", numbers("vec").alias("vec"))
 
 
@@ -306,9 +307,9 @@ def t04_l_tokens(spark, folder):
 def greedy_vocab(spark, folder) -> DataFrame:
     """Frequent token beginnings as pieces, frequent endings as continuations."""
     counts = vocab.token_counts(lines(spark, folder).select(tx.split_punctuation("line").alias("tokens")))
-    size = F.explode(F.sequence(F.lit(1), F.least(F.length("word"), F.lit(6))))
-    begin = counts.select("cnt", "word", size.alias("n")).select(F.substring(F.col("word"), F.lit(1), F.col("n")).alias("token"), "cnt")
-    end = counts.select("cnt", "word", size.alias("n")).select(
+    sized = unnest(counts, ["cnt", "word"], F.sequence(F.lit(1), F.least(F.length("word"), F.lit(6))), "n")
+    begin = sized.select(F.substring(F.col("word"), F.lit(1), F.col("n")).alias("token"), "cnt")
+    end = sized.select(
         F.concat(F.lit("##"), F.substr(F.col("word"), F.length("word") - F.col("n") + 1)).alias("token"), "cnt"
     )
     pieces = begin.unionByName(end).groupBy("token").agg(F.sum("cnt").alias("cnt"))
@@ -603,7 +604,7 @@ def framed(spark, folder):
 
 @query
 def p01_framing(spark, folder):
-    flat = framed(spark, folder).select("doc_id", F.posexplode(F.arrays_zip("tokens", "sents")).alias("pos", "t"))
+    flat = unnest(framed(spark, folder), ["doc_id"], F.arrays_zip("tokens", "sents"), "t", "pos")
     return flat.select("doc_id", F.col("pos").cast("bigint").alias("pos"), F.col("t.tokens").alias("token"), F.col("t.sents").alias("sent_no"))
 
 

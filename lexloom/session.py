@@ -51,18 +51,25 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give an input with fewer splits than cores one partition per core; others stay as read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def broadcast_limit(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_CONF, str(BROADCAST_BYTES)))
 
 
-def small_table(df: DataFrame, limit: int | None = None):
-    """``df`` as an Arrow table when its measured size is within the limit, else ``None``.
+def measured(df: DataFrame, limit: int | None = None):
+    """(``df`` computed once, its Arrow table when its size is within the limit or ``None``).
 
     The size is measured on the cluster first, so the driver never receives more than the limit.
     """
     limit = broadcast_limit(df.sparkSession) if limit is None else limit
     if limit <= 0:
-        return None
+        return df, None
+    df = cut_lineage(df)
     row = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
     size = df.agg(F.sum(row.cast("bigint"))).first()[0] or 0
-    return df.toArrow() if size <= limit else None
+    return df, df.toArrow() if size <= limit else None

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..functions.arrays import unnest
 from ..operators.rows import format_labelled, parse_labelled
 
 # The record layouts of the raw corpora.
@@ -57,11 +58,11 @@ def read_qa_json(spark: SparkSession, path, multi_line: bool = True) -> DataFram
 
     Published files are one document each (``multi_line``); one document per line splits better.
     """
-    articles = spark.read.schema(QA_SCHEMA).json(path, multiLine=multi_line).select(F.explode("data").alias("d"))
-    paragraphs = articles.select("d.title", F.explode("d.paragraphs").alias("p"))
+    articles = unnest(spark.read.schema(QA_SCHEMA).json(path, multiLine=multi_line), [], "data", "d")
+    paragraphs = unnest(articles, ["d.title"], "d.paragraphs", "p")
     questions = F.transform("p.qas", lambda q: q["question"])
     answers = F.flatten(F.transform("p.qas", lambda q: F.transform(q["answers"], lambda a: a["text"])))
-    lines = paragraphs.select("title", F.explode(F.concat(F.array("p.context"), questions, answers)).alias("line"))
+    lines = unnest(paragraphs, ["title"], F.concat(F.array("p.context"), questions, answers), "line")
     return lines.withColumn("line", tx.strip_line(tx.collapse_ws("line")))
 
 
