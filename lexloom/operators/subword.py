@@ -61,13 +61,14 @@ def _independent(ranked: list, known: set, exact: bool, batch: int) -> list:
     pairs whose count only equals that pair's. A pair made by the merges cannot be more frequent
     than the pair we stopped at, so one-at-a-time merging would choose the same pairs in the same
     order. A pair of equal symbols, or one whose text is a piece already, ends the round.
-    Otherwise: skip such pairs and go on, which may order merges differently.
+    Otherwise: skip such pairs and go on down to half the top count, which may order merges
+    differently.
     """
     chosen, used, made = [], set(), set(known)
     full = len(ranked) == TOP_PAIRS
     stop = ranked[-1].n if exact and full else None
     for row in ranked:
-        if len(chosen) == batch:
+        if len(chosen) == batch or (not exact and row.n * 2 < ranked[0].n):
             stop = None
             break
         if row.a in used or row.b in used:
@@ -212,20 +213,22 @@ def wordpiece_words(
     out: str = "tokens",
     max_chars: int = 200,
     line_keys: Sequence[str] = LINE_KEYS,
+    nested: str | None = None,
 ) -> DataFrame:
-    """Greedy pieces of the words in an array column."""
+    """Greedy pieces of the words in an array column; ``nested`` keeps them per word as well."""
     tokens, small = measured(vocab.select("token"))
     if small is None:
         table = _greedy_table(distinct_tokens(df, col, "word"), tokens, max_chars)
-        nested = lookup(df, col, table, "word", "pieces", "_pieces", line_keys)
+        found = lookup(df, col, table, "word", "pieces", "_pieces", line_keys)
     else:
         known = set(small.column(0).to_pylist())
         longest = max((len(t) for t in known), default=1)
         shared = df.sparkSession.sparkContext.broadcast(known)
-        nested = df.withColumn(
+        found = df.withColumn(
             "_pieces", _per_distinct(lambda w: greedy_pieces(w, shared.value, longest, max_chars))(F.col(col))
         )
-    return nested.withColumn(out, F.flatten("_pieces")).drop("_pieces")
+    made = found.withColumn(out, F.flatten("_pieces"))
+    return made.withColumnRenamed("_pieces", nested) if nested else made.drop("_pieces")
 
 
 def _greedy_table(words: DataFrame, tokens: DataFrame, max_chars: int) -> DataFrame:

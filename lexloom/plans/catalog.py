@@ -323,7 +323,7 @@ def t05_wordpiece(spark, folder):
 
 
 def unigram_vocab(spark, folder) -> DataFrame:
-    return subword.unigram_train(lines(spark, folder), vocab_size=1000, seed_size=20_000)
+    return subword.unigram_train(lines(spark, folder), vocab_size=1000, seed_size=5_000)
 
 
 @query
@@ -360,7 +360,7 @@ def a03_char_coverage(spark, folder):
 
 @query
 def a04_bpe_train(spark, folder):
-    return subword.bpe_train(lines(spark, folder), vocab_size=300)
+    return subword.bpe_train(lines(spark, folder), vocab_size=200)
 
 
 @query

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.arrays import unnest
+from ..operators.order import with_ordinal
 from ..operators.rows import format_labelled, parse_labelled
 
 # The record layouts of the raw corpora.
@@ -30,7 +31,7 @@ def read_lines(spark: SparkSession, path) -> DataFrame:
     """
     lines = spark.read.text(path).withColumnRenamed("value", "line")
     keyed = lines.withColumn("file", F.col("_metadata.file_path")).withColumn(
-        "line_no", F.col("_metadata.file_block_start") * F.lit(1 << 20) + F.monotonically_increasing_id() % F.lit(1 << 33)
+        "line_no", F.col("_metadata.file_block_start") * F.lit(1 << 16) + F.monotonically_increasing_id() % F.lit(1 << 33)
     )
     return keyed.select("file", "line_no", "line")
 
@@ -106,8 +107,7 @@ def read_vocab(spark: SparkSession, path) -> DataFrame:
 
 
 def read_piece_tsv(spark: SparkSession, path) -> DataFrame:
-    """(id, piece, score) of a ``piece<TAB>score`` file; the id is the row order of one file."""
-    lines = spark.read.text(path, wholetext=True)
-    rows = lines.select(F.posexplode(F.split(F.rtrim(F.lit("\n"), F.col("value")), "\n")).alias("id", "row"))
-    fields = F.split("row", "\t")
-    return rows.select(F.col("id").cast("bigint").alias("id"), fields[0].alias("piece"), F.get(fields, F.lit(1)).cast("double").alias("score"))
+    """(id, piece, score) of ``piece<TAB>score`` lines; the id is the place of the line."""
+    fields = F.split("line", "\t")
+    rows = with_ordinal(read_lines(spark, path), ["file", "line_no"], "id")
+    return rows.select("id", fields[0].alias("piece"), F.get(fields, F.lit(1)).cast("double").alias("score"))
