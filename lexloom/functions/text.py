@@ -40,7 +40,10 @@ def split_digits(tokens) -> Column:
         spaced = F.split(F.regexp_replace(token, r"(\p{Nd})", " $1 "), " ")
         return F.filter(spaced, lambda part: part != "")
 
-    return F.flatten(F.transform(_col(tokens), parts))
+    # Most lines hold no digit: one look at the whole line spares a pattern per token.
+    line = _col(tokens)
+    has_digit = F.array_join(line, " ").rlike(r"\p{Nd}")
+    return F.when(has_digit, F.flatten(F.transform(line, parts))).otherwise(F.filter(line, lambda t: t != ""))
 
 
 def limit_repeats(col, n: int = 3) -> Column:

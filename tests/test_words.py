@@ -195,7 +195,8 @@ def test_cooccurrence(spark):
     assert cells == {("a", "b"): 2.0, ("b", "a"): 2.0, ("a", "c"): 0.5, ("c", "a"): 0.5, ("b", "c"): 1.0, ("c", "b"): 1.0}
 
 
-def test_cooccurrence_across_blocks(spark):
+def test_cooccurrence_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(cooccur, "BLOCK", 64)
     n = 3 * cooccur.BLOCK + 7
     names = [f"w{i % 11}" for i in range(n)]
     words = spark.createDataFrame([(i, f"w{i}") for i in range(11)], "id bigint, word string")
