@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import unnest
+from ..session import cut_lineage
 from .vocab import token_counts
 
 
@@ -64,7 +65,10 @@ def word_scores(
     col: str = "tokens",
 ) -> DataFrame:
     """(word, freq, cohesion_forward, right_branching_entropy, score) above the three minima."""
-    return scores_from_prefixes(prefix_counts(df, longest, col), min_frequency, min_cohesion, min_entropy, longest)
+    # Read three times below; filters on the word's length would otherwise reach the corpus scan
+    # and make each of the three count it again.
+    prefixes = cut_lineage(prefix_counts(df, longest, col))
+    return scores_from_prefixes(prefixes, min_frequency, min_cohesion, min_entropy, longest)
 
 
 def scores_from_prefixes(

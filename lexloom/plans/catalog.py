@@ -386,7 +386,7 @@ def a07_prefix_counts(spark, folder):
 
 @query
 def a08_cohesion(spark, folder):
-    scored = wordscore.cohesion_forward(wordscore.prefix_counts(tokens(spark, folder)))
+    scored = wordscore.cohesion_forward(cut_lineage(wordscore.prefix_counts(tokens(spark, folder))))
     return scored.select("word", "freq", rounded("cohesion_forward").alias("cohesion_forward"))
 
 
