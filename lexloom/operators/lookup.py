@@ -7,7 +7,7 @@ together again by line key and position, with AQE splitting the partitions of fr
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -32,6 +32,20 @@ def _batch_lookup(shared, value_type):
     return F.arrow_udf(find, returnType=T.ArrayType(value_type))
 
 
+def per_distinct(segment: Callable[[str], list]):
+    """Arrow function: segment each distinct word of a batch once, rebuild the lists."""
+
+    def apply(col: pa.Array) -> pa.Array:
+        coded = pc.list_flatten(col).dictionary_encode()
+        made = pa.array([segment(w) for w in coded.dictionary.to_pylist()], pa.list_(pa.string()))
+        per_word = made.take(coded.indices)
+        lengths = pc.fill_null(pc.list_value_length(col), 0)
+        offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(lengths.cast(pa.int32()))])
+        return pa.ListArray.from_arrays(offsets, per_word)
+
+    return F.arrow_udf(apply, returnType="array<array<string>>")
+
+
 def lookup(
     df: DataFrame,
     array: str,

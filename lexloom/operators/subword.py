@@ -11,15 +11,13 @@ import re
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.arrays import unnest
 from ..session import cut_lineage, measured, spread
-from .lookup import lookup
+from .lookup import lookup, per_distinct
 from .order import with_ordinal
 from .tokenizers import distinct_tokens
 from .vocab import covered_characters, token_counts
@@ -192,20 +190,6 @@ def greedy_pieces(word: str, vocab: set, longest: int, max_chars: int) -> list[s
     return pieces
 
 
-def _per_distinct(segment: Callable[[str], list]):
-    """Arrow function: segment each distinct word of a batch once, rebuild the lists."""
-
-    def apply(col: pa.Array) -> pa.Array:
-        coded = pc.list_flatten(col).dictionary_encode()
-        made = pa.array([segment(w) for w in coded.dictionary.to_pylist()], pa.list_(pa.string()))
-        per_word = made.take(coded.indices)
-        lengths = pc.fill_null(pc.list_value_length(col), 0)
-        offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(lengths.cast(pa.int32()))])
-        return pa.ListArray.from_arrays(offsets, per_word)
-
-    return F.arrow_udf(apply, returnType="array<array<string>>")
-
-
 def wordpiece_words(
     df: DataFrame,
     vocab: DataFrame,
@@ -225,7 +209,7 @@ def wordpiece_words(
         longest = max((len(t) for t in known), default=1)
         shared = df.sparkSession.sparkContext.broadcast(known)
         found = df.withColumn(
-            "_pieces", _per_distinct(lambda w: greedy_pieces(w, shared.value, longest, max_chars))(F.col(col))
+            "_pieces", per_distinct(lambda w: greedy_pieces(w, shared.value, longest, max_chars))(F.col(col))
         )
     made = found.withColumn(out, F.flatten("_pieces"))
     return made.withColumnRenamed("_pieces", nested) if nested else made.drop("_pieces")
@@ -429,7 +413,7 @@ def unigram_encode(
         scores = dict(zip(small.column(0).to_pylist(), small.column(1).to_pylist()))
         shared = df.sparkSession.sparkContext.broadcast(scores)
         segment = lambda w: best_segmentation(w, _lattice(w, shared.value, longest, unknown))
-        nested = lines.withColumn("_pieces", _per_distinct(segment)(F.col("_words")))
+        nested = lines.withColumn("_pieces", per_distinct(segment)(F.col("_words")))
     else:
         table = _unigram_table(distinct_tokens(lines, "_words", "word"), pieces, longest, unknown)
         nested = lookup(lines, "_words", table, "word", "pieces", "_pieces", line_keys)

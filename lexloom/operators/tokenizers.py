@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions.arrays import unnest
 from ..functions.hangul import normalize_repeats, to_jamo
-from .lookup import lookup
+from ..session import measured
+from .lookup import lookup, per_distinct
 
 LINE_KEYS = ("doc_id", "line_no")
 UNKNOWN_TAG = "UNK"
@@ -134,6 +135,15 @@ def lexicon_tokenize(
     return found.withColumn(out, F.flatten(pieces)).drop("_pieces")
 
 
+def split_by_score(token: str, scores: dict, longest: int) -> list[str]:
+    """The token, or its best-scored prefix of two characters or more and the rest."""
+    if len(token) <= 2:
+        return [token]
+    found = [(scores[token[:n]], n) for n in range(2, min(len(token), longest) + 1) if token[:n] in scores]
+    cut = max(found)[1] if found else len(token)
+    return [token] if cut == len(token) else [token[:cut], token[cut:]]
+
+
 def l_tokenize(
     df: DataFrame,
     scores: DataFrame,
@@ -145,11 +155,18 @@ def l_tokenize(
     """Split each white-space token at the prefix with the highest score.
 
     ``scores`` holds (word, score) for words of at most ``longest`` characters. Tokens of up to two
-    characters stay whole, an absent prefix scores 0, ties go to the longer left part.
+    characters stay whole, an absent prefix scores 0, ties go to the longer left part. Scores
+    within the broadcast limit are applied inside the task, else joined to each distinct token once.
     """
     lines = df.withColumn("_space", tx.split_tokens(col))
+    scores, small = measured(scores.filter("score > 0").select("word", "score"))
+    if small is not None:
+        known = dict(zip(small.column(0).to_pylist(), small.column(1).to_pylist()))
+        shared = df.sparkSession.sparkContext.broadcast(known)
+        cut_up = per_distinct(lambda token: split_by_score(token, shared.value, longest))
+        return lines.withColumn(out, F.flatten(cut_up(F.col("_space")))).drop("_space")
     tokens = distinct_tokens(lines, "_space").filter(F.length("token") > 2)
-    ranked = _prefixes(tokens, 2, longest).join(scores.filter("score > 0").select("word", "score"), "word")
+    ranked = _prefixes(tokens, 2, longest).join(scores, "word")
     cuts = (
         ranked.groupBy("token")
         .agg(F.max(F.struct("score", "len"))["len"].alias("cut"))
