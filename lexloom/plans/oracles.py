@@ -448,6 +448,41 @@ def mean_text(weight: str, table: str = "rows_v", column: str = "v") -> str:
     return " || ' ' || ".join(means)
 
 
+def ngram_rows(base: str, name: str) -> dict[str, str]:
+    """The n-grams of the words of a table, with the table's other columns."""
+    return {
+        f"{name}_at": f"SELECT *, '<' || word || '>' AS w, unnest(range(1, length(word) + 1)) AS s FROM {base}",
+        f"{name}_cut": f"SELECT *, unnest(range(3, least(6, length(w) - s + 1) + 1)) AS n FROM {name}_at",
+        name: f"SELECT *, substr(w, s, n) AS ngram FROM {name}_cut",
+    }
+
+
+def mean_floats(column: str, weight: str) -> str:
+    """Weighted positional means of an 8-number vector, kept as 32-bit numbers."""
+    return "[" + ", ".join(f"CAST(sum({column}[{i}] * {weight}) / sum({weight}) AS FLOAT)" for i in range(1, 9)) + "]"
+
+
+float_text = " || ' ' || ".join(number_text(f"CAST(vec[{i}] AS DOUBLE)") for i in range(1, 9))
+ORACLES["m07_subword_vectors"] = sql(
+    "word_vecs",
+    f"SELECT word, {float_text} AS vec FROM composed",
+    weighted="SELECT v.word, vec, CAST(cnt AS DOUBLE) AS cnt FROM word_vecs v JOIN doc_counts c ON c.word = v.word",
+    **ngram_rows("weighted", "known"),
+    gram_vecs=f"SELECT ngram, {mean_floats('vec', 'cnt')} AS vec FROM known GROUP BY ngram",
+    **ngram_rows("doc_counts", "every"),
+    composed=f"SELECT word, {mean_floats('g.vec', '1.0')} AS vec FROM every e JOIN gram_vecs g ON g.ngram = e.ngram GROUP BY word",
+)
+ORACLES["m08_jamo_subwords"] = sql(
+    "lines",
+    f"SELECT ngram, {float_text} AS vec FROM gram_vecs",
+    spelled=f"SELECT unnest({words_of(jamo(HANGUL_LINE))}) AS word FROM lines",
+    jamo_counts="SELECT word, CAST(count(*) AS DOUBLE) AS cnt FROM spelled GROUP BY word HAVING count(*) >= 5",
+    vecs="SELECT word, cnt, [" + ", ".join(f"{hash32('7', 'word', str(i))} / 4294967296.0 - 0.5" for i in range(8)) + "] AS vec FROM jamo_counts",
+    **ngram_rows("vecs", "known"),
+    gram_vecs=f"SELECT ngram, {mean_floats('vec', 'cnt')} AS vec FROM known GROUP BY ngram",
+)
+
+
 ORACLES["m09_tag_vectors"] = sql(
     "doc_tok word_vecs",
     f"SELECT source, {mean_text('1.0', column='vec')} AS vec FROM doc_tok t JOIN word_vecs v ON v.word = t.word GROUP BY source",
