@@ -633,10 +633,8 @@ def p03_sentence_pairs(spark, folder):
     return pairs.select("doc_id", "seg", joined("a").alias("a"), joined("b").alias("b"), F.col("is_random_next").cast("int").alias("is_random_next"))
 
 
-def masked_records(spark, folder, with_vocab: bool):
+def masked_records(spark, folder):
     records = pretrain.duplicate(pretrain.with_markers(pretrain.nsp_pairs(framed(spark, folder))), 5)
-    if not with_vocab:
-        return pretrain.mlm_masks(records)
     words = vocab.word_ids(vocab.token_counts(framed(spark, folder)))
     return pretrain.mlm_masks(records, vocab=cut_lineage(words.select("id", F.col("word").alias("token"))))
 
@@ -664,7 +662,11 @@ def p05_copies(spark, folder):
 @query
 def p05_training_records(spark, folder):
     """The whole record job: pairs, markers, five copies, masks with random words."""
-    return masked_records(spark, folder, with_vocab=True)
+    listed = lambda c: F.array_join(F.col(c).cast("array<string>"), " ").alias(c.removeprefix("masked_"))
+    arrays = [listed(c) for c in ("tokens", "segment_ids", "masked_positions", "masked_labels")]
+    return masked_records(spark, folder).select(
+        "doc_id", "seg", F.col("copy").cast("bigint").alias("copy"), *arrays, F.col("is_random_next").cast("int").alias("is_random_next")
+    )
 
 
 @query

@@ -533,29 +533,32 @@ ORACLES["p02_turn_segments"] = f"""SELECT conv_id, turn, n_tokens, CAST(coalesce
     FROM (SELECT conv_id, turn, CAST(len({words_of('text')}) AS BIGINT) AS n_tokens FROM conversations)"""
 ORACLES["p02_packed"] = sql("packed", "SELECT doc_id, seg, array_to_string(tokens, ' ') AS tokens FROM packed")
 h = lambda what: hash32("7", f"'{what}'", "doc_id", "seg")
-ORACLES["p03_sentence_pairs"] = sql(
-    "packed segmented",
-    """SELECT doc_id, seg, array_to_string(list_slice(a, 1, least(len(a), greatest(63, 125 - len(b)))), ' ') AS a,
-      array_to_string(list_slice(b, 1, least(len(b), greatest(62, 125 - len(a)))), ' ') AS b, CAST(rnd AS INTEGER) AS is_random_next
-    FROM pair""",
-    ordered="SELECT doc_id, seg, tokens, row_number() OVER (ORDER BY doc_id, seg) - 1 AS o FROM packed",
-    sents="SELECT doc_id, seg, list(least(before + n_tokens - first, 125) ORDER BY sent_no) AS ends FROM (SELECT *, min(before) OVER (PARTITION BY doc_id, seg) AS first FROM segmented) GROUP BY doc_id, seg",
-    per_doc="SELECT doc_id, count(*) AS n, min(o) AS first FROM ordered GROUP BY doc_id",
-    drawn=f"""SELECT p.doc_id, p.seg, tokens, ends, len(ends) AS m, n, first,
+PAIR_PARTS = {
+    "ordered": "SELECT doc_id, seg, tokens, row_number() OVER (ORDER BY doc_id, seg) - 1 AS o FROM packed",
+    "sents": "SELECT doc_id, seg, list(least(before + n_tokens - first, 125) ORDER BY sent_no) AS ends FROM (SELECT *, min(before) OVER (PARTITION BY doc_id, seg) AS first FROM segmented) GROUP BY doc_id, seg",
+    "per_doc": "SELECT doc_id, count(*) AS n, min(o) AS first FROM ordered GROUP BY doc_id",
+    "drawn": f"""SELECT p.doc_id, p.seg, tokens, ends, len(ends) AS m, n, first,
       CASE WHEN len(ends) > 1 THEN 1 + {hash32("7", "'end'", "p.doc_id", "p.seg")} % greatest(len(ends) - 1, 1) ELSE 1 END AS ae,
       len(ends) = 1 OR {hash32("7", "'side'", "p.doc_id", "p.seg")} % 2 = 0 AS rnd,
       {hash32("7", "'partner'", "p.doc_id", "p.seg")} % ((SELECT count(*) FROM packed) - n) AS skip
       FROM ordered p JOIN sents s ON s.doc_id = p.doc_id AND s.seg = p.seg JOIN per_doc c ON c.doc_id = p.doc_id""",
-    pair="""SELECT d.doc_id, d.seg, rnd, list_slice(d.tokens, 1, ends[ae]) AS a,
+    "pair": """SELECT d.doc_id, d.seg, rnd, list_slice(d.tokens, 1, ends[ae]) AS a,
       CASE WHEN rnd THEN q.tokens ELSE list_slice(d.tokens, ends[ae] + 1, len(d.tokens)) END AS b
       FROM drawn d LEFT JOIN ordered q ON q.o = CASE WHEN skip >= first THEN skip + n ELSE skip END""",
+    "cut_pair": """SELECT doc_id, seg, rnd, list_slice(a, 1, least(len(a), greatest(63, 125 - len(b)))) AS a,
+      list_slice(b, 1, least(len(b), greatest(62, 125 - len(a)))) AS b FROM pair""",
+}
+ORACLES["p03_sentence_pairs"] = sql(
+    "packed segmented",
+    "SELECT doc_id, seg, array_to_string(a, ' ') AS a, array_to_string(b, ' ') AS b, CAST(rnd AS INTEGER) AS is_random_next FROM cut_pair",
+    **PAIR_PARTS,
 )
 
 
-def masks(copies: str) -> dict[str, str]:
+def masks(copies: str, source: str = "packed") -> dict[str, str]:
     keys = ("doc_id", "seg", "copy")
     return {
-        "copied": f"SELECT doc_id, seg, copy, tokens FROM packed, (SELECT unnest({copies}) AS copy)",
+        "copied": f"SELECT doc_id, seg, copy, tokens FROM {source}, (SELECT unnest({copies}) AS copy)",
         "spots": exploded("copied", "doc_id, seg, copy", "tokens", "token", "pos"),
         "hashed": f"SELECT *, {hash32('7', chr(39) + 'pick' + chr(39), *keys, 'pos')} AS h, {hash32('7', chr(39) + 'how' + chr(39), *keys, 'pos')} % 10 AS how, "
         "count(*) OVER (PARTITION BY doc_id, seg, copy) AS n FROM spots",
@@ -579,6 +582,23 @@ ORACLES["p05_copies"] = sql(
 )
 
 
+ORACLES["p05_training_records"] = sql(
+    "packed segmented",
+    """SELECT c.doc_id, c.seg, CAST(c.copy AS BIGINT) AS copy,
+      string_agg(CASE WHEN NOT masked OR how = 8 THEN c.token WHEN how < 8 THEN '[MASK]' ELSE v.token END, ' ' ORDER BY pos) AS tokens,
+      string_agg(CASE WHEN pos < len(a) + 2 THEN '0' ELSE '1' END, ' ' ORDER BY pos) AS segment_ids,
+      string_agg(CAST(pos AS VARCHAR), ' ' ORDER BY pos) FILTER (masked) AS positions,
+      string_agg(c.token, ' ' ORDER BY pos) FILTER (masked) AS labels, CAST(any_value(rnd) AS INTEGER) AS is_random_next
+    FROM drawn_words c LEFT JOIN words v ON v.id = c.word_id JOIN cut_pair p ON p.doc_id = c.doc_id AND p.seg = c.seg
+    GROUP BY c.doc_id, c.seg, c.copy""",
+    **PAIR_PARTS,
+    records="SELECT doc_id, seg, flatten([['[CLS]'], a, ['[SEP]'], b, ['[SEP]']]) AS tokens FROM cut_pair",
+    **masks("[1, 2, 3, 4, 5]", "records"),
+    words="""SELECT row_number() OVER (ORDER BY count(*) DESC, token) - 1 AS id, token FROM framed_tok GROUP BY token""",
+    drawn_words=f"SELECT *, {hash32('7', chr(39) + 'word' + chr(39), 'doc_id', 'seg', 'copy', 'pos')} % (SELECT count(*) FROM words) AS word_id FROM chosen",
+)
+
+
 def windows(passes: int) -> dict[str, str]:
     return {
         "stream": "SELECT doc_id, list(token ORDER BY sent_no, k) AS t FROM framed_tok GROUP BY doc_id",
