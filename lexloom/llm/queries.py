@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, sharding
+from . import mixing, secrets, sharding
 from .common import read_table
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan_secrets(read_table(spark, sf_dir, "documents")))
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source", "source_size", "target", "taken")
@@ -18,6 +22,7 @@ def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secrets": op1_secrets,
     "op3_mix": op3_mix,
     "op7_shard": op7_shard,
 }
