@@ -13,6 +13,11 @@ from ..session import shared_folder
 LOCAL_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_folder(spark)}/lexloom-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once as Parquet in the shared folder and read back.
 
@@ -21,7 +26,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     ``lexloom-<application id>`` below ``spark.checkpoint.dir``, which may go when it has ended.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/lexloom-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, secrets, sharding
-from .common import read_table
+from . import bpe, mixing, secrets, sharding, tokenfile
+from .common import new_folder, read_table
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+END_ID = 2
 
 
 def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,14 +22,33 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source", "source_size", "target", "taken")
 
 
+def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "tokens")
+    tokenfile.write_tokens(read_table(spark, sf_dir, "documents"), folder, VOCABULARY, END_ID)
+    return tokenfile.read_documents(tokenfile.open_shards(spark, folder))
+
+
 def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_records(read_table(spark, sf_dir, "documents"), [1.0] * 40, [1.0] * 41)
 
 
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = bpe.decode_ids(bpe.encode_texts(docs, VOCABULARY), VOCABULARY)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op3_mix": op3_mix,
+    "op5_tokens": op5_tokens,
     "op7_shard": op7_shard,
+    "op10_bpe": op10_bpe,
 }
 
 ORACLES: dict[str, str] = {}
