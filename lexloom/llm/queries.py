@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, secrets, sharding, tokenfile
+from . import bpe, mixing, pii, quality, secrets, sharding, tokenfile
 from .common import new_folder, read_table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,6 +17,11 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_secrets(read_table(spark, sf_dir, "documents")))
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge_quality(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.drop("text", "line_chars", "dup_line_chars", "ngram_chars")
+
+
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(read_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source", "source_size", "target", "taken")
@@ -32,6 +37,10 @@ def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_records(read_table(spark, sf_dir, "documents"), [1.0] * 40, [1.0] * 41)
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.find_pii(read_table(spark, sf_dir, "documents")))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.decode_ids(bpe.encode_texts(docs, VOCABULARY), VOCABULARY)
@@ -45,9 +54,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_secrets": op1_secrets,
+    "op2_quality": op2_quality,
     "op3_mix": op3_mix,
     "op5_tokens": op5_tokens,
     "op7_shard": op7_shard,
+    "op9_pii": op9_pii,
     "op10_bpe": op10_bpe,
 }
 

@@ -25,3 +25,44 @@ def secrets_base(text):
     names = ("assign", "access", "hex")
     joined = ",".join(f"{names[k]}:{a}:{b}" for a, k, b in sorted(found))
     return [sum(f[1] == k for f in found) for k in range(3)], sha(joined), joined
+
+
+def quality_base(text):
+    text = text or ""
+    w, seen, dup = words(text), set(), 0
+    for line in text.split("\n"):
+        if words(line):
+            dup += line in seen
+            seen.add(line)
+    windows = {}
+    for i in range(len(w) - 7):
+        windows.setdefault(tuple(w[i : i + 8]), []).append(i)
+    covered = {j for at in windows.values() if len(at) > 1 for i in at for j in range(i, i + 8)}
+    failed = len(w) < 20 or 100 * len(covered) > 30 * len(w)
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), dup, len(covered), failed
+
+
+def luhn(digits):
+    total = 0
+    for place, d in enumerate(map(int, reversed(digits))):
+        d = d * 2 if place % 2 else d
+        total += d - 9 if d > 9 else d
+    return total % 10 == 0
+
+
+def pii_base(text):
+    text, found = text or "", []
+
+    def every(kind, pattern, good):
+        for m in re.finditer(pattern, text):
+            digits = re.sub("[^0-9]", "", m[0])
+            if good(m[0], digits):
+                found.append((kind, m.start(), m.end()))
+
+    every(0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda s, d: True)
+    every(1, r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda s, d: all(int(x) <= 255 for x in s.split(".")))
+    every(2, r"[0-9]([\x20-]?[0-9])+", lambda s, d: 13 <= len(d) <= 19 and luhn(d))
+    every(3, r"\+[0-9][\x20().0-9-]+[0-9]", lambda s, d: 9 <= len(d) <= 15)
+    names = ("email", "ip", "card", "phone")
+    text = ",".join(f"{names[k]}:{a}:{b}" for k, a, b in sorted(found))
+    return [sum(f[0] == k for f in found) for k in range(4)], sha(text), text
