@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, pii, quality, secrets, sharding, tokenfile
+from . import bpe, mixing, pii, quality, secrets, sharding, tokenfile, topk
 from .common import new_folder, read_table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +27,10 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source", "source_size", "target", "taken")
 
 
+def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "tokens")
     tokenfile.write_tokens(read_table(spark, sf_dir, "documents"), folder, VOCABULARY, END_ID)
@@ -56,6 +60,7 @@ QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_quality": op2_quality,
     "op3_mix": op3_mix,
+    "op4_topk": op4_topk,
     "op5_tokens": op5_tokens,
     "op7_shard": op7_shard,
     "op9_pii": op9_pii,
