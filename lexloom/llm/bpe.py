@@ -17,18 +17,23 @@ import hashlib
 import json
 import os
 import re
-import struct
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-MAX_NODES = 1_500_000  # of a task's trie, which then starts anew; about 120 bytes each
-MAX_PIECES = 300_000  # of a task's tables of words, and of pieces between spaces, likewise
+from pyspark.sql import types as T
+
+MAX_PIECES = 300_000  # of a task's tables of words and of pieces between spaces, which then start anew
+MAX_PAIRS = 2_000_000  # of the remembered pairs of tokens, likewise
+MAX_WORDS = 50_000  # encoded at once
+GROUP_BYTES = 4 << 20  # of texts, or elements of id arrays, at once
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BYTES = np.random.default_rng(7).integers(1, 1 << 63, 256, np.uint64)
 # Splitting rule of the file format (a fixed value), with its letter and digit classes written out for
 # the characters of _SIMPLE, whose classes no Unicode version changes; other texts go to the library.
 _SIMPLE = re.compile("[\\n\\x20-\\x7eÀ-ÖØ-öø-ſ]*")
@@ -122,120 +127,203 @@ class Vocabulary:
 
 
 class WordTrie:
-    """Last-token states of all prefixes of the words seen, each worked out once."""
-
-    def __init__(self, vocabulary: Vocabulary, max_nodes: int = MAX_NODES):
-        self.vocabulary, self.max_nodes = vocabulary, max_nodes
-        self.pairs: dict[int, bool] = {}
-        self.clear()
-
-    def clear(self) -> None:
-        self.child: dict[int, int] = {}  # node and byte to the node below
-        self.last = array("i", [-1])  # the last token of a node's prefix
-        self.begin = array("i", [0])  # the node before that token
-
-    def insert(self, word: bytes) -> list[int]:
-        """Token ids of ``word``: down the known nodes, then a new node for every further byte."""
-        if len(self.last) > self.max_nodes:
-            self.clear()
-        child, last, begin = self.child, self.last, self.begin
-        tokens, longest, pairs = self.vocabulary.tokens, self.vocabulary.longest, self.pairs
-        path = [0]
-        node = depth = 0
-        for byte in word:
-            below = child.get(node << 8 | byte)
-            if below is None:
-                break
-            node = below
-            path.append(node)
-            depth += 1
-        for byte in word[depth:]:
-            depth += 1
+    """Encodes sets of distinct words, every prefix they share once.
+
+    Sorted words are the leaves of their trie in depth-first order. A node is the first word that
+    has its prefix, with the prefix's length; a word that shares fewer bytes with the one before it
+    begins new nodes. States of all nodes of a depth are worked out together, from the longest
+    token that may end there to the shortest. Whether two tokens stay whole is remembered.
+    """
+
+    LONG = 32  # bytes; longer words are encoded one by one
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.vocabulary = vocabulary
+        self.tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        by_size: dict[int, list] = {}
+        for token, i in vocabulary.tokens.items():
+            if len(token) <= self.LONG:
+                by_size.setdefault(len(token), []).append((token, i))
+        for size, entries in by_size.items():
+            hashes = self._prefix_hashes(np.array([list(t) for t, _ in entries], np.uint8))[-1]
+            order = np.argsort(hashes)
+            seen = np.zeros(1 << 18, bool)
+            seen[hashes >> np.uint64(46)] = True
+            self.tables[size] = (seen, hashes[order], np.array([i for _, i in entries], np.int32)[order])
+        self.powers = np.cumprod(np.concatenate([[np.uint64(1)], np.full(self.LONG, _BASE)]), dtype=np.uint64)
+        self.recent: dict[int, bool] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.pairs, self.whole = np.zeros(0, np.int64), np.zeros(0, bool)
+
+    @staticmethod
+    def _prefix_hashes(letters: np.ndarray) -> np.ndarray:
+        """Row d: the hashes of the first d bytes of every word."""
+        out = np.zeros((letters.shape[1] + 1, letters.shape[0]), np.uint64)
+        for d in range(letters.shape[1]):
+            out[d + 1] = out[d] * _BASE + _BYTES[letters[:, d]]
+        return out
+
+    def _stay_whole(self, before: np.ndarray, token: np.ndarray) -> np.ndarray:
+        keys = before.astype(np.int64) << 32 | token
+        if len(self.pairs):
+            at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
+            known, out = self.pairs[at] == keys, self.whole[at]
+        else:
+            known, out = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
+        if not known.all():
+            new, inverse = np.unique(keys[~known], return_inverse=True)
+            recent, answers = self.recent, []
+            for key in new.tolist():
+                answer = recent.get(key)
+                if answer is None:
+                    answer = recent[key] = self.vocabulary.stay_whole(key >> 32, key & 0xFFFFFFFF)
+                answers.append(answer)
+            out[~known] = np.array(answers)[inverse]
+        return out
+
+    def _remember(self) -> None:
+        if len(self.pairs) + len(self.recent) > MAX_PAIRS:
+            self._forget()
+        pairs = np.concatenate([self.pairs, np.fromiter(self.recent, np.int64, len(self.recent))])
+        whole = np.concatenate([self.whole, np.fromiter(self.recent.values(), bool, len(self.recent))])
+        order = np.argsort(pairs)
+        self.pairs, self.whole, self.recent = pairs[order], whole[order], {}
+
+    def encode(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
+        """The ids of every word, as 32-bit integers."""
+        made, short = {}, []
+        for word in words:
+            if len(word) > self.LONG:
+                made[word] = self._encode_long(word)
+            elif word:
+                short.append(word)
+        short.sort()
+        for low in range(0, len(short), MAX_WORDS):
+            made.update(self._encode_short(short[low : low + MAX_WORDS]))
+        return made
+
+    def _encode_short(self, words: list[bytes]) -> dict[bytes, bytes]:
+        n, sizes = len(words), np.fromiter(map(len, words), np.int64, len(words))
+        longest = int(sizes.max())
+        letters = np.array(words, f"S{longest}").view(np.uint8).reshape(n, longest)
+        hashes = self._prefix_hashes(letters)
+        same = letters[1:] == letters[:-1]
+        same &= np.arange(longest) < np.minimum(sizes[1:], sizes[:-1])[:, None]
+        shared = np.concatenate([[-1], np.cumprod(same, axis=1, dtype=np.int8).sum(axis=1)])
+        rows = np.arange(n)
+        # node[d, i]: the first word with the first d bytes of word i
+        node = np.maximum.accumulate(np.where(shared < np.arange(longest + 1)[:, None], rows, 0), axis=1)
+        last = np.full((longest + 1, n), -1, np.int32)  # the last token of a node's prefix
+        length = np.zeros((longest + 1, n), np.int8)  # and its bytes
+        for d in range(1, longest + 1):
+            waiting = np.flatnonzero((shared < d) & (sizes >= d))
+            for size in range(d, 0, -1):
+                if size not in self.tables or not len(waiting):
+                    continue
+                seen, known, ids = self.tables[size]
+                here = hashes[d, waiting] - hashes[d - size, waiting] * self.powers[size]
+                may = seen[here >> np.uint64(46)]
+                found, here = waiting[may], here[may]
+                at = np.minimum(np.searchsorted(known, here), len(known) - 1)
+                right = known[at] == here
+                found, token = found[right], ids[at[right]]
+                if size < d:
+                    whole = self._stay_whole(last[d - size, node[d - size, found]], token)
+                    found, token = found[whole], token[whole]
+                last[d, found] = token
+                length[d, found] = size
+                waiting = waiting[last[d, waiting] < 0]
+            if len(waiting):
+                raise ValueError("the vocabulary lacks a byte")
+        self._remember()
+        # Back from the ends of the words, token by token.
+        out = np.zeros((n, longest), np.int32)
+        left, column, active = sizes.copy(), longest, rows
+        counts = np.zeros(n, np.int64)
+        while len(active):
+            column -= 1
+            counts[active] += 1
+            at = node[left[active], active]
+            out[active, column] = last[left[active], at]
+            left[active] -= length[left[active], at]
+            active = active[left[active] > 0]
+        data = out.tobytes()
+        row = 4 * longest
+        return {
+            word: data[row * (i + 1) - 4 * c : row * (i + 1)] for i, (word, c) in enumerate(zip(words, counts.tolist(), strict=True))
+        }
+
+    def _encode_long(self, word: bytes) -> bytes:
+        tokens, longest, whole = self.vocabulary.tokens, self.vocabulary.longest, self.vocabulary.stay_whole
+        last, begin = array("i", [-1]), array("q", [0])
+        for depth, byte in enumerate(word, 1):
             for start in range(max(0, depth - longest[byte]), depth):
                 token = tokens.get(word[start:depth])
-                if token is None:
-                    continue
-                before = last[path[start]]
-                if before < 0:
-                    break
-                key = before << 32 | token
-                whole = pairs.get(key)
-                if whole is None:
-                    if len(pairs) > self.max_nodes:
-                        pairs.clear()
-                    whole = pairs[key] = self.vocabulary.stay_whole(before, token)
-                if whole:
+                if token is not None and (start == 0 or whole(last[start], token)):
                     break
             else:
                 raise ValueError("the vocabulary lacks a byte")
-            below = len(last)
-            child[node << 8 | byte] = below
             last.append(token)
-            begin.append(path[start])
-            node = below
-            path.append(node)
-        ids = []
-        while node:
-            ids.append(last[node])
-            node = begin[node]
-        return ids[::-1]
+            begin.append(start)
+        ids, at = [], len(word)
+        while at:
+            ids.append(last[at])
+            at = begin[at]
+        return np.array(ids[::-1], np.int32).tobytes()
 
 
 class Encoder:
-    """Texts to token ids; pieces between spaces are kept, words go through the trie."""
+    """Texts to token ids. Pieces between spaces and words are kept; new words go through the trie."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.trie = WordTrie(vocabulary)
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-
-    def _word(self, word: str) -> bytes:
-        ids = self.trie.insert(word.encode())
-        made = struct.pack(f"<{len(ids)}i", *ids)
-        if len(word) <= 64:
-            if len(self.words) > MAX_PIECES:
-                self.words.clear()
-            self.words[word] = made
-        return made
+        self.pieces: dict[str, bytes] = {}
+        self.words: dict[bytes, bytes] = {}
 
-    def _piece(self, piece: str) -> bytes:
-        if _SIMPLE.fullmatch(piece):
-            words, make = self.words, self._word
-            made = b"".join([words.get(w) or make(w) for w in _WORDS.findall(piece)])
-        else:
-            byte = self.vocabulary.to_byte.__getitem__
-            words = [bytes(map(byte, word)) for word, _ in self.vocabulary.words(piece)]
-            ids = [i for word in words for i in self.trie.insert(word)]
-            made = struct.pack(f"<{len(ids)}i", *ids)
-        if len(piece) <= 64:
-            if len(self.known) > MAX_PIECES:
-                self.known.clear()
-            self.known[piece] = made
-        return made
-
-    def _plain(self, text: str, out: list[bytes]) -> None:
+    def _split(self, text: str) -> list[str]:
+        """Pieces of a text without added tokens, whose encodings follow one another."""
         if _UNSAFE.search(text):
-            out.append(self._piece(text))
-            return
+            return [text]
         first, *rest = text.split(" ")
-        known, make = self.known, self._piece
-        if first:
-            out.append(known.get(first) or make(first))
-        out += [known.get(p) or make(p) for p in [" " + r for r in rest]]
-
-    def encode(self, text: str) -> bytes:
-        """The ids of ``text`` as 32-bit integers."""
-        out: list[bytes] = []
-        if self.vocabulary.added and any(a in text for a in self.vocabulary.added):
-            for number, part in enumerate(self.vocabulary.split_added.split(text)):
-                if number % 2:
-                    out.append(np.int32(self.vocabulary.added[part]).tobytes())
-                elif part:
-                    self._plain(part, out)
-        elif text:
-            self._plain(text, out)
-        return b"".join(out)
+        return ([first] if first else []) + [" " + r for r in rest]
+
+    def _words(self, piece: str) -> list[bytes]:
+        if _SIMPLE.fullmatch(piece):
+            return [w.encode() for w in _WORDS.findall(piece)]
+        byte = self.vocabulary.to_byte.__getitem__
+        return [bytes(map(byte, word)) for word, _ in self.vocabulary.words(piece)]
+
+    def _learn(self, pieces: Iterable[str]) -> None:
+        split = {p: self._words(p) for p in pieces}
+        if len(self.words) > MAX_PIECES:
+            self.words = {}
+        self.words.update(self.trie.encode({w for ws in split.values() for w in ws if w not in self.words}))
+        word = self.words.__getitem__
+        self.pieces.update({p: b"".join(map(word, ws)) for p, ws in split.items()})
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of every text, as 32-bit integers."""
+        added = self.vocabulary.added
+        cut: list[list] = []
+        for text in texts:
+            if any(a in text for a in added):
+                parts = self.vocabulary.split_added.split(text)
+                cut.append([p if n % 2 else self._split(p) for n, p in enumerate(parts) if p])
+            else:
+                cut.append([self._split(text)] if text else [])
+        if len(self.pieces) > MAX_PIECES:
+            self.pieces = {}
+        known = self.pieces
+        self._learn({p for parts in cut for part in parts if type(part) is list for p in part if p not in known})
+        piece = self.pieces.__getitem__
+        special = lambda token: np.int32(added[token]).tobytes()
+        return [
+            b"".join([b"".join(map(piece, part)) if type(part) is list else special(part) for part in parts])
+            for parts in cut
+        ]
 
 
 class Shared(NamedTuple):
@@ -268,47 +356,80 @@ def make_encoder(source: str) -> Encoder:
     return Encoder(Vocabulary(source))
 
 
-def encode_udf(shared: Shared) -> Callable[[Column], Column]:
-    """Texts to arrays of ids; a NULL text has none, as an empty one."""
+def _groups(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Cut rows into runs of about ``GROUP_BYTES``."""
+    low, held = 0, 0
+    for row, size in enumerate(sizes.tolist()):
+        held += size
+        if held >= GROUP_BYTES:
+            yield low, row + 1
+            low, held = row + 1, 0
+    if low < len(sizes):
+        yield low, len(sizes)
 
-    def encode(texts: pa.Array) -> pa.Array:
-        encoder = per_worker(shared, make_encoder)
-        parts = [encoder.encode(t.as_py() or "") for t in texts]
-        ends = np.cumsum([0, *[len(p) // 4 for p in parts]], dtype=np.int64)
-        if ends[-1] > np.iinfo(np.int32).max:
-            raise ValueError("a batch holds over 2^31 tokens; lower spark.sql.execution.arrow.maxRecordsPerBatch")
-        ids = pa.array(np.frombuffer(b"".join(parts), np.int32))
-        return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), ids)
 
-    return F.arrow_udf(encode, returnType="array<int>")
+def _map_rows(docs: DataFrame, column: str, added: list[tuple[str, T.DataType]], work: Callable) -> DataFrame:
+    """``docs`` with columns that ``work`` makes from one column, a few rows at a time, so that a task
+    never holds the results of a whole batch."""
+    names = {name.lower() for name, _ in added}
+    rest = [c for c in docs.columns if c.lower() not in names]
+    kept = [f for f in docs.schema.fields if f.name in rest]
+    made = T.StructType(kept + [T.StructField(n, t) for n, t in added])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column(batch.num_columns - 1)
+            sizes = pc.fill_null(pc.binary_length(values) if pa.types.is_string(values.type) else pc.list_value_length(values), 0)
+            for low, high in _groups(sizes.to_numpy(zero_copy_only=False)):
+                part = batch.slice(low, high - low)
+                columns = [part.column(i) for i in range(len(rest))]
+                yield pa.RecordBatch.from_arrays(columns + work(part.column(len(rest))), names=made.names)
+
+    given = docs.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{column}`").alias("_given"))
+    return given.mapInArrow(run, made)
 
 
-def decode_udf(shared: Shared) -> Callable[[Column], Column]:
-    """Arrays of ids to texts; bytes that are no UTF-8 become U+FFFD, NULL stays NULL."""
+def _id_lists(parts: list[bytes]) -> pa.Array:
+    ends = np.cumsum([0, *[len(p) // 4 for p in parts]], dtype=np.int64).astype(np.int32)
+    ids = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(parts))])
+    return pa.ListArray.from_arrays(pa.array(ends), ids)
 
-    def decode(lists: pa.Array) -> pa.Array:
-        bytes_of = per_worker(shared, make_encoder).vocabulary.bytes_of
-        return pa.array(
-            [
-                None if x is None else b"".join(map(bytes_of.__getitem__, x)).decode("utf-8", "replace")
-                for x in (row.as_py() for row in lists)
-            ],
-            pa.string(),
-        )
 
-    return F.arrow_udf(decode, returnType="string")
+def _decode(token: Callable[[int], bytes], ids: Iterable[int]) -> str:
+    return b"".join(map(token, ids)).decode("utf-8", "replace")
 
 
-def encode_texts(docs: DataFrame, path: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """``docs`` with the token ids of every whole text in ``out``.
+def encode_texts(docs: DataFrame, path: str, text: str = "text", out: str = "ids", decoded: str | None = None) -> DataFrame:
+    """``docs`` with the token ids of every whole text in ``out``, and on request their text in ``decoded``.
 
     The ids are those of the library for the same file with ``add_special_tokens=False``. NULL and
-    empty texts get an empty array. A column already called ``out`` is replaced; rows are kept as
-    they are, repeated ones too, and an empty table stays empty.
+    empty texts get an empty array. Columns already called so are replaced; rows are kept as they
+    are, repeated ones too, and an empty table stays empty.
     """
-    return docs.withColumn(out, encode_udf(load_vocabulary(docs.sparkSession, path))(F.col(text)))
+    shared = load_vocabulary(docs.sparkSession, path)
+
+    def encode(texts: pa.Array) -> list[pa.Array]:
+        encoder = per_worker(shared, make_encoder)
+        parts = encoder.encode([t or "" for t in texts.to_pylist()])
+        made = [_id_lists(parts)]
+        if decoded:
+            token = encoder.vocabulary.bytes_of.__getitem__
+            made.append(pa.array([_decode(token, np.frombuffer(p, np.int32).tolist()) for p in parts], pa.string()))
+        return made
+
+    added = [(out, T.ArrayType(T.IntegerType()))] + ([(decoded, T.StringType())] if decoded else [])
+    return _map_rows(docs, text, added, encode)
 
 
 def decode_ids(docs: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """``docs`` with the text of ``ids`` in ``out``, special tokens included; NULL ids give NULL."""
-    return docs.withColumn(out, decode_udf(load_vocabulary(docs.sparkSession, path))(F.col(ids)))
+    """``docs`` with the text of ``ids`` in ``out``, special tokens included; NULL ids give NULL.
+
+    Bytes that are no UTF-8 become U+FFFD.
+    """
+    shared = load_vocabulary(docs.sparkSession, path)
+
+    def decode(lists: pa.Array) -> list[pa.Array]:
+        token = per_worker(shared, make_encoder).vocabulary.bytes_of.__getitem__
+        return [pa.array([None if x is None else _decode(token, x) for x in lists.to_pylist()], pa.string())]
+
+    return _map_rows(docs, ids, [(out, T.StringType())], decode)
