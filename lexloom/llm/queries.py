@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, pii, quality, secrets, sharding, tokenfile, topk
+from . import bpe, jaccard, mixing, pii, quality, secrets, sharding, tokenfile, topk
 from .common import new_folder, read_table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -37,6 +37,10 @@ def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.read_documents(tokenfile.open_shards(spark, folder))
 
 
+def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(read_table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_records(read_table(spark, sf_dir, "documents"), [1.0] * 40, [1.0] * 41)
 
@@ -47,7 +51,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.decode_ids(bpe.encode_texts(docs, VOCABULARY), VOCABULARY)
+    coded = bpe.encode_texts(docs, VOCABULARY, decoded="decoded")
     return coded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
@@ -62,6 +66,7 @@ QUERIES = {
     "op3_mix": op3_mix,
     "op4_topk": op4_topk,
     "op5_tokens": op5_tokens,
+    "op6_jaccard": op6_jaccard,
     "op7_shard": op7_shard,
     "op9_pii": op9_pii,
     "op10_bpe": op10_bpe,
