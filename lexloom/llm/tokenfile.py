@@ -21,10 +21,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .bpe import load_vocabulary, per_worker
+from .bpe import Vocabulary, load_vocabulary, per_worker
 
 SHARD_TOKENS = 1 << 22
-MAX_PIECES = 1_000_000  # of a task's table of pieces between spaces, which then starts anew
+MAX_PIECES = 400_000  # of a task's table of pieces between spaces, about 200 bytes each
+RENEW = 20  # times as many pieces missed, before it starts anew
 BLOCK = 512  # bits between two stored counts
 SHARDS = (
     "part int, seq int, n_tokens bigint, doc_ids array<bigint>, doc_tokens array<bigint>, "
@@ -42,8 +43,10 @@ class WaveletMatrix:
     @classmethod
     def build(cls, tokens: np.ndarray, width: int = 16) -> WaveletMatrix:
         n, planes, ranks = len(tokens), [], []
-        a = tokens.astype(np.uint16 if width <= 16 else np.uint32, copy=False)
+        a = tokens
         for k in range(width - 1, -1, -1):
+            if k == 7:
+                a = a.astype(np.uint8)  # the planes above are done
             bit = ((a >> a.dtype.type(k)) & a.dtype.type(1)).astype(bool)
             plane = np.packbits(bit, bitorder="little")
             planes.append(plane)
@@ -128,9 +131,12 @@ class WaveletMatrix:
     def tokens(self) -> np.ndarray:
         """All tokens: the partings undone from the last plane to the first."""
         width = len(self.planes)
-        kind = np.uint16 if width <= 16 else np.uint32
+        kind = np.uint8
         a = np.zeros(self.n, kind)
         for level in range(width - 1, -1, -1):
+            if level == width - 9:
+                kind = np.uint16 if width <= 16 else np.uint32
+                a = a.astype(kind)
             bit = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
             out = np.empty(self.n, kind)
             zeros = self.zeros[level]
@@ -144,44 +150,86 @@ class PieceEncoder:
     """The library's encoding of whole texts, each distinct piece between spaces encoded once.
 
     A text is cut before spaces only where the file's splitting rule cuts as well: not where white
-    space touches a space from both sides, and not in texts with added tokens.
+    space touches a space from both sides, and not in texts with added tokens. New pieces reach the
+    library many at a time, strung together; the lengths of the tokens tell where each piece ends.
+    A full table of pieces stays as it is until the texts have changed so far that it rarely helps.
     """
 
     def __init__(self, source: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks already use every core
         from tokenizers import Tokenizer
 
-        spec = json.loads(source)
-        self.added = [a["content"] for a in spec["added_tokens"]]
-        splitter = spec["pre_tokenizer"] or {}
-        self.cuts = splitter.get("type") == "ByteLevel" and not splitter["add_prefix_space"] and not spec["normalizer"]
+        vocabulary = Vocabulary(source)
+        self.added = list(vocabulary.added)
+        splitter = json.loads(source)["pre_tokenizer"] or {}
+        self.cuts = splitter.get("type") == "ByteLevel" and splitter["use_regex"] and not splitter["add_prefix_space"]
         self.unsafe = re.compile(r"\s \s|\s \Z")
         self.library = Tokenizer.from_str(source)
-        self.kind = np.uint16 if self.library.get_vocab_size() <= 1 << 16 else np.uint32
-        self.known: dict[str, bytes] = {}
-
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        made = self.library.encode_batch_fast(pieces, add_special_tokens=False)
+        self.kind = np.uint16 if len(vocabulary.bytes_of) <= 1 << 16 else np.uint32
+        self.sizes = np.array(list(map(len, vocabulary.bytes_of)), np.int64)
+        self.marks = dict(zip(",.", self._whole([",", "."]), strict=True)) if self.cuts else {}
+        self.known: dict[str, bytes] = {}  # by the piece without its space
+        self.missed = 0
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        made = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, self.kind).tobytes() for e in made]
 
+    def _learn(self, pieces: set[str], odd: list[str]) -> dict[str, bytes]:
+        """Ids of pieces with a space before each. A comma or full stop after letters is a word of its own."""
+        stems = {p: p[:-1] for p in pieces if p[-1] in self.marks and p[:-1].isalpha()}
+        made = dict(zip(odd, self._whole([" " + p for p in odd]), strict=True))
+        plain = [p for p in {stems.get(p, p) for p in pieces} if p not in self.known]
+        groups = [plain[i : i + 256] for i in range(0, len(plain), 256)]
+        width = np.dtype(self.kind).itemsize
+        strung = self._whole([" " + " ".join(g) for g in groups])
+        for group, data in zip(groups, strung, strict=True):
+            ends = np.cumsum(self.sizes[np.frombuffer(data, self.kind)])
+            borders = np.cumsum([len(p.encode()) + 1 for p in group])
+            at = [0, *((np.searchsorted(ends, borders) + 1) * width).tolist()]
+            made.update(zip(group, [data[i:j] for i, j in zip(at[:-1], at[1:], strict=True)], strict=True))
+        for piece, stem in stems.items():
+            made[piece] = (made.get(stem) or self.known[stem]) + self.marks[piece[-1]]
+        return made
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut: list[list[str] | None] = []
+        """The ids of every text, as numbers of ``kind``."""
+        out: list[bytes] = [b""] * len(texts)
+        whole: list[tuple[int, str]] = []
+        cut: list[tuple[int, list[str], list]] = []
         new: set[str] = set()
-        known = self.known
-        if len(known) > MAX_PIECES:
-            known.clear()
-        for text in texts:
-            if not self.cuts or self.unsafe.search(text) or any(a in text for a in self.added):
-                cut.append(None)
+        odd: set[str] = set()  # pieces with white space at an end, which are not kept
+        get = self.known.get
+        for n, text in enumerate(texts):
+            if not self.cuts or any(a in text for a in self.added):
+                whole.append((n, text))
                 continue
             first, *rest = text.split(" ")
-            pieces = [first, *[" " + r for r in rest]]
-            new.update([p for p in pieces if p not in known])
-            cut.append(pieces)
-        fresh = list(new)
-        known.update(zip(fresh, self._encode(fresh), strict=True))
-        get = known.__getitem__
-        return [self._encode([t])[0] if p is None else b"".join(map(get, p)) for t, p in zip(texts, cut, strict=True)]
+            found = list(map(get, rest))
+            if None in found:
+                missing = {p for p, x in zip(rest, found, strict=True) if x is None}
+                here = {p for p in missing if not p or p[0].isspace() or p[-1].isspace()}
+                if here and self.unsafe.search(text):
+                    whole.append((n, text))
+                    continue
+                new |= missing - here
+                odd |= here
+            whole.append((n, first))
+            cut.append((n, rest, found))
+        made = self._learn(new, list(odd))
+        for (n, _), ids in zip(whole, self._whole([t for _, t in whole]), strict=True):
+            out[n] = ids
+        for n, rest, found in cut:
+            if None in found:
+                found = [made[p] if x is None else x for p, x in zip(rest, found, strict=True)]
+            out[n] += b"".join(found)
+        if len(self.known) < MAX_PIECES:
+            self.known.update((p, made[p]) for p in made.keys() - odd)
+        else:
+            self.missed += len(made)
+            if self.missed > RENEW * MAX_PIECES:
+                self.known, self.missed = {}, 0
+        return out
 
 
 def _shard_row(part: int, seq: int, ids: list, parts: list[bytes], kind, end_id: int) -> pa.RecordBatch:
