@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, mixing, pii, quality, secrets, sharding, tokenfile, topk
+from . import bpe, jaccard, linededup, mixing, pii, quality, secrets, sharding, tokenfile, topk
 from .common import new_folder, read_table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -45,6 +45,12 @@ def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_records(read_table(spark, sf_dir, "documents"), [1.0] * 40, [1.0] * 41)
 
 
+def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = linededup.dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    bounds = F.array_join(F.col("deleted").cast("array<string>"), ",").alias("deleted")
+    return cut.select("doc_id", "n_lines", bounds, F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find_pii(read_table(spark, sf_dir, "documents")))
 
@@ -68,6 +74,7 @@ QUERIES = {
     "op5_tokens": op5_tokens,
     "op6_jaccard": op6_jaccard,
     "op7_shard": op7_shard,
+    "op8_lines": op8_lines,
     "op9_pii": op9_pii,
     "op10_bpe": op10_bpe,
 }

@@ -66,3 +66,36 @@ def pii_base(text):
     names = ("email", "ip", "card", "phone")
     text = ",".join(f"{names[k]}:{a}:{b}" for k, a, b in sorted(found))
     return [sum(f[0] == k for f in found) for k in range(4)], sha(text), text
+
+
+def dedup_lines(docs, min_words):
+    """{doc_id: (kept text, deleted places)}: every earlier start is compared with every later one."""
+    flat, starts = [], {}
+    texts = dict(docs)
+    for doc in sorted(texts):
+        counted = [(i, line) for i, line in enumerate(texts[doc].split("\n")) if words(line)]
+        for place, (i, line) in enumerate(counted):
+            starts.setdefault(line, []).append(len(flat))
+            flat.append((doc, place, i, line))
+        flat.append((doc, -1, -1, None))
+    gone = {doc: set() for doc in texts}
+    for at, (doc, place, _, line) in enumerate(flat):
+        if line is None:
+            continue
+        for before in starts[line]:
+            if before >= at:
+                break
+            n = count = 0
+            while flat[at + n][3] is not None and flat[at + n][3] == flat[before + n][3]:
+                count += len(words(flat[at + n][3]))
+                n += 1
+            if count >= min_words:
+                gone[doc].update(range(place, place + n))
+    out = {}
+    for doc, text in texts.items():
+        lines = text.split("\n")
+        counted = [i for i, line in enumerate(lines) if words(line)]
+        away = {counted[p] for p in gone[doc]}
+        kept = "\n".join(line for i, line in enumerate(lines) if i not in away)
+        out[doc] = ("" if counted and len(away) == len(counted) else kept, sorted(gone[doc]))
+    return out
