@@ -329,7 +329,7 @@ def _crossing(shared: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 def similar_documents(
     docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id.
+    """One row per row of ``docs``: doc_id, text_hash, n_shingles, component, component_id.
 
     Two rows are linked when ``100 * intersection >= percent * union`` of their sets of ``words``-word
     shingles; ``component_id`` is the smallest key that links reach, the row's own included. NULL
@@ -372,14 +372,34 @@ def similar_documents(
 
     named = classes.select("cid", "n", "c1", "c2", "least_id").join(placed, "cid")
     ids = named.groupBy("comp").agg(F.min("least_id").alias("component_id"))
-    named = named.join(ids, "comp").select("n", "c1", "c2", "component_id")
-    return rows.select("doc_id", "n", "c1", "c2").join(named, ["n", "c1", "c2"], "left").select(
+    named = named.join(ids, "comp").select("n", "c1", "c2", F.col("comp").alias("component"), "component_id")
+    return rows.select("doc_id", "text_hash", "n", "c1", "c2").join(named, ["n", "c1", "c2"], "left").select(
         "doc_id",
+        "text_hash",
         F.col("n").alias("n_shingles"),
+        "component",
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
 
+def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one document of each component of :func:`similar_documents`: that of the smallest key.
+
+    Among rows that share it, the smallest hash of the text stays; rows equal in key and text are one
+    document. A NULL key stays only where its component has no other. Texts without words stay.
+    """
+    found = stored(similar_documents(docs, words, percent, key, text).filter("component is not null"), "components")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    best = found.groupBy("component").agg(F.min(order).alias("best"))
+    gone = found.join(best, "component").filter(
+        ~(F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash")))
+    )
+    gone = gone.select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_gone_hash")).distinct()
+    gone = stored(gone, "near-copies")
+    same = F.col(f"`{key}`").cast("bigint").eqNullSafe(F.col("_gone")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_gone_hash"))
+    return docs.join(gone, same, "left_anti")
+
+
 def _placed(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Members with their component: the label of their class, or the class alone."""
     labels = labels.withColumnRenamed("node", "cid")

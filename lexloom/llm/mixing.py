@@ -168,3 +168,57 @@ def mix(
         F.col("rounds").cast("bigint").alias("rounds"),
         "head_from", "head_to", "tail_from", "tail_to", taken.cast("bigint").alias("taken"),
     )
+
+
+def mixed_documents(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", **parameters
+) -> DataFrame:
+    """The mix itself: ``docs`` with a row for every whole copy that :func:`mix` takes, and for every passage.
+
+    Passages are the words taken from a document at the end of a run, with the white space between
+    them; a passage that holds all words is a whole copy. Columns are those of ``docs``, a column
+    ``n_chars`` is counted anew. Documents that are not taken are left out; rows that are equal in
+    key, source and text each bring their own copies.
+    """
+    plan = mix(docs, key=key, text=text, source=source, **parameters).filter("taken > 0")
+    names = {"doc_id": "_id", "source": "_source", "text_hash": "_hash"}
+    plan = plan.select(*[F.col(c).alias(n) for c, n in names.items()], "size", "rounds", "head_to", "tail_from", "tail_to")
+    plan = _numbered(stored(plan, "mix-plan"))
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+        F.col(f"`{key}`").alias("_id"),
+        F.col(f"`{source}`").cast("string").alias("_source"),
+        F.md5(F.col(f"`{text}`").cast("binary")).alias("_hash"),
+    )
+    rows = _numbered(rows)
+    joined = rows.join(plan.drop("_id", "_source", "_hash"), ["_name", "_name2", "_copy"])
+    words = F.regexp_extract_all(F.col("_row").getField(text), F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
+    passage = lambda low, high: F.rtrim(F.array_join(F.slice(words, low.cast("int") + 1, (high - low).cast("int")), ""))
+    whole = F.col("_row").getField(text)
+    zero = F.lit(0)
+    all_words = (F.col("head_to") >= F.col("tail_from")) & (F.greatest("head_to", "tail_to") >= F.col("size"))
+    parts = F.when(all_words, F.array(whole)).otherwise(
+        F.concat(
+            F.when(F.col("head_to") > 0, F.array(passage(zero, F.col("head_to")))).otherwise(F.array().cast("array<string>")),
+            F.when(F.col("tail_to") > F.col("tail_from"), F.array(passage(F.col("tail_from"), F.col("tail_to")))).otherwise(
+                F.array().cast("array<string>")
+            ),
+        )
+    )
+    texts = F.concat(F.array_repeat(whole, F.col("rounds").cast("int")), parts)
+    taken = joined.select("_row", F.explode(texts).alias("_taken"))
+
+    def column(c: str) -> Column:
+        if c == text:
+            return F.col("_taken").alias(c)
+        value = F.length("_taken").cast(docs.schema[c].dataType) if c == "n_chars" else F.col("_row").getField(c)
+        return value.alias(c)
+
+    return taken.select(*[column(c) for c in docs.columns])
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """Name rows by two hashes of key, source and text, and number those with equal names."""
+    parts = ["_id", "_source", "_hash"]
+    rows = rows.withColumn("_name", F.xxhash64(*parts)).withColumn("_name2", F.xxhash64(F.lit(1), *parts))
+    return rows.withColumn("_copy", F.row_number().over(Window.partitionBy("_name", "_name2").orderBy("_name")))

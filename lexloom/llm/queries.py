@@ -38,7 +38,8 @@ def op5_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.similar_documents(read_table(spark, sf_dir, "documents"), words=4, percent=85)
+    found = jaccard.similar_documents(read_table(spark, sf_dir, "documents"), words=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
