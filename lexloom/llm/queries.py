@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, jaccard, linededup, mixing, pii, quality, secrets, sharding, tokenfile, topk
 from .common import new_folder, read_table
+from .oracles import ORACLES
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
@@ -80,4 +81,4 @@ QUERIES = {
     "op10_bpe": op10_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
