@@ -264,7 +264,6 @@ def _scan(texts: pa.Array) -> pa.Array:
 
 
 _SPANS = "array<struct<kind: bigint, start: bigint, end: bigint, code: bigint>>"
-scan_udf = F.arrow_udf(_scan, returnType=f"struct<base: {_SPANS}, more: {_SPANS}>")
 
 
 def find_pii(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -275,7 +274,8 @@ def find_pii(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold
     ends exclusive. NULL texts count as empty; NULL and repeated keys are rows like any other; other
     columns are ignored. Without any candidate nothing is added.
     """
-    rows = docs.select(F.col(key).alias("doc_id"), scan_udf(F.col(text)).alias("found"))
+    scan = F.arrow_udf(_scan, returnType=f"struct<base: {_SPANS}, more: {_SPANS}>")
+    rows = docs.select(F.col(key).alias("doc_id"), scan(F.col(text)).alias("found"))
     rows = stored(rows.select("doc_id", "found.base", "found.more"), "pii-spans")
     every = rows.select(F.explode(F.transform(F.concat("base", "more"), lambda s: s["code"])).alias("code"))
     patterns = every.groupBy("code").count().collect()  # bounded: one row per pattern

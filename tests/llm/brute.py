@@ -99,3 +99,58 @@ def dedup_lines(docs, min_words):
         kept = "\n".join(line for i, line in enumerate(lines) if i not in away)
         out[doc] = ("" if counted and len(away) == len(counted) else kept, sorted(gone[doc]))
     return out
+
+
+def shingle_set(text, n):
+    table = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    w = words((text or "").translate(table))
+    if len(w) < n:
+        return {tuple(w)} if w else set()
+    return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
+
+
+def components(rows, n, percent):
+    """[(number of shingles, component id)] of (doc_id, text) rows; every pair is compared."""
+    sets = [shingle_set(text, n) for _, text in rows]
+    label = list(range(len(rows)))
+
+    def find(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both, either = len(sets[i] & sets[j]), len(sets[i] | sets[j])
+            if sets[i] and sets[j] and 100 * both >= percent * either:
+                label[find(i)] = find(j)
+    least = {}
+    for i, (doc, _) in enumerate(rows):
+        if doc is not None:
+            least[find(i)] = min(least.get(find(i), doc), doc)
+    return [(len(sets[i]), least.get(find(i)) if sets[i] else doc) for i, (doc, _) in enumerate(rows)]
+
+
+def sainte_lague(votes, seats):
+    """Seats one by one to the highest quotient, ties to the smaller place."""
+    won = [0] * len(votes)
+    for _ in range(seats):
+        best = max(range(len(votes)), key=lambda i: (votes[i] / (2 * won[i] + 1), -i))
+        won[best] += 1
+    return won
+
+
+def poured(sizes, weights, share, limit):
+    """Targets: pour by weight, cap, and pour the excess again."""
+    total, caps = share * sum(sizes), [limit * s for s in sizes]
+    full = [False] * len(sizes)
+    while True:
+        free = sum(w for w, f in zip(weights, full) if not f)
+        left = total - sum(c for c, f in zip(caps, full) if f)
+        target = [c if f else w * left / free for c, w, f in zip(caps, weights, full)]
+        over = [not f and t > c for f, t, c in zip(full, target, caps)]
+        if not any(over):
+            return target
+        full = [f or o for f, o in zip(full, over)]
+        if all(full):
+            return caps
