@@ -633,6 +633,13 @@ def p03_sentence_pairs(spark, folder):
     return pairs.select("doc_id", "seg", joined("a").alias("a"), joined("b").alias("b"), F.col("is_random_next").cast("int").alias("is_random_next"))
 
 
+@query
+def p03_own_tokens(spark, folder):
+    """Tokens of every document that its own records hold: each one once."""
+    own = F.size("a") + F.when(F.col("is_random_next"), 0).otherwise(F.size("b"))
+    return pretrain.nsp_pairs(framed(spark, folder)).groupBy("doc_id").agg(F.sum(own).alias("n_tokens"))
+
+
 def masked_records(spark, folder):
     records = pretrain.duplicate(pretrain.with_markers(pretrain.nsp_pairs(framed(spark, folder))), 5)
     words = vocab.word_ids(vocab.token_counts(framed(spark, folder)))

@@ -99,11 +99,9 @@ PARTS = {
         "SELECT doc_id, sent_no, tokens, len(tokens) AS n_tokens, CAST(coalesce(sum(len(tokens)) OVER "
         "(PARTITION BY doc_id ORDER BY sent_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before FROM sized"
     ),
-    "segmented": "SELECT *, before // 125 AS seg FROM placed",
-    "framed_tok": exploded("segmented", "doc_id, sent_no, seg, before", "tokens", "token", "k"),
-    "packed": (
-        "SELECT doc_id, seg, list_slice(list(token ORDER BY sent_no, k), 1, 125) AS tokens FROM framed_tok GROUP BY doc_id, seg"
-    ),
+    "framed_tok": exploded("placed", "doc_id, sent_no, before", "tokens", "token", "k"),
+    "segmented": "SELECT doc_id, sent_no, (before + k) // 125 AS seg, count(*) AS n_tokens FROM framed_tok GROUP BY ALL",
+    "packed": "SELECT doc_id, (before + k) // 125 AS seg, list(token ORDER BY sent_no, k) AS tokens FROM framed_tok GROUP BY doc_id, (before + k) // 125",
     "train": f"SELECT * FROM embeddings WHERE {hash32('7', 'vec_id')} % 1000 >= 200",
     "test": f"SELECT * FROM embeddings WHERE {hash32('7', 'vec_id')} % 1000 < 200",
     "sims": (
@@ -121,7 +119,7 @@ NEEDS = {
     "line_tokens": ["lines"], "tok": ["line_tokens"], "counts": ["tok"], "doc_tok": ["doc_tokens"], "doc_counts": ["doc_tok"],
     "vocab": ["counts"], "prefixes": ["counts"], "cohesion": ["prefixes"], "entropy": ["prefixes"], "scores": ["cohesion", "entropy"],
     "lexicon": ["doc_counts"], "heads": ["counts", "lexicon"], "tagged": ["tok", "heads", "lexicon"],
-    "sized": ["sentences"], "placed": ["sized"], "segmented": ["placed"], "framed_tok": ["segmented"], "packed": ["framed_tok"],
+    "sized": ["sentences"], "placed": ["sized"], "framed_tok": ["placed"], "segmented": ["framed_tok"], "packed": ["framed_tok"],
     "sims": ["train", "test"], "nearest": ["sims"], "word_vecs": ["doc_counts"],
 }
 
@@ -532,25 +530,31 @@ ORACLES["p02_turn_segments"] = f"""SELECT conv_id, turn, n_tokens, CAST(coalesce
     (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) // 125 AS seg
     FROM (SELECT conv_id, turn, CAST(len({words_of('text')}) AS BIGINT) AS n_tokens FROM conversations)"""
 ORACLES["p02_packed"] = sql("packed", "SELECT doc_id, seg, array_to_string(tokens, ' ') AS tokens FROM packed")
-h = lambda what: hash32("7", f"'{what}'", "doc_id", "seg")
+# One row of a document's walk: where it starts (t), and what the hashes choose there.
+STEP = f"""SELECT doc_id, n, r, t, stop, CASE WHEN rnd THEN least(al, 63) ELSE al END AS al, rnd FROM (
+      SELECT *, own[CASE WHEN len(own) > 1 THEN 1 + {hash32("7", "'end'", "doc_id", "r")} % (len(own) - 1) ELSE 1 END] AS al,
+        len(own) = 1 OR {hash32("7", "'side'", "doc_id", "r")} % 2 = 0 AS rnd FROM (
+        SELECT w.doc_id, w.r, w.t, n, least(w.t + 125, n) AS stop,
+          list_append(list_transform(list_filter(e, lambda x: x > w.t AND x < least(w.t + 125, n)), lambda x: x - w.t), least(w.t + 125, n) - w.t) AS own
+        FROM {{walk}} w JOIN doc_ends d ON d.doc_id = w.doc_id))"""
 PAIR_PARTS = {
     "ordered": "SELECT doc_id, seg, tokens, row_number() OVER (ORDER BY doc_id, seg) - 1 AS o FROM packed",
-    "sents": "SELECT doc_id, seg, list(least(before + n_tokens - first, 125) ORDER BY sent_no) AS ends FROM (SELECT *, min(before) OVER (PARTITION BY doc_id, seg) AS first FROM segmented) GROUP BY doc_id, seg",
     "per_doc": "SELECT doc_id, count(*) AS n, min(o) AS first FROM ordered GROUP BY doc_id",
-    "drawn": f"""SELECT p.doc_id, p.seg, tokens, ends, len(ends) AS m, n, first,
-      CASE WHEN len(ends) > 1 THEN 1 + {hash32("7", "'end'", "p.doc_id", "p.seg")} % greatest(len(ends) - 1, 1) ELSE 1 END AS ae,
-      len(ends) = 1 OR {hash32("7", "'side'", "p.doc_id", "p.seg")} % 2 = 0 AS rnd,
-      {hash32("7", "'partner'", "p.doc_id", "p.seg")} % ((SELECT count(*) FROM packed) - n) AS skip
-      FROM ordered p JOIN sents s ON s.doc_id = p.doc_id AND s.seg = p.seg JOIN per_doc c ON c.doc_id = p.doc_id""",
-    "pair": """SELECT d.doc_id, d.seg, rnd, list_slice(d.tokens, 1, ends[ae]) AS a,
-      CASE WHEN rnd THEN q.tokens ELSE list_slice(d.tokens, ends[ae] + 1, len(d.tokens)) END AS b
-      FROM drawn d LEFT JOIN ordered q ON q.o = CASE WHEN skip >= first THEN skip + n ELSE skip END""",
-    "cut_pair": """SELECT doc_id, seg, rnd, list_slice(a, 1, least(len(a), greatest(63, 125 - len(b)))) AS a,
-      list_slice(b, 1, least(len(b), greatest(62, 125 - len(a)))) AS b FROM pair""",
+    "doc_ends": "SELECT doc_id, list(before + n_tokens ORDER BY sent_no) AS e, max(before + n_tokens) AS n FROM placed WHERE n_tokens > 0 GROUP BY doc_id",
+    "streams": "SELECT doc_id, list(token ORDER BY sent_no, k) AS s FROM framed_tok GROUP BY doc_id",
+    "walk(doc_id, r, t)": f"""SELECT doc_id, CAST(0 AS BIGINT), CAST(0 AS BIGINT) FROM doc_ends UNION ALL
+      SELECT doc_id, r + 1, CASE WHEN rnd THEN t + al ELSE stop END FROM ({STEP.format(walk="walk")}) WHERE CASE WHEN rnd THEN t + al ELSE stop END < n""",
+    "drawn": f"""SELECT x.doc_id, x.r AS seg, t, al, stop, rnd, c.n, first,
+      {hash32("7", "'partner'", "x.doc_id", "x.r")} % ((SELECT count(*) FROM packed) - c.n) AS skip
+      FROM ({STEP.format(walk="walk")}) x JOIN per_doc c ON c.doc_id = x.doc_id""",
+    "cut_pair": """SELECT d.doc_id, d.seg, rnd, list_slice(s, t + 1, t + al) AS a,
+      CASE WHEN rnd THEN list_slice(q.tokens, 1, 125 - al) ELSE list_slice(s, t + al + 1, stop) END AS b
+      FROM drawn d JOIN streams USING (doc_id) LEFT JOIN ordered q ON q.o = CASE WHEN skip >= first THEN skip + n ELSE skip END""",
 }
 ORACLES["p03_sentence_pairs"] = sql(
-    "packed segmented",
+    "packed",
     "SELECT doc_id, seg, array_to_string(a, ' ') AS a, array_to_string(b, ' ') AS b, CAST(rnd AS INTEGER) AS is_random_next FROM cut_pair",
+    recursive=True,
     **PAIR_PARTS,
 )
 
@@ -582,8 +586,9 @@ ORACLES["p05_copies"] = sql(
 )
 
 
+ORACLES["p03_own_tokens"] = sql("framed_tok", "SELECT doc_id, count(*) AS n_tokens FROM framed_tok GROUP BY doc_id")
 ORACLES["p05_training_records"] = sql(
-    "packed segmented",
+    "packed",
     """SELECT c.doc_id, c.seg, CAST(c.copy AS BIGINT) AS copy,
       string_agg(CASE WHEN NOT masked OR how = 8 THEN c.token WHEN how < 8 THEN '[MASK]' ELSE v.token END, ' ' ORDER BY pos) AS tokens,
       string_agg(CASE WHEN pos < len(a) + 2 THEN '0' ELSE '1' END, ' ' ORDER BY pos) AS segment_ids,
@@ -591,6 +596,7 @@ ORACLES["p05_training_records"] = sql(
       string_agg(c.token, ' ' ORDER BY pos) FILTER (masked) AS labels, CAST(any_value(rnd) AS INTEGER) AS is_random_next
     FROM drawn_words c LEFT JOIN words v ON v.id = c.word_id JOIN cut_pair p ON p.doc_id = c.doc_id AND p.seg = c.seg
     GROUP BY c.doc_id, c.seg, c.copy""",
+    recursive=True,
     **PAIR_PARTS,
     records="SELECT doc_id, seg, flatten([['[CLS]'], a, ['[SEP]'], b, ['[SEP]']]) AS tokens FROM cut_pair",
     **masks("[1, 2, 3, 4, 5]", "records"),
