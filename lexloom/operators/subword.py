@@ -9,6 +9,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Callable, Iterator, Sequence
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -31,8 +32,8 @@ BERT_SPECIALS = ("[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]")
 CONTROL_SYMBOLS = ("<cls>", "<sep>", "<pad>", "<mask>", "<eod>")
 USER_SYMBOLS = ("<eop>", ".", "(", ")", '"', "-", "–", "£", "€")
 
-_OPEN, _CLOSE, _RARE = "\x01", "\x02", "\x03"  # one symbol is written OPEN text CLOSE
-TOP_PAIRS = 512  # most frequent pairs the driver looks at in one round
+_OPEN, _CLOSE, _RARE, _NEXT = "\x01", "\x02", "\x03", "\x04"  # one symbol is written OPEN text CLOSE
+TOP_PAIRS = 512  # most frequent pairs the driver sees in one round; the rest wait for the next one
 MERGES_PER_CUT = 48
 MICRO = 1_000_000  # expected counts are summed as whole millionths
 
@@ -52,32 +53,25 @@ def _adjacent(symbols: Column) -> Column:
     return F.filter(pairs, lambda p: (p["a"] != _RARE) & (p["b"] != _RARE))
 
 
-def _independent(ranked: list, known: set, exact: bool, batch: int) -> list:
-    """Leading pairs that can be merged in one round.
+def _independent(ranked: list, known: set, most: int) -> list:
+    """Leading pairs that one-at-a-time merging would choose next, in this order.
 
-    Exact: stop at the first pair that shares a symbol with an accepted one and give back accepted
-    pairs whose count only equals that pair's. A pair made by the merges cannot be more frequent
-    than the pair we stopped at, so one-at-a-time merging would choose the same pairs in the same
-    order. A pair of equal symbols, or one whose text is a piece already, ends the round.
-    Otherwise: skip such pairs and go on down to half the top count, which may order merges
-    differently.
+    The round ends at the first pair that shares a symbol with an accepted one, after a pair of
+    equal symbols or one whose text is a piece already, at ``most`` pairs, or at the end of a cut
+    list. A pair made by the accepted merges is at most as frequent as the pair the round ended at,
+    so accepted pairs of that very count are given back: a new pair may come before them. The first
+    pair is always right.
     """
     chosen, used, made = [], set(), set(known)
-    full = len(ranked) == TOP_PAIRS
-    stop = ranked[-1].n if exact and full else None
+    stop = ranked[-1].n if len(ranked) == TOP_PAIRS else None
     for row in ranked:
-        if len(chosen) == batch or (not exact and row.n * 2 < ranked[0].n):
-            stop = None
+        if len(chosen) == most or row.a in used or row.b in used:
+            stop = row.n
             break
-        if row.a in used or row.b in used:
-            if exact:
-                stop = row.n
-                break
-            continue
         chosen.append(row)
         used.update((row.a, row.b))
-        if exact and (row.a == row.b or row.a + row.b in made):
-            stop = None
+        if row.a == row.b or row.a + row.b in made:
+            stop = row.n
             break
         made.add(row.a + row.b)
     while stop is not None and len(chosen) > 1 and chosen[-1].n == stop:
@@ -93,7 +87,7 @@ def _merged(symbols: DataFrame, pending: list[str]) -> DataFrame:
     """Apply merges in order. The list is one constant, so every round compiles to the same code."""
     if not pending:
         return symbols
-    pairs = F.split(F.lit("\x04".join(pending)), "\x04")
+    pairs = F.split(F.lit(_NEXT.join(pending)), _NEXT)
     joint = F.lit(_CLOSE + _OPEN)
     merge = lambda sym, pair: F.replace(sym, pair, F.replace(pair, joint, F.lit("")))
     return symbols.withColumn("sym", F.aggregate(pairs, F.col("sym"), merge))
@@ -104,16 +98,15 @@ def bpe_train(
     vocab_size: int = 32000,
     coverage: float = 0.9995,
     col: str = "line",
-    exact: bool = True,
-    batch: int = 64,
 ) -> DataFrame:
     """Byte-pair vocabulary (id, piece, score): meta pieces, merges in order, then characters.
 
-    The most frequent pair is merged first, ties by the smaller (left, right). Rounds merge every
-    pair that provably comes next (``exact``) or up to ``batch`` pairs without a shared symbol.
+    The most frequent pair is merged first, ties by the smaller (left, right), as if one at a time;
+    a round merges every pair that provably comes next. The control characters U+0001 to U+0004 are
+    dropped from the text.
     """
     spark = df.sparkSession
-    lines = df.select(tx.strip_line(col).alias(col))
+    lines = df.select(F.translate(tx.strip_line(col), _OPEN + _CLOSE + _RARE + _NEXT, "").alias(col))
     words = token_counts(lines.select(tx.split_tokens(col).alias("t")), "t")
     words = cut_lineage(words.select(_marked(F.col("word")).alias("word"), "cnt"))
     weighted = unnest(words, ["cnt"], F.split("word", ""), "ch").groupBy("ch").agg(F.sum("cnt").alias("cnt"))
@@ -137,7 +130,7 @@ def bpe_train(
             .limit(TOP_PAIRS)
             .collect()
         )
-        chosen = _independent(ranked, known, exact, min(TOP_PAIRS if exact else batch, wanted - len(merged)))
+        chosen = _independent(ranked, known, wanted - len(merged))
         if not chosen:
             break
         for row in chosen:
@@ -174,9 +167,9 @@ def to_bert_vocab(pieces: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- greedy segmentation
 
 
-def greedy_pieces(word: str, vocab: set, longest: int, max_chars: int) -> list[str]:
+def greedy_pieces(word: str, vocab: set, longest: int, max_chars: int | None = None) -> list[str]:
     """Longest vocabulary piece first, ``##`` on continuations; ``[UNK]`` when a part has none."""
-    if len(word) > max_chars:
+    if max_chars is not None and len(word) > max_chars:
         return ["[UNK]"]
     pieces, at = [], 0
     while at < len(word):
@@ -195,7 +188,7 @@ def wordpiece_words(
     vocab: DataFrame,
     col: str = "words",
     out: str = "tokens",
-    max_chars: int = 200,
+    max_chars: int | None = None,
     line_keys: Sequence[str] = LINE_KEYS,
     nested: str | None = None,
 ) -> DataFrame:
@@ -215,10 +208,10 @@ def wordpiece_words(
     return made.withColumnRenamed("_pieces", nested) if nested else made.drop("_pieces")
 
 
-def _greedy_table(words: DataFrame, tokens: DataFrame, max_chars: int) -> DataFrame:
+def _greedy_table(words: DataFrame, tokens: DataFrame, max_chars: int | None) -> DataFrame:
     """(word, pieces) by joins: the longest piece at every start, then a walk over the starts."""
     longest = tokens.agg(F.max(F.length("token"))).first()[0] or 1
-    short = words.filter(F.length("word") <= max_chars)
+    short = words if max_chars is None else words.filter(F.length("word") <= max_chars)
     subs = _substrings(short, longest).withColumn(
         "token", F.when(F.col("start") == 1, F.col("sub")).otherwise(F.concat(F.lit("##"), F.col("sub")))
     )
@@ -249,7 +242,7 @@ def wordpiece(
     vocab: DataFrame,
     col: str = "line",
     out: str = "tokens",
-    max_chars: int = 200,
+    max_chars: int | None = None,
     line_keys: Sequence[str] = LINE_KEYS,
 ) -> DataFrame:
     """Clean a line, cut it into words and punctuation, then into vocabulary pieces (token)."""
@@ -329,9 +322,10 @@ def _expected_counts(words: DataFrame, scores: dict[str, float], longest: int) -
             for word, cnt in zip(batch["word"], batch["cnt"]):
                 for piece, share in expected_pieces(word, _lattice(word, table, longest, unknown)).items():
                     sums[piece] = sums.get(piece, 0) + round(share * MICRO) * int(cnt)
-            yield pd.DataFrame({"piece": list(sums.keys()), "n": pd.Series(list(sums.values()), dtype="int64")})
+            yield pd.DataFrame({"piece": list(sums.keys()), "n": [Decimal(n) for n in sums.values()]})
 
-    return words.mapInPandas(e_step, "piece string, n bigint").groupBy("piece").agg(F.sum("n").alias("n"))
+    made = words.mapInPandas(e_step, "piece string, n decimal(38,0)").groupBy("piece")
+    return made.agg(F.sum("n").cast("decimal(38,0)").alias("n"))
 
 
 def user_symbol_pattern(symbols: Sequence[str] = USER_SYMBOLS) -> str:
@@ -360,7 +354,7 @@ def unigram_train(
     raw = token_counts(tokens, "t").select(_marked(F.col("word")).alias("word"), "cnt")
     parts = unnest(raw, ["cnt"], F.split("word", user_symbol_pattern(user)), "part").filter("part <> ''")
     parts = parts.withColumnRenamed("part", "word")
-    words = cut_lineage(spread(parts.groupBy("word").agg(F.sum("cnt").alias("cnt"))))
+    words = spread(cut_lineage(parts.groupBy("word").agg(F.sum("cnt").alias("cnt"))))
     chars = unnest(words, ["cnt"], F.split("word", ""), "ch").groupBy("ch").agg(F.sum("cnt").alias("cnt"))
     alphabet = {r.ch: r.cnt for r in covered_characters(chars, coverage).collect()}  # at most one row per Unicode character
     seeds = (
@@ -378,7 +372,7 @@ def unigram_train(
         for _ in range(2):
             total = math.log(sum(counts.values()))
             scores = {p: math.log(n) - total for p, n in counts.items()}
-            found = {r.piece: r.n for r in _expected_counts(words, scores, longest).filter("n > 0").collect() if r.piece in scores}
+            found = {r.piece: int(r.n) for r in _expected_counts(words, scores, longest).filter("n > 0").collect() if r.piece in scores}
             counts = {p: found.get(p, 1) for p in scores if p in found or p in alphabet}
         if len(counts) <= wanted:
             break

@@ -6,7 +6,6 @@ back to the lines.
 
 from __future__ import annotations
 
-import importlib
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
@@ -23,7 +22,7 @@ LINE_KEYS = ("doc_id", "line_no")
 UNKNOWN_TAG = "UNK"
 
 _REGISTRY: dict[str, Callable[[DataFrame, str, str, bool], DataFrame]] = {}
-DEFAULT_TOKENIZER = "mecab"
+DEFAULT_TOKENIZER = "words"
 
 
 def register_expression(name: str, fn: Callable[[Column], Column]) -> None:
@@ -49,20 +48,10 @@ def register_analyzer(name: str, factory: Callable[[], object]) -> None:
     _REGISTRY[name] = apply
 
 
-def _analyzer_class(name: str) -> Callable[[], object]:
-    def make():
-        return getattr(importlib.import_module("konlpy.tag"), name)()
-
-    return make
-
-
 register_expression("whitespace", tx.split_tokens)
 register_expression("words", tx.split_punctuation)
 register_expression("character", lambda c: F.filter(F.split(c, ""), lambda x: x != " "))
 register_expression("jamo", lambda c: tx.split_tokens(to_jamo(c)))
-# Optional analyzers, loaded inside the task where the cluster has them.
-for _name in ("Komoran", "Okt", "Mecab", "Hannanum", "Kkma"):
-    register_analyzer(_name.lower(), _analyzer_class(_name))
 
 
 def set_default(name: str) -> None:
@@ -149,17 +138,17 @@ def l_tokenize(
     scores: DataFrame,
     col: str = "line",
     out: str = "tokens",
-    longest: int = 10,
     line_keys: Sequence[str] = LINE_KEYS,
 ) -> DataFrame:
     """Split each white-space token at the prefix with the highest score.
 
-    ``scores`` holds (word, score) for words of at most ``longest`` characters. Tokens of up to two
-    characters stay whole, an absent prefix scores 0, ties go to the longer left part. Scores
-    within the broadcast limit are applied inside the task, else joined to each distinct token once.
+    ``scores`` holds (word, score) for words of any length. Tokens of up to two characters stay
+    whole, an absent prefix scores 0, ties go to the longer left part. Scores within the broadcast
+    limit are applied inside the task, else joined to each distinct token once.
     """
     lines = df.withColumn("_space", tx.split_tokens(col))
     scores, small = measured(scores.filter("score > 0").select("word", "score"))
+    longest = scores.agg(F.max(F.length("word"))).first()[0] or 1
     if small is not None:
         known = dict(zip(small.column(0).to_pylist(), small.column(1).to_pylist()))
         shared = df.sparkSession.sparkContext.broadcast(known)

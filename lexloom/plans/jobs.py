@@ -98,7 +98,7 @@ def score_tokenize(spark, input: str, model: str, output: str) -> None:
 
 
 def bert_vocab(spark, input: str, vocab_path: str, size: int = 32000) -> None:
-    pieces = subword.bpe_train(_lines(spark, input), size, 0.9995, exact=False)
+    pieces = subword.bpe_train(_lines(spark, input), size, 0.9995)
     sinks.save_table(subword.to_bert_vocab(pieces), vocab_path)
 
 

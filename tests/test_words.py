@@ -243,3 +243,50 @@ def test_partition_count_does_not_matter(spark, data, name):
         results.append(sorted(map(str, catalog.QUERIES[name](spark, data).collect())))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1] == results[2]
+
+
+def _pair_counts(words):
+    counts = {}
+    for symbols, n in words:
+        for pair in zip(symbols, symbols[1:]):
+            counts[pair] = counts.get(pair, 0) + n
+    return counts
+
+
+def _apply(words, pair):
+    out = []
+    for symbols, n in words:
+        made, i = [], 0
+        while i < len(symbols):
+            both = tuple(symbols[i : i + 2]) == pair
+            made.append(symbols[i] + symbols[i + 1] if both else symbols[i])
+            i += 1 + both
+        out.append((made, n))
+    return out
+
+
+def test_rounds_of_merges_equal_one_at_a_time():
+    """3 000 random corpora rich in ties, around the choice of a round's pairs alone."""
+    import random
+    from collections import namedtuple
+
+    row = namedtuple("row", "a b n")
+    rnd = random.Random(1)
+    for _ in range(3000):
+        base = [(list("_" + "".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 5)))), rnd.randint(1, 3)) for _ in range(rnd.randint(1, 8))]
+        chars = {c for symbols, _ in base for c in symbols}
+        size = rnd.randint(1, 12)
+        words, known, want = base, set(chars), []
+        while len(want) < size and (counts := _pair_counts(words)):
+            pair = min(counts, key=lambda p: (-counts[p], p))
+            want += [] if "".join(pair) in known else ["".join(pair)]
+            known.add("".join(pair))
+            words = _apply(words, pair)
+        words, known, got = base, set(chars), []
+        while len(got) < size and (counts := _pair_counts(words)):
+            ranked = [row(*p, counts[p]) for p in sorted(counts, key=lambda p: (-counts[p], p))]
+            for r in subword._independent(ranked, known, size - len(got)):
+                got += [] if r.a + r.b in known else [r.a + r.b]
+                known.add(r.a + r.b)
+                words = _apply(words, (r.a, r.b))
+        assert got == want
