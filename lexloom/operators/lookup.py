@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import measured
+from ..session import cut_lineage, measured
 
 
 def _batch_lookup(shared, value_type):
@@ -69,6 +69,7 @@ def lookup(
         shared = df.sparkSession.sparkContext.broadcast((index, values))
         return df.withColumn(out, _batch_lookup(shared, value_type)(F.col(array)))
     keys = list(line_keys)
+    df = cut_lineage(df)  # read twice below, so its keys must not move
     elements = df.select(*keys, F.posexplode_outer(array).alias("_pos", key)).filter("_pos is not null")
     found = elements.join(pairs, key, "left").groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct("_pos", F.col(value).alias("_v")))).alias("_found")

@@ -54,6 +54,23 @@ def process_reviews(spark, input: str, output: str) -> None:
 # ---------------------------------------------------------------- lines to lines
 
 
+def process_documents(spark, input: str, output: str) -> None:
+    """Lines to sentence lines; blank lines, which part documents, stay."""
+    sentences = F.array_join(tx.sentences_of("line"), "\n")
+    sinks.write_lines(_lines(spark, input).withColumn("line", sentences), output, KEYS)
+
+
+def lexicon_tokenize(spark, input: str, lexicon: str, output: str, user: str | None = None, pos: bool = False) -> None:
+    """Dictionary tokens of every line, with the user's words on top; ``pos`` writes morph/tag."""
+    words = corpora.read_lexicon(spark, lexicon)
+    if user:
+        words = tokenizers.merge_lexicon(words, corpora.read_lexicon(spark, user))
+    lines = _lines(spark, input).withColumn("tokens", tx.split_tokens(tx.strip_line("line")))
+    tagged = tokenizers.lexicon_tokenize(lines, cut_lineage(words), line_keys=KEYS)
+    part = lambda t: F.concat_ws("/", t["morph"], t["tag"]) if pos else t["morph"]
+    sinks.write_lines(tagged.withColumn("tokens", F.transform("tagged", part)), output, KEYS, "tokens")
+
+
 def tokenize(spark, input: str, output: str, tokenizer: str) -> None:
     sinks.write_lines(tokenizers.tokenize(_lines(spark, input), tokenizer), output, KEYS, "tokens")
 
@@ -77,11 +94,11 @@ def apply_space_correct(spark, input: str, model: str, output: str, with_label:
     """Corrupt lines of a labelled corpus go to ``output`` + ``_corrupt``."""
     table = sinks.load_table(spark, model)
     if not with_label:
-        fixed = spacing.spacing_apply(cut_lineage(_lines(spark, input)), table, line_keys=KEYS)
+        fixed = spacing.spacing_apply(_lines(spark, input), table, line_keys=KEYS)
         sinks.write_lines(fixed, output, KEYS)
         return
     good, corrupt = corpora.read_labelled_lines(spark, input)
-    fixed = spacing.spacing_apply(cut_lineage(good), table, line_keys=KEYS)
+    fixed = spacing.spacing_apply(good, table, line_keys=KEYS)
     sinks.write_labelled_lines(fixed, output, KEYS)
     sinks.write_lines(corrupt, output + "_corrupt", KEYS)
 
@@ -92,8 +109,7 @@ def word_scores(spark, input: str, model: str) -> None:
 
 
 def score_tokenize(spark, input: str, model: str, output: str) -> None:
-    lines = cut_lineage(_lines(spark, input))
-    split = tokenizers.l_tokenize_lines(lines, sinks.load_table(spark, model), line_keys=KEYS)
+    split = tokenizers.l_tokenize_lines(_lines(spark, input), sinks.load_table(spark, model), line_keys=KEYS)
     sinks.write_lines(split, output, KEYS, "tokens")
 
 
@@ -103,8 +119,7 @@ def bert_vocab(spark, input: str, vocab_path: str, size: int = 32000) -> None:
 
 
 def bert_tokenize(spark, input: str, vocab_path: str, output: str) -> None:
-    lines = cut_lineage(_lines(spark, input))
-    split = subword.wordpiece(lines, sinks.load_table(spark, vocab_path), line_keys=KEYS)
+    split = subword.wordpiece(_lines(spark, input), sinks.load_table(spark, vocab_path), line_keys=KEYS)
     sinks.write_lines(split, output, KEYS, "tokens")
 
 
@@ -112,6 +127,22 @@ def xlnet_vocab(spark, input: str, vocab_path: str, size: int = 32000) -> None:
     sinks.save_table(subword.unigram_train(_lines(spark, input), size, 0.99995), vocab_path)
 
 
+def vocab_export(spark, vocab_path: str, output: str) -> None:
+    """A vocabulary table as a file of one token per line, the line being the id."""
+    sinks.write_token_list(sinks.load_table(spark, vocab_path), output)
+
+
+def vocab_import(spark, input: str, vocab_path: str) -> None:
+    """A file of one token per line as a vocabulary table."""
+    lines = order.with_ordinal(_lines(spark, input), KEYS, "id")
+    sinks.save_table(lines.select("id", F.col("line").alias("token")), vocab_path)
+
+
+def pieces_import(spark, input: str, vocab_path: str) -> None:
+    """A file of ``piece<TAB>score`` lines as the vocabulary of the greedy tokenizer."""
+    sinks.save_table(subword.to_bert_vocab(cut_lineage(corpora.read_piece_tsv(spark, input))), vocab_path)
+
+
 def shards(spark, input: str, output: str, size: int) -> None:
     sinks.write_shards(order.shard_lines(_lines(spark, input), size, KEYS), output)
 
@@ -122,7 +153,7 @@ def shards(spark, input: str, output: str, size: int) -> None:
 def _vocab_and_cells(spark, input: str, window: int):
     corpus = _corpus(spark, input)
     words = cut_lineage(vocab.word_ids(vocab.token_counts(corpus).filter("cnt >= 5")))
-    cells = cooccur.cooccurrence_ids(cut_lineage(corpus), words, window, line_keys=["source_rank", *KEYS])
+    cells = cooccur.cooccurrence_ids(corpus, words, window, line_keys=["source_rank", *KEYS])
     return words, cut_lineage(cells)
 
 
@@ -191,18 +222,19 @@ def tune(spark, train: str, test: str, vectors: str, output: str) -> None:
 # ---------------------------------------------------------------- document vectors
 
 
-def _numbered(spark, input: str) -> DataFrame:
-    lines = order.with_ordinal(_lines(spark, input), KEYS, "doc_id")
-    return lines.withColumn("tokens", tx.split_tokens("line"))
+def _keyed(spark, input: str) -> DataFrame:
+    """Lines with one key, made of file and place: no text is sorted for a number."""
+    key = F.concat_ws(":", "file", F.lpad(F.col("line_no").cast("string"), 20, "0"))
+    return _lines(spark, input).select(key.alias("doc_id"), "line", tx.split_tokens("line").alias("tokens"))
 
 
 def lsa_tfidf(spark, input: str, output: str, dim: int = 100) -> None:
-    weights = cooccur.tfidf(_numbered(spark, input))
+    weights = cooccur.tfidf(_keyed(spark, input))
     sinks.save_table(embed.lsa_docs(cut_lineage(weights), dim), output)
 
 
 def lda(spark, input: str, output: str, topics: int = 30) -> None:
-    docs = cut_lineage(_numbered(spark, input).select("doc_id", "tokens"))
+    docs = cut_lineage(_keyed(spark, input).select("doc_id", "tokens"))
     sinks.save_table(embed.lda(docs, topics).select("doc_id", "topics"), output)
 
 
@@ -224,27 +256,45 @@ def elmo_data(spark, inputs: list[str], output: str) -> None:
     sinks.save_table(vocab.lm_vocab(corpus), output + "/vocab")
 
 
-def _framed(spark, input: str) -> DataFrame:
-    docs = order.with_ordinal(_lines(spark, input), KEYS, "doc_id")
-    return pretrain.frame_documents(docs, text="line")
+def _documents(spark, input: str, by_line: bool) -> DataFrame:
+    """(doc_id, text): the lines between blank lines of a file, or each line by itself.
 
+    Documents are numbered by the blank lines before them, whose counts are summed over ranges of
+    lines, not in one task per file. A document is one row, so it must fit into a task.
+    """
+    if by_line:
+        return _keyed(spark, input).select("doc_id", F.col("line").alias("text"))
+    lines = _lines(spark, input).withColumn("blank", F.when(F.trim("line") == "", 1).otherwise(0))
+    marks = order.running_total(lines, ["line_no"], "blank", "number", ["file"])
+    whole = marks.filter("blank = 0").groupBy("file", "number").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("rows"))
+    key = F.concat_ws(":", "file", F.lpad(F.col("number").cast("string"), 20, "0"))
+    return whole.select(key.alias("doc_id"), F.array_join("rows.line", "\n").alias("text"))
 
-def bert_data(spark, input: str, vocab_path: str, output: str) -> None:
-    """Masked sentence-pair records: length 128, rate 0.15, at most 20 masks, seed 7, five copies."""
+
+def bert_data(spark, input: str, vocab_path: str, output: str, by_line: bool = False) -> None:
+    """Masked sentence-pair records: length 128, rate 0.15, at most 20 masks, seed 7, five copies.
+
+    Blank lines part documents; with ``by_line`` every line is one.
+    """
     pieces = sinks.load_table(spark, vocab_path)
-    words = subword.wordpiece_words(_framed(spark, input), pieces, "tokens", "flat", line_keys=["doc_id"], nested="pieces")
+    framed = pretrain.frame_documents(_documents(spark, input, by_line))
+    words = subword.wordpiece_words(framed, pieces, "tokens", "flat", line_keys=["doc_id"], nested="pieces")
     pairs = pretrain.nsp_pairs(cut_lineage(pretrain.reframe(words.drop("flat"))), seed=7)
     records = pretrain.duplicate(pretrain.with_markers(pairs), 5)
     sinks.save_table(pretrain.mlm_masks(records, 0.15, 20, 7, vocab=pieces), output)
 
 
-def xlnet_data(spark, input: str, vocab_path: str, output: str) -> None:
-    """Windows of 256 tokens every 128, both directions, ten passes, up to 45 predicted tokens."""
+def xlnet_data(spark, input: str, vocab_path: str, output: str, by_line: bool = False) -> None:
+    """Windows of 256 ids every 128, both directions, ten passes, up to 45 predicted tokens.
+
+    Blank lines part documents; with ``by_line`` every line is one. A document is encoded once,
+    before its windows are cut.
+    """
     pieces = sinks.load_table(spark, vocab_path)
-    docs = order.with_ordinal(_lines(spark, input), KEYS, "doc_id")
+    docs = _documents(spark, input, by_line).select("doc_id", F.replace("text", F.lit("\n"), F.lit(" ")).alias("line"))
     encoded = subword.unigram_encode(docs, pieces, line_keys=["doc_id"])
-    windows = pretrain.xlnet_windows(encoded, 256, 128, 10, True)
-    masked = pretrain.span_masks(windows, 6, 1, 45)
     ids = pieces.select(F.col("piece").alias("token"), "id")
-    coded = tokenizers.encode_ids(masked, ids, unknown=0, line_keys=["doc_id", "direction", "win", "pass"])
-    sinks.save_table(coded.drop("tokens"), output)
+    coded = tokenizers.encode_ids(encoded, ids, unknown=0, line_keys=["doc_id"])
+    coded = cut_lineage(coded.select("doc_id", F.col("ids").alias("tokens")))
+    windows = pretrain.xlnet_windows(coded, 256, 128, 10, True)
+    sinks.save_table(pretrain.span_masks(windows, 6, 1, 45).withColumnRenamed("tokens", "ids"), output)
