@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.arrays import unnest
 from ..functions.vectors import mean_vectors
-from ..session import broadcast_limit, measured
+from ..session import cut_lineage, measured
 
 LINE_KEYS = ("doc_id",)
 
@@ -83,7 +83,35 @@ def _mean_in_task(spark, table: pa.Table):
 
 # ---------------------------------------------------------------- nearest labelled row
 
-TEST_BLOCK = 2048
+TRAIN_BLOCK, TEST_BLOCK = 8192, 2048  # rows of a block
+
+
+def _blocks(df: DataFrame, key: str, vec: str, label: str, size: int) -> DataFrame:
+    """(block, dim, keys, labels, rows): up to ``size`` unit vectors of one length, written once."""
+    parts = max(1, -(-df.count() * 5 // (4 * size)))  # a little less than a block in each
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+
+        def block(dim: int) -> pa.RecordBatch:
+            keys, labels, rows = zip(*held.pop(dim))
+            columns = [pa.array([dim], pa.int32()), pa.array([keys], pa.list_(pa.int64())), pa.array([labels], pa.list_(pa.string()))]
+            columns.append(pa.array([_unit_rows(np.stack(rows)).tobytes()], pa.binary()))
+            return pa.RecordBatch.from_arrays(columns, names=["dim", "keys", "labels", "rows"])
+
+        for batch in batches:
+            for k, v, t in zip(*[batch.column(i).to_pylist() for i in range(3)]):
+                if v is None or k is None:
+                    continue
+                held.setdefault(len(v), []).append((k, None if t is None else str(t), np.array(v, np.float64)))
+                if len(held[len(v)]) == size:
+                    yield block(len(v))
+        for dim in list(held):
+            yield block(dim)
+
+    packed = df.select(F.col(key).cast("bigint"), vec, label).repartition(parts)
+    made = packed.mapInArrow(pack, "dim int, keys array<bigint>, labels array<string>, rows binary")
+    return cut_lineage(made.withColumn("block", F.monotonically_increasing_id()))
 
 
 def nearest_label(
@@ -91,65 +119,45 @@ def nearest_label(
 ) -> DataFrame:
     """(key, nearest, cosine, label, predicted): each test row's most similar training row.
 
-    The training side is read once per round of test rows; a round holds as many test rows as the
-    broadcast limit allows. Every task keeps one best row per test row, and ``max_by`` joins them.
-    Ties go to the smaller training key.
+    Both sides are packed into blocks of bounded size, and pairs of blocks meet in a join; no side
+    passes through the driver. A pair of blocks yields one best row per test row, and ``max_by``
+    joins them. Ties go to the smaller training key; only vectors of one length are compared.
     """
-    spark = test.sparkSession
-    dim = test.select(F.size(vec)).first()
-    limit = max(broadcast_limit(spark), 1 << 20)
-    rows_per_round = max(limit // (8 * ((dim[0] if dim else 1) + 1)), 1)
-    total = test.count()
-    rounds = max(-(-total // rows_per_round), 1)
-    pieces = [test] if rounds == 1 else [test.filter(F.pmod(F.xxhash64(key), F.lit(rounds)) == r) for r in range(rounds)]
-    best = None
-    for piece in pieces:
-        found = _nearest_round(train, piece, key, vec, label)
-        best = found if best is None else best.unionByName(found)
-    return test.select(key, label).join(best, key)
-
-
-def _nearest_round(train: DataFrame, test: DataFrame, key: str, vec: str, label: str) -> DataFrame:
-    table = test.select(key, vec).toArrow()
-    ids = table.column(key).to_numpy()
-    shared = test.sparkSession.sparkContext.broadcast((ids, _unit_rows(table.column(vec))))
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, queries = shared.value
-        score = np.full(len(ids), -np.inf)
-        best = np.zeros(len(ids), dtype=np.int64)
-        tag = np.zeros(len(ids), dtype=object)
+    known = _blocks(train, key, vec, label, TRAIN_BLOCK)
+    asked = _blocks(test, key, vec, label, TEST_BLOCK).select(
+        "dim", F.col("block").alias("asked"), F.col("keys").alias("asked_keys"), F.col("rows").alias("asked_rows")
+    )
+    left = known.join(asked.select("dim", "asked"), "dim")
+    right = asked.join(known.select("dim", "block"), "dim").drop("dim")
+    pairs = left.join(right, ["block", "asked"]).select("dim", "keys", "labels", "rows", "asked_keys", "asked_rows")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = batch.column(0).to_numpy()
-            order = np.argsort(keys, kind="stable")
-            rows = _unit_rows(pa.chunked_array([batch.column(1)]))[order]
-            keys, labels = keys[order], np.array(batch.column(2).to_pylist(), dtype=object)[order]
-            for at in range(0, len(ids), TEST_BLOCK):
-                block = slice(at, at + TEST_BLOCK)
-                sims = np.round(queries[block] @ rows.T, 12)
+            for pair in batch.to_pylist():
+                keys = np.array(pair["keys"])
+                order = np.argsort(keys, kind="stable")
+                rows = np.frombuffer(pair["rows"], np.float64).reshape(len(keys), -1)[order]
+                queries = np.frombuffer(pair["asked_rows"], np.float64).reshape(len(pair["asked_keys"]), -1)
+                sims = np.round(queries @ rows.T, 12)
                 top = sims.argmax(axis=1)
-                value = sims[np.arange(len(top)), top]
-                better = (value > score[block]) | ((value == score[block]) & (keys[top] < best[block]))
-                put = np.flatnonzero(better)
-                score[at + put], best[at + put], tag[at + put] = value[put], keys[top[put]], labels[top[put]]
-        seen = np.flatnonzero(np.isfinite(score))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids[seen]), pa.array(best[seen]), pa.array(score[seen]), pa.array([str(t) for t in tag[seen]])],
-            names=[key, "nearest", "cosine", "predicted"],
-        )
-
-    schema = f"{key} bigint, nearest bigint, cosine double, predicted string"
-    scanned = train.select(F.col(key).cast("bigint"), vec, label).mapInArrow(scan, schema)
+                best = order[top]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(pair["asked_keys"], pa.int64()),
+                        pa.array(keys[best]),
+                        pa.array(sims[np.arange(len(top)), top]),
+                        pa.array([pair["labels"][i] for i in best.tolist()], pa.string()),
+                    ],
+                    names=[key, "nearest", "cosine", "predicted"],
+                )
+
+    found = pairs.mapInArrow(search, f"{key} bigint, nearest bigint, cosine double, predicted string")
     rank = F.struct(F.col("cosine"), -F.col("nearest"))
-    top = scanned.groupBy(key).agg(F.max_by(F.struct("nearest", "cosine", "predicted"), rank).alias("b"))
-    return top.select(key, "b.*")
+    top = found.groupBy(key).agg(F.max_by(F.struct("nearest", "cosine", "predicted"), rank).alias("b"))
+    return test.select(key, label).join(top.select(key, "b.*"), key)
 
 
-def _unit_rows(column: pa.ChunkedArray) -> np.ndarray:
-    flat = pa.concat_arrays([c.flatten() for c in column.chunks]) if column.num_chunks else pa.array([], pa.float64())
-    matrix = flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+def _unit_rows(matrix: np.ndarray) -> np.ndarray:
     length = np.linalg.norm(matrix, axis=1, keepdims=True)
     return matrix / np.where(length == 0, 1.0, length)
 

@@ -79,7 +79,9 @@ def test_svd_matches_numpy(spark):
     assert np.allclose(np.abs(got.T @ want) / (s[:6] ** 2)[:, None], np.eye(6), atol=0.05)
 
 
-def test_nearest_label_rounds(spark):
+def test_nearest_label_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(sentvec, "TRAIN_BLOCK", 40)
+    monkeypatch.setattr(sentvec, "TEST_BLOCK", 10)
     rng = np.random.default_rng(1)
     rows = [(i, rng.normal(size=5).tolist(), i % 3) for i in range(300)]
     rows += [(300 + i, rows[i][1], 2 - rows[i][2]) for i in range(20)]  # exact copies: ties
