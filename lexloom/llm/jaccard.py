@@ -8,7 +8,7 @@ Documents with the same set form a class, classes with the same prefix and size
 meet: pairs that share a prefix element are filtered by size, by the places of what they share and by
 bitmaps of their sets, then expanded to classes and verified on the texts.
 
-Links are looked for in two passes. The first pairs every group with one likely neighbour, so that
+Links are looked for in two passes. The first pairs every group with two likely partners, so that
 large families of near copies come together with as many pairs as members. The second takes every
 pair left between different components, so that no link between components is lost.
 """
@@ -29,7 +29,7 @@ from .components import components
 SKETCH_BITS = 21  # two rows of 2^21 counters, 16 MB, whatever the corpus
 CHUNK = 1 << 16
 SIGNATURE_BITS = 1024
-MAX_WORDS = 500_000  # of a task's table of word hashes, which then starts anew
+MAX_WORDS = 200_000  # of a task's table of word hashes, which then starts anew
 _B = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -76,7 +76,15 @@ def sketch(rows: DataFrame, elements) -> np.ndarray:
     ``elements`` gives the hashes in a batch of ``rows``. Each task counts its own rows; the chunks of
     these counts meet by number and are added up one by one.
     """
-    width = 1 << SKETCH_BITS
+    width, most = 1 << SKETCH_BITS, np.iinfo(np.int32).max
+
+    def packed(number: int, counts: np.ndarray) -> pa.RecordBatch:
+        data = pa.Codec("zstd").compress(counts.astype(np.int32).tobytes(), asbytes=True)
+        return pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([data], pa.binary())], ["chunk", "counts"])
+
+    def unpacked(data: bytes) -> np.ndarray:
+        raw = pa.Codec("zstd").decompress(data, decompressed_size=4 * CHUNK, asbytes=True)
+        return np.frombuffer(raw, np.int32).astype(np.int64)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(2 * width, np.int32)
@@ -89,24 +97,22 @@ def sketch(rows: DataFrame, elements) -> np.ndarray:
             return
         chunks = total.reshape(-1, CHUNK)
         for number in np.flatnonzero(chunks.any(axis=1)).tolist():
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int32()), pa.array([chunks[number].astype(np.int64).tobytes()], pa.binary())], ["chunk", "counts"]
-            )
+            yield packed(number, chunks[number])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for number, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sums[number] = sums.get(number, 0) + np.frombuffer(counts, np.int64)
+                sums[number] = np.minimum(sums.get(number, 0) + unpacked(counts), most)
         for number, counts in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([counts.tobytes()], pa.binary())], ["chunk", "counts"])
+            yield packed(number, counts)
 
     schema = "chunk int, counts binary"
     parts = rows.mapInArrow(count, schema).repartition("chunk").mapInArrow(add, schema)
-    total = np.zeros((2 * width // CHUNK, CHUNK), np.int64)
+    total = np.zeros((2 * width // CHUNK, CHUNK), np.int32)
     for row in parts.toLocalIterator():  # of fixed size
-        total[row["chunk"]] += np.frombuffer(row["counts"], np.int64)
-    return np.minimum(total, np.iinfo(np.int32).max).astype(np.int32).reshape(2, width)
+        total[row["chunk"]] = unpacked(row["counts"])
+    return total.reshape(2, width)
 
 
 def needed(n: Column, m: Column, percent: int) -> Column:
@@ -240,7 +246,7 @@ class _Verifier:
         pairs = stored(pairs.join(left, "a").join(right, "b").filter(may).select("a", "b", "ta", "tb"), "pairs")
 
         wanted = pairs.selectExpr("a AS cid", "ta AS text_hash").union(pairs.select("b", "tb")).distinct()
-        texts = stored(self._texts(wanted.select("text_hash")).join(wanted, "text_hash").select("cid", "text"), "pair-texts")
+        texts = stored(self._texts(stored(wanted, "wanted")), "pair-texts")
 
         def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             shingler = Shingler(n)
@@ -261,13 +267,13 @@ class _Verifier:
         return stored(sides.mapInArrow(verify, "a bigint, b bigint"), "links")
 
     def _texts(self, wanted: DataFrame) -> DataFrame:
-        """(text_hash, text) of the wanted texts, once each.
+        """(cid, text) of the wanted (cid, text_hash), once each.
 
         A sketch of the wanted hashes, of fixed size, drops most other texts before anything is
-        shuffled; copies of a text leave each task once.
+        shuffled; copies of a text leave each task once, and the join leaves one of them.
         """
         columns = lambda batch: [batch.column(0).to_numpy().view(np.uint64)]
-        some = self.docs.sparkSession.sparkContext.broadcast(np.packbits(sketch(wanted, columns) > 0, axis=1))
+        some = self.docs.sparkSession.sparkContext.broadcast(np.packbits(sketch(wanted.select("text_hash"), columns) > 0, axis=1))
 
         def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             seen: set[int] = set()
@@ -283,40 +289,78 @@ class _Verifier:
                 yield batch.filter(pa.array(keep, pa.bool_()))
 
         rows = self.docs.select(F.xxhash64("text").alias("text_hash"), "text")
-        found = rows.mapInArrow(pick, "text_hash bigint, text string").join(wanted.distinct(), "text_hash", "left_semi")
-        return found.dropDuplicates(["text_hash"])
+        found = rows.mapInArrow(pick, "text_hash bigint, text string").join(wanted, "text_hash")
+        return found.dropDuplicates(["text_hash", "cid"]).select("cid", "text")
 
 
-def _crossing(shared: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+def _likely(shared: DataFrame) -> DataFrame:
+    """Up to two partners (a, b) for every group: of the groups before it, and of the leaders, at its
+    prefix elements, the one met most often.
+
+    An element's leader is the group whose own elements are shared most widely: in a family of edited
+    copies, one with few edits, which most others resemble.
+    """
+    before = shared.filter("previous >= 0 and previous <> gid").select("gid", F.col("previous").alias("other"))
+    runs = shared.groupBy("element").agg(F.count("*").alias("k"))
+    spread = shared.join(runs, "element").groupBy("gid").agg(F.sum("k").alias("spread"))
+    leaders = shared.select("element", "gid").join(spread, "gid").groupBy("element")
+    leaders = leaders.agg(F.max(F.struct("spread", F.col("gid").alias("other"))).alias("_best")).select("element", "_best.other")
+    led = shared.select("element", "gid").join(leaders, "element").filter("gid <> other").select("gid", "other")
+    found = None
+    for pairs in (before, led):
+        best = pairs.groupBy("gid", "other").count().groupBy("gid").agg(F.max(F.struct("count", "other")).alias("best"))
+        best = best.selectExpr("least(gid, best.other) AS a", "greatest(gid, best.other) AS b")
+        found = best if found is None else found.union(best)
+    return found.distinct()
+
+
+def _crossing(shared: DataFrame, members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes (a, b) from different components whose groups share a prefix element.
 
-    ``shared``: element, gid, n, pos; ``members``: gid, cid, comp. An element met by one component
-    alone goes at once; of the rest, components meet first, then their groups.
+    ``shared``: element, gid, n, pos; ``members``: gid, cid, size, comp. Elements met by one component
+    alone go at once. At the others, groups outside the element's largest component meet all groups,
+    so that this component never meets itself, and sizes, places and folded signatures are compared
+    as they meet.
     """
-    sides = members.select("gid", "comp").distinct()
-    rows = shared.select("element", "gid", "n", "pos").join(sides, "gid")
-    mixed = rows.groupBy("element").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
-    rows = stored(rows.join(mixed.select("element"), "element", "left_semi"), "crossing")
-    met = rows.select("element", "comp").distinct()
-    pairs = met.withColumnRenamed("comp", "x").join(met.withColumnRenamed("comp", "y"), "element").filter("x < y")
-    one = rows.select("element", *[F.col(c).alias(new) for c, new in (("comp", "x"), ("gid", "ga"), ("n", "na"), ("pos", "pa"))])
-    two = rows.select("element", *[F.col(c).alias(new) for c, new in (("comp", "y"), ("gid", "gb"), ("n", "nb"), ("pos", "pb"))])
-    na, nb, pa_, pb = F.col("na"), F.col("nb"), F.col("pa"), F.col("pb")
-    rest = F.least(na - pa_ - 1, nb - pb - 1)
-    places = F.least("pa", "pb") + 1 + rest >= needed(na, nb, percent)
+    words = SIGNATURE_BITS // 128
+    fold = [F.get("signature", i).bitwiseXOR(F.get("signature", i + words)).alias(f"s{i}") for i in range(words)]
+    alone = members.filter("size = 1").select("cid")
+    signatures = classes.join(alone, "cid", "left_semi").select(F.col("cid").alias("gid"), *fold)
+    rows = shared.select("element", "gid", "n", "pos").join(members.select("gid", "comp").distinct(), "gid")
+    sizes = rows.groupBy("element", "comp").agg(F.count("*").alias("k")).groupBy("element")
+    mixed = sizes.agg(F.max(F.struct("k", "comp")).alias("most"), F.count("*").alias("comps")).filter("comps > 1")
+    rows = rows.join(mixed.select("element", F.col("most.comp").alias("most")), "element")
+    rows = rows.withColumn("outside", F.col("comp") != F.col("most")).drop("most")
+    rows = stored(rows.join(signatures, "gid", "left"), "crossing")
+
+    x, y = rows.filter("outside").alias("x"), rows.alias("y")
+    one, two = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+    least = needed(one("n"), two("n"), percent)
+    rest = F.least(one("n") - one("pos") - 1, two("n") - two("pos") - 1)
+    differ = sum((F.bit_count(one(f"s{i}").bitwiseXOR(two(f"s{i}"))) for i in range(words)), F.lit(0))
+    meet = (
+        (one("element") == two("element"))
+        & (one("comp") != two("comp"))
+        & (~two("outside") | (one("gid") < two("gid")))
+        & (one("gid") != two("gid"))
+        & _sizes_fit(one("n"), two("n"), percent)
+        & (F.least(one("pos"), two("pos")) + 1 + rest >= least)
+        # unknown for groups of several classes, which the verifier compares one by one
+        & F.coalesce(differ <= one("n") + two("n") - 2 * least, F.lit(True))
+    )
     found = (
-        pairs.join(one, ["element", "x"])
-        .join(two, ["element", "y"])
-        .filter((F.col("ga") != F.col("gb")) & _sizes_fit(na, nb, percent) & places)
-        .groupBy("ga", "gb", "na", "nb")
-        .agg(F.count("*").alias("common"), F.max("pa").alias("pa"), F.max("pb").alias("pb"))
+        x.join(y, meet)
+        .select(
+            *[F.col(f"{side}.{c}").alias(f"{c}_{side}") for side in "xy" for c in ("gid", "n", "pos")]
+        )
+        .groupBy("gid_x", "gid_y", "n_x", "n_y")
+        .agg(F.count("*").alias("common"), F.max("pos_x").alias("pos_x"), F.max("pos_y").alias("pos_y"))
     )
     # No later element of either prefix is shared, so the rest is bounded by what lies behind.
-    found = found.filter(F.col("common") + rest >= needed(na, nb, percent))
-    groups = found.select("ga", "gb").union(
-        # within a group, classes of different components
-        members.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").selectExpr("gid AS ga", "gid AS gb")
-    )
+    behind = F.least(F.col("n_x") - F.col("pos_x") - 1, F.col("n_y") - F.col("pos_y") - 1)
+    found = found.filter(F.col("common") + behind >= needed(F.col("n_x"), F.col("n_y"), percent))
+    split = members.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high")
+    groups = found.selectExpr("gid_x AS ga", "gid_y AS gb").union(split.selectExpr("gid AS ga", "gid AS gb"))
     left = members.selectExpr("gid AS ga", "cid AS a", "comp AS x")
     right = members.selectExpr("gid AS gb", "cid AS b", "comp AS y")
     return (
@@ -352,21 +396,19 @@ def similar_documents(
     # A group is named by its smallest class, which also lends it its prefix.
     groups = classes.groupBy("n", "p1", "p2").agg(F.min("cid").alias("gid"), F.count("*").alias("size"))
     members = stored(classes.select("cid", "n", "p1", "p2").join(groups, ["n", "p1", "p2"]).select("gid", "cid", "size"), "members")
-    leaders = members.filter("gid = cid").select("cid")
-    elements = classes.join(leaders, "cid", "left_semi").select(
+    followers = stored(members.filter("gid <> cid").select("cid"), "followers")  # few, so prefixes stay where they are
+    elements = classes.join(followers, "cid", "left_anti").select(
         F.col("cid").alias("gid"), "n", F.posexplode("prefix").alias("pos", "element")
     )
     shared = stored(_neighbours(elements.select("element", "gid", "n", "pos")), "shared")
     verifier = _Verifier(docs, classes, words, percent)
 
-    likely = shared.filter("previous >= 0 and previous <> gid").groupBy("gid", "previous").count()
-    likely = likely.groupBy("gid").agg(F.max(F.struct("count", "previous")).alias("best"))
-    first = likely.selectExpr("gid AS a", "best.previous AS b").union(members.filter("cid <> gid").selectExpr("gid AS a", "cid AS b"))
+    first = _likely(shared).union(members.filter("cid <> gid").selectExpr("gid AS a", "cid AS b"))
     links = verifier.links(first)
     labels = components(links)
 
     placed = _placed(members, labels)
-    more = verifier.links(_crossing(shared, stored(placed.select("gid", "cid", "comp"), "placed"), percent))
+    more = verifier.links(_crossing(shared, stored(placed.select("gid", "cid", "size", "comp"), "placed"), classes, percent))
     labels = components(links.union(more))
     placed = stored(_placed(members, labels).select("cid", "comp"), "placed")
 
