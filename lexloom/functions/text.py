@@ -76,13 +76,46 @@ def split_punctuation(col) -> Column:
 ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 
 
+#: Templates, tables and links are taken away from the inside out, so many levels deep.
+NESTING = 6
+# Link targets that show a file or sort a page, in English and Korean.
+HIDDEN_LINKS = ("File", "Image", "Category", "파일", "그림", "분류")
+
+
+def _numeric_entities(text: Column) -> Column:
+    """``&#44032;`` and ``&#xAC00;`` as characters; numbers that are none stay as they are."""
+    pattern = "&#(?:[0-9]{1,7}|[xX][0-9a-fA-F]{1,6});"
+
+    def character(entity: Column) -> Column:
+        digits = F.regexp_extract(entity, "([0-9a-fA-F]+);", 1)
+        is_hex = F.lower(F.substring(entity, 3, 1)) == "x"
+        code = F.when(is_hex, F.conv(digits, 16, 10)).otherwise(digits).cast("bigint")
+        sound = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code < 0x110000))
+        wide = F.unhex(F.lpad(F.hex(code), 8, "0"))
+        return F.when(sound, F.decode(wide, "UTF-32")).otherwise(entity)
+
+    found = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), character)
+    parts = F.zip_with(F.split(text, pattern, -1), found, lambda gap, c: F.concat(gap, F.coalesce(c, F.lit(""))))
+    return F.when(F.contains(text, F.lit("&#")), F.array_join(parts, "")).otherwise(text)
+
+
 def strip_markup(col) -> Column:
-    """Markup to plain text: hidden blocks first, then wiki marks, tags, entities and spacing."""
+    """Markup to plain text: hidden blocks first, then wiki marks, tags, entities and spacing.
+
+    Templates and tables go with what is inside them, links leave their last part, links to files
+    and categories nothing, up to ``NESTING`` levels deep.
+    """
     text = F.regexp_replace(_col(col), r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->", " ")
-    text = F.regexp_replace(text, r"\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]", "$1")
+    for pattern, plain in (
+        (r"\{\{[^{}]*\}\}", " "),
+        (r"\{\|[^{}]*\|\}", " "),
+        (rf"\[\[(?:{'|'.join(HIDDEN_LINKS)}):[^\[\]]*\]\]|\[\[(?:[^\[\]]*\|)?([^\[\]|]*)\]\]", "$1"),
+    ):
+        for _ in range(NESTING):
+            text = F.regexp_replace(text, pattern, plain)
     text = F.regexp_replace(text, r"'{2,}|={2,}", "")
-    text = F.regexp_replace(text, r"\{\{[^{}]*\}\}", " ")
     text = F.regexp_replace(text, r"<[^>]*>", " ")
+    text = _numeric_entities(text)
     for entity, plain in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(plain))
     return F.trim(collapse_ws(text))

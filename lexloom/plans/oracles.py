@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..functions.hangul import LEADS, TAILS, VOWELS
-from ..functions.text import CJK_BLOCKS, ENTITIES
+from ..functions.text import CJK_BLOCKS, ENTITIES, HIDDEN_LINKS, NESTING
 from .catalog import LATIN, SYLLABLES
 
 # White space as one class: the SQL engine's \s knows ASCII only.
@@ -156,9 +156,14 @@ ORACLES["s02_labelled_lines"] = sql(
 
 def markup(x: str) -> str:
     out = rf"regexp_replace({x}, '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', ' ', 'g')"
-    out = rf"regexp_replace({out}, '\[\[(?:[^\[\]|]*\|)?([^\[\]|]*)\]\]', '\1', 'g')"
+    for pattern, plain in (
+        (r"\{\{[^{}]*\}\}", " "),
+        (r"\{\|[^{}]*\|\}", " "),
+        (rf"\[\[(?:{'|'.join(HIDDEN_LINKS)}):[^\[\]]*\]\]|\[\[(?:[^\[\]]*\|)?([^\[\]|]*)\]\]", r"\1"),
+    ):
+        for _ in range(NESTING):
+            out = f"regexp_replace({out}, '{pattern}', '{plain}', 'g')"
     out = rf"regexp_replace({out}, '''{{2,}}|={{2,}}', '', 'g')"
-    out = rf"regexp_replace({out}, '\{{\{{[^{{}}]*\}}\}}', ' ', 'g')"
     out = f"regexp_replace({out}, '<[^>]*>', ' ', 'g')"
     for entity, plain in ENTITIES:
         quoted = plain.replace("'", "''")

@@ -85,3 +85,8 @@ def test_clean_text_and_markup(spark):
     html = "<script>x<b></script><p>a &amp;lt; b</p><!-- n -->[[t|u]] '''v''' == h =="
     assert one(spark, html, tx.strip_markup) == "a &lt; b u v h"
     assert one(spark, "Hi! you.\n\n ok", tx.sentences_of) == ["Hi!", "you.", "ok"]
+
+
+def test_nested_markup(spark):
+    page = "a {{Info|a={{b|{{c}}}}}} [[File:x|thumb|cap [[in|side]]]] [[one|two|three]] {| t\n|- \n| x {{y}} |} &#44032;&#xAC01;&#99999999; &amp;#65; z"
+    assert one(spark, page, tx.strip_markup) == "a three 가각&#99999999; &#65; z"
