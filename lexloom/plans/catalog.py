@@ -19,6 +19,7 @@ from ..sources import corpora, sinks
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+DIM = 100  # of all vectors
 LATIN = "abcdefghijklmnopqrstuvwxyz"
 # The supplied text holds no Hangul: letters stand for these syllables and bare letters.
 SYLLABLES = "가각힣값나닭다라마바사아자차카타파하뷁쿠ㅋㅜㅎㅏ뎅굣"
@@ -141,7 +142,7 @@ def s07_pairs_csv(spark, folder):
     return corpora.read_pairs_csv(spark, path)
 
 
-def word_vectors(spark, folder, dim: int = 8, min_count: int = 5) -> DataFrame:
+def word_vectors(spark, folder, dim: int = DIM, min_count: int = 5) -> DataFrame:
     """Reproducible start vectors of the vocabulary words."""
     words = vocab.token_counts(doc_tokens(spark, folder)).filter(F.col("cnt") >= min_count)
     return words.select("word", random_vector(F.col("word"), dim).alias("vec"))
@@ -440,14 +441,14 @@ def a14_shuffle(spark, folder):
 
 @query
 def a15_pmi(spark, folder):
-    cells, _ = id_cells(spark, folder, window=2)
+    cells, _ = id_cells(spark, folder, window=5)
     scored = cooccur.pmi(cells, n_shards=16)
     return scored.select("i", "j", rounded("x").alias("x"), rounded("pmi").alias("pmi"), "row_shard", "col_shard")
 
 
 @query
 def a15_marginals(spark, folder):
-    cells, words = id_cells(spark, folder, window=2)
+    cells, words = id_cells(spark, folder, window=5)
     totals = cooccur.cooc_marginals(cells, "i").withColumnRenamed("i", "id")
     return totals.join(words, "id").select("word", rounded("total").alias("total"))
 
@@ -464,22 +465,22 @@ def a16_tfidf(spark, folder):
 @query
 def m01_lsa_words(spark, folder):
     cells, words = id_cells(spark, folder, window=2)
-    return embed.lsa_words(cells, words, k=16)
+    return embed.lsa_words(cells, words, k=DIM)
 
 
 @query
 def m02_lsa_docs(spark, folder):
-    return embed.lsa_docs(cut_lineage(cooccur.tfidf(doc_tokens(spark, folder))), k=16)
+    return embed.lsa_docs(cut_lineage(cooccur.tfidf(doc_tokens(spark, folder))), k=DIM)
 
 
 @query
 def m03_lda(spark, folder):
-    return embed.lda(doc_tokens(spark, folder).select("doc_id", "tokens"), k=8, max_iter=5).select("doc_id", "topics")
+    return embed.lda(doc_tokens(spark, folder).select("doc_id", "tokens"), k=30).select("doc_id", "topics")
 
 
 @query
 def m04_word2vec(spark, folder):
-    return embed.word2vec(tokens(spark, folder), dim=32)
+    return embed.word2vec(tokens(spark, folder), dim=DIM)
 
 
 @query
@@ -514,7 +515,7 @@ def m07_subword_vectors(spark, folder):
 def m08_jamo_subwords(spark, folder):
     jamo = hangul_lines(spark, folder).select(tx.split_tokens(to_jamo("line")).alias("tokens"))
     counts = vocab.token_counts(jamo).filter("cnt >= 5")
-    vectors = counts.select("word", random_vector(F.col("word"), 8).alias("vec"))
+    vectors = counts.select("word", random_vector(F.col("word"), DIM).alias("vec"))
     grams = embed.subword_vectors(vectors, counts)
     return grams.select("ngram", numbers("vec").alias("vec"))
 
@@ -686,7 +687,7 @@ def p06_windows(spark, folder):
 
 @query
 def p07_span_masks(spark, folder):
-    windows = pretrain.xlnet_windows(framed(spark, folder), passes=2)
+    windows = pretrain.xlnet_windows(framed(spark, folder))
     made = pretrain.span_masks(windows)
     return made.select(
         "doc_id", "direction", F.col("win").cast("bigint").alias("win"), F.col("pass").cast("bigint").alias("pass"), F.array_join(F.col("masked_positions").cast("array<string>"), " ").alias("positions")

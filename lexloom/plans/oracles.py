@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..functions.hangul import LEADS, TAILS, VOWELS
 from ..functions.text import CJK_BLOCKS, ENTITIES, HIDDEN_LINKS, NESTING
-from .catalog import LATIN, SYLLABLES
+from .catalog import DIM, LATIN, SYLLABLES
 
 # White space as one class: the SQL engine's \s knows ASCII only.
 WS = (
@@ -110,7 +110,7 @@ PARTS = {
     ),
     "nearest": "SELECT * FROM sims QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY cosine DESC, nearest) = 1",
     "word_vecs": (
-        "SELECT word, [" + ", ".join(f"{hash32('7', 'word', str(i))} / 4294967296.0 - 0.5" for i in range(8))
+        "SELECT word, [" + ", ".join(f"{hash32('7', 'word', str(i))} / 4294967296.0 - 0.5" for i in range(DIM))
         + "] AS vec FROM doc_counts WHERE cnt >= 5"
     ),
 }
@@ -420,10 +420,10 @@ ORACLES["a15_pmi"] = sql(
     "tok vocab",
     """SELECT c.i, c.j, round(x, 6) AS x, round(ln(x * (SELECT sum(x) FROM cell) / (r.total * s.total)), 6) AS pmi,
       c.i % 16 AS row_shard, c.j % 16 AS col_shard FROM cell c JOIN side r ON r.i = c.i JOIN side s ON s.i = c.j""",
-    **cells(2),
+    **cells(5),
     side="SELECT i, sum(x) AS total FROM cell GROUP BY i",
 )
-ORACLES["a15_marginals"] = sql("tok vocab", "SELECT w1 AS word, round(sum(x), 6) AS total FROM cell GROUP BY w1", **cells(2))
+ORACLES["a15_marginals"] = sql("tok vocab", "SELECT w1 AS word, round(sum(x), 6) AS total FROM cell GROUP BY w1", **cells(5))
 ORACLES["a16_tfidf"] = sql(
     "doc_tok",
     """SELECT doc_id, t.word, tf, round(tf * ln((1 + (SELECT count(*) FROM documents)) / CAST(1 + df AS DOUBLE)), 6) AS weight FROM terms t
@@ -446,8 +446,8 @@ ORACLES["m07_char_ngrams"] = sql(
 
 
 def mean_text(weight: str, table: str = "rows_v", column: str = "v") -> str:
-    """Weighted positional means of an 8-number vector as text."""
-    means = [number_text(f"sum({column}[{i}] * {weight}) / sum({weight})") for i in range(1, 9)]
+    """Weighted positional means of a vector as text."""
+    means = [number_text(f"sum({column}[{i}] * {weight}) / sum({weight})") for i in range(1, DIM + 1)]
     return " || ' ' || ".join(means)
 
 
@@ -461,11 +461,11 @@ def ngram_rows(base: str, name: str) -> dict[str, str]:
 
 
 def mean_floats(column: str, weight: str) -> str:
-    """Weighted positional means of an 8-number vector, kept as 32-bit numbers."""
-    return "[" + ", ".join(f"CAST(sum({column}[{i}] * {weight}) / sum({weight}) AS FLOAT)" for i in range(1, 9)) + "]"
+    """Weighted positional means of a vector, kept as 32-bit numbers."""
+    return "[" + ", ".join(f"CAST(sum({column}[{i}] * {weight}) / sum({weight}) AS FLOAT)" for i in range(1, DIM + 1)) + "]"
 
 
-float_text = " || ' ' || ".join(number_text(f"CAST(vec[{i}] AS DOUBLE)") for i in range(1, 9))
+float_text = " || ' ' || ".join(number_text(f"CAST(vec[{i}] AS DOUBLE)") for i in range(1, DIM + 1))
 ORACLES["m07_subword_vectors"] = sql(
     "word_vecs",
     f"SELECT word, {float_text} AS vec FROM composed",
@@ -480,7 +480,7 @@ ORACLES["m08_jamo_subwords"] = sql(
     f"SELECT ngram, {float_text} AS vec FROM gram_vecs",
     spelled=f"SELECT unnest({words_of(jamo(HANGUL_LINE))}) AS word FROM lines",
     jamo_counts="SELECT word, CAST(count(*) AS DOUBLE) AS cnt FROM spelled GROUP BY word HAVING count(*) >= 5",
-    vecs="SELECT word, cnt, [" + ", ".join(f"{hash32('7', 'word', str(i))} / 4294967296.0 - 0.5" for i in range(8)) + "] AS vec FROM jamo_counts",
+    vecs="SELECT word, cnt, [" + ", ".join(f"{hash32('7', 'word', str(i))} / 4294967296.0 - 0.5" for i in range(DIM)) + "] AS vec FROM jamo_counts",
     **ngram_rows("vecs", "known"),
     gram_vecs=f"SELECT ngram, {mean_floats('vec', 'cnt')} AS vec FROM known GROUP BY ngram",
 )
@@ -630,7 +630,7 @@ ORACLES["p07_span_masks"] = sql(
     "framed_tok",
     """SELECT c.doc_id, c.direction, CAST(c.win AS BIGINT) AS win, CAST(c.pass AS BIGINT) AS pass, coalesce(p.positions, '') AS positions
     FROM copies c LEFT JOIN placed_spans p ON p.doc_id = c.doc_id AND p.direction = c.direction AND p.win = c.win AND p.pass = c.pass""",
-    **windows(2),
+    **windows(10),
     spanned=f"SELECT doc_id, direction, win, pass, len(tokens) AS n, {hash32('7', chr(39) + 'span' + chr(39), *WKEYS)} % 5 + 1 AS span FROM copies",
     blocks="SELECT *, unnest(range(0, n, span * 6)) AS s FROM spanned",
     begun=f"""SELECT *, s + {hash32('7', chr(39) + 'start' + chr(39), *WKEYS, 's')} % (span * 5 + 1) AS b,
