@@ -486,13 +486,13 @@ def m04_word2vec(spark, folder):
 @query
 def m05_glove(spark, folder):
     cells, words = id_cells(spark, folder)
-    return factorize.glove(cells, words, dim=16, iters=3)
+    return factorize.glove(cells, words, dim=DIM)
 
 
 @query
 def m06_pmi_factors(spark, folder):
     cells, words = id_cells(spark, folder, window=5)
-    return factorize.pmi_factorize(cut_lineage(cooccur.pmi(cells)), words, dim=16, iters=3)
+    return factorize.pmi_factorize(cut_lineage(cooccur.pmi(cells)), words, dim=DIM)
 
 
 @query
