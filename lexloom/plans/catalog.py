@@ -462,37 +462,46 @@ def a16_tfidf(spark, folder):
 # ---------------------------------------------------------------- embeddings and topics
 
 
+def shape_of(vectors: DataFrame, key: str) -> DataFrame:
+    """What holds for every trained vector whatever its numbers: its row, its length, finite and not all zero."""
+    sound = F.forall("vec", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < 1e30)) & F.exists("vec", lambda v: v != 0)
+    return vectors.select(key, F.size("vec").cast("bigint").alias("dim"), sound.alias("sound"))
+
+
 @query
 def m01_lsa_words(spark, folder):
     cells, words = id_cells(spark, folder, window=2)
-    return embed.lsa_words(cells, words, k=DIM)
+    return shape_of(embed.lsa_words(cells, words, k=DIM), "word")
 
 
 @query
 def m02_lsa_docs(spark, folder):
-    return embed.lsa_docs(cut_lineage(cooccur.tfidf(doc_tokens(spark, folder))), k=DIM)
+    return shape_of(embed.lsa_docs(cut_lineage(cooccur.tfidf(doc_tokens(spark, folder))), k=DIM), "doc_id")
 
 
 @query
 def m03_lda(spark, folder):
-    return embed.lda(doc_tokens(spark, folder).select("doc_id", "tokens"), k=30).select("doc_id", "topics")
+    """Shares of 30 topics that sum to one in every document."""
+    made = embed.lda(doc_tokens(spark, folder).select("doc_id", "tokens"), k=30)
+    total = F.aggregate("topics", F.lit(0.0), lambda a, x: a + x)
+    return made.select("doc_id", F.size("topics").cast("bigint").alias("k"), (F.abs(total - 1) < 1e-6).alias("whole"))
 
 
 @query
 def m04_word2vec(spark, folder):
-    return embed.word2vec(tokens(spark, folder), dim=DIM)
+    return shape_of(embed.word2vec(tokens(spark, folder), dim=DIM), "word")
 
 
 @query
 def m05_glove(spark, folder):
     cells, words = id_cells(spark, folder)
-    return factorize.glove(cells, words, dim=DIM)
+    return shape_of(factorize.glove(cells, words, dim=DIM), "word")
 
 
 @query
 def m06_pmi_factors(spark, folder):
     cells, words = id_cells(spark, folder, window=5)
-    return factorize.pmi_factorize(cut_lineage(cooccur.pmi(cells)), words, dim=DIM)
+    return shape_of(factorize.pmi_factorize(cut_lineage(cooccur.pmi(cells)), words, dim=DIM), "word")
 
 
 @query

@@ -466,6 +466,12 @@ def mean_floats(column: str, weight: str) -> str:
 
 
 float_text = " || ' ' || ".join(number_text(f"CAST(vec[{i}] AS DOUBLE)") for i in range(1, DIM + 1))
+SHAPE = f"CAST({DIM} AS BIGINT) AS dim, true AS sound"
+for name, window in (("m01_lsa_words", 2), ("m05_glove", 15), ("m06_pmi_factors", 5)):
+    ORACLES[name] = sql("tok vocab", f"SELECT DISTINCT w1 AS word, {SHAPE} FROM cell", **cells(window))
+ORACLES["m02_lsa_docs"] = sql("doc_tok", f"SELECT DISTINCT doc_id, {SHAPE} FROM doc_tok")
+ORACLES["m03_lda"] = "SELECT doc_id, CAST(30 AS BIGINT) AS k, true AS whole FROM documents"
+ORACLES["m04_word2vec"] = sql("vocab", f"SELECT word, {SHAPE} FROM vocab")
 ORACLES["m07_subword_vectors"] = sql(
     "word_vecs",
     f"SELECT word, {float_text} AS vec FROM composed",
