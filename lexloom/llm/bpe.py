@@ -28,10 +28,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_PIECES = 300_000  # of a task's tables of words and of pieces between spaces, which then start anew
-MAX_PAIRS = 2_000_000  # of the remembered pairs of tokens, likewise
-MAX_WORDS = 50_000  # encoded at once
-GROUP_BYTES = 4 << 20  # of texts, or elements of id arrays, at once
+MAX_PIECES = 120_000  # of a task's tables of words and of pieces between spaces
+RENEW = 40  # times as many pieces missed, before they start anew
+MAX_PAIRS = 1_000_000  # of the remembered pairs of tokens, which then start anew
+MAX_WORDS = 20_000  # encoded at once
+GROUP_BYTES = 2 << 20  # of texts, or elements of id arrays, at once
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.default_rng(7).integers(1, 1 << 63, 256, np.uint64)
 # Splitting rule of the file format (a fixed value), with its letter and digit classes written out for
@@ -56,19 +57,21 @@ class Vocabulary:
 
     def __init__(self, source: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks already use every core
-        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         spec = json.loads(source)
-        model = spec["model"]
+        model, splitter = spec["model"], spec["pre_tokenizer"] or {}
         added = {a["content"]: a["id"] for a in spec["added_tokens"]}
-        if model["type"] != "BPE" or spec["normalizer"] or model.get("byte_fallback"):
-            raise ValueError("a byte-level BPE file without a normalizer is needed")
+        if model["type"] != "BPE" or splitter.get("type") != "ByteLevel" or not splitter["use_regex"] or splitter["add_prefix_space"]:
+            raise ValueError("a byte-level BPE file is needed")
+        if spec["normalizer"] or model.get("byte_fallback"):
+            raise ValueError("normalizers and byte fallback are not supported")
         if any(a[flag] for a in spec["added_tokens"] for flag in ("single_word", "lstrip", "rstrip")):
             raise ValueError("added tokens that look at their surroundings are not supported")
         self.added = added
         self.split_added = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
         vocab: dict[str, int] = model["vocab"]
-        self.words = Tokenizer.from_str(source).pre_tokenizer.pre_tokenize_str
+        self.words = ByteLevel(add_prefix_space=False).pre_tokenize_str  # the library's splitter alone
         self.rank: dict[int, int] = {}
         self.parts: dict[int, tuple[int, int, int]] = {}
         for rank, merge in enumerate(model["merges"]):
@@ -214,7 +217,7 @@ class WordTrie:
         shared = np.concatenate([[-1], np.cumprod(same, axis=1, dtype=np.int8).sum(axis=1)])
         rows = np.arange(n)
         # node[d, i]: the first word with the first d bytes of word i
-        node = np.maximum.accumulate(np.where(shared < np.arange(longest + 1)[:, None], rows, 0), axis=1)
+        node = np.maximum.accumulate(np.where(shared < np.arange(longest + 1)[:, None], rows, 0).astype(np.int32), axis=1)
         last = np.full((longest + 1, n), -1, np.int32)  # the last token of a node's prefix
         length = np.zeros((longest + 1, n), np.int8)  # and its bytes
         for d in range(1, longest + 1):
@@ -282,6 +285,7 @@ class Encoder:
         self.trie = WordTrie(vocabulary)
         self.pieces: dict[str, bytes] = {}
         self.words: dict[bytes, bytes] = {}
+        self.missed = 0
 
     def _split(self, text: str) -> list[str]:
         """Pieces of a text without added tokens, whose encodings follow one another."""
@@ -296,34 +300,48 @@ class Encoder:
         byte = self.vocabulary.to_byte.__getitem__
         return [bytes(map(byte, word)) for word, _ in self.vocabulary.words(piece)]
 
-    def _learn(self, pieces: Iterable[str]) -> None:
+    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of pieces that are not kept. Full tables stay as they are until the texts have changed
+        so far that they rarely help."""
         split = {p: self._words(p) for p in pieces}
-        if len(self.words) > MAX_PIECES:
-            self.words = {}
-        self.words.update(self.trie.encode({w for ws in split.values() for w in ws if w not in self.words}))
-        word = self.words.__getitem__
-        self.pieces.update({p: b"".join(map(word, ws)) for p, ws in split.items()})
+        words = self.words
+        new = self.trie.encode({w for ws in split.values() for w in ws if w not in words})
+        made = {p: b"".join([words.get(w) or new[w] for w in ws]) for p, ws in split.items()}
+        for table, fresh in ((self.pieces, made), (words, new)):
+            if len(table) < MAX_PIECES:
+                table.update(fresh)
+        self.missed += len(made)
+        if self.missed > RENEW * MAX_PIECES:
+            self.pieces, self.words, self.missed = {}, {}, 0
+        return made
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of every text, as 32-bit integers."""
-        added = self.vocabulary.added
+        added, get = self.vocabulary.added, self.pieces.get
         cut: list[list] = []
+        new: set[str] = set()
         for text in texts:
-            if any(a in text for a in added):
-                parts = self.vocabulary.split_added.split(text)
-                cut.append([p if n % 2 else self._split(p) for n, p in enumerate(parts) if p])
-            else:
-                cut.append([self._split(text)] if text else [])
-        if len(self.pieces) > MAX_PIECES:
-            self.pieces = {}
-        known = self.pieces
-        self._learn({p for parts in cut for part in parts if type(part) is list for p in part if p not in known})
-        piece = self.pieces.__getitem__
-        special = lambda token: np.int32(added[token]).tobytes()
-        return [
-            b"".join([b"".join(map(piece, part)) if type(part) is list else special(part) for part in parts])
-            for parts in cut
-        ]
+            parts = self.vocabulary.split_added.split(text) if any(a in text for a in added) else [text]
+            rows: list = []
+            for number, part in enumerate(parts):
+                if number % 2:
+                    rows.append(np.int32(added[part]).tobytes())
+                elif part:
+                    pieces = self._split(part)
+                    found = list(map(get, pieces))
+                    if None in found:
+                        new.update([p for p, x in zip(pieces, found, strict=True) if x is None])
+                    rows.append((pieces, found))
+            cut.append(rows)
+        made = self._learn(new)
+
+        def joined(row) -> bytes:
+            if type(row) is bytes:
+                return row
+            pieces, found = row
+            return b"".join([made[p] if x is None else x for p, x in zip(pieces, found, strict=True)] if None in found else found)
+
+        return [b"".join(map(joined, rows)) for rows in cut]
 
 
 class Shared(NamedTuple):
@@ -384,6 +402,7 @@ def _map_rows(docs: DataFrame, column: str, added: list[tuple[str, T.DataType]],
                 part = batch.slice(low, high - low)
                 columns = [part.column(i) for i in range(len(rest))]
                 yield pa.RecordBatch.from_arrays(columns + work(part.column(len(rest))), names=made.names)
+            pa.default_memory_pool().release_unused()  # what a batch took, before the next one
 
     given = docs.select(*[F.col(f"`{c}`") for c in rest], F.col(f"`{column}`").alias("_given"))
     return given.mapInArrow(run, made)
