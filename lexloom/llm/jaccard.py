@@ -348,10 +348,13 @@ def _crossing(shared: DataFrame, members: DataFrame, classes: DataFrame, percent
         # unknown for groups of several classes, which the verifier compares one by one
         & F.coalesce(differ <= one("n") + two("n") - 2 * least, F.lit(True))
     )
+    # Which side is outside changes with the element, so a pair is put in order before it is counted.
+    ordered = one("gid") < two("gid")
+    sides = (("x", one, two), ("y", two, one))
     found = (
         x.join(y, meet)
         .select(
-            *[F.col(f"{side}.{c}").alias(f"{c}_{side}") for side in "xy" for c in ("gid", "n", "pos")]
+            *[F.when(ordered, a(c)).otherwise(b(c)).alias(f"{c}_{side}") for side, a, b in sides for c in ("gid", "n", "pos")]
         )
         .groupBy("gid_x", "gid_y", "n_x", "n_y")
         .agg(F.count("*").alias("common"), F.max("pos_x").alias("pos_x"), F.max("pos_y").alias("pos_y"))

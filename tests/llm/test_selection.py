@@ -131,6 +131,23 @@ def test_top_k_of_repeated_keys_and_nothing(spark):
     assert topk.top_k(docs.filter("1 = 0"), F.col("vec_id") == 3).count() == 0
 
 
+def test_crossing_counts_a_pair_whole_whichever_side_is_outside(spark):
+    """Groups 1 and 2 share 92 of 100 elements, as needed at 85 %: eight of them in the prefixes, where
+    the larger component is now that of 1, now that of 2."""
+    shared = [(e, g, 100, 8 + e) for e in range(8) for g in (1, 2)]
+    shared += [(e, 3 + e % 2, 100, 40 + e // 2) for e in range(8)]  # 3 goes with 1 and 4 with 2
+    members = [(1, 1, 1, 1), (2, 2, 1, 2), (3, 3, 1, 1), (4, 4, 1, 2)]
+    classes = [(i, [0] * (jaccard.SIGNATURE_BITS // 64)) for i in range(1, 5)]
+    for order in (1, -1):  # either of the two may lead at the last shared element
+        found = jaccard._crossing(
+            spark.createDataFrame([(order * e, *r) for e, *r in shared], "element bigint, gid bigint, n bigint, pos int"),
+            spark.createDataFrame(members, "gid bigint, cid bigint, size bigint, comp bigint"),
+            spark.createDataFrame(classes, "cid bigint, signature array<bigint>"),
+            85,
+        )
+        assert (1, 2) in {(r.a, r.b) for r in found.collect()}
+
+
 def near_copies(seed, n=150):
     rnd = random.Random(seed)
     base = [[rnd.choice("abcdefgh") + str(rnd.randint(0, 30)) for _ in range(rnd.choice([3, 8, 40, 60]))] for _ in range(12)]
