@@ -6,9 +6,10 @@ vocabulary fits the broadcast limit; a larger one is joined to the substrings of
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from decimal import Decimal
 
 import pandas as pd
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.arrays import unnest
-from ..session import cut_lineage, measured, spread
+from ..session import broadcast_limit, cut_lineage, measured, spread
 from .lookup import lookup, per_distinct
 from .order import with_ordinal
 from .tokenizers import distinct_tokens
@@ -35,6 +36,7 @@ USER_SYMBOLS = ("<eop>", ".", "(", ")", '"', "-", "–", "£", "€")
 _OPEN, _CLOSE, _RARE, _NEXT = "\x01", "\x02", "\x03", "\x04"  # one symbol is written OPEN text CLOSE
 TOP_PAIRS = 512  # most frequent pairs the driver sees in one round; the rest wait for the next one
 MERGES_PER_CUT = 48
+HELD_BYTES = 16 << 20  # of a table of words that is merged in one process
 MICRO = 1_000_000  # expected counts are summed as whole millionths
 
 
@@ -79,6 +81,59 @@ def _independent(ranked: list, known: set, most: int) -> list:
     return chosen
 
 
+def merged_in_memory(words: Iterable[tuple[str, int]], known: set, wanted: int) -> dict[str, None]:
+    """The pieces of one-at-a-time merging in order, at most ``wanted``, not counting ``known`` ones.
+
+    Only words that hold the merged pair are touched; a heap with old entries finds the next pair.
+    """
+    known, made = set(known), {}
+    split, cnt = [], []
+    counts: dict[tuple[str, str], int] = {}
+    places: dict[tuple[str, str], set[int]] = {}
+
+    def add(i: int, symbols: list[str], sign: int) -> None:
+        for pair in zip(symbols, symbols[1:]):
+            if _RARE not in pair:
+                counts[pair] = counts.get(pair, 0) + sign * cnt[i]
+                if sign > 0:
+                    places.setdefault(pair, set()).add(i)
+
+    for i, (word, n) in enumerate(words):
+        split.append(list(word))
+        cnt.append(n)
+        add(i, split[i], 1)
+    heap = [(-n, pair) for pair, n in counts.items()]
+    heapq.heapify(heap)
+    while heap and len(made) < wanted:
+        n, pair = heapq.heappop(heap)
+        if counts.get(pair) != -n:
+            continue
+        a, b = pair
+        if a + b not in known:
+            made[a + b] = None
+        known.add(a + b)
+        touched = set()
+        for i in places.pop(pair):
+            old, new, at = split[i], [], 0
+            while at < len(old):
+                both = old[at] == a and at + 1 < len(old) and old[at + 1] == b
+                new.append(a + b if both else old[at])
+                at += 1 + both
+            if len(new) < len(old):
+                add(i, old, -1)
+                add(i, new, 1)
+                touched.update(zip(old, old[1:]), zip(new, new[1:]))
+                split[i] = new
+        for p in touched:
+            n = counts.get(p)
+            if n:
+                heapq.heappush(heap, (-n, p))
+            elif n == 0:
+                del counts[p]
+                places.pop(p, None)
+    return made
+
+
 def _inner(sym: str) -> Column:
     return F.substr(F.col(sym), F.lit(2), F.length(sym) - 2)
 
@@ -101,9 +156,10 @@ def bpe_train(
 ) -> DataFrame:
     """Byte-pair vocabulary (id, piece, score): meta pieces, merges in order, then characters.
 
-    The most frequent pair is merged first, ties by the smaller (left, right), as if one at a time;
-    a round merges every pair that provably comes next. The control characters U+0001 to U+0004 are
-    dropped from the text.
+    The most frequent pair is merged first, ties by the smaller (left, right), as if one at a time,
+    until the size is reached or no pair is left. A table of distinct words within ``HELD_BYTES`` and
+    the broadcast limit is merged on the driver; of a larger one a round merges, on the cluster, every
+    pair that provably comes next. The control characters U+0001 to U+0004 are dropped from the text.
     """
     spark = df.sparkSession
     lines = df.select(F.translate(tx.strip_line(col), _OPEN + _CLOSE + _RARE + _NEXT, "").alias(col))
@@ -114,12 +170,25 @@ def bpe_train(
     chars = [r.ch for r in alphabet.orderBy(F.desc("cnt"), "ch").collect()]  # at most one row per Unicode character
     wanted = vocab_size - len(META_PIECES) - len(chars)
     known = f"[^{''.join(re.escape(c) for c in chars)}]"
-    plain = F.regexp_replace("word", known, _RARE)
-    symbols = spread(
-        cut_lineage(words.select(F.regexp_replace(plain, "(?s)(.)", f"{_OPEN}$1{_CLOSE}").alias("sym"), "cnt"))
+    plain, small = measured(
+        words.select(F.regexp_replace("word", known, _RARE).alias("word"), "cnt"), min(HELD_BYTES, broadcast_limit(spark))
     )
+    known = set(chars)
+    if small is not None:
+        merged = merged_in_memory(zip(small.column(0).to_pylist(), small.column(1).to_pylist()), known, wanted)
+    else:
+        merged = _merged_in_rounds(plain, known, wanted)
+    pieces = list(META_PIECES) + list(merged) + chars
+    n_meta = len(META_PIECES)
+    rows = [(i, p, 0.0 if i < n_meta else float(n_meta - i)) for i, p in enumerate(pieces)]
+    return spark.createDataFrame(rows, "id bigint, piece string, score double")
+
+
+def _merged_in_rounds(words: DataFrame, known: set, wanted: int) -> dict[str, None]:
+    """As :func:`merged_in_memory`, for a table of any size."""
+    symbols = spread(cut_lineage(words.select(F.regexp_replace("word", "(?s)(.)", f"{_OPEN}$1{_CLOSE}").alias("sym"), "cnt")))
     merged: dict[str, None] = {}  # new pieces in order
-    known, pending = set(chars), []
+    known, pending = set(known), []
     while len(merged) < wanted:
         now = _merged(symbols, pending)
         ranked = (
@@ -142,10 +211,7 @@ def bpe_train(
             # A word that is one symbol by now has nothing left to merge.
             left = _merged(symbols, pending).filter(F.contains("sym", F.lit(_CLOSE + _OPEN)))
             symbols, pending = spread(cut_lineage(left)), []
-    pieces = list(META_PIECES) + list(merged) + chars
-    n_meta = len(META_PIECES)
-    rows = [(i, p, 0.0 if i < n_meta else float(n_meta - i)) for i, p in enumerate(pieces)]
-    return spark.createDataFrame(rows, "id bigint, piece string, score double")
+    return merged
 
 
 def to_bert_vocab(pieces: DataFrame) -> DataFrame:

@@ -361,7 +361,7 @@ def a03_char_coverage(spark, folder):
 
 @query
 def a04_bpe_train(spark, folder):
-    return subword.bpe_train(lines(spark, folder), vocab_size=200)
+    return subword.bpe_train(lines(spark, folder))
 
 
 @query

@@ -1,4 +1,5 @@
 import math
+import random
 from collections import Counter
 
 import pytest
@@ -153,6 +154,25 @@ def test_pair_merging_is_exact(spark):
     assert set(pieces[3 + len(want) :]) == alphabet
 
 
+def test_pair_merging_query_makes_every_merge(spark, tmp_path):
+    """More merges than 200 pieces leave room for, up to the last pair of the corpus."""
+    rnd = random.Random(5)
+    text = " ".join("".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 9))) for _ in range(150))
+    spark.createDataFrame([(1, text, "s")], "doc_id bigint, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    words = Counter(text.split())
+    alphabet = {c for w in words for c in w} | {"▁"}
+    pieces = [r.piece for r in catalog.a04_bpe_train(spark, str(tmp_path)).orderBy("id").collect()]
+    want = reference_merges(words, 10_000)
+    assert len(want) > 200 and pieces[3:] == want + pieces[3 + len(want) :] and set(pieces[3 + len(want) :]) == alphabet
+
+
+def test_merging_in_rounds_equals_in_memory(spark, request):
+    lines = corpus(spark, "aaaa aaab banana bandana low lower lowest newest é wide new banana low abab ababab")
+    fast = sorted(map(str, subword.bpe_train(lines, 40, coverage=0.95).collect()))
+    request.getfixturevalue("joins_only")
+    assert sorted(map(str, subword.bpe_train(lines, 40, coverage=0.95).collect())) == fast
+
+
 def test_unigram(spark):
     lines = corpus(spark, *["banana bandana ban (banana)"] * 20)
     pieces = subword.unigram_train(lines, vocab_size=34, coverage=1.0)
