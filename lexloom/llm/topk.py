@@ -25,21 +25,61 @@ from .common import stored
 BLOCK = 16_384  # candidates of a block
 QUERY_BLOCK = 2_048
 BITS = 6
-LIMIT = 1 << 24  # of a component's size
-
-
-def quantised(vector: Column) -> Column:
-    """floor(256 x) of every component."""
-    return F.transform(vector, lambda x: F.floor(F.lit(256.0) * x.cast("double")).cast("bigint"))
+LIMIT = 1 << 24  # from this size on, components are stored as doubles
+WIDE_KEY = 2**2200  # above every score: components are below 2^1032
 
 
 def usable(vector: Column) -> Column:
-    """Not NULL, not empty, every component finite and within ``LIMIT``; NaN and NULL fail the test."""
-    bound = LIMIT / 256.0
-    inside = lambda x: F.coalesce((x.cast("double") >= -bound) & (x.cast("double") < bound), F.lit(False))
+    """Not NULL, not empty, every component finite; NaN and NULL fail the test."""
+    infinite = F.lit(float("inf"))
+    inside = lambda x: F.coalesce((x.cast("double") > -infinite) & (x.cast("double") < infinite), F.lit(False))
     return vector.isNotNull() & (F.size(vector) > 0) & F.coalesce(F.forall(vector, inside), F.lit(False))
 
 
+def _floored(vector: np.ndarray) -> np.ndarray:
+    """floor(256 x) / 256, which a double holds exactly, also where 256 x is beyond it."""
+    return np.where(np.abs(vector) < 2.0**45, np.floor(256.0 * np.clip(vector, -(2.0**45), 2.0**45)) / 256.0, vector)
+
+
+def _whole(vector: np.ndarray) -> list[int]:
+    """256 x of floored components, as Python integers."""
+    return [(n << 8) // d for n, d in map(float.as_integer_ratio, vector.tolist())]
+
+
+class WideBlock:
+    """Candidates whose products may be beyond 64 bits, as floored doubles.
+
+    Products in double precision, with a bound on the error of each, leave the boundary rows, whose
+    products are taken in Python integers.
+    """
+
+    def __init__(self, rows: np.ndarray):
+        self.rows = rows
+        # Scaled by powers of two, so that no product overflows.
+        self.scaled = np.ldexp(rows, -int(np.frexp(np.abs(rows).max())[1]))
+        self.sizes = np.abs(self.scaled)
+        self.known: dict[int, list[int]] = {}
+
+    def search(self, weights: np.ndarray, ids: np.ndarray, own: int, k: int) -> tuple[np.ndarray, list[int]]:
+        """As :meth:`SlicedBlock.search`, for a query of floored doubles."""
+        among = np.flatnonzero(ids != own)
+        if len(among) > k:
+            scaled = np.ldexp(weights, -int(np.frexp(np.abs(weights).max())[1]))
+            about, dim = self.scaled @ scaled, len(weights)
+            # Twice the bound of a sum of rounded products, and what may fall below the smallest double.
+            error = (dim + 2) * 2.0**-51 * (self.sizes @ np.abs(scaled)) + (dim + 2) * 2.0**-1060
+            least = np.partition((about - error)[among], -k)[-k]
+            among = among[(about + error)[among] >= least]
+        asked = _whole(weights)
+        scored = []
+        for row in among.tolist():
+            if row not in self.known:
+                self.known[row] = _whole(self.rows[row])
+            scored.append((-sum(a * b for a, b in zip(self.known[row], asked, strict=True)), int(ids[row]), row))
+        best = sorted(scored)[:k]
+        return np.array([row for _, _, row in best], np.int64), [-score for score, _, _ in best]
+
+
 class SlicedBlock:
     """The bit-sliced index of a matrix of whole numbers, a row per candidate."""
 
@@ -145,40 +185,71 @@ class SlicedBlock:
 
 
 def _packed(vectors: DataFrame, name: str, size: int) -> DataFrame:
-    """Blocks of at most ``size`` vectors of one dimension: block, dim, ids, vectors (both as bytes)."""
+    """Blocks of at most ``size`` vectors of one dimension: block, dim, wide, ids, vectors (both as bytes).
+
+    Vectors are floor(256 x) in 32 bits; those with a component of ``LIMIT`` or more lie in wide blocks,
+    as floored doubles.
+    """
     parts = max(1, -(-vectors.count() * 5 // (4 * size)))  # a little less than a block in each
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[list, list]] = {}
-
-        def block(dim: int) -> pa.RecordBatch:
-            ids, rows = held.pop(dim)
-            data = [dim], [np.array(ids, np.int64).tobytes()], [np.concatenate(rows).astype(np.int32).tobytes()]
+        held: dict[tuple[int, bool], tuple[list, list]] = {}
+
+        def block(kind: tuple[int, bool]) -> pa.RecordBatch:
+            ids, rows = held.pop(kind)
+            dim, wide = kind
+            rows = np.concatenate(rows)
+            rows = rows if wide else (256.0 * rows).astype(np.int32)
+            data = [dim], [wide], [np.array(ids, np.int64).tobytes()], [rows.tobytes()]
             return pa.RecordBatch.from_arrays(
-                [pa.array(d, t) for d, t in zip(data, (pa.int32(), pa.binary(), pa.binary()), strict=True)],
-                ["dim", "ids", "vectors"],
+                [pa.array(d, t) for d, t in zip(data, (pa.int32(), pa.bool_(), pa.binary(), pa.binary()), strict=True)],
+                ["dim", "wide", "ids", "vectors"],
             )
 
         for batch in batches:
             values, ends = batch.column("vector").values.to_numpy(), batch.column("vector").offsets.to_numpy()
             for row, i in enumerate(batch.column("vec_id").to_pylist()):
-                vector = values[ends[row] : ends[row + 1]]
-                ids, rows = held.setdefault(len(vector), ([], []))
+                vector = _floored(values[ends[row] : ends[row + 1]])
+                kind = len(vector), bool(np.abs(vector).max() >= LIMIT / 256)
+                ids, rows = held.setdefault(kind, ([], []))
                 ids.append(i)
                 rows.append(vector)
                 if len(ids) == size:
-                    yield block(len(vector))
-        for dim in list(held):
-            yield block(dim)
+                    yield block(kind)
+        for kind in list(held):
+            yield block(kind)
 
-    packed = vectors.repartition(parts).mapInArrow(pack, "dim int, ids binary, vectors binary")
+    packed = vectors.repartition(parts).mapInArrow(pack, "dim int, wide boolean, ids binary, vectors binary")
     return stored(packed.withColumn("block", F.monotonically_increasing_id()), name)
 
 
-def _matrix(ids: bytes, vectors: bytes, dim: int) -> tuple[np.ndarray, np.ndarray]:
+def _matrix(ids: bytes, vectors: bytes, dim: int, wide: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, and whole numbers; those of a wide block are floored doubles."""
+    if wide:
+        return np.frombuffer(ids, np.int64), np.frombuffer(vectors, np.float64).reshape(-1, dim)
     return np.frombuffer(ids, np.int64), np.frombuffer(vectors, np.int32).reshape(-1, dim).astype(np.int64)
 
 
+def _largest(matrix: np.ndarray) -> int:
+    """No component of the whole numbers is larger."""
+    top = float(np.abs(matrix).max())
+    return max(1, _whole(np.array([top]))[0] if matrix.dtype == np.float64 else int(top))
+
+
+def _as(matrix: np.ndarray, doubles: bool) -> np.ndarray:
+    """The matrix as floored doubles or as 64-bit whole numbers."""
+    if doubles:
+        return matrix if matrix.dtype == np.float64 else matrix / 256.0
+    return matrix if matrix.dtype == np.int64 else (256.0 * matrix).astype(np.int64)
+
+
+def _sort_key(score: int) -> tuple[int, int | None, bytes | None]:
+    """(beyond, score, key): the score if 64 bits hold it, else its side and bytes that sort as it does."""
+    if -(1 << 63) <= score < 1 << 63:
+        return 0, score, None
+    return (1 if score > 0 else -1), None, (score + WIDE_KEY).to_bytes(276, "big")
+
+
 def top_k(
     vectors: DataFrame,
     queries: Column,
@@ -193,16 +264,17 @@ def top_k(
 
     Queries are the rows for which the condition ``queries`` holds, candidates all rows but those
     with the query's own key. Components are floor(256 x); the score is their inner product, ties go
-    to the smaller key. Rows without a key and vectors that are NULL, empty, or hold a NULL, non-finite
-    or too large component (``LIMIT`` / 256) take no part; only vectors of equal length meet. Rows
-    that repeat a key are candidates of their own, and queries with the results of each.
+    to the smaller key. Rows without a key and vectors that are NULL, empty, or hold a NULL or non-finite
+    component take no part; only vectors of equal length meet. Rows that repeat a key are candidates of
+    their own, and queries with the results of each. Ranks are exact at every size of the components; a
+    score that a BIGINT does not hold is NULL.
     """
     asks = F.coalesce(queries, F.lit(False)).alias("asks")
     rows = vectors.select(F.col(key).cast("bigint").alias("vec_id"), F.col(vector).alias("raw"), asks).filter(F.col("vec_id").isNotNull() & usable(F.col("raw")))
-    rows = rows.select("vec_id", "asks", quantised(F.col("raw")).alias("vector"))
+    rows = rows.select("vec_id", "asks", F.transform("raw", lambda x: x.cast("double")).alias("vector"))
     candidates = _packed(rows.select("vec_id", "vector"), "topk-candidates", block)
     asked = _packed(rows.filter("asks").select("vec_id", "vector"), "topk-queries", query_block)
-    asked = asked.selectExpr("dim", "block AS asked", "ids AS asked_ids", "vectors AS asked_vectors")
+    asked = asked.selectExpr("dim", "block AS asked", "wide AS asked_wide", "ids AS asked_ids", "vectors AS asked_vectors")
 
     # Every query meets every candidate, as it must, but in pairs of blocks: a row stands for up to
     # ``block`` times ``query_block`` products, and both its sides are of bounded size.
@@ -213,20 +285,27 @@ def top_k(
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                ids, matrix = _matrix(row["ids"], row["vectors"], row["dim"])
-                sliced = SlicedBlock(matrix, bits)
+                ids, matrix = _matrix(row["ids"], row["vectors"], row["dim"], row["wide"])
+                asked_ids, asked_rows = _matrix(row["asked_ids"], row["asked_vectors"], row["dim"], row["asked_wide"])
+                doubles = _largest(matrix) * _largest(asked_rows) * row["dim"] >= 1 << 62
+                matrix, asked_rows = _as(matrix, doubles), _as(asked_rows, doubles)
+                sliced = WideBlock(matrix) if doubles else SlicedBlock(matrix, bits)
                 found: list[tuple[np.ndarray, ...]] = []
-                asked_ids, asked_rows = _matrix(row["asked_ids"], row["asked_vectors"], row["dim"])
+                scores: list[int] = []
                 for place, (own, weights) in enumerate(zip(asked_ids, asked_rows, strict=True)):
-                    at, scores = sliced.search(weights, ids, int(own), k)
+                    at, best = sliced.search(weights, ids, int(own), k)
                     same = [np.full(len(at), x, np.int64) for x in (own, row["asked"], place)]
-                    found.append((*same, ids[at], scores))
+                    found.append((*same, ids[at]))
+                    scores += map(int, best)
                 columns = [pa.array(np.concatenate(c)) for c in zip(*found, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, ["query_id", "asked", "place", "vec_id", "score"])
+                keys = list(zip(*map(_sort_key, scores), strict=True)) or [(), (), ()]
+                columns += [pa.array(c, t) for c, t in zip(keys, (pa.int32(), pa.int64(), pa.binary()), strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, ["query_id", "asked", "place", "vec_id", "beyond", "score", "wide"])
 
     # Block and place tell apart queries that share a key.
-    made = work.mapInArrow(search, "query_id bigint, asked bigint, place bigint, vec_id bigint, score bigint")
-    best = Window.partitionBy("query_id", "asked", "place").orderBy(F.col("score").desc(), "vec_id")
+    made = work.mapInArrow(search, "query_id bigint, asked bigint, place bigint, vec_id bigint, beyond int, score bigint, wide binary")
+    order = F.col("beyond").desc(), F.col("score").desc(), F.col("wide").desc(), F.col("vec_id")
+    best = Window.partitionBy("query_id", "asked", "place").orderBy(*order)
     return (
         made.withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= k)

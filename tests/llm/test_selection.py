@@ -2,6 +2,7 @@
 
 import math
 import random
+from fractions import Fraction
 
 import brute
 import numpy as np
@@ -123,6 +124,23 @@ def test_top_k(spark, seed):
     assert got == top_rows(rows, 5)
 
 
+@pytest.mark.parametrize("sizes", [(1.0, 1e5), (1e6, 1e9), (1.0, 1e13, 1e30), (1e300, 1e-3, 1.7e308)])
+def test_top_k_of_large_components(spark, sizes):
+    """Finite components of every size count, alone or among small ones."""
+    rng = np.random.default_rng(1)
+    rows = [(i, (rng.uniform(-1, 1, size=4) * (sizes[i % len(sizes)] if i % 5 == 0 else 1.0)).tolist()) for i in range(150)]
+    rows += [(200, rows[0][1]), (201, rows[10][1]), (202, [-x for x in rows[0][1]])]
+    docs = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = topk.top_k(docs.repartition(3), F.col("vec_id") % 3 == 0, block=64, query_block=16, bits=3)
+    whole = {i: [math.floor(256 * Fraction(x)) for x in v] for i, v in rows}
+    want = []
+    for i, q in whole.items():
+        if i % 3 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in whole.items() if j != i)[:5]
+            want += [(i, rank, j, -s if -(2**63) <= -s < 2**63 else None) for rank, (s, j) in enumerate(scored, 1)]
+    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got.collect()) == sorted(want)
+
+
 def test_top_k_of_repeated_keys_and_nothing(spark):
     rows = [(3, [1.0]), (3, [2.0]), (4, [1.0]), (4, [1.0]), (None, [9.0])]
     docs = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
