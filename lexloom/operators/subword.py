@@ -376,21 +376,31 @@ def expected_pieces(word: str, edges: list[list[tuple[int, float]]]) -> dict[str
     return out
 
 
-def _expected_counts(words: DataFrame, scores: dict[str, float], longest: int) -> DataFrame:
-    """(piece, n): one pass over the distinct words, summed in whole millionths."""
-    shared = words.sparkSession.sparkContext.broadcast(scores)
-    unknown = min(scores.values()) - 10.0
+def _expected_counts(words: DataFrame, scores: DataFrame) -> DataFrame:
+    """(piece, n): one pass over the distinct words, summed in whole millionths.
+
+    Tasks get the (piece, score) table whole, or by word when it is too large for that.
+    """
+    scores, small = measured(scores.select("piece", "score"))
+    bounds = scores.agg(F.max(F.length("piece")), F.min("score")).first()
+    longest, unknown = bounds[0] or 1, (bounds[1] or 0.0) - 10.0
+    if small is not None:
+        table = dict(zip(small.column(0).to_pylist(), small.column(1).to_pylist()))
+        shared = words.sparkSession.sparkContext.broadcast(table)
+        rows = words.select("word", "cnt")
+    else:
+        shared, rows = None, words.join(_word_scores(words, scores, longest), "word", "left").select("word", "cnt", "subs")
 
     def e_step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        table = shared.value
         for batch in batches:
             sums: dict[str, int] = {}
-            for word, cnt in zip(batch["word"], batch["cnt"]):
+            for word, cnt, *subs in batch.itertuples(index=False):
+                table = _own_scores(subs[0]) if subs else shared.value
                 for piece, share in expected_pieces(word, _lattice(word, table, longest, unknown)).items():
                     sums[piece] = sums.get(piece, 0) + round(share * MICRO) * int(cnt)
             yield pd.DataFrame({"piece": list(sums.keys()), "n": [Decimal(n) for n in sums.values()]})
 
-    made = words.mapInPandas(e_step, "piece string, n decimal(38,0)").groupBy("piece")
+    made = rows.mapInPandas(e_step, "piece string, n decimal(38,0)").groupBy("piece")
     return made.agg(F.sum("n").cast("decimal(38,0)").alias("n"))
 
 
@@ -405,15 +415,14 @@ def unigram_train(
     control: Sequence[str] = CONTROL_SYMBOLS,
     user: Sequence[str] = USER_SYMBOLS,
     col: str = "line",
-    seed_size: int = 1_000_000,
     longest: int = 16,
     keep: float = 0.75,
 ) -> DataFrame:
     """Unigram vocabulary (id, piece, score, kind) by expectation maximization and pruning.
 
-    Our rule: seeds are the ``seed_size`` substrings with the highest frequency * length; two rounds
-    of EM, then the ``keep`` share with the highest expected counts stays, until the size is
-    reached; single characters always stay. ``seed_size`` bounds what is broadcast.
+    Our rule: seeds are all substrings of up to ``longest`` characters that occur twice; two rounds of
+    EM, then the ``keep`` share with the highest expected counts stays, until the size is reached;
+    single characters always stay. Pieces stay on the cluster.
     """
     spark = df.sparkSession
     tokens = df.select(tx.split_tokens(tx.strip_line(col)).alias("t"))
@@ -422,38 +431,41 @@ def unigram_train(
     parts = parts.withColumnRenamed("part", "word")
     words = spread(cut_lineage(parts.groupBy("word").agg(F.sum("cnt").alias("cnt"))))
     chars = unnest(words, ["cnt"], F.split("word", ""), "ch").groupBy("ch").agg(F.sum("cnt").alias("cnt"))
-    alphabet = {r.ch: r.cnt for r in covered_characters(chars, coverage).collect()}  # at most one row per Unicode character
+    alphabet = covered_characters(chars, coverage).select(F.col("ch").alias("piece"), F.col("cnt").alias("n"), F.lit(True).alias("char"))
     seeds = (
         _substrings(words, longest)
         .filter("len > 1")
         .groupBy(F.col("sub").alias("piece"))
         .agg(F.sum("cnt").alias("n"))
         .filter("n > 1")
-        .orderBy(F.desc(F.col("n") * F.length("piece")), "piece")
-        .limit(max(seed_size - len(alphabet), 0))
+        .withColumn("char", F.lit(False))
     )
-    counts = {r.piece: r.n for r in seeds.collect()} | alphabet
-    wanted = max(vocab_size - len(META_PIECES) - len(control) - len(user), len(alphabet))
+    counts = cut_lineage(seeds.unionByName(alphabet).withColumn("n", F.col("n").cast("decimal(38,0)")))
+    n_chars = counts.filter("char").count()
+    wanted = max(vocab_size - len(META_PIECES) - len(control) - len(user), n_chars)
     while True:
         for _ in range(2):
-            total = math.log(sum(counts.values()))
-            scores = {p: math.log(n) - total for p, n in counts.items()}
-            found = {r.piece: int(r.n) for r in _expected_counts(words, scores, longest).filter("n > 0").collect() if r.piece in scores}
-            counts = {p: found.get(p, 1) for p in scores if p in found or p in alphabet}
-        if len(counts) <= wanted:
+            found = _expected_counts(words, _log_shares(counts)).filter("n > 0")
+            known = counts.select("piece", "char").join(found, "piece", "left").filter("char OR n IS NOT NULL")
+            counts = cut_lineage(known.select("piece", F.coalesce("n", F.lit(1)).cast("decimal(38,0)").alias("n"), "char"))
+        size = counts.count()
+        if size <= wanted:
             break
-        target = max(wanted, int(len(counts) * keep))
-        longer = sorted((p for p in counts if p not in alphabet), key=lambda p: (-counts[p], p))
-        stay = set(longer[: max(target - len(alphabet), 0)]) | set(alphabet)
-        counts = {p: n for p, n in counts.items() if p in stay}
-    total = math.log(sum(counts.values()))
-    ranked = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))
+        room = max(max(wanted, int(size * keep)) - n_chars, 0)
+        ranked = with_ordinal(counts.filter("NOT char"), [F.desc("n"), "piece"], "_n")
+        stay = ranked.filter(F.col("_n") < room).drop("_n")
+        counts = cut_lineage(stay.unionByName(counts.filter("char")))
     rows = [(p, 0.0, "meta") for p in META_PIECES]
     rows += [(p, 0.0, "control") for p in control] + [(p, 0.0, "user") for p in user]
-    rows += [(p, math.log(n) - total, "piece") for p, n in ranked]
-    return spark.createDataFrame(
-        [(i, *row) for i, row in enumerate(rows)], "id bigint, piece string, score double, kind string"
-    )
+    head = spark.createDataFrame([(i, *row) for i, row in enumerate(rows)], "id bigint, piece string, score double, kind string")
+    body = with_ordinal(_log_shares(counts), [F.desc("n"), "piece"], "_n")
+    return head.unionByName(body.select((F.col("_n") + len(rows)).alias("id"), "piece", "score", F.lit("piece").alias("kind")))
+
+
+def _log_shares(counts: DataFrame) -> DataFrame:
+    """``counts`` with score: the logarithm of each count's share in all."""
+    total = counts.agg(F.sum("n")).first()[0]
+    return counts.withColumn("score", F.log(F.col("n").cast("double")) - F.lit(math.log(total or 1)))
 
 
 def unigram_encode(
@@ -482,15 +494,23 @@ def unigram_encode(
 
 def _unigram_table(words: DataFrame, pieces: DataFrame, longest: int, unknown: float) -> DataFrame:
     """(word, pieces) by joining the substrings of the distinct words to the vocabulary."""
-    hits = _substrings(words, longest).join(pieces.withColumnRenamed("piece", "sub"), "sub")
-    edges = hits.groupBy("word").agg(F.collect_list(F.struct("sub", "score")).alias("subs"))
+    edges = _word_scores(words, pieces, longest)
 
     def segment(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             made = []
             for word, subs in zip(batch["word"], batch["subs"]):
-                scores = {s["sub"]: s["score"] for s in subs} if subs is not None else {}
-                made.append(best_segmentation(word, _lattice(word, scores, longest, unknown)))
+                made.append(best_segmentation(word, _lattice(word, _own_scores(subs), longest, unknown)))
             yield pd.DataFrame({"word": batch["word"], "pieces": made})
 
     return words.join(edges, "word", "left").mapInPandas(segment, "word string, pieces array<string>")
+
+
+def _word_scores(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
+    """(word, subs): the substrings of every word that are pieces, with their scores."""
+    hits = _substrings(words.select("word"), longest).join(pieces.withColumnRenamed("piece", "sub"), "sub")
+    return hits.groupBy("word").agg(F.collect_list(F.struct("sub", "score")).alias("subs"))
+
+
+def _own_scores(subs) -> dict[str, float]:
+    return {s["sub"]: s["score"] for s in subs} if subs is not None else {}

@@ -324,7 +324,7 @@ def t05_wordpiece(spark, folder):
 
 
 def unigram_vocab(spark, folder) -> DataFrame:
-    return subword.unigram_train(lines(spark, folder), vocab_size=1000, seed_size=5_000)
+    return subword.unigram_train(lines(spark, folder))
 
 
 @query

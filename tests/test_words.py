@@ -182,6 +182,50 @@ def test_unigram(spark):
     assert "".join(coded) == "▁banana▁(x)▁ban" and "(" in coded
 
 
+def trained_pieces(words, wanted, keep=0.75):
+    """{piece: count} by the same rule in one process: all repeated substrings are seeds."""
+    chars, counts = Counter(), Counter()
+    for w, n in words.items():
+        chars.update({c: w.count(c) * n for c in set(w)})
+        for i in range(len(w)):
+            for j in range(i + 2, min(len(w), i + 16) + 1):
+                counts[w[i:j]] += n
+    counts = {p: n for p, n in counts.items() if n > 1} | chars
+    while True:
+        for _ in range(2):
+            total = math.log(sum(counts.values()))
+            scores, found = {p: math.log(n) - total for p, n in counts.items()}, Counter()
+            for w, n in words.items():
+                edges = subword._lattice(w, scores, 16, min(scores.values()) - 10)
+                for p, share in subword.expected_pieces(w, edges).items():
+                    found[p] += round(share * 1_000_000) * n
+            counts = {p: found[p] or 1 for p in counts if found[p] or p in chars}
+        if len(counts) <= wanted:
+            return counts
+        room = max(wanted, int(len(counts) * keep)) - len(chars)
+        best = sorted((p for p in counts if p not in chars), key=lambda p: (-counts[p], p))[:room]
+        counts = {p: counts[p] for p in [*best, *chars]}
+
+
+@pytest.mark.parametrize("size, way", [(60, "in task"), (60, "joined"), (32000, "in task")])
+def test_unigram_equals_plain_training(spark, request, size, way):
+    if way == "joined":
+        request.getfixturevalue("joins_only")
+    rnd = random.Random(3)
+    some = ["".join(rnd.choice("abcd") for _ in range(rnd.randint(1, 7))) for _ in range(60)]
+    text = " ".join(rnd.choice(some) for _ in range(300))
+    made = subword.unigram_train(corpus(spark, text), size, coverage=1.0).filter("kind = 'piece'").orderBy("id").collect()
+    others = 3 + len(subword.CONTROL_SYMBOLS) + len(subword.USER_SYMBOLS)
+    want = trained_pieces(Counter("▁" + w for w in text.split()), size - others)
+    total = math.log(sum(want.values()))
+    assert {r.piece: r.score for r in made} == pytest.approx({p: math.log(n) - total for p, n in want.items()}, abs=1e-3)
+    assert [r.id for r in made] == list(range(others, others + len(made)))
+
+
+def test_unigram_query_keeps_more_than_a_thousand_pieces(spark, data):
+    assert catalog.a05_unigram_train(spark, data).count() > 1000
+
+
 def test_best_segmentation_is_best():
     scores = {"a": -1.0, "b": -1.5, "ab": -2.0, "aba": -2.4, "ba": -2.0}
 
