@@ -230,12 +230,11 @@ def train(codes: Sequence[int], counts: Sequence[int]) -> dict[int, float]:
         own = kinds == kind
         target[own] = estimate(signs[own], weight[own])[0]
     x = _features(codes)
-    share = weight / weight.sum() * min(weight.sum(), 1e6)
     w = np.zeros(x.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (share * (target - p)) - w
-        step = np.linalg.solve(x.T @ (x * (share * p * (1 - p))[:, None]) + np.eye(len(w)), gradient)
+        gradient = x.T @ (weight * (target - p)) - w
+        step = np.linalg.solve(x.T @ (x * (weight * p * (1 - p))[:, None]) + np.eye(len(w)), gradient)
         w += step
         if np.abs(step).max() < 1e-9:
             break

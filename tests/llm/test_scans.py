@@ -97,6 +97,26 @@ def test_weak_labels_decide_on_candidates(spark):
     assert right >= 0.95 * len(truth)
 
 
+def test_rare_kinds_weigh_by_their_counts_beside_frequent_ones():
+    """At the optimum a kind's weighted residual is its own ridge term, whatever the size of the corpus."""
+    rng = np.random.default_rng(2)
+    counts = {}
+    for kind, total in ((0, 1e10), (3, 1e10), (4, 1000), (5, 1000)):
+        for _ in range(40):
+            code = kind
+            for vote in rng.integers(0, 3, len(pii.LABELERS)):
+                code = code * 3 + int(vote)
+            code = (code * pii.DIGIT_BUCKETS + int(rng.integers(6))) * pii.SEPARATORS + int(rng.integers(2))
+            counts[code] = counts.get(code, 0) + max(1, int(total * rng.random() / 20))
+    codes = sorted(counts)
+    made = pii.train(codes, [counts[c] for c in codes])
+    for kind in (0, 3, 4, 5):
+        own = [c for c in codes if pii.unpack_code(c)[0] == kind]
+        weight = np.array([counts[c] for c in own], float)
+        target = pii.estimate(np.array([pii.unpack_code(c)[1] for c in own]), weight)[0]
+        assert abs(float(weight @ (target - np.array([made[c] for c in own])))) < 20
+
+
 def test_labelers_are_judged_without_labels():
     rng = np.random.default_rng(6)
     truth = rng.random(4000) < 0.4
