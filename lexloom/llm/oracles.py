@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import linededup, mixing, quality, secrets
+from . import audit, linededup, mixing, quality, secrets
 
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -170,6 +170,29 @@ _LINES = rf"""
         CASE WHEN d.text IS NULL THEN NULL WHEN n_gone > 0 AND n_gone = n_lines THEN sha256('') ELSE sha256(coalesce(kept.text, '')) END AS kept_sha256
     FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN counts USING (doc_id) LEFT JOIN ranges USING (doc_id)"""
 
+_AUDIT = rf"""
+    WITH texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{WORDS}') AS w FROM documents),
+    failed AS MATERIALIZED (SELECT doc_id, part, [len(w) < {audit.MIN_WORDS}, 100 * len(list_distinct(w)) < {audit.DISTINCT_PERCENT} * len(w),
+            100 * len(regexp_extract_all(t, '[A-Z]')) > {audit.CAPITAL_PERCENT} * length(t), regexp_matches(t, '{audit.SYMBOLS}'),
+            coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS f FROM texts),
+    marks AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+    counts AS MATERIALIZED (SELECT part, f, count(*) AS docs, coalesce(sum(good), 0) AS good, coalesce(sum(toxic), 0) AS toxic
+        FROM failed LEFT JOIN marks USING (doc_id) GROUP BY part, f),
+    letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+    orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+        WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+    walked AS (SELECT part, filter_order, step, filter_order[step] AS x, docs, good, toxic, f[ascii(filter_order[step]) - 64] AS fails,
+            len(list_filter(f, lambda y: y)) AS n_fails,
+            list_bool_or(list_transform(range(1, step), lambda k: f[ascii(filter_order[k]) - 64])) AS earlier
+        FROM counts, orders, unnest(range(1, 6)) AS u(step)),
+    told AS (SELECT part, filter_order, step, x, coalesce(sum(docs) FILTER (NOT fails AND NOT coalesce(earlier, false)), 0) AS kept,
+            coalesce(sum(docs) FILTER (fails AND NOT coalesce(earlier, false)), 0) AS removed, coalesce(sum(docs) FILTER (fails AND earlier), 0) AS redundant,
+            coalesce(sum(docs) FILTER (fails AND n_fails = 1), 0) AS unique_fails, coalesce(sum(good) FILTER (fails AND NOT coalesce(earlier, false)), 0) AS good_lost,
+            coalesce(sum(toxic) FILTER (fails AND NOT coalesce(earlier, false)), 0) AS toxic_lost FROM walked GROUP BY part, filter_order, step, x)
+    SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+        unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost,
+        (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley FROM told"""
+
 ORACLES = {
     "op1_secrets": _secrets(),
     "op2_quality": _quality(),
@@ -177,4 +200,5 @@ ORACLES = {
     "op4_topk": _TOPK,
     "op6_jaccard": _JACCARD,
     "op8_lines": _LINES,
+    "op12_audit": _AUDIT,
 }

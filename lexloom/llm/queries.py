@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, each over its whole table with production parameters."""
+"""The registered queries of the operators, each over its whole table with production parameters."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, linededup, mixing, pii, quality, secrets, sharding, tokenfile, topk
+from . import audit, bpe, jaccard, language, linededup, mixing, pii, quality, secrets, sharding, spelling, tokenfile, topk
 from .common import new_folder, read_table
 from .oracles import ORACLES
 
@@ -68,6 +68,20 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.group_variants(read_table(spark, sf_dir, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_filters(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op13_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = language.identify(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return named.select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_quality": op2_quality,
@@ -79,6 +93,9 @@ QUERIES = {
     "op8_lines": op8_lines,
     "op9_pii": op9_pii,
     "op10_bpe": op10_bpe,
+    "op11_spelling": op11_spelling,
+    "op12_audit": op12_audit,
+    "op13_language": op13_language,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
