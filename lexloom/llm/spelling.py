@@ -14,16 +14,15 @@ is cut into tiles that meet pair by pair in different tasks, so no task holds a
 
 from __future__ import annotations
 
-import re
-import zlib
-from collections import Counter
 from collections.abc import Iterable, Iterator
+from string import ascii_lowercase, ascii_uppercase
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.arrays import unnest
 from .common import stored
 
 MIN_LETTERS = 7
@@ -34,7 +33,6 @@ TILE = 4096  # words of a group that meet in one task
 TILE_LETTERS = 8 << 20
 BLOCK = 512  # rows of one matrix
 BLOCK_LETTERS = 4 << 20
-HELD_WORDS = 100_000  # distinct words that a task counts before it hands them on
 EXACT_SINGLE = 4000  # longest word whose squared counts single precision holds exactly
 
 _COLUMN = np.full(256, -1, np.int64)  # of a letter in the matrix of counts
@@ -46,42 +44,22 @@ N_LETTERS = 90
 # ---------------------------------------------------------------- words
 
 
-def document_words(doc_id: str, text: str, least: int = MIN_LETTERS, delete_each: int = DELETE_EACH) -> Iterator[tuple[str, int]]:
-    """(word, times) of one text: its lower-cased runs of letters, some with a letter deleted."""
-    lowered = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")  # A-Z only
-    start = zlib.crc32(f"{doc_id}:".encode())
-    for run, times in Counter(re.findall("[a-zÀ-ÿ]{%d,}" % least, lowered)).items():
-        mark = zlib.crc32(run.encode(), start)
-        if mark % delete_each == 0:
-            at = mark % len(run)
-            run = run[:at] + run[at + 1 :]
-        if len(run) >= least:
-            yield run, times
-
-
 def count_words(docs: DataFrame, text: str = "text") -> DataFrame:
-    """(word, n): the words of all whole texts with at least ``MIN_LETTERS`` letters seen ``MIN_COUNT`` times."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter[str] = Counter()
-
-        def rows() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
-
-        for batch in batches:
-            for key, value in zip(batch.column(0), batch.column(1), strict=True):  # one text at a time
-                found = value.as_py()
-                if found:
-                    for word, times in document_words(key.as_py() or "", found):
-                        held[word] += times
-                if len(held) >= HELD_WORDS:
-                    yield rows()
-                    held = Counter()
-        yield rows()
-
-    given = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    counted = given.mapInArrow(count, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
-    return counted.filter(F.col("n") >= MIN_COUNT)
+    """(word, n): the words of all whole texts with at least ``MIN_LETTERS`` letters seen ``MIN_COUNT`` times.
+
+    Runs of letters are lower-cased (A-Z only), and those that the hash of document and run marks lose
+    the letter it points at. Counts combine before the shuffle.
+    """
+    runs = F.regexp_extract_all(F.col(f"`{text}`"), F.lit(f"[A-Za-z\u00C0-\u00FF]{{{MIN_LETTERS},}}"), F.lit(0))
+    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    found = unnest(docs, [key.alias("_key")], runs, "_run")
+    lowered = F.when(F.rlike("_run", F.lit("[A-Z]")), F.translate("_run", ascii_uppercase, ascii_lowercase)).otherwise(F.col("_run"))
+    found = found.select("_key", lowered.alias("_run")).withColumn("_hash", F.crc32(F.concat("_key", F.lit(":"), "_run")))
+    at = (F.col("_hash") % F.char_length("_run")).cast("int")
+    cut = F.concat(F.substr("_run", F.lit(1), at), F.substr("_run", at + 2))
+    word = F.when(F.col("_hash") % DELETE_EACH == 0, cut).otherwise(F.col("_run"))
+    words = found.select(word.alias("word")).filter(F.char_length("word") >= MIN_LETTERS)
+    return words.groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= MIN_COUNT)
 
 
 # ---------------------------------------------------------------- groups
