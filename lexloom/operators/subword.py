@@ -1,217 +1,28 @@
-"""Sub-word vocabularies and segmentation.
+"""Sub-word vocabularies in the format of greedy matching, and the matching.
 
-Training works on the (word, count) table. Segmentation of a corpus runs inside the task when the
-vocabulary fits the broadcast limit; a larger one is joined to the substrings of the distinct words.
+It runs inside the task when the vocabulary fits the broadcast limit; a larger one is joined to the
+substrings of the distinct words.
 """
 
 from __future__ import annotations
 
-import heapq
-import math
-import re
-from collections.abc import Callable, Iterable, Iterator, Sequence
-from decimal import Decimal
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.arrays import unnest
-from ..session import broadcast_limit, cut_lineage, measured, spread
+from ..session import measured
 from .lookup import lookup, per_distinct
 from .order import with_ordinal
+from .pairmerge import META_PIECES, WORD_MARK
 from .tokenizers import distinct_tokens
-from .vocab import covered_characters, token_counts
 
 LINE_KEYS = ("doc_id", "line_no")
 
-# The word-start mark and the special tokens of the two vocabulary formats.
-WORD_MARK = "▁"
-META_PIECES = ("<unk>", "<s>", "</s>")
+# The special tokens that open the vocabulary.
 BERT_SPECIALS = ("[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]")
-CONTROL_SYMBOLS = ("<cls>", "<sep>", "<pad>", "<mask>", "<eod>")
-USER_SYMBOLS = ("<eop>", ".", "(", ")", '"', "-", "–", "£", "€")
-
-_OPEN, _CLOSE, _RARE, _NEXT = "\x01", "\x02", "\x03", "\x04"  # one symbol is written OPEN text CLOSE
-TOP_PAIRS = 512  # most frequent pairs the driver sees in one round; the rest wait for the next one
-MERGES_PER_CUT = 48
-HELD_BYTES = 16 << 20  # of a table of words that is merged in one process
-MICRO = 1_000_000  # expected counts are summed as whole millionths
-
-
-# ---------------------------------------------------------------- pair merging
-
-
-def _marked(word: Column) -> Column:
-    return F.concat(F.lit(WORD_MARK), word)
-
-
-def _adjacent(symbols: Column) -> Column:
-    n = F.size(symbols) - 1
-    pairs = F.zip_with(
-        F.slice(symbols, F.lit(1), n), F.slice(symbols, F.lit(2), n), lambda a, b: F.struct(a.alias("a"), b.alias("b"))
-    )
-    return F.filter(pairs, lambda p: (p["a"] != _RARE) & (p["b"] != _RARE))
-
-
-def _independent(ranked: list, known: set, most: int) -> list:
-    """Leading pairs that one-at-a-time merging would choose next, in this order.
-
-    The round ends at the first pair that shares a symbol with an accepted one, after a pair of
-    equal symbols or one whose text is a piece already, at ``most`` pairs, or at the end of a cut
-    list. A pair made by the accepted merges is at most as frequent as the pair the round ended at,
-    so accepted pairs of that very count are given back: a new pair may come before them. The first
-    pair is always right.
-    """
-    chosen, used, made = [], set(), set(known)
-    stop = ranked[-1].n if len(ranked) == TOP_PAIRS else None
-    for row in ranked:
-        if len(chosen) == most or row.a in used or row.b in used:
-            stop = row.n
-            break
-        chosen.append(row)
-        used.update((row.a, row.b))
-        if row.a == row.b or row.a + row.b in made:
-            stop = row.n
-            break
-        made.add(row.a + row.b)
-    while stop is not None and len(chosen) > 1 and chosen[-1].n == stop:
-        chosen.pop()
-    return chosen
-
-
-def merged_in_memory(words: Iterable[tuple[str, int]], known: set, wanted: int) -> dict[str, None]:
-    """The pieces of one-at-a-time merging in order, at most ``wanted``, not counting ``known`` ones.
-
-    Only words that hold the merged pair are touched; a heap with old entries finds the next pair.
-    """
-    known, made = set(known), {}
-    split, cnt = [], []
-    counts: dict[tuple[str, str], int] = {}
-    places: dict[tuple[str, str], set[int]] = {}
-
-    def add(i: int, symbols: list[str], sign: int) -> None:
-        for pair in zip(symbols, symbols[1:]):
-            if _RARE not in pair:
-                counts[pair] = counts.get(pair, 0) + sign * cnt[i]
-                if sign > 0:
-                    places.setdefault(pair, set()).add(i)
-
-    for i, (word, n) in enumerate(words):
-        split.append(list(word))
-        cnt.append(n)
-        add(i, split[i], 1)
-    heap = [(-n, pair) for pair, n in counts.items()]
-    heapq.heapify(heap)
-    while heap and len(made) < wanted:
-        n, pair = heapq.heappop(heap)
-        if counts.get(pair) != -n:
-            continue
-        a, b = pair
-        if a + b not in known:
-            made[a + b] = None
-        known.add(a + b)
-        touched = set()
-        for i in places.pop(pair):
-            old, new, at = split[i], [], 0
-            while at < len(old):
-                both = old[at] == a and at + 1 < len(old) and old[at + 1] == b
-                new.append(a + b if both else old[at])
-                at += 1 + both
-            if len(new) < len(old):
-                add(i, old, -1)
-                add(i, new, 1)
-                touched.update(zip(old, old[1:]), zip(new, new[1:]))
-                split[i] = new
-        for p in touched:
-            n = counts.get(p)
-            if n:
-                heapq.heappush(heap, (-n, p))
-            elif n == 0:
-                del counts[p]
-                places.pop(p, None)
-    return made
-
-
-def _inner(sym: str) -> Column:
-    return F.substr(F.col(sym), F.lit(2), F.length(sym) - 2)
-
-
-def _merged(symbols: DataFrame, pending: list[str]) -> DataFrame:
-    """Apply merges in order. The list is one constant, so every round compiles to the same code."""
-    if not pending:
-        return symbols
-    pairs = F.split(F.lit(_NEXT.join(pending)), _NEXT)
-    joint = F.lit(_CLOSE + _OPEN)
-    merge = lambda sym, pair: F.replace(sym, pair, F.replace(pair, joint, F.lit("")))
-    return symbols.withColumn("sym", F.aggregate(pairs, F.col("sym"), merge))
-
-
-def bpe_train(
-    df: DataFrame,
-    vocab_size: int = 32000,
-    coverage: float = 0.9995,
-    col: str = "line",
-) -> DataFrame:
-    """Byte-pair vocabulary (id, piece, score): meta pieces, merges in order, then characters.
-
-    The most frequent pair is merged first, ties by the smaller (left, right), as if one at a time,
-    until the size is reached or no pair is left. A table of distinct words within ``HELD_BYTES`` and
-    the broadcast limit is merged on the driver; of a larger one a round merges, on the cluster, every
-    pair that provably comes next. The control characters U+0001 to U+0004 are dropped from the text.
-    """
-    spark = df.sparkSession
-    lines = df.select(F.translate(tx.strip_line(col), _OPEN + _CLOSE + _RARE + _NEXT, "").alias(col))
-    words = token_counts(lines.select(tx.split_tokens(col).alias("t")), "t")
-    words = cut_lineage(words.select(_marked(F.col("word")).alias("word"), "cnt"))
-    weighted = unnest(words, ["cnt"], F.split("word", ""), "ch").groupBy("ch").agg(F.sum("cnt").alias("cnt"))
-    alphabet = cut_lineage(covered_characters(weighted, coverage))
-    chars = [r.ch for r in alphabet.orderBy(F.desc("cnt"), "ch").collect()]  # at most one row per Unicode character
-    wanted = vocab_size - len(META_PIECES) - len(chars)
-    known = f"[^{''.join(re.escape(c) for c in chars)}]"
-    plain, small = measured(
-        words.select(F.regexp_replace("word", known, _RARE).alias("word"), "cnt"), min(HELD_BYTES, broadcast_limit(spark))
-    )
-    known = set(chars)
-    if small is not None:
-        merged = merged_in_memory(zip(small.column(0).to_pylist(), small.column(1).to_pylist()), known, wanted)
-    else:
-        merged = _merged_in_rounds(plain, known, wanted)
-    pieces = list(META_PIECES) + list(merged) + chars
-    n_meta = len(META_PIECES)
-    rows = [(i, p, 0.0 if i < n_meta else float(n_meta - i)) for i, p in enumerate(pieces)]
-    return spark.createDataFrame(rows, "id bigint, piece string, score double")
-
-
-def _merged_in_rounds(words: DataFrame, known: set, wanted: int) -> dict[str, None]:
-    """As :func:`merged_in_memory`, for a table of any size."""
-    symbols = spread(cut_lineage(words.select(F.regexp_replace("word", "(?s)(.)", f"{_OPEN}$1{_CLOSE}").alias("sym"), "cnt")))
-    merged: dict[str, None] = {}  # new pieces in order
-    known, pending = set(known), []
-    while len(merged) < wanted:
-        now = _merged(symbols, pending)
-        ranked = (
-            unnest(now.select("cnt", F.split(_inner("sym"), _CLOSE + _OPEN).alias("parts")), ["cnt"], _adjacent(F.col("parts")), "p")
-            .groupBy("p.a", "p.b")
-            .agg(F.sum("cnt").alias("n"))
-            .orderBy(F.desc("n"), "a", "b")
-            .limit(TOP_PAIRS)
-            .collect()
-        )
-        chosen = _independent(ranked, known, wanted - len(merged))
-        if not chosen:
-            break
-        for row in chosen:
-            pending.append(_OPEN + row.a + _CLOSE + _OPEN + row.b + _CLOSE)
-            if row.a + row.b not in known:
-                merged[row.a + row.b] = None
-            known.add(row.a + row.b)
-        if len(pending) >= MERGES_PER_CUT:
-            # A word that is one symbol by now has nothing left to merge.
-            left = _merged(symbols, pending).filter(F.contains("sym", F.lit(_CLOSE + _OPEN)))
-            symbols, pending = spread(cut_lineage(left)), []
-    return merged
 
 
 def to_bert_vocab(pieces: DataFrame) -> DataFrame:
@@ -316,9 +127,6 @@ def wordpiece(
     return wordpiece_words(words, vocab, "_words", out, max_chars, line_keys).drop("_words")
 
 
-# ---------------------------------------------------------------- unigram pieces
-
-
 def _substrings(words: DataFrame, longest: int) -> DataFrame:
     """(word, start, len, sub) of all substrings up to ``longest`` characters."""
     starts = unnest(words, ["*"], F.when(F.length("word") > 0, F.sequence(F.lit(1), F.length("word"))), "start")
@@ -326,191 +134,3 @@ def _substrings(words: DataFrame, longest: int) -> DataFrame:
     return unnest(starts, ["*"], F.sequence(F.lit(1), reach), "len").withColumn(
         "sub", F.substr(F.col("word"), F.col("start"), F.col("len"))
     )
-
-
-def _lattice(word: str, scores: dict, longest: int, unknown: float) -> list[list[tuple[int, float]]]:
-    """For each end position, the (start, score) of the pieces that end there."""
-    edges = []
-    for end in range(1, len(word) + 1):
-        found = [(s, scores[word[s:end]]) for s in range(max(0, end - longest), end) if word[s:end] in scores]
-        edges.append(found if any(s == end - 1 for s, _ in found) else found + [(end - 1, unknown)])
-    return edges
-
-
-def best_segmentation(word: str, edges: list[list[tuple[int, float]]]) -> list[str]:
-    """Pieces of the most likely path; equal paths prefer the longer last piece."""
-    best, back = [0.0] + [-math.inf] * len(word), [0] * (len(word) + 1)
-    for end, into in enumerate(edges, 1):
-        for start, score in into:
-            if best[start] + score > best[end]:
-                best[end], back[end] = best[start] + score, start
-    cuts, at = [], len(word)
-    while at:
-        cuts.append(word[back[at] : at])
-        at = back[at]
-    return cuts[::-1]
-
-
-def _log_add(a: float, b: float) -> float:
-    if a < b:
-        a, b = b, a
-    return a if b == -math.inf else a + math.log1p(math.exp(b - a))
-
-
-def expected_pieces(word: str, edges: list[list[tuple[int, float]]]) -> dict[str, float]:
-    """Expected number of times each piece is used, over all segmentations of the word."""
-    n = len(word)
-    ahead, behind = [0.0] + [-math.inf] * n, [-math.inf] * n + [0.0]
-    for end in range(1, n + 1):
-        for start, score in edges[end - 1]:
-            ahead[end] = _log_add(ahead[end], ahead[start] + score)
-    for end in range(n, 0, -1):
-        for start, score in edges[end - 1]:
-            behind[start] = _log_add(behind[start], behind[end] + score)
-    out: dict[str, float] = {}
-    for end in range(1, n + 1):
-        for start, score in edges[end - 1]:
-            piece = word[start:end]
-            share = math.exp(ahead[start] + score + behind[end] - ahead[n])
-            out[piece] = out.get(piece, 0.0) + share
-    return out
-
-
-def _expected_counts(words: DataFrame, scores: DataFrame) -> DataFrame:
-    """(piece, n): one pass over the distinct words, summed in whole millionths.
-
-    Tasks get the (piece, score) table whole, or by word when it is too large for that.
-    """
-    scores, small = measured(scores.select("piece", "score"))
-    bounds = scores.agg(F.max(F.length("piece")), F.min("score")).first()
-    longest, unknown = bounds[0] or 1, (bounds[1] or 0.0) - 10.0
-    if small is not None:
-        table = dict(zip(small.column(0).to_pylist(), small.column(1).to_pylist()))
-        shared = words.sparkSession.sparkContext.broadcast(table)
-        rows = words.select("word", "cnt")
-    else:
-        shared, rows = None, words.join(_word_scores(words, scores, longest), "word", "left").select("word", "cnt", "subs")
-
-    def e_step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            sums: dict[str, int] = {}
-            for word, cnt, *subs in batch.itertuples(index=False):
-                table = _own_scores(subs[0]) if subs else shared.value
-                for piece, share in expected_pieces(word, _lattice(word, table, longest, unknown)).items():
-                    sums[piece] = sums.get(piece, 0) + round(share * MICRO) * int(cnt)
-            yield pd.DataFrame({"piece": list(sums.keys()), "n": [Decimal(n) for n in sums.values()]})
-
-    made = rows.mapInPandas(e_step, "piece string, n decimal(38,0)").groupBy("piece")
-    return made.agg(F.sum("n").cast("decimal(38,0)").alias("n"))
-
-
-def user_symbol_pattern(symbols: Sequence[str] = USER_SYMBOLS) -> str:
-    return "|".join(re.escape(s) for s in sorted(symbols, key=len, reverse=True))
-
-
-def unigram_train(
-    df: DataFrame,
-    vocab_size: int = 32000,
-    coverage: float = 0.99995,
-    control: Sequence[str] = CONTROL_SYMBOLS,
-    user: Sequence[str] = USER_SYMBOLS,
-    col: str = "line",
-    longest: int = 16,
-    keep: float = 0.75,
-) -> DataFrame:
-    """Unigram vocabulary (id, piece, score, kind) by expectation maximization and pruning.
-
-    Our rule: seeds are all substrings of up to ``longest`` characters that occur twice; two rounds of
-    EM, then the ``keep`` share with the highest expected counts stays, until the size is reached;
-    single characters always stay. Pieces stay on the cluster.
-    """
-    spark = df.sparkSession
-    tokens = df.select(tx.split_tokens(tx.strip_line(col)).alias("t"))
-    raw = token_counts(tokens, "t").select(_marked(F.col("word")).alias("word"), "cnt")
-    parts = unnest(raw, ["cnt"], F.split("word", user_symbol_pattern(user)), "part").filter("part <> ''")
-    parts = parts.withColumnRenamed("part", "word")
-    words = spread(cut_lineage(parts.groupBy("word").agg(F.sum("cnt").alias("cnt"))))
-    chars = unnest(words, ["cnt"], F.split("word", ""), "ch").groupBy("ch").agg(F.sum("cnt").alias("cnt"))
-    alphabet = covered_characters(chars, coverage).select(F.col("ch").alias("piece"), F.col("cnt").alias("n"), F.lit(True).alias("char"))
-    seeds = (
-        _substrings(words, longest)
-        .filter("len > 1")
-        .groupBy(F.col("sub").alias("piece"))
-        .agg(F.sum("cnt").alias("n"))
-        .filter("n > 1")
-        .withColumn("char", F.lit(False))
-    )
-    counts = cut_lineage(seeds.unionByName(alphabet).withColumn("n", F.col("n").cast("decimal(38,0)")))
-    n_chars = counts.filter("char").count()
-    wanted = max(vocab_size - len(META_PIECES) - len(control) - len(user), n_chars)
-    while True:
-        for _ in range(2):
-            found = _expected_counts(words, _log_shares(counts)).filter("n > 0")
-            known = counts.select("piece", "char").join(found, "piece", "left").filter("char OR n IS NOT NULL")
-            counts = cut_lineage(known.select("piece", F.coalesce("n", F.lit(1)).cast("decimal(38,0)").alias("n"), "char"))
-        size = counts.count()
-        if size <= wanted:
-            break
-        room = max(max(wanted, int(size * keep)) - n_chars, 0)
-        ranked = with_ordinal(counts.filter("NOT char"), [F.desc("n"), "piece"], "_n")
-        stay = ranked.filter(F.col("_n") < room).drop("_n")
-        counts = cut_lineage(stay.unionByName(counts.filter("char")))
-    rows = [(p, 0.0, "meta") for p in META_PIECES]
-    rows += [(p, 0.0, "control") for p in control] + [(p, 0.0, "user") for p in user]
-    head = spark.createDataFrame([(i, *row) for i, row in enumerate(rows)], "id bigint, piece string, score double, kind string")
-    body = with_ordinal(_log_shares(counts), [F.desc("n"), "piece"], "_n")
-    return head.unionByName(body.select((F.col("_n") + len(rows)).alias("id"), "piece", "score", F.lit("piece").alias("kind")))
-
-
-def _log_shares(counts: DataFrame) -> DataFrame:
-    """``counts`` with score: the logarithm of each count's share in all."""
-    total = counts.agg(F.sum("n")).first()[0]
-    return counts.withColumn("score", F.log(F.col("n").cast("double")) - F.lit(math.log(total or 1)))
-
-
-def unigram_encode(
-    df: DataFrame,
-    vocab: DataFrame,
-    col: str = "line",
-    out: str = "tokens",
-    line_keys: Sequence[str] = LINE_KEYS,
-) -> DataFrame:
-    """Most likely pieces of every word; a character without a piece stays as itself."""
-    pieces, small = measured(vocab.filter(F.col("kind").isin("piece", "user")).select("piece", "score"))
-    marked = F.transform(tx.split_tokens(tx.strip_line(col)), _marked)
-    lines = df.withColumn("_words", marked)
-    bounds = pieces.agg(F.max(F.length("piece")), F.min("score")).first()
-    longest, unknown = bounds[0] or 1, (bounds[1] or 0.0) - 10.0
-    if small is not None:
-        scores = dict(zip(small.column(0).to_pylist(), small.column(1).to_pylist()))
-        shared = df.sparkSession.sparkContext.broadcast(scores)
-        segment = lambda w: best_segmentation(w, _lattice(w, shared.value, longest, unknown))
-        nested = lines.withColumn("_pieces", per_distinct(segment)(F.col("_words")))
-    else:
-        table = _unigram_table(distinct_tokens(lines, "_words", "word"), pieces, longest, unknown)
-        nested = lookup(lines, "_words", table, "word", "pieces", "_pieces", line_keys)
-    return nested.withColumn(out, F.flatten("_pieces")).drop("_pieces", "_words")
-
-
-def _unigram_table(words: DataFrame, pieces: DataFrame, longest: int, unknown: float) -> DataFrame:
-    """(word, pieces) by joining the substrings of the distinct words to the vocabulary."""
-    edges = _word_scores(words, pieces, longest)
-
-    def segment(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            made = []
-            for word, subs in zip(batch["word"], batch["subs"]):
-                made.append(best_segmentation(word, _lattice(word, _own_scores(subs), longest, unknown)))
-            yield pd.DataFrame({"word": batch["word"], "pieces": made})
-
-    return words.join(edges, "word", "left").mapInPandas(segment, "word string, pieces array<string>")
-
-
-def _word_scores(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """(word, subs): the substrings of every word that are pieces, with their scores."""
-    hits = _substrings(words.select("word"), longest).join(pieces.withColumnRenamed("piece", "sub"), "sub")
-    return hits.groupBy("word").agg(F.collect_list(F.struct("sub", "score")).alias("subs"))
-
-
-def _own_scores(subs) -> dict[str, float]:
-    return {s["sub"]: s["score"] for s in subs} if subs is not None else {}

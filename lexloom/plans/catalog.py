@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions.hangul import normalize_repeats, to_jamo
 from ..functions.vectors import random_vector
-from ..operators import cooccur, embed, factorize, order, pretrain, rows, sentvec, sets, spacing, subword, tokenizers, vocab, wordscore
+from ..operators import cooccur, embed, factorize, order, pairmerge, pretrain, rows, sentvec, sets, spacing, subword, swivel, tokenizers, unigram, vocab, wordscore
 from ..functions.arrays import unnest
 from ..session import cut_lineage, shared_folder, spread
 from ..sources import corpora, sinks
@@ -323,14 +323,42 @@ def t05_wordpiece(spark, folder):
     return keyed(subword.wordpiece(lines(spark, folder), pieces), joined("tokens").alias("tokens"))
 
 
+@query
+def t05_trained_wordpiece(spark, folder):
+    """Training, vocabulary and matching in a chain: pieces of the documents cut the documents."""
+    pieces = subword.to_bert_vocab(pairmerge.bpe_train(lines(spark, folder)))
+    return keyed(subword.wordpiece(lines(spark, folder), cut_lineage(pieces)), joined("tokens").alias("tokens"))
+
+
 def unigram_vocab(spark, folder) -> DataFrame:
-    return subword.unigram_train(lines(spark, folder))
+    return unigram.unigram_train(lines(spark, folder))
+
+
+def short_pieces(words: DataFrame) -> DataFrame:
+    """(piece, score): frequent substrings of up to four characters with the logarithm of their share."""
+    sized = unnest(words, ["word", "cnt"], F.sequence(F.lit(1), F.length("word")), "at")
+    sized = unnest(sized, ["word", "cnt", "at"], F.sequence(F.lit(1), F.least(F.lit(4), F.length("word") - F.col("at") + 1)), "n")
+    counts = sized.groupBy(F.substr("word", F.col("at"), F.col("n")).alias("piece")).agg(F.sum("cnt").alias("n")).filter("n >= 50")
+    total = counts.agg(F.sum("n")).first()[0] or 1
+    return counts.select("piece", F.round(F.ln(F.col("n") / total), 6).alias("score"))
+
+
+@query
+def t06_short_pieces(spark, folder):
+    """The best segmentations under a table of short pieces."""
+    words = tokens_marked(spark, folder)
+    pieces = cut_lineage(short_pieces(words).withColumn("kind", F.lit("piece")))
+    return keyed(unigram.unigram_encode(lines(spark, folder), pieces), joined("tokens").alias("tokens"))
+
+
+def tokens_marked(spark, folder) -> DataFrame:
+    return cut_lineage(unigram.training_words(lines(spark, folder), user=()))
 
 
 @query
 def t06_unigram_encode(spark, folder):
     pieces = unigram_vocab(spark, folder)
-    return keyed(subword.unigram_encode(lines(spark, folder), pieces), joined("tokens").alias("tokens"))
+    return keyed(unigram.unigram_encode(lines(spark, folder), pieces), joined("tokens").alias("tokens"))
 
 
 @query
@@ -361,7 +389,7 @@ def a03_char_coverage(spark, folder):
 
 @query
 def a04_bpe_train(spark, folder):
-    return subword.bpe_train(lines(spark, folder))
+    return pairmerge.bpe_train(lines(spark, folder))
 
 
 @query
@@ -369,6 +397,20 @@ def a05_unigram_train(spark, folder):
     return unigram_vocab(spark, folder).select("id", "piece", rounded("score").alias("score"), "kind")
 
 
+@query
+def a05_seeds(spark, folder):
+    """The repeats that training starts from."""
+    return unigram.repeated_substrings(tokens_marked(spark, folder))
+
+
+@query
+def a05_expected_counts(spark, folder):
+    """One step of expectation under a table of short pieces."""
+    words = tokens_marked(spark, folder)
+    found = unigram.expected_counts(words, cut_lineage(short_pieces(words)))
+    return found.select("piece", F.round(F.col("n").cast("double") / unigram.MICRO, 2).alias("n"))
+
+
 @query
 def a06_bert_vocab(spark, folder):
     """Words that start like a piece and word endings, in frequency order, as a piece table."""
@@ -501,7 +543,7 @@ def m05_glove(spark, folder):
 @query
 def m06_pmi_factors(spark, folder):
     cells, words = id_cells(spark, folder, window=5)
-    return shape_of(factorize.pmi_factorize(cut_lineage(cooccur.pmi(cells)), words, dim=DIM), "word")
+    return shape_of(swivel.pmi_factorize(cut_lineage(cooccur.pmi(cells)), words, dim=DIM), "word")
 
 
 @query

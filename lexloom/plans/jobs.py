@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions.hangul import to_jamo
 from ..functions.vectors import random_vector
-from ..operators import cooccur, embed, factorize, order, pretrain, rows, sentvec, sets, spacing, subword, tokenizers, vocab, wordscore
+from ..operators import cooccur, embed, factorize, order, pairmerge, pretrain, rows, sentvec, sets, spacing, subword, swivel, tokenizers, unigram, vocab, wordscore
 from ..session import cut_lineage
 from ..sources import corpora, sinks
 
@@ -114,7 +114,7 @@ def score_tokenize(spark, input: str, model: str, output: str) -> None:
 
 
 def bert_vocab(spark, input: str, vocab_path: str, size: int = 32000) -> None:
-    pieces = subword.bpe_train(_lines(spark, input), size, 0.9995)
+    pieces = pairmerge.bpe_train(_lines(spark, input), size, 0.9995)
     sinks.save_table(subword.to_bert_vocab(pieces), vocab_path)
 
 
@@ -124,7 +124,7 @@ def bert_tokenize(spark, input: str, vocab_path: str, output: str) -> None:
 
 
 def xlnet_vocab(spark, input: str, vocab_path: str, size: int = 32000) -> None:
-    sinks.save_table(subword.unigram_train(_lines(spark, input), size, 0.99995), vocab_path)
+    sinks.save_table(unigram.unigram_train(_lines(spark, input), size, 0.99995), vocab_path)
 
 
 def vocab_export(spark, vocab_path: str, output: str) -> None:
@@ -173,7 +173,7 @@ def glove(spark, input: str, output: str, dim: int = 100) -> None:
 
 def swivel(spark, input: str, output: str, dim: int = 100) -> None:
     words, cells = _vocab_and_cells(spark, input, 5)
-    sinks.save_table(factorize.pmi_factorize(cut_lineage(cooccur.pmi(cells)), words, dim), output)
+    sinks.save_table(swivel.pmi_factorize(cut_lineage(cooccur.pmi(cells)), words, dim), output)
 
 
 def fasttext(spark, input: str, output: str, dim: int = 100) -> None:
@@ -292,7 +292,7 @@ def xlnet_data(spark, input: str, vocab_path: str, output: str, by_line: bool =
     """
     pieces = sinks.load_table(spark, vocab_path)
     docs = _documents(spark, input, by_line).select("doc_id", F.replace("text", F.lit("\n"), F.lit(" ")).alias("line"))
-    encoded = subword.unigram_encode(docs, pieces, line_keys=["doc_id"])
+    encoded = unigram.unigram_encode(docs, pieces, line_keys=["doc_id"])
     ids = pieces.select(F.col("piece").alias("token"), "id")
     coded = tokenizers.encode_ids(encoded, ids, unknown=0, line_keys=["doc_id"])
     coded = cut_lineage(coded.select("doc_id", F.col("ids").alias("tokens")))

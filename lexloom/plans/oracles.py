@@ -328,6 +328,68 @@ ORACLES["t05_wordpiece"] = sql(
     cutup="""SELECT t.word, coalesce(max(made), '[UNK]') AS pieces FROM types t
       LEFT JOIN walk w ON w.word = t.word AND w.spot = length(t.word) + 1 GROUP BY t.word""",
 )
+# Unigram pieces: marked words, the table of short pieces, and the pieces inside every word.
+MARKED = {
+    "spaced": exploded("lines", "doc_id, line_no", words_of("line"), "word", "pos"),
+    "marked": "SELECT '▁' || word AS word, count(*) AS cnt FROM spaced GROUP BY 1",
+}
+SHORT = {
+    "spots": "SELECT word, cnt, unnest(range(1, length(word) + 1)) AS spot FROM marked",
+    "subs": "SELECT word, cnt, spot, unnest(range(1, least(4, length(word) - spot + 1) + 1)) AS n FROM spots",
+    "parts": "SELECT substr(word, spot, n) AS piece, CAST(sum(cnt) AS BIGINT) AS n FROM subs GROUP BY 1 HAVING sum(cnt) >= 50",
+    "scored": "SELECT piece, round(ln(n / CAST((SELECT sum(n) FROM parts) AS DOUBLE)), 6) AS score FROM parts",
+    "edges": """SELECT s.word, s.cnt, spot - 1 AS a, spot - 1 + n AS b, coalesce(score, (SELECT min(score) - 10 FROM scored)) AS score, p.piece
+      FROM subs s LEFT JOIN scored p ON p.piece = substr(s.word, spot, n) WHERE p.piece IS NOT NULL OR n = 1""",
+}
+ORACLES["t06_short_pieces"] = sql(
+    "lines",
+    """SELECT l.doc_id, l.line_no, coalesce(g.tokens, '') AS tokens FROM lines l LEFT JOIN
+      (SELECT doc_id, line_no, string_agg(made, ' ' ORDER BY pos) AS tokens FROM spaced s JOIN cutup c ON c.word = '▁' || s.word
+       GROUP BY doc_id, line_no) g ON g.doc_id = l.doc_id AND g.line_no = l.line_no""",
+    recursive=True,
+    **MARKED,
+    **SHORT,
+    into_="SELECT word, b, list(struct_pack(a := a, score := score) ORDER BY a) AS es FROM edges GROUP BY word, b",
+    walk="""SELECT word, CAST(0 AS BIGINT) AS upto, [CAST(0 AS DOUBLE)] AS best, [''] AS path FROM marked
+      UNION ALL SELECT word, upto + 1, list_append(best, vals[k]),
+        list_append(path, CASE WHEN es[k].a = 0 THEN '' ELSE path[es[k].a + 1] || ' ' END || substr(word, es[k].a + 1, upto + 1 - es[k].a))
+      FROM (SELECT *, list_position(vals, list_max(vals)) AS k FROM (
+        SELECT w.word, w.upto, w.best, w.path, i.es, list_transform(i.es, lambda e: w.best[e.a + 1] + e.score) AS vals
+        FROM walk w JOIN into_ i ON i.word = w.word AND i.b = w.upto + 1))""",
+    cutup="SELECT word, path[length(word) + 1] AS made FROM walk WHERE upto = length(word)",
+)
+ORACLES["a05_seeds"] = sql(
+    "lines",
+    """SELECT piece, CAST(sum(cnt) AS BIGINT) AS n FROM (SELECT substr(word, spot, n) AS piece, cnt,
+        CASE WHEN spot > 1 THEN substr(word, spot - 1, 1) END AS l, CASE WHEN spot + n <= length(word) THEN substr(word, spot + n, 1) END AS r FROM every)
+      GROUP BY piece HAVING sum(cnt) > 1 AND (bool_or(l IS NULL) OR min(l) < max(l)) AND (bool_or(r IS NULL) OR min(r) < max(r))""",
+    **MARKED,
+    spots=SHORT["spots"],
+    every="SELECT word, cnt, spot, unnest(range(2, length(word) - spot + 2)) AS n FROM spots",
+)
+
+
+def log_sums(state: str, place: str) -> str:
+    """One more entry of a list of logarithms: the sum over the pieces that lead there."""
+    return f"""SELECT word, upto + 1, list_append(known, list_max(vals) + ln(list_sum(list_transform(vals, lambda v: exp(v - list_max(vals))))))
+      FROM (SELECT w.word, w.upto, w.known, list_transform(i.es, lambda e: w.known[e.a + 1] + e.score) AS vals
+        FROM {state} w JOIN {place} i ON i.word = w.word AND i.b = w.upto + 1)"""
+
+
+ORACLES["a05_expected_counts"] = sql(
+    "lines",
+    """SELECT piece, round(sum(round(exp(f.known[a + 1] + score + g.known[length(e.word) - b + 1] - f.known[length(e.word) + 1]) * 1000000) * cnt) / 1000000, 2) AS n
+    FROM edges e JOIN whole f ON f.word = e.word JOIN whole_back g ON g.word = e.word WHERE piece IS NOT NULL GROUP BY piece""",
+    recursive=True,
+    **MARKED,
+    **SHORT,
+    into_="SELECT word, b, list(struct_pack(a := a, score := score) ORDER BY a) AS es FROM edges GROUP BY word, b",
+    out_of="SELECT word, length(word) - a AS b, list(struct_pack(a := length(word) - b, score := score) ORDER BY a) AS es FROM edges GROUP BY word, length(word) - a",
+    ahead=f"SELECT word, CAST(0 AS BIGINT) AS upto, [CAST(0 AS DOUBLE)] AS known FROM marked UNION ALL {log_sums('ahead', 'into_')}",
+    behind=f"SELECT word, CAST(0 AS BIGINT) AS upto, [CAST(0 AS DOUBLE)] AS known FROM marked UNION ALL {log_sums('behind', 'out_of')}",
+    whole="SELECT word, known FROM ahead WHERE upto = length(word)",
+    whole_back="SELECT word, known FROM behind WHERE upto = length(word)",
+)
 ORACLES["t07_encode_ids"] = sql(
     "line_tokens tok vocab",
     """SELECT l.doc_id, l.line_no, coalesce(g.ids, '') AS ids FROM line_tokens l LEFT JOIN

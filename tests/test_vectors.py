@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lexloom.operators import embed, factorize, sentvec
+from lexloom.operators import cooccur, embed, factorize, grid, sentvec, swivel
 from lexloom.session import BROADCAST_CONF
 
 
@@ -47,23 +47,114 @@ def random_cells(spark, n=40, seed=3):
 def test_factor_error_falls(spark, limit):
     spark.conf.set(BROADCAST_CONF, limit)
     cells = factorize.sorted_cells(random_cells(spark))
-    errors = []
-    for iters in (1, 2, 4):
-        rows, cols = factorize.als_factors(cells, 4, iters, ridge=1e-3)
-        errors.append(factorize.weighted_error(cells, rows, cols, 4))
+    fit = factorize.als_factors(cells, 4, 4, ridge=1e-3)
     spark.conf.unset(BROADCAST_CONF)
-    assert errors[0] > errors[1] > errors[2]
+    assert all(b <= a * (1 + 1e-9) for a, b in zip(fit.losses, fit.losses[1:])) and fit.losses[-1] < fit.losses[0] / 2
+    table = cells.sorted.collect()
+    rows, cols = ({r.id: np.array(r.vec) for r in side.collect()} for side in (fit.rows, fit.cols))
+    gaps = [c.weight * (rows[c.i][:4] @ cols[c.j][:4] + rows[c.i][4] + cols[c.j][4] - c.target) ** 2 for c in table]
+    squares = sum(v @ v for side in (rows, cols) for v in side.values())
+    assert fit.error == pytest.approx(sum(gaps)) and fit.losses[-1] == pytest.approx(sum(gaps) + 1e-3 * squares)
 
 
-def test_row_cut_by_partitions_gives_the_same_solution(spark):
+class InOrder(factorize.Cells):
+    """Cells cut into partitions as given."""
+
+    def __init__(self, cells):
+        self.sorted, self._grid = factorize.cut_lineage(cells.sortWithinPartitions("i", "j")), None
+
+
+def solved(cells, monkeypatch=None, **sizes):
+    for name, value in sizes.items():
+        monkeypatch.setattr(grid, name, value)
+    return {r.id: r.vec for r in factorize.als_factors(cells, 3, 2).cols.collect()}
+
+
+def test_every_layout_gives_the_same_factors(spark, monkeypatch, request):
+    """Whole factors in tasks, with rows cut by partition bounds, and on grids with rows cut into slices."""
     raw = random_cells(spark)
-    one = factorize.cut_lineage(raw.coalesce(1).sortWithinPartitions("i", "j"))
-    many = factorize.cut_lineage(raw.repartitionByRange(23, "i", "j").sortWithinPartitions("i", "j"))
-    ends = [
-        {r.id: r.vec for r in factorize.als_factors(c, 3, 1)[0].collect()} for c in (one, many)
-    ]
-    assert ends[0].keys() == ends[1].keys()
-    assert all(np.allclose(ends[0][k], ends[1][k]) for k in ends[0])
+    want = solved(InOrder(raw.coalesce(1)))
+    found = [solved(InOrder(raw.repartitionByRange(23, "i", "j")))]
+    request.getfixturevalue("joins_only")
+    found.append(solved(factorize.sorted_cells(raw)))
+    found.append(solved(factorize.sorted_cells(raw), monkeypatch, ROWS=7, COLS=5, PACK=11))
+    found.append(solved(factorize.sorted_cells(raw), monkeypatch, ROWS=7, COLS=5, PACK=11, SLICE=40))
+    for other in found:
+        assert other.keys() == want.keys() and all(np.allclose(other[k], want[k]) for k in want)
+
+
+def test_grid_sends_a_factor_block_once_for_each_pair_of_blocks(spark, monkeypatch):
+    monkeypatch.setattr(grid, "ROWS", 8)
+    monkeypatch.setattr(grid, "COLS", 10)
+    cells = random_cells(spark)
+    made = grid.Grid(cells)
+    assert made.pairs.count() == made.pairs.distinct().count() <= 5 * 4
+    assert made.packs.agg(F.sum("n")).first()[0] == cells.count()
+
+
+def plain_swivel(cells, rows, cols, marginal, total, ridge):
+    """(new row factors, loss before) with a dense matrix."""
+    ids = sorted(rows)
+    w, c = (np.array([side[i] for i in ids]) for side in (rows, cols))
+    m = np.array([marginal[i] for i in ids])
+    at = {i: k for k, i in enumerate(ids)}
+    target, weight = np.full((len(ids), len(ids)), np.nan), np.zeros((len(ids), len(ids)))
+    for x in cells:
+        target[at[x.i], at[x.j]], weight[at[x.i], at[x.j]] = x.pmi, 0.1 + 0.25 * x.x**0.5
+    z = w @ c.T
+    beyond = z - (np.log(total) - m[:, None] - m[None, :])
+    seen = ~np.isnan(target)
+    loss = np.where(seen, weight * (z - np.nan_to_num(target)) ** 2 / 2, np.log1p(np.exp(beyond))).sum()
+    gains, wants = np.where(seen, weight, 0.25), np.where(seen, np.nan_to_num(target), z - 4 / (1 + np.exp(-beyond)))
+    new = {}
+    for k, i in enumerate(ids):
+        new[i] = np.linalg.solve((c * gains[k][:, None]).T @ c + ridge * np.eye(c.shape[1]), (gains[k] * wants[k]) @ c)
+    return new, loss
+
+
+def pmi_fixture(spark, n=60, seed=4):
+    """Two groups of words that occur among themselves only."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        for j in range(i, n):
+            if i % 2 == j % 2 and rng.random() < 0.5:
+                x = float(rng.integers(1, 30))
+                rows += [(i, j, x), (j, i, x)] if i != j else [(i, j, x)]
+    return cooccur.pmi(spark.createDataFrame(rows, "i bigint, j bigint, x double"))
+
+
+def test_swivel_steps_equal_the_dense_form(spark, monkeypatch):
+    for name, value in (("ROWS", 13), ("COLS", 17), ("PACK", 50)):
+        monkeypatch.setattr(grid, name, value)
+    cells = pmi_fixture(spark).collect()
+    one = swivel.swivel_factors(pmi_fixture(spark), 5, 1)
+    two = swivel.swivel_factors(pmi_fixture(spark), 5, 2)
+    table = lambda df: {r.id: np.array(r.vec) for r in df.collect()}
+    total = sum(x.x for x in cells)
+    marginal = {}
+    for x in cells:
+        marginal[x.i] = marginal.get(x.i, 0) + x.x
+    marginal = {i: np.log(v) for i, v in marginal.items()}
+    rows, loss = plain_swivel(cells, table(one.rows), table(one.cols), marginal, total, 0.1)
+    got = table(two.rows)
+    assert all(np.allclose(got[i], rows[i]) for i in rows)
+    squares = sum(v @ v for side in (table(one.rows), table(one.cols)) for v in side.values())
+    assert two.losses[2] == pytest.approx(loss + 0.05 * squares)
+
+
+def test_swivel_keeps_unobserved_pairs_below_observed_ones(spark):
+    cells = pmi_fixture(spark).collect()
+    fit = swivel.swivel_factors(pmi_fixture(spark), 8, 6)
+    assert all(b <= a + 1e-9 for a, b in zip(fit.losses, fit.losses[1:])) and fit.losses[-1] < 0.7 * fit.losses[0]
+    rows, cols = ({r.id: np.array(r.vec) for r in side.collect()} for side in (fit.rows, fit.cols))
+    seen = {(x.i, x.j) for x in cells}
+    inside = [rows[i] @ cols[j] for i in rows for j in rows if (i, j) in seen]
+    across = [rows[i] @ cols[j] for i in rows for j in rows if i % 2 != j % 2]
+    assert np.mean(inside) > np.mean(across) + 1 and np.quantile(inside, 0.1) > np.quantile(across, 0.9)
+    words = spark.createDataFrame([(i, f"w{i}") for i in rows], "id bigint, word string")
+    vectors = swivel.pmi_factorize(pmi_fixture(spark), words, 8, 2).collect()
+    assert {r.word for r in vectors} == {f"w{i}" for i in rows} and {len(r.vec) for r in vectors} == {8}
 
 
 def test_svd_matches_numpy(spark):

@@ -113,145 +113,6 @@ def test_bert_vocab(spark):
     assert made == ["[PAD]", "[UNK]", "[CLS]", "[SEP]", "[MASK]", "ab", "##cd", "ab"]
 
 
-def reference_merges(words, wanted):
-    """One merge at a time, most frequent pair first, ties by the smaller pair."""
-    split = {tuple("▁" + w): n for w, n in words.items()}
-    made, known = [], {c for w in split for c in w}
-    while len(made) < wanted:
-        pairs = Counter()
-        for w, n in split.items():
-            for pair in zip(w, w[1:]):
-                pairs[pair] += n
-        if not pairs:
-            break
-        a, b = min(pairs, key=lambda p: (-pairs[p], p))
-        if a + b not in known:
-            made.append(a + b)
-        known.add(a + b)
-        after = {}
-        for w, n in split.items():
-            out, i = [], 0
-            while i < len(w):
-                if w[i : i + 2] == (a, b):
-                    out.append(a + b)
-                    i += 2
-                else:
-                    out.append(w[i])
-                    i += 1
-            after[tuple(out)] = after.get(tuple(out), 0) + n
-        split = after
-    return made
-
-
-def test_pair_merging_is_exact(spark):
-    text = "aaaa aaab banana bandana low lower lowest newest wider wide new banana low abab ababab"
-    words = Counter(text.split())
-    alphabet = {c for w in words for c in w} | {"▁"}
-    made = subword.bpe_train(corpus(spark, text), 3 + len(alphabet) + 25, coverage=1.0)
-    pieces = [r.piece for r in made.orderBy("id").collect()]
-    want = reference_merges(words, 25)
-    assert pieces[:3] == ["<unk>", "<s>", "</s>"] and pieces[3 : 3 + len(want)] == want
-    assert set(pieces[3 + len(want) :]) == alphabet
-
-
-def test_pair_merging_query_makes_every_merge(spark, tmp_path):
-    """More merges than 200 pieces leave room for, up to the last pair of the corpus."""
-    rnd = random.Random(5)
-    text = " ".join("".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 9))) for _ in range(150))
-    spark.createDataFrame([(1, text, "s")], "doc_id bigint, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
-    words = Counter(text.split())
-    alphabet = {c for w in words for c in w} | {"▁"}
-    pieces = [r.piece for r in catalog.a04_bpe_train(spark, str(tmp_path)).orderBy("id").collect()]
-    want = reference_merges(words, 10_000)
-    assert len(want) > 200 and pieces[3:] == want + pieces[3 + len(want) :] and set(pieces[3 + len(want) :]) == alphabet
-
-
-def test_merging_in_rounds_equals_in_memory(spark, request):
-    lines = corpus(spark, "aaaa aaab banana bandana low lower lowest newest é wide new banana low abab ababab")
-    fast = sorted(map(str, subword.bpe_train(lines, 40, coverage=0.95).collect()))
-    request.getfixturevalue("joins_only")
-    assert sorted(map(str, subword.bpe_train(lines, 40, coverage=0.95).collect())) == fast
-
-
-def test_unigram(spark):
-    lines = corpus(spark, *["banana bandana ban (banana)"] * 20)
-    pieces = subword.unigram_train(lines, vocab_size=34, coverage=1.0)
-    table = pieces.orderBy("id").collect()
-    assert len(table) <= 34 and [r.piece for r in table[:4]] == ["<unk>", "<s>", "</s>", "<cls>"]
-    coded = in_order(subword.unigram_encode(corpus(spark, "banana (x) ban"), pieces))[0]
-    assert "".join(coded) == "▁banana▁(x)▁ban" and "(" in coded
-
-
-def trained_pieces(words, wanted, keep=0.75):
-    """{piece: count} by the same rule in one process: all repeated substrings are seeds."""
-    chars, counts = Counter(), Counter()
-    for w, n in words.items():
-        chars.update({c: w.count(c) * n for c in set(w)})
-        for i in range(len(w)):
-            for j in range(i + 2, min(len(w), i + 16) + 1):
-                counts[w[i:j]] += n
-    counts = {p: n for p, n in counts.items() if n > 1} | chars
-    while True:
-        for _ in range(2):
-            total = math.log(sum(counts.values()))
-            scores, found = {p: math.log(n) - total for p, n in counts.items()}, Counter()
-            for w, n in words.items():
-                edges = subword._lattice(w, scores, 16, min(scores.values()) - 10)
-                for p, share in subword.expected_pieces(w, edges).items():
-                    found[p] += round(share * 1_000_000) * n
-            counts = {p: found[p] or 1 for p in counts if found[p] or p in chars}
-        if len(counts) <= wanted:
-            return counts
-        room = max(wanted, int(len(counts) * keep)) - len(chars)
-        best = sorted((p for p in counts if p not in chars), key=lambda p: (-counts[p], p))[:room]
-        counts = {p: counts[p] for p in [*best, *chars]}
-
-
-@pytest.mark.parametrize("size, way", [(60, "in task"), (60, "joined"), (32000, "in task")])
-def test_unigram_equals_plain_training(spark, request, size, way):
-    if way == "joined":
-        request.getfixturevalue("joins_only")
-    rnd = random.Random(3)
-    some = ["".join(rnd.choice("abcd") for _ in range(rnd.randint(1, 7))) for _ in range(60)]
-    text = " ".join(rnd.choice(some) for _ in range(300))
-    made = subword.unigram_train(corpus(spark, text), size, coverage=1.0).filter("kind = 'piece'").orderBy("id").collect()
-    others = 3 + len(subword.CONTROL_SYMBOLS) + len(subword.USER_SYMBOLS)
-    want = trained_pieces(Counter("▁" + w for w in text.split()), size - others)
-    total = math.log(sum(want.values()))
-    assert {r.piece: r.score for r in made} == pytest.approx({p: math.log(n) - total for p, n in want.items()}, abs=1e-3)
-    assert [r.id for r in made] == list(range(others, others + len(made)))
-
-
-def test_unigram_query_keeps_more_than_a_thousand_pieces(spark, data):
-    assert catalog.a05_unigram_train(spark, data).count() > 1000
-
-
-def test_best_segmentation_is_best():
-    scores = {"a": -1.0, "b": -1.5, "ab": -2.0, "aba": -2.4, "ba": -2.0}
-
-    def all_ways(w):
-        if not w:
-            yield []
-        for n in range(1, len(w) + 1):
-            if w[:n] in scores:
-                for rest in all_ways(w[n:]):
-                    yield [w[:n], *rest]
-
-    for word in ("abab", "aabba", "babab"):
-        edges = subword._lattice(word, scores, 3, -9.0)
-        made = subword.best_segmentation(word, edges)
-        total = lambda way: sum(scores[p] for p in way)
-        assert total(made) == pytest.approx(max(total(w) for w in all_ways(word)))
-        weights = [(math.exp(total(w)), w) for w in all_ways(word)]
-        norm = sum(p for p, _ in weights)
-        want = Counter()
-        for p, way in weights:
-            for piece in way:
-                want[piece] += p / norm
-        got = subword.expected_pieces(word, edges)
-        assert got == pytest.approx(dict(want))
-
-
 def test_cooccurrence(spark):
     df = token_frame(spark, "a b c", "a z b", *["a " * 1 + "b"] * 0)
     words = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "id bigint, word string")
@@ -291,14 +152,6 @@ def test_joined_lookup_equals_in_task(spark, data, name, request):
     assert sorted(map(str, catalog.QUERIES[name](spark, data).collect())) == fast
 
 
-def test_unigram_joined_equals_in_task(spark, request):
-    lines = corpus(spark, "banana bandana", "ban x")
-    pieces = subword.unigram_train(corpus(spark, *["banana bandana ban"] * 9), vocab_size=30, coverage=1.0).cache()
-    fast = in_order(subword.unigram_encode(lines, pieces))
-    request.getfixturevalue("joins_only")
-    assert in_order(subword.unigram_encode(lines, pieces)) == fast
-
-
 @pytest.mark.parametrize("name", ["s13_shards", "a02_lm_vocab", "t04_l_tokens", "p03_sentence_pairs", "a15_pmi"])
 def test_partition_count_does_not_matter(spark, data, name):
     results = []
@@ -307,50 +160,3 @@ def test_partition_count_does_not_matter(spark, data, name):
         results.append(sorted(map(str, catalog.QUERIES[name](spark, data).collect())))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1] == results[2]
-
-
-def _pair_counts(words):
-    counts = {}
-    for symbols, n in words:
-        for pair in zip(symbols, symbols[1:]):
-            counts[pair] = counts.get(pair, 0) + n
-    return counts
-
-
-def _apply(words, pair):
-    out = []
-    for symbols, n in words:
-        made, i = [], 0
-        while i < len(symbols):
-            both = tuple(symbols[i : i + 2]) == pair
-            made.append(symbols[i] + symbols[i + 1] if both else symbols[i])
-            i += 1 + both
-        out.append((made, n))
-    return out
-
-
-def test_rounds_of_merges_equal_one_at_a_time():
-    """3 000 random corpora rich in ties, around the choice of a round's pairs alone."""
-    import random
-    from collections import namedtuple
-
-    row = namedtuple("row", "a b n")
-    rnd = random.Random(1)
-    for _ in range(3000):
-        base = [(list("_" + "".join(rnd.choice("abcde") for _ in range(rnd.randint(1, 5)))), rnd.randint(1, 3)) for _ in range(rnd.randint(1, 8))]
-        chars = {c for symbols, _ in base for c in symbols}
-        size = rnd.randint(1, 12)
-        words, known, want = base, set(chars), []
-        while len(want) < size and (counts := _pair_counts(words)):
-            pair = min(counts, key=lambda p: (-counts[p], p))
-            want += [] if "".join(pair) in known else ["".join(pair)]
-            known.add("".join(pair))
-            words = _apply(words, pair)
-        words, known, got = base, set(chars), []
-        while len(got) < size and (counts := _pair_counts(words)):
-            ranked = [row(*p, counts[p]) for p in sorted(counts, key=lambda p: (-counts[p], p))]
-            for r in subword._independent(ranked, known, size - len(got)):
-                got += [] if r.a + r.b in known else [r.a + r.b]
-                known.add(r.a + r.b)
-                words = _apply(words, (r.a, r.b))
-        assert got == want
