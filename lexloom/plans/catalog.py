@@ -5,13 +5,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.hangul import normalize_repeats, to_jamo
-from ..functions.vectors import random_vector
-from ..operators import cooccur, embed, factorize, order, pairmerge, pretrain, rows, sentvec, sets, spacing, subword, swivel, tokenizers, unigram, vocab, wordscore
+from ..functions.vectors import cosine, dot, mean_vectors, norm, random_vector
+from ..operators import cooccur, embed, factorize, order, pairmerge, paragraph, pretrain, rows, sentvec, sets, skipgram, spacing, subword, swivel, tokenizers, unigram, vocab, wordscore
 from ..functions.arrays import unnest
 from ..session import cut_lineage, shared_folder, spread
 from ..sources import corpora, sinks
@@ -510,15 +511,44 @@ def shape_of(vectors: DataFrame, key: str) -> DataFrame:
     return vectors.select(key, F.size("vec").cast("bigint").alias("dim"), sound.alias("sound"))
 
 
+def whole(x: float) -> F.Column:
+    return F.lit(int(round(x))).cast("bigint")
+
+
+def falling(losses: list[float]) -> bool:
+    """Whether no round of a fit raised its objective."""
+    return all(b <= a * (1 + 1e-9) for a, b in zip(losses, losses[1:]))
+
+
+def spectrum(vectors: DataFrame, cells: DataFrame, key: str) -> DataFrame:
+    """Vectors with what tells a truncated SVD of the cells (i, j, x) from other vectors of its shape.
+
+    ``total`` is the sum of squares of all cells. ``trained``: the columns are orthogonal, their squares
+    reach those of the heaviest rows, as many as there are columns (the best subspace does no worse than
+    these rows), and stay below the total.
+    """
+    vectors = cut_lineage(vectors)
+    gram = factorize._gram(vectors.select("vec"))
+    squares = gram.diagonal()
+    apart = abs(gram - np.diag(squares)).max() <= 1e-3 * squares.max()
+    rows = cells.groupBy("i").agg(F.sum(F.col("x") * F.col("x")).alias("s"))
+    total = rows.agg(F.sum("s")).first()[0]
+    heaviest = sum(r.s for r in rows.orderBy(F.desc("s")).limit(len(squares)).collect())
+    trained = bool(apart and 0.95 * heaviest <= squares.sum() <= total * (1 + 1e-6))
+    return shape_of(vectors, key).withColumn("total", whole(total)).withColumn("trained", F.lit(trained))
+
+
 @query
 def m01_lsa_words(spark, folder):
-    cells, words = id_cells(spark, folder, window=2)
-    return shape_of(embed.lsa_words(cells, words, k=DIM), "word")
+    cells, words = id_cells(spark, folder)
+    return spectrum(embed.lsa_words(cells, words, k=DIM), embed.log_cells(cells), "word")
 
 
 @query
 def m02_lsa_docs(spark, folder):
-    return shape_of(embed.lsa_docs(cut_lineage(cooccur.tfidf(doc_tokens(spark, folder))), k=DIM), "doc_id")
+    weights = cut_lineage(cooccur.tfidf(doc_tokens(spark, folder)))
+    cells = weights.select(F.col("doc_id").alias("i"), F.col("weight").alias("x"))
+    return spectrum(embed.lsa_docs(weights, k=DIM), cells, "doc_id")
 
 
 @query
@@ -529,32 +559,63 @@ def m03_lda(spark, folder):
     return made.select("doc_id", F.size("topics").cast("bigint").alias("k"), (F.abs(total - 1) < 1e-6).alias("whole"))
 
 
+def languages_found(vectors: DataFrame, docs: DataFrame) -> bool:
+    """Whether nearly every word lies nearest to the mean vector of the language it mostly occurs in."""
+    counts = unnest(docs, ["lang"], "tokens", "word").groupBy("word", "lang").agg(F.count("*").alias("n"))
+    home = counts.groupBy("word").agg(F.max_by("lang", F.struct("n", "lang")).alias("lang"), (F.max("n") / F.sum("n")).alias("share"))
+    unit = F.transform("vec", lambda v: v / norm("vec"))
+    own = cut_lineage(vectors.join(home.filter("share > 0.9"), "word").select("lang", unit.alias("vec"), F.lit(1.0).alias("w")))
+    means = mean_vectors(own, ["lang"], dim=DIM).select(F.col("lang").alias("other"), F.col("vec").alias("mean"))  # a row a language
+    scored = own.join(F.broadcast(means)).withColumn("s", cosine("vec", "mean"))
+    best = scored.groupBy("lang", "vec").agg(F.max_by("other", "s").alias("other"))
+    right = best.agg(F.avg((F.col("lang") == F.col("other")).cast("double"))).first()[0]
+    return bool(right is not None and right > 0.9)
+
+
+def lang_tokens(spark, folder) -> DataFrame:
+    return table(spark, folder, "documents").select("lang", tx.split_tokens("text").alias("tokens"))
+
+
 @query
 def m04_word2vec(spark, folder):
-    return shape_of(embed.word2vec(tokens(spark, folder), dim=DIM), "word")
+    trained = skipgram.skip_gram(cut_lineage(tokens(spark, folder)), DIM)
+    vectors = cut_lineage(trained.words())
+    good = languages_found(vectors, lang_tokens(spark, folder)) and trained.losses[-1] < trained.losses[0]
+    return shape_of(vectors, "word").withColumn("trained", F.lit(good))
 
 
 @query
 def m05_glove(spark, folder):
+    """``spread``: the weighted squares of ln x around their mean; what training leaves is a small part."""
     cells, words = id_cells(spark, folder)
-    return shape_of(factorize.glove(cells, words, dim=DIM), "word")
+    laid = factorize.glove_cells(cells)
+    sums = laid.sorted.agg(F.sum("weight"), F.sum(F.col("weight") * F.col("target")), F.sum(F.col("weight") * F.col("target") * F.col("target"))).first()
+    spread_of = sums[2] - sums[1] * sums[1] / sums[0]
+    fit = factorize.als_factors(laid, DIM, 15)
+    made = shape_of(factorize.word_vectors(words, fit.rows, fit.cols, DIM), "word")
+    return made.withColumn("spread", whole(spread_of)).withColumn("trained", F.lit(falling(fit.losses) and fit.error < 0.25 * spread_of))
 
 
 @query
 def m06_pmi_factors(spark, folder):
+    """``pairs``: cells of the matrix that training looks at, observed or not."""
     cells, words = id_cells(spark, folder, window=5)
-    return shape_of(swivel.pmi_factorize(cut_lineage(cooccur.pmi(cells)), words, dim=DIM), "word")
+    fit = swivel.swivel_factors(cut_lineage(cooccur.pmi(cells)), DIM, 6)
+    made = shape_of(swivel.word_vectors(words, fit.rows, fit.cols, DIM), "word")
+    n = fit.rows.count()
+    return made.withColumn("pairs", whole(n * n)).withColumn("trained", F.lit(falling(fit.losses) and fit.losses[-1] < 0.5 * fit.losses[0]))
 
 
 @query
 def m07_char_ngrams(spark, folder):
     words = vocab.token_counts(tokens(spark, folder)).filter("cnt >= 5")
-    grams = embed.char_ngrams(words)
+    grams = skipgram.char_ngrams(words)
     return grams.groupBy("ngram").agg(F.sum("cnt").alias("cnt"), F.count("*").alias("n_words"))
 
 
 @query
 def m07_subword_vectors(spark, folder):
+    """Means of given word vectors over n-grams, and words made of them again."""
     corpus = doc_tokens(spark, folder)
     counts = vocab.token_counts(corpus)
     grams = embed.subword_vectors(word_vectors(spark, folder), counts)
@@ -562,6 +623,18 @@ def m07_subword_vectors(spark, folder):
     return composed.select("word", numbers("vec").alias("vec"))
 
 
+@query
+def m07_fasttext(spark, folder):
+    """Words and n-grams trained together; ``trained`` looks at the words seen too rarely for training, whose
+    vectors come from n-grams alone."""
+    corpus = cut_lineage(tokens(spark, folder))
+    trained = skipgram.skip_gram(corpus, DIM, subwords=(3, 6), epochs=2)
+    vectors = cut_lineage(skipgram.composed(vocab.token_counts(corpus), trained))
+    rare = cut_lineage(vectors.join(trained.vocab, "word", "left_anti"))
+    good = languages_found(rare, lang_tokens(spark, folder))
+    return shape_of(vectors.join(trained.vocab, "word", "left_semi"), "word").withColumn("trained", F.lit(good))
+
+
 @query
 def m08_jamo_subwords(spark, folder):
     jamo = hangul_lines(spark, folder).select(tx.split_tokens(to_jamo("line")).alias("tokens"))
@@ -571,12 +644,37 @@ def m08_jamo_subwords(spark, folder):
     return grams.select("ngram", numbers("vec").alias("vec"))
 
 
+@query
+def m08_jamo_fasttext(spark, folder):
+    """The same training on words spelled in letters."""
+    jamo = cut_lineage(hangul_lines(spark, folder).select("doc_id", "line_no", tx.split_tokens(to_jamo("line")).alias("tokens")))
+    trained = skipgram.skip_gram(jamo, DIM, subwords=(3, 6), epochs=2)
+    made = shape_of(skipgram.composed(trained.vocab, trained), "word")
+    return made.withColumn("trained", F.lit(trained.losses[-1] < trained.losses[0]))
+
+
 @query
 def m09_tag_vectors(spark, folder):
     tagged = embed.tag_vectors(doc_tokens(spark, folder), word_vectors(spark, folder), "source")
     return tagged.select("source", numbers("vec").alias("vec"))
 
 
+@query
+def m09_paragraph_vectors(spark, folder):
+    """A vector for every language, fitted to its words; each scores its own words above the others'."""
+    corpus = cut_lineage(tokens(spark, folder))
+    contexts = cut_lineage(skipgram.skip_gram(corpus, DIM, epochs=2).contexts())
+    docs = lang_tokens(spark, folder)
+    tags, losses = paragraph.paragraph_vectors(docs, contexts, "lang")
+    tags = cut_lineage(tags)
+    counts = unnest(docs, ["lang"], "tokens", "word").groupBy("lang", "word").agg(F.count("*").alias("n")).join(contexts, "word")
+    scored = counts.join(F.broadcast(tags.select(F.col("lang").alias("tag"), F.col("vec").alias("d")))).withColumn("s", dot("vec", "d"))  # a row a language
+    means = scored.groupBy("tag", "lang").agg((F.sum(F.col("n") * F.col("s")) / F.sum("n")).alias("mean"))
+    best = means.groupBy("tag").agg(F.max_by("lang", "mean").alias("lang"))
+    good = falling(losses) and best.filter("tag <> lang").count() == 0
+    return shape_of(tags, "lang").withColumn("trained", F.lit(good))
+
+
 # ---------------------------------------------------------------- sentence vectors
 
 

@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions.hangul import to_jamo
 from ..functions.vectors import random_vector
-from ..operators import cooccur, embed, factorize, order, pairmerge, pretrain, rows, sentvec, sets, spacing, subword, swivel, tokenizers, unigram, vocab, wordscore
+from ..operators import cooccur, embed, factorize, order, pairmerge, paragraph, pretrain, rows, sentvec, sets, skipgram, spacing, subword, tokenizers, unigram, vocab, wordscore
+from ..operators.swivel import pmi_factorize
 from ..session import cut_lineage
 from ..sources import corpora, sinks
 
 KEYS = ("file", "line_no")
+CORPUS_KEYS = ("source_rank", *KEYS)
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
@@ -153,17 +155,18 @@ def shards(spark, input: str, output: str, size: int) -> None:
 def _vocab_and_cells(spark, input: str, window: int):
     corpus = _corpus(spark, input)
     words = cut_lineage(vocab.word_ids(vocab.token_counts(corpus).filter("cnt >= 5")))
-    cells = cooccur.cooccurrence_ids(corpus, words, window, line_keys=["source_rank", *KEYS])
+    cells = cooccur.cooccurrence_ids(corpus, words, window, line_keys=CORPUS_KEYS)
     return words, cut_lineage(cells)
 
 
 def lsa(spark, input: str, output: str, dim: int = 100) -> None:
-    words, cells = _vocab_and_cells(spark, input, 2)
+    words, cells = _vocab_and_cells(spark, input, 15)
     sinks.save_table(embed.lsa_words(cells, words, dim), output)
 
 
 def word2vec(spark, input: str, output: str, dim: int = 100) -> None:
-    sinks.save_table(embed.word2vec(_corpus(spark, input).select("tokens"), dim), output)
+    corpus = cut_lineage(_corpus(spark, input))
+    sinks.save_table(skipgram.skip_gram(corpus, dim, line_keys=CORPUS_KEYS).words(), output)
 
 
 def glove(spark, input: str, output: str, dim: int = 100) -> None:
@@ -173,15 +176,18 @@ def glove(spark, input: str, output: str, dim: int = 100) -> None:
 
 def swivel(spark, input: str, output: str, dim: int = 100) -> None:
     words, cells = _vocab_and_cells(spark, input, 5)
-    sinks.save_table(swivel.pmi_factorize(cut_lineage(cooccur.pmi(cells)), words, dim), output)
+    sinks.save_table(pmi_factorize(cut_lineage(cooccur.pmi(cells)), words, dim), output)
 
 
-def fasttext(spark, input: str, output: str, dim: int = 100) -> None:
-    """Word vectors and, beside them, the vectors of their character n-grams."""
-    corpus = _corpus(spark, input).select("tokens")
-    vectors = cut_lineage(embed.word2vec(corpus, dim))
-    sinks.save_table(vectors, output)
-    sinks.save_table(embed.subword_vectors(vectors, vocab.token_counts(corpus)), output + "_ngrams")
+def fasttext(spark, input: str, output: str, dim: int = 100, unseen: str | None = None) -> None:
+    """Word vectors trained together with those of their character n-grams; ``unseen`` names a corpus whose
+    words get vectors beside them."""
+    corpus = cut_lineage(_corpus(spark, input))
+    trained = skipgram.skip_gram(corpus, dim, subwords=(3, 6), line_keys=CORPUS_KEYS)
+    sinks.save_table(skipgram.composed(trained.vocab, trained), output)
+    if unseen:
+        others = vocab.token_counts(_corpus(spark, unseen)).join(trained.vocab, "word", "left_anti")
+        sinks.save_table(skipgram.composed(others, trained), output + "_unseen")
 
 
 def random_vectors(spark, input: str, output: str, dim: int = 100) -> None:
@@ -239,11 +245,12 @@ def lda(spark, input: str, output: str, topics: int = 30) -> None:
 
 
 def doc2vec(spark, input: str, output: str, dim: int = 100) -> None:
-    """A vector per tag of ``text␞tag`` lines."""
+    """A vector per tag of ``text␞tag`` lines, fitted to the words under it."""
     good, _ = corpora.read_labelled_lines(spark, input)
-    docs = cut_lineage(good.select("label", tx.split_tokens("line").alias("tokens")))
-    vectors = cut_lineage(embed.word2vec(docs, dim))
-    sinks.save_table(embed.tag_vectors(docs, vectors, "label"), output)
+    docs = cut_lineage(good.select(*KEYS, "label", tx.split_tokens("line").alias("tokens")))
+    trained = skipgram.skip_gram(docs, dim, line_keys=KEYS)
+    tags, _ = paragraph.paragraph_vectors(docs, trained.contexts(), "label")
+    sinks.save_table(tags, output)
 
 
 # ---------------------------------------------------------------- language-model data

@@ -529,11 +529,38 @@ def mean_floats(column: str, weight: str) -> str:
 
 float_text = " || ' ' || ".join(number_text(f"CAST(vec[{i}] AS DOUBLE)") for i in range(1, DIM + 1))
 SHAPE = f"CAST({DIM} AS BIGINT) AS dim, true AS sound"
-for name, window in (("m01_lsa_words", 2), ("m05_glove", 15), ("m06_pmi_factors", 5)):
-    ORACLES[name] = sql("tok vocab", f"SELECT DISTINCT w1 AS word, {SHAPE} FROM cell", **cells(window))
-ORACLES["m02_lsa_docs"] = sql("doc_tok", f"SELECT DISTINCT doc_id, {SHAPE} FROM doc_tok")
+# Numbers that both sides work out; ``trained`` tells what the other side found of its own vectors.
+ORACLES["m01_lsa_words"] = sql(
+    "tok vocab",
+    f"""SELECT DISTINCT w1 AS word, {SHAPE}, (SELECT CAST(round(sum(ln(1 + x) * ln(1 + x))) AS BIGINT) FROM cell) AS total, true AS trained FROM cell""",
+    **cells(15),
+)
+ORACLES["m02_lsa_docs"] = sql(
+    "doc_tok",
+    f"SELECT DISTINCT doc_id, {SHAPE}, (SELECT CAST(round(sum(w * w)) AS BIGINT) FROM weights) AS total, true AS trained FROM doc_tok",
+    terms="SELECT doc_id, word, count(*) AS tf FROM doc_tok GROUP BY doc_id, word",
+    weights="""SELECT tf * ln((1 + (SELECT count(*) FROM documents)) / CAST(1 + df AS DOUBLE)) AS w FROM terms t
+      JOIN (SELECT word, count(*) AS df FROM terms GROUP BY word) d ON d.word = t.word""",
+)
 ORACLES["m03_lda"] = "SELECT doc_id, CAST(30 AS BIGINT) AS k, true AS whole FROM documents"
-ORACLES["m04_word2vec"] = sql("vocab", f"SELECT word, {SHAPE} FROM vocab")
+ORACLES["m04_word2vec"] = sql("vocab", f"SELECT word, {SHAPE}, true AS trained FROM vocab")
+ORACLES["m05_glove"] = sql(
+    "tok vocab",
+    f"SELECT DISTINCT w1 AS word, {SHAPE}, (SELECT CAST(round(sum(w * t * t) - sum(w * t) * sum(w * t) / sum(w)) AS BIGINT) FROM weighed) AS spread, true AS trained FROM cell",
+    **cells(15),
+    weighed="SELECT ln(x) AS t, least(1.0, pow(x / 10.0, 0.75)) AS w FROM cell",
+)
+ORACLES["m06_pmi_factors"] = sql(
+    "tok vocab",
+    f"SELECT DISTINCT w1 AS word, {SHAPE}, (SELECT CAST(pow(count(DISTINCT w1), 2) AS BIGINT) FROM cell) AS pairs, true AS trained FROM cell",
+    **cells(5),
+)
+ORACLES["m07_fasttext"] = ORACLES["m04_word2vec"]
+ORACLES["m08_jamo_fasttext"] = sql(
+    "lines",
+    f"SELECT word, {SHAPE}, true AS trained FROM (SELECT unnest({words_of(jamo(HANGUL_LINE))}) AS word FROM lines) GROUP BY word HAVING count(*) >= 5",
+)
+ORACLES["m09_paragraph_vectors"] = f"SELECT DISTINCT lang, {SHAPE}, true AS trained FROM documents"
 ORACLES["m07_subword_vectors"] = sql(
     "word_vecs",
     f"SELECT word, {float_text} AS vec FROM composed",

@@ -2,7 +2,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lexloom.operators import cooccur, embed, factorize, grid, sentvec, swivel
+from lexloom.functions.vectors import random_vector
+from lexloom.operators import cooccur, embed, factorize, grid, sentvec, skipgram, swivel
+from lexloom.plans import catalog
 from lexloom.session import BROADCAST_CONF
 
 
@@ -197,8 +199,32 @@ def test_evaluate_and_probe(spark):
     assert accuracy == 1.0 and scored.filter("label = predicted").count() == 80
 
 
-def test_word2vec_and_lda_shapes(spark):
+def test_lda_shapes(spark):
     df = spark.createDataFrame([(i, ["x", "y", "z"][: i % 3 + 1] * 4) for i in range(30)], "doc_id int, tokens array<string>")
-    assert embed.word2vec(df, dim=7, min_count=1).select(F.size("vec")).distinct().collect()[0][0] == 7
     topics = embed.lda(df, k=2, max_iter=3).first().topics
     assert len(topics) == 2 and sum(topics) == pytest.approx(1.0)
+
+
+def random_like(vectors, seed=99):
+    """Other vectors for the same keys."""
+    return vectors.withColumn("vec", F.transform(random_vector(F.col(vectors.columns[0]), catalog.DIM, seed), lambda v: v.cast("float")))
+
+
+@pytest.mark.parametrize("name", ["m01_lsa_words", "m02_lsa_docs", "m04_word2vec"])
+def test_queries_tell_random_vectors_from_trained_ones(spark, data, monkeypatch, name):
+    assert [r.trained for r in catalog.QUERIES[name](spark, data).select("trained").distinct().collect()] == [True]
+    own_words, own_docs, own_trained = embed.lsa_words, embed.lsa_docs, skipgram.Vectors.words
+    monkeypatch.setattr(embed, "lsa_words", lambda *a, **k: random_like(own_words(*a, **k)))
+    monkeypatch.setattr(embed, "lsa_docs", lambda *a, **k: random_like(own_docs(*a, **k)))
+    monkeypatch.setattr(skipgram.Vectors, "words", lambda self: random_like(own_trained(self)))
+    assert [r.trained for r in catalog.QUERIES[name](spark, data).select("trained").distinct().collect()] == [False]
+
+
+@pytest.mark.parametrize("name", ["m05_glove", "m06_pmi_factors"])
+def test_queries_tell_a_fit_that_learns_nothing(spark, data, monkeypatch, name):
+    """One round of a fit whose every solution is replaced by a vector of noise."""
+    assert [r.trained for r in catalog.QUERIES[name](spark, data).select("trained").distinct().collect()] == [True]
+    noise = np.random.default_rng(0)
+    monkeypatch.setattr(factorize, "_solve_side", lambda cells, others, dim, ridge: (others, 1e30))
+    monkeypatch.setattr(swivel, "_half_round", lambda grid, rows, cols, *rest: (rows, 1.0 + noise.random()))
+    assert [r.trained for r in catalog.QUERIES[name](spark, data).select("trained").distinct().collect()] == [False]
