@@ -76,8 +76,6 @@ def split_punctuation(col) -> Column:
 ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 
 
-#: Templates, tables and links are taken away from the inside out, so many levels deep.
-NESTING = 6
 # Link targets that show a file or sort a page, in English and Korean.
 HIDDEN_LINKS = ("File", "Image", "Category", "파일", "그림", "분류")
 
@@ -99,20 +97,64 @@ def _numeric_entities(text: Column) -> Column:
     return F.when(F.contains(text, F.lit("&#")), F.array_join(parts, "")).otherwise(text)
 
 
-def strip_markup(col) -> Column:
-    """Markup to plain text: hidden blocks first, then wiki marks, tags, entities and spacing.
+# What opens, closes or quotes wiki markup. ``|}}`` ends a template whose last part is empty.
+WIKI_MARKS = r"(?s)<nowiki>.*?</nowiki>|\{\{|\}\}|\{\||\|\}(?!\})|\[\[|\]\]"
+_CLOSES = (("{{", "}}"), ("{|", "|}"), ("[[", "]]"))
+_FRAME = "struct<mark: string, text: string>"
+
+
+def _resolved(mark: Column, inside: Column) -> Column:
+    """What a closed template, table or link leaves."""
+    hidden = F.rlike(inside, F.lit(rf"^(?:{'|'.join(HIDDEN_LINKS)}):"))
+    shown = F.when(hidden, "").otherwise(F.substring_index(inside, "|", -1))
+    return F.when(mark == "[[", shown).otherwise(" ")
+
 
-    Templates and tables go with what is inside them, links leave their last part, links to files
-    and categories nothing, up to ``NESTING`` levels deep.
+def strip_wiki(col) -> Column:
+    """Wiki templates, tables and links resolved in one pass from left to right, at any depth.
+
+    Open marks lie on a stack, each with the text since it. A mark that closes the topmost one puts
+    what that leaves behind into the text below: nothing of templates and tables, the last part of a
+    link, nothing of links to files and categories. Marks that close nothing and marks never closed
+    stay as they are, as does what ``<nowiki>`` quotes. Texts without marks are not looked at twice.
     """
+    text = _col(col)
+    marks = F.regexp_extract_all(text, F.lit(WIKI_MARKS), F.lit(0))
+    gaps = F.split(text, WIKI_MARKS, -1)
+    steps = F.zip_with(marks, F.slice(gaps, F.lit(2), F.size(marks)), lambda m, g: F.struct(m.alias("mark"), g.alias("text")))
+    start = F.array(F.struct(F.lit("").alias("mark"), F.get(gaps, F.lit(0)).alias("text")).cast(_FRAME))
+
+    def below(stack: Column) -> Column:
+        return F.slice(stack, F.lit(1), F.size(stack) - 1)
+
+    def on_top(stack: Column, more: Column) -> Column:
+        top = F.element_at(stack, -1)
+        return F.concat(below(stack), F.array(F.struct(top["mark"].alias("mark"), F.concat(top["text"], more).alias("text"))))
+
+    def step(stack: Column, s: Column) -> Column:
+        top, mark = F.element_at(stack, -1), s["mark"]
+        quoted = F.regexp_replace(mark, "^<nowiki>|</nowiki>$", "")
+        opens = mark.isin(*[o for o, _ in _CLOSES])
+        closes = F.lit(False)
+        for o, c in _CLOSES:
+            closes = closes | ((mark == c) & (top["mark"] == o))
+        return (
+            F.when(opens, F.concat(stack, F.array(s)))
+            .when(closes, on_top(below(stack), F.concat(_resolved(top["mark"], top["text"]), s["text"])))
+            .otherwise(on_top(stack, F.concat(quoted, s["text"])))
+        )
+
+    def rest(stack: Column) -> Column:
+        return F.array_join(F.transform(stack, lambda f: F.concat(f["mark"], f["text"])), "")
+
+    some = F.contains(text, F.lit("{{")) | F.contains(text, F.lit("{|")) | F.contains(text, F.lit("[[")) | F.contains(text, F.lit("<nowiki>"))
+    return F.when(some, F.aggregate(steps, start, step, rest)).otherwise(text)
+
+
+def strip_markup(col) -> Column:
+    """Markup to plain text: hidden blocks first, then wiki marks, tags, entities and spacing."""
     text = F.regexp_replace(_col(col), r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->", " ")
-    for pattern, plain in (
-        (r"\{\{[^{}]*\}\}", " "),
-        (r"\{\|[^{}]*\|\}", " "),
-        (rf"\[\[(?:{'|'.join(HIDDEN_LINKS)}):[^\[\]]*\]\]|\[\[(?:[^\[\]]*\|)?([^\[\]|]*)\]\]", "$1"),
-    ):
-        for _ in range(NESTING):
-            text = F.regexp_replace(text, pattern, plain)
+    text = strip_wiki(text)
     text = F.regexp_replace(text, r"'{2,}|={2,}", "")
     text = F.regexp_replace(text, r"<[^>]*>", " ")
     text = _numeric_entities(text)
@@ -121,6 +163,36 @@ def strip_markup(col) -> Column:
     return F.trim(collapse_ws(text))
 
 
+# Between candidates for sentences, and before one that begins a line.
+_CUT, _LINE = "\x02", "\x03"
+
+
+def sentence_candidates(col) -> Column:
+    """Pieces of a text that end at newlines and after ``.``, ``!`` or ``?`` plus space; one that begins a
+    line starts with U+0003. U+0002 and U+0003 of the text go."""
+    bare = F.translate(_col(col), _CUT + _LINE, "")
+    marked = F.replace(bare, F.lit("\n"), F.lit(_CUT + _LINE))
+    return F.split(F.regexp_replace(marked, rf"(?U)([.!?]){SPACE}+", f"$1{_CUT}"), _CUT)
+
+
+def last_word(candidate: Column) -> Column:
+    """The word that ends a candidate with a period, without it; NULL if another sign ends it."""
+    return F.nullif(F.regexp_extract(candidate, rf"(?U)(?:^|[\s\x03(\"'])([^\s\x03(\"']+)\.$", 1), F.lit(""))
+
+
+def joined_sentences(candidates: Column, goes_on: Column) -> Column:
+    """Stripped, non-blank sentences from candidates; ``goes_on`` tells for each whether the next one on its
+    line belongs to it."""
+    previous = F.concat(F.array(F.lit(False)), goes_on)
+    parts = F.zip_with(
+        candidates,
+        F.slice(previous, F.lit(1), F.size(candidates)),
+        lambda c, on: F.when(on & ~F.startswith(c, F.lit(_LINE)), F.concat(F.lit(" "), c)).otherwise(F.concat(F.lit(_CUT), c)),
+    )
+    pieces = F.split(F.replace(F.array_join(parts, ""), F.lit(_LINE), F.lit("")), _CUT)
+    return F.filter(F.transform(pieces, strip_line), lambda s: s != "")
+
+
 def sentences_of(col) -> Column:
     """Stripped, non-blank sentences: cut at newlines and after ``.``, ``!`` or ``?`` plus space."""
     broken = F.regexp_replace(_col(col), rf"(?U)([.!?]){SPACE}+", "$1\n")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions.hangul import normalize_repeats, to_jamo
 from ..functions.vectors import cosine, dot, mean_vectors, norm, random_vector
-from ..operators import cooccur, embed, factorize, order, pairmerge, paragraph, pretrain, rows, sentvec, sets, skipgram, spacing, subword, swivel, tokenizers, unigram, vocab, wordscore
+from ..operators import cooccur, embed, factorize, order, pairmerge, paragraph, pretrain, rows, sentences, sentvec, sets, skipgram, spacing, subword, swivel, tokenizers, unigram, vocab, wordscore
 from ..functions.arrays import unnest
 from ..session import cut_lineage, shared_folder, spread
 from ..sources import corpora, sinks
@@ -252,6 +252,29 @@ def r09_strip_markup(spark, folder):
     return table(spark, folder, "pages").select("page_id", tx.strip_markup("html").alias("text"))
 
 
+@query
+def r09_nested_markup(spark, folder):
+    """Pages between templates, tables and links of up to twenty levels, some marks left open."""
+    deep = lambda mark, n: F.repeat(F.lit(mark), n)
+    n = (F.col("page_id") % 20 + 1).cast("int")
+    start = F.regexp_replace(F.substring("html", 1, 200), r"[\[\]{}|<>&='\n]", " ")
+    parts = [deep("{{a|", n), start, deep("}}", n), F.lit(" b "), deep("[[c|", n), F.col("url"), deep("]]", n), deep("{|", n), start]
+    parts += [deep("|}", n), F.lit("[[File:x|[[y|"), F.col("url"), F.lit("]]]] {{open "), start, F.lit("<nowiki>[[z]]</nowiki> ]]")]
+    return table(spark, folder, "pages").select("page_id", tx.strip_markup(F.concat(*parts)).alias("text"))
+
+
+@query
+def r10_abbreviations(spark, folder):
+    counts = cut_lineage(sentences.period_counts(documents(spark, folder)))
+    return sentences.abbreviations(counts).select("word", "n_period", "n_plain", F.round("score", 4).alias("score"))
+
+
+@query
+def r10_learned_sentences(spark, folder):
+    found = sentences.to_sentences(documents(spark, folder))
+    return found.select("doc_id", F.col("sent_no").cast("bigint").alias("sent_no"), "sentence")
+
+
 @query
 def r10_sentences(spark, folder):
     found = rows.to_sentences(documents(spark, folder))

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions.hangul import to_jamo
 from ..functions.vectors import random_vector
-from ..operators import cooccur, embed, factorize, order, pairmerge, paragraph, pretrain, rows, sentvec, sets, skipgram, spacing, subword, tokenizers, unigram, vocab, wordscore
+from ..operators import cooccur, embed, factorize, order, pairmerge, paragraph, pretrain, rows, sentences, sentvec, sets, skipgram, spacing, subword, tokenizers, unigram, vocab, wordscore
 from ..operators.swivel import pmi_factorize
 from ..session import cut_lineage
 from ..sources import corpora, sinks
@@ -57,9 +57,12 @@ def process_reviews(spark, input: str, output: str) -> None:
 
 
 def process_documents(spark, input: str, output: str) -> None:
-    """Lines to sentence lines; blank lines, which part documents, stay."""
-    sentences = F.array_join(tx.sentences_of("line"), "\n")
-    sinks.write_lines(_lines(spark, input).withColumn("line", sentences), output, KEYS)
+    """Lines to sentence lines; abbreviations are learned from the file; blank lines, which part documents, stay."""
+    lines = _keyed(spark, input).select("doc_id", "line")
+    found = sentences.to_sentences(cut_lineage(lines), text="line")
+    joined = found.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("sent_no", "sentence"))).alias("rows"))
+    whole = lines.join(joined, "doc_id", "left").select("doc_id", F.coalesce(F.array_join("rows.sentence", "\n"), F.lit("")).alias("line"))
+    sinks.write_lines(whole, output, ["doc_id"])
 
 
 def lexicon_tokenize(spark, input: str, lexicon: str, output: str, user: str | None = None, pos: bool = False) -> None:

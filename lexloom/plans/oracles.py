@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..functions.hangul import LEADS, TAILS, VOWELS
-from ..functions.text import CJK_BLOCKS, ENTITIES, HIDDEN_LINKS, NESTING
+from ..functions.text import CJK_BLOCKS, ENTITIES, HIDDEN_LINKS
 from .catalog import DIM, LATIN, SYLLABLES
 
 # White space as one class: the SQL engine's \s knows ASCII only.
@@ -154,23 +154,40 @@ ORACLES["s02_labelled_lines"] = sql(
 )
 
 
-def markup(x: str) -> str:
-    out = rf"regexp_replace({x}, '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', ' ', 'g')"
-    for pattern, plain in (
-        (r"\{\{[^{}]*\}\}", " "),
-        (r"\{\|[^{}]*\|\}", " "),
-        (rf"\[\[(?:{'|'.join(HIDDEN_LINKS)}):[^\[\]]*\]\]|\[\[(?:[^\[\]]*\|)?([^\[\]|]*)\]\]", r"\1"),
-    ):
-        for _ in range(NESTING):
-            out = f"regexp_replace({out}, '{pattern}', '{plain}', 'g')"
-    out = rf"regexp_replace({out}, '''{{2,}}|={{2,}}', '', 'g')"
+def plain(x: str) -> str:
+    """What follows on wiki marks: quotes, tags, entities, spacing."""
+    out = rf"regexp_replace({x}, '''{{2,}}|={{2,}}', '', 'g')"
     out = f"regexp_replace({out}, '<[^>]*>', ' ', 'g')"
-    for entity, plain in ENTITIES:
-        quoted = plain.replace("'", "''")
+    for entity, sign in ENTITIES:
+        quoted = sign.replace("'", "''")
         out = f"replace({out}, '{entity}', '{quoted}')"
     return f"trim({collapse(out)})"
 
 
+def markup(x: str) -> str:
+    """The supplied pages hold no wiki marks."""
+    return plain(rf"regexp_replace({x}, '(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', ' ', 'g')")
+
+
+# Character by character: the open marks and the text since each of them as two lists.
+NESTED = rf"""WITH RECURSIVE given AS (SELECT page_id, url, CAST(page_id % 20 + 1 AS INT) AS n,
+    regexp_replace(substr(html, 1, 200), '[\[\]{{}}|<>&=''\n]', ' ', 'g') AS s FROM pages),
+  written AS (SELECT page_id, repeat('{{{{a|', n) || s || repeat('}}}}', n) || ' b ' || repeat('[[c|', n) || url || repeat(']]', n) || repeat('{{|', n) || s
+    || repeat('|}}', n) || '[[File:x|[[y|' || url || ']]]] {{{{open ' || s || chr(1) || chr(2) || 'z' || chr(3) || chr(4) || ' ]]' AS t FROM given),
+  walk AS (SELECT page_id, t, 1 AS k, [''] AS marks, [''] AS texts FROM written
+    UNION ALL SELECT page_id, t, k + size,
+      CASE WHEN opens THEN list_append(marks, two) WHEN closes THEN marks[:-2] ELSE marks END,
+      CASE WHEN opens THEN list_append(texts, '')
+        WHEN closes THEN list_append(texts[:-3], texts[-2] || CASE WHEN marks[-1] <> '[[' THEN ' '
+          WHEN regexp_matches(texts[-1], '^({"|".join(HIDDEN_LINKS)}):') THEN '' ELSE list_extract(string_split(texts[-1], '|'), -1) END)
+        ELSE list_append(texts[:-2], texts[-1] || substr(t, k, size)) END
+    FROM (SELECT *, two IN ('{{{{', '{{|', '[[') AS opens,
+        (marks[-1], two) IN (('{{{{', '}}}}'), ('{{|', '|}}'), ('[[', ']]')) AND NOT (two = '|}}' AND substr(t, k + 2, 1) = '}}') AS closes,
+        CASE WHEN two IN ('{{{{', '{{|', '[[', '}}}}', ']]') OR (two = '|}}' AND substr(t, k + 2, 1) <> '}}') THEN 2 ELSE 1 END AS size
+      FROM (SELECT *, substr(t, k, 2) AS two FROM walk WHERE k <= length(t))))
+  SELECT page_id, {plain("replace(replace(whole, chr(1) || chr(2), '[['), chr(3) || chr(4), ']]')")} AS text FROM (
+    SELECT page_id, array_to_string(list_transform(range(1, len(marks) + 1), lambda i: marks[i] || texts[i]), '') AS whole FROM walk WHERE k > length(t))"""
+ORACLES["r09_nested_markup"] = NESTED
 ORACLES["s03_wiki_xml"] = f"SELECT url AS title, {markup('html')} AS text FROM pages"
 ORACLES["s04_ratings"] = (
     f"SELECT CAST(d.doc_id AS VARCHAR) AS id, {strip(collapse('text'))} AS line, CAST(quality AS VARCHAR) AS label "
@@ -261,6 +278,30 @@ def cleaned(x: str) -> str:
 
 ORACLES["r08_clean_text"] = f"SELECT doc_id, {cleaned('text')} AS text FROM documents"
 ORACLES["r09_strip_markup"] = f"SELECT page_id, {markup('html')} AS text FROM pages"
+PERIODS = {
+    "every": f"SELECT lower(regexp_replace(regexp_replace(unnest({words_of('text')}), '^[(\"'']+', ''), '[)\"'',;:!?]+$', '')) AS token FROM documents",
+    "bare": "SELECT CASE WHEN ends_with(token, '.') THEN left(token, length(token) - 1) ELSE token END AS word, ends_with(token, '.') AS period FROM every",
+    "periods": r"""SELECT word, count(*) FILTER (period) AS n_period, count(*) FILTER (NOT period) AS n_plain FROM bare
+      WHERE regexp_matches(word, '\p{L}') AND NOT regexp_matches(word, '[\p{Nd}]|\.$') GROUP BY word""",
+    "measured": """SELECT *, length(word) - length(replace(word, '.', '')) AS inner_, CAST(n_period AS DOUBLE) AS k, CAST(n_period + n_plain AS DOUBLE) AS n,
+      sum(n_period) OVER () / CAST(sum(n_period + n_plain) OVER () AS DOUBLE) AS p FROM periods""",
+    "scored": """SELECT word, n_period, n_plain, -2 * (k * ln(p) + (n - k) * ln(1 - p) - k * ln(0.99) - (n - k) * ln(1 - 0.99)) * exp(inner_ - length(word))
+      * (inner_ + 1) * pow(CAST(length(word) - inner_ AS DOUBLE), -CAST(n_plain AS DOUBLE)) AS score FROM measured WHERE n_period > 0""",
+    "abbreviated": "SELECT * FROM scored WHERE score >= 0.3",
+}
+ORACLES["r10_abbreviations"] = sql("", "SELECT word, n_period, n_plain, round(score, 4) AS score FROM abbreviated", **PERIODS)
+ORACLES["r10_learned_sentences"] = sql(
+    "lines",
+    f"""SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY line_no, sentence_no) - 1 AS BIGINT) AS sent_no, sentence FROM (
+      SELECT doc_id, line_no, s AS sentence_no, {strip("string_agg(part, ' ' ORDER BY k)")} AS sentence FROM numbered GROUP BY doc_id, line_no, s)
+      WHERE sentence <> ''""",
+    **PERIODS,
+    cut_=exploded("lines", "doc_id, line_no", rf"string_split(regexp_replace(line, '([.!?]){WS}+', '\1' || chr(2), 'g'), chr(2))", "part", "k"),
+    ended=rf"""SELECT *, nullif(regexp_extract(part, '(^|[\s("''])([^\s("'']+)\.$', 2), '') AS last FROM cut_""",
+    told=r"""SELECT e.*, coalesce(regexp_matches(last, '^\p{Lu}$'), false) OR a.word IS NOT NULL AS on_ FROM ended e
+      LEFT JOIN abbreviated a ON a.word = lower(regexp_replace(regexp_replace(last, '^[("'']+', ''), '[)"'',;:!?]+$', ''))""",
+    numbered="SELECT *, coalesce(sum(CASE WHEN on_ THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id, line_no ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM told",
+)
 ORACLES["r10_sentences"] = sql("sentences", "SELECT doc_id, sent_no, sentence FROM sentences")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lexloom.functions import text as tx
 from lexloom.functions.hangul import LEADS, TAILS, VOWELS, loosen_echoes, normalize_repeats, to_jamo
-from lexloom.operators import rows
+from lexloom.operators import rows, sentences
 
 
 def one(spark, value, fn, kind="string"):
@@ -90,3 +90,63 @@ def test_clean_text_and_markup(spark):
 def test_nested_markup(spark):
     page = "a {{Info|a={{b|{{c}}}}}} [[File:x|thumb|cap [[in|side]]]] [[one|two|three]] {| t\n|- \n| x {{y}} |} &#44032;&#xAC01;&#99999999; &amp;#65; z"
     assert one(spark, page, tx.strip_markup) == "a three 가각&#99999999; &#65; z"
+
+
+def scanned(text):
+    """The marks of a text resolved by a plain scan with a stack."""
+    closes, stack, at = {"{{": "}}", "{|": "|}", "[[": "]]"}, [["", ""]], 0
+    while at < len(text):
+        two, end = text[at : at + 2], text.find("</nowiki>", at)
+        if text.startswith("<nowiki>", at) and end > 0:
+            stack[-1][1] += text[at + 8 : end]
+            at = end + 9
+        elif two in closes:
+            stack.append([two, ""])
+            at += 2
+        elif two == closes.get(stack[-1][0]) and not (two == "|}" and text[at + 2 : at + 3] == "}"):
+            mark, inside = stack.pop()
+            hidden = re.match(f"({'|'.join(tx.HIDDEN_LINKS)}):", inside)
+            stack[-1][1] += " " if mark != "[[" else "" if hidden else inside.split("|")[-1]
+            at += 2
+        elif two in ("}}", "]]") or two == "|}" and text[at + 2 : at + 3] != "}":
+            stack[-1][1] += two  # closes nothing
+            at += 2
+        else:
+            stack[-1][1] += text[at]
+            at += 1
+    return "".join(a + b for a, b in stack)
+
+
+def test_marks_of_any_depth(spark):
+    deep = "x" + "{{a|" * 20 + "b" + "}}" * 20 + "[[c|" * 40 + "d" + "]]" * 40 + "{|" * 30 + "e" + "|}" * 30
+    assert one(spark, deep, tx.strip_wiki) == "x d "
+    assert one(spark, "{{x|}} {{open [[a|b <nowiki>[[c]]</nowiki>", tx.strip_wiki) == "  {{open [[a|b [[c]]"
+    assert one(spark, None, tx.strip_wiki) is None and one(spark, "plain } ] |", tx.strip_wiki) == "plain } ] |"
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.text(alphabet="{}[]|aF", max_size=24), min_size=1, max_size=60))
+def test_marks_match_a_plain_scan(spark, values):
+    values = [v.replace("F", "File:") for v in values] + ["<nowiki>" + v + "</nowiki>" + v for v in values[:10]]
+    assert many(spark, values, tx.strip_wiki) == [scanned(v) for v in values]
+
+
+def test_learned_boundaries(spark):
+    text = [
+        "Yesterday Dr. Kim met Mr. Lee. They spoke. J. Park came at noon.",
+        "Dr. Han left. Nobody knew why. Mr. Oh stayed! Why? Dr. Kim knew.",
+        "A cat sat. The cat sat there with Mr. Park and Dr. Kim. Dr. Lee\nsaw it there. End of it.",
+    ]
+    docs = spark.createDataFrame(list(enumerate(text * 20)), "doc_id int, text string")
+    found = sentences.to_sentences(docs)
+    rows_ = [r.sentence for r in found.filter("doc_id = 0").orderBy("sent_no").collect()]
+    assert rows_ == ["Yesterday Dr. Kim met Mr. Lee.", "They spoke.", "J. Park came at noon."]
+    rows_ = [r.sentence for r in found.filter("doc_id = 2").orderBy("sent_no").collect()]
+    assert rows_ == ["A cat sat.", "The cat sat there with Mr. Park and Dr. Kim.", "Dr. Lee", "saw it there.", "End of it."]
+    known = {r.word for r in sentences.abbreviations(sentences.period_counts(docs)).collect()}
+    assert {"dr", "mr"} <= known and not known & {"sat", "lee", "kim", "spoke"}
+    none = spark.createDataFrame([], "word string")
+    plain = sentences.to_sentences(docs, none).filter("doc_id = 1").orderBy("sent_no").collect()
+    assert [r.sentence for r in plain][:3] == ["Dr.", "Han left.", "Nobody knew why."]
+    odd = spark.createDataFrame([(1, None), (2, ""), (3, " \n "), (4, "x.")], "doc_id int, text string")
+    assert [(r.doc_id, r.sentence) for r in sentences.to_sentences(odd).collect()] == [(4, "x.")]
