@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import StringIndexer
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -157,6 +154,107 @@ def nearest_label(
     return test.select(key, label).join(top.select(key, "b.*"), key)
 
 
+# ---------------------------------------------------------------- nearest rows by lists
+
+SAMPLE_ROWS = 16_384  # of the training rows that centroids are fitted on
+LISTS = 256
+PROBES = 24
+ROUNDS = 10
+
+
+def fit_centroids(sample: np.ndarray, lists: int = LISTS, rounds: int = ROUNDS, seed: int = 7) -> np.ndarray:
+    """Unit centroids of unit vectors: spherical k-means from evenly drawn rows."""
+    rng = np.random.default_rng(seed)
+    centroids = sample[rng.permutation(len(sample))[:lists]]
+    for _ in range(rounds):
+        nearest = (sample @ centroids.T).argmax(axis=1)
+        sums = np.zeros_like(centroids)
+        np.add.at(sums, nearest, sample)
+        filled = np.bincount(nearest, minlength=len(centroids)) > 0
+        centroids = np.where(filled[:, None], _unit_rows(sums), centroids)
+    return centroids
+
+
+def _in_lists(df: DataFrame, centroids, key: str, vec: str, label: str, probes: int) -> DataFrame:
+    """(key, label, vec, list): every row in its nearest lists, its vector at unit length."""
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                values = batch.column(2).to_pylist()
+                known = [i for i, v in enumerate(values) if v is not None and len(v) == centroids.value.shape[1] and batch.column(0)[i].is_valid]
+                if not known:
+                    continue
+                rows = _unit_rows(np.array([values[i] for i in known], np.float64))
+                near = np.argsort(-(rows @ centroids.value.T), axis=1, kind="stable")[:, :probes]
+                owner = pa.array(np.repeat(known, near.shape[1]))
+                vectors = pa.array([v.tobytes() for v in np.repeat(rows, near.shape[1], axis=0)], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(owner), batch.column(1).take(owner), vectors, pa.array(near.ravel().astype(np.int64))], ["k", "t", "v", "list"])
+
+    given = df.select(F.col(key).cast("bigint").alias("k"), F.col(label).cast("string").alias("t"), F.col(vec).alias("v"))
+    return given.mapInArrow(assign, "k bigint, t string, v binary, list bigint")
+
+
+def nearest_label_approx(
+    train: DataFrame, test: DataFrame, key: str = "vec_id", vec: str = "embedding", label: str = "label", lists: int = LISTS, probes: int = PROBES
+) -> DataFrame:
+    """As :func:`nearest_label`, looking only into the lists of training rows next to each test row.
+
+    Centroids are fitted on at most ``SAMPLE_ROWS`` training rows, chosen by a hash; every training row
+    lies in the list of its nearest centroid, and every test row is compared, exactly, with the rows of
+    its ``probes`` nearest lists. A list with many rows is cut into blocks, which the rows that ask meet
+    one by one.
+    """
+    usable = train.filter(F.col(vec).isNotNull())
+    n = usable.count()
+    mark = F.pmod(F.xxhash64(key), F.lit(1 << 31))
+    thin = usable.filter(mark <= min(1 << 31, (2 * SAMPLE_ROWS << 31) // max(n, 1)))
+    sample = [r[0] for r in thin.orderBy(mark, key).limit(SAMPLE_ROWS).select(vec).collect()]
+    none = test.select(key, label, F.lit(None).cast("bigint").alias("nearest"), F.lit(None).cast("double").alias("cosine"), F.lit(None).cast("string").alias("predicted"))
+    if not sample:
+        return none.filter("1 = 0")
+    dim = len(sample[0])
+    centroids = fit_centroids(_unit_rows(np.array([v for v in sample if len(v) == dim], np.float64)), lists)
+    shared = train.sparkSession.sparkContext.broadcast(centroids)  # lists times a vector
+    part = F.pmod(F.xxhash64("k"), F.col("_parts"))
+    known = cut_lineage(_in_lists(train, shared, key, vec, label, 1))
+    sizes = known.groupBy("list").agg(F.ceil(F.count("*") / TRAIN_BLOCK).alias("_parts"))  # a row a list
+    known = known.join(F.broadcast(sizes), "list").select("list", part.alias("part"), F.lit(0).alias("asks"), "k", "t", "v")
+    asked = _in_lists(test, shared, key, vec, label, probes).join(F.broadcast(sizes), "list")
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_parts") - 1)).alias("part")
+    asked = asked.select("list", every, F.lit(1).alias("asks"), "k", "t", "v")
+    met = known.unionByName(asked).repartition("list", "part").sortWithinPartitions("list", "part", "asks", "k")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, held, block = None, [], None
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                lists_, parts, asks, keys = (batch.column(c).to_numpy() for c in range(4))
+                vectors = np.frombuffer(b"".join(batch.column(5).to_pylist()), np.float64).reshape(batch.num_rows, -1)
+                cuts = np.flatnonzero((np.diff(lists_) != 0) | (np.diff(parts) != 0) | (np.diff(asks) != 0)) + 1
+                for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                    if place != (lists_[low], parts[low]):
+                        place, held, block = (lists_[low], parts[low]), [], None
+                    if not asks[low]:
+                        held.append((keys[low:high], vectors[low:high], batch.column(4).slice(low, high - low)))
+                        continue
+                    if not held:
+                        continue
+                    if block is None:
+                        block = (np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held]), pa.concat_arrays([h[2] for h in held]))
+                    sims = np.round(vectors[low:high] @ block[1].T, 12)
+                    top = sims.argmax(axis=1)  # rows by key: the first of equal ones is the smallest
+                    columns = [pa.array(keys[low:high]), pa.array(block[0][top]), pa.array(sims[np.arange(len(top)), top]), block[2].take(pa.array(top))]
+                    yield pa.RecordBatch.from_arrays(columns, ["key", "nearest", "cosine", "predicted"])
+
+    found = met.mapInArrow(search, "key bigint, nearest bigint, cosine double, predicted string")
+    rank = F.struct(F.col("cosine"), -F.col("nearest"))
+    top = found.groupBy("key").agg(F.max_by(F.struct("nearest", "cosine", "predicted"), rank).alias("b"))
+    return test.select(key, label).join(top.select(F.col("key").alias(key), "b.*"), key)
+
+
 def _unit_rows(matrix: np.ndarray) -> np.ndarray:
     length = np.linalg.norm(matrix, axis=1, keepdims=True)
     return matrix / np.where(length == 0, 1.0, length)
@@ -175,17 +273,122 @@ def evaluate(pred: DataFrame, label: str = "label", predicted: str = "predicted"
     return pred.groupBy(*by).agg(F.count("*").alias("n"), F.avg(right).alias("accuracy"))
 
 
+class Probe(NamedTuple):
+    """A linear classifier: its labels, a row of weights and a bias for each, and what training left of the
+    objective in each round."""
+
+    labels: list[str]
+    weights: np.ndarray
+    losses: list[float]
+
+
+LABELS = 1000  # that a classifier tells apart
+
+
+def _label_rows(df: DataFrame, vec: str, label: str) -> DataFrame:
+    return df.filter(F.col(vec).isNotNull() & F.col(label).isNotNull()).select(F.col(vec).alias("v"), F.col(label).cast("string").alias("y"))
+
+
+def _with_bias(batch: pa.RecordBatch) -> np.ndarray:
+    lists = batch.column(0)
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
+    return np.concatenate([flat, np.ones((len(flat), 1))], axis=1)
+
+
+def fit_probe(train: DataFrame, vec: str = "vec", label: str = "label", max_iter: int = 50, ridge: float = 1e-3, tolerance: float = 1e-9) -> Probe:
+    """One logistic regression for each label against the rest, by Newton steps over sums of the rows.
+
+    The objective of a label is the mean logistic loss and half of ``ridge`` times the squared weights,
+    the bias left out. A step that would raise it is halved, so it never rises. Tasks send sums whose
+    size is that of a label's weights squared; at most ``LABELS`` labels are told apart.
+    """
+    rows = cut_lineage(_label_rows(train, vec, label))
+    labels = [r.y for r in rows.groupBy("y").count().orderBy("y").limit(LABELS + 1).collect()]
+    if len(labels) > LABELS:
+        raise ValueError(f"more than {LABELS} labels")
+    first = rows.select(F.size("v")).first()
+    width, n = (first[0] if first else 0) + 1, rows.count()
+    weights, losses = np.zeros((len(labels), width)), []
+    if not labels:
+        return Probe(labels, weights, losses)
+    penalty = np.full(width, ridge)
+    penalty[-1] = 1e-12  # the bias, but for a system that stays solvable
+
+    def sums(w: np.ndarray, steps: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            gram, slope, loss = np.zeros((len(labels), width, width)), np.zeros((len(labels), width)), np.zeros(len(labels))
+            for batch in batches:
+                if not batch.num_rows:
+                    continue
+                x = _with_bias(batch)
+                signs = np.where(np.array(batch.column(1).to_pylist())[:, None] == np.array(labels)[None, :], 1.0, -1.0)
+                margin = signs * (x @ w.T)
+                loss += np.logaddexp(0, -margin).sum(axis=0)
+                if steps:
+                    p = np.exp(-np.logaddexp(0, margin))
+                    slope -= (signs * p).T @ x
+                    for c in range(len(labels)):
+                        gram[c] += (x * (p[:, c] * (1 - p[:, c]))[:, None]).T @ x
+            part = [pa.array(range(len(labels)), pa.int32())]
+            part += [pa.array(list(v.reshape(len(labels), -1)), pa.list_(pa.float64())) for v in (gram, slope, loss)]
+            yield pa.RecordBatch.from_arrays(part, ["c", "gram", "slope", "loss"])
+
+        made = rows.mapInArrow(add, "c int, gram array<double>, slope array<double>, loss array<double>")
+
+        def total(frame: pd.DataFrame) -> pd.DataFrame:
+            added = {k: [np.sum(np.stack(sorted(frame[k].to_list(), key=lambda v: v.tolist())), axis=0)] for k in ("gram", "slope", "loss")}
+            return pd.DataFrame({"c": frame["c"].iloc[:1], **added})
+
+        found = made.groupBy("c").applyInPandas(total, "c int, gram array<double>, slope array<double>, loss array<double>").orderBy("c").collect()
+        shape = lambda name, *d: np.array([r[name] for r in found]).reshape(len(labels), *d)
+        return shape("gram", width, width) / n, shape("slope", width) / n, shape("loss") / n
+
+    def objective(loss: np.ndarray, w: np.ndarray) -> np.ndarray:
+        return loss + (w * w * penalty).sum(axis=1) / 2
+
+    gram, slope, loss = sums(weights, True)
+    value = objective(loss, weights)
+    losses.append(float(value.sum()))
+    for _ in range(max_iter):
+        step = np.linalg.solve(gram + np.diag(penalty), (slope + weights * penalty)[:, :, None])[:, :, 0]
+        scale = np.ones(len(labels))
+        while True:
+            moved = weights - scale[:, None] * step
+            gram, slope, loss = sums(moved, True)
+            later = objective(loss, moved)
+            worse = later > value + 1e-15
+            if not worse.any() or scale.min() < 1e-6:
+                break
+            scale = np.where(worse, scale / 2, scale)
+        gain = value.sum() - later.sum()
+        if gain > 0:
+            weights, value = moved, later
+            losses.append(float(value.sum()))
+        if gain <= tolerance:
+            break
+    return Probe(labels, weights, losses)
+
+
+def apply_probe(df: DataFrame, probe: Probe, vec: str = "vec") -> DataFrame:
+    """``df`` with ``predicted``, the label of the highest score; NULL without a vector."""
+    shared = df.sparkSession.sparkContext.broadcast(probe)
+
+    def predict(lists: pa.Array) -> pa.Array:
+        known = np.flatnonzero(lists.is_valid().to_numpy(zero_copy_only=False))
+        out = np.full(len(lists), None, object)
+        if len(known) and shared.value.labels:
+            x = _with_bias(pa.RecordBatch.from_arrays([lists.take(pa.array(known))], ["v"]))
+            out[known] = np.array(shared.value.labels, object)[(x @ shared.value.weights.T).argmax(axis=1)]
+        return pa.array(out.tolist(), pa.string())
+
+    return df.withColumn("predicted", F.arrow_udf(predict, returnType="string")(F.col(vec)))
+
+
 def linear_probe(
     train: DataFrame, test: DataFrame, vec: str = "vec", label: str = "label", max_iter: int = 50, ridge: float = 1e-3
 ) -> tuple[DataFrame, float]:
     """Logistic regression on sentence vectors: (test rows with ``predicted``, accuracy)."""
-    indexer = StringIndexer(inputCol=label, outputCol="_y").fit(train)
-    ready = lambda d: indexer.transform(d.filter(F.col(vec).isNotNull()).withColumn("_x", array_to_vector(vec)))
-    model = LogisticRegression(
-        featuresCol="_x", labelCol="_y", predictionCol="_p", maxIter=max_iter, regParam=ridge
-    ).fit(ready(train))
-    scored = model.transform(ready(test))
-    accuracy = MulticlassClassificationEvaluator(labelCol="_y", predictionCol="_p", metricName="accuracy").evaluate(scored)
-    names = F.array(*[F.lit(name) for name in indexer.labels])
-    predicted = scored.withColumn("predicted", F.element_at(names, F.col("_p").cast("int") + 1))
-    return predicted.drop("_x", "_y", "_p", "rawPrediction", "probability"), accuracy
+    probe = fit_probe(train, vec, label, max_iter, ridge)
+    scored = apply_probe(test.filter(F.col(vec).isNotNull()), probe, vec)
+    accuracy = evaluate(scored, label).first().accuracy
+    return scored, 0.0 if accuracy is None else accuracy

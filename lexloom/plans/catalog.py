@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..functions.hangul import normalize_repeats, to_jamo
 from ..functions.vectors import cosine, dot, mean_vectors, norm, random_vector
-from ..operators import cooccur, embed, factorize, order, pairmerge, paragraph, pretrain, rows, sentences, sentvec, sets, skipgram, spacing, subword, swivel, tokenizers, unigram, vocab, wordscore
+from ..operators import cooccur, embed, factorize, lattice, order, pairmerge, paragraph, pretrain, rows, sentences, sentvec, sets, skipgram, spacing, subword, swivel, tokenizers, topics, unigram, vocab, wordscore
 from ..functions.arrays import unnest
 from ..session import cut_lineage, shared_folder, spread
 from ..sources import corpora, sinks
@@ -314,6 +315,18 @@ def t02_lexicon_tokens(spark, folder):
     return keyed(tagged_tokens(spark, folder), joined(shown).alias("tagged"))
 
 
+@query
+def t02_lattice(spark, folder):
+    """Least-cost paths under costs estimated from the dictionary tokens of the same documents; every
+    character of a line is in its morphs."""
+    corpus = cut_lineage(tokens(spark, folder))
+    words = cut_lineage(tokenizers.lexicon_tokenize(corpus, lexicon(spark, folder)))
+    each = cut_lineage(unnest(words, [], F.transform("tagged", lambda m: F.array(m)), "pieces"))
+    costs, connections = lattice.estimate_costs(each)
+    shown = rows.format_pos("tagged", pos=True)
+    return keyed(lattice.lattice_tokenize(corpus, costs, connections), joined(shown).alias("tagged"))
+
+
 @query
 def t03_merge_lexicon(spark, folder):
     counts = vocab.token_counts(tokens(spark, folder))
@@ -576,10 +589,16 @@ def m02_lsa_docs(spark, folder):
 
 @query
 def m03_lda(spark, folder):
-    """Shares of 30 topics that sum to one in every document."""
-    made = embed.lda(doc_tokens(spark, folder).select("doc_id", "tokens"), k=30)
+    """Shares of 30 topics that sum to one in every document; ``trained``: the objective never rose, and the
+    perplexity fell below that of words drawn by their frequency alone."""
+    docs = cut_lineage(doc_tokens(spark, folder).select("doc_id", "tokens"))
+    shares, _, losses, perplexity = topics.lda(docs, k=30, iters=8)
+    counts = vocab.token_counts(docs)
+    sums = counts.agg(F.sum("cnt"), F.sum(F.col("cnt") * F.ln("cnt"))).first()
+    alone = math.exp(math.log(sums[0]) - sums[1] / sums[0])
     total = F.aggregate("topics", F.lit(0.0), lambda a, x: a + x)
-    return made.select("doc_id", F.size("topics").cast("bigint").alias("k"), (F.abs(total - 1) < 1e-6).alias("whole"))
+    made = shares.select("doc_id", F.size("topics").cast("bigint").alias("k"), (F.abs(total - 1) < 1e-6).alias("whole"))
+    return made.withColumn("alone", whole(alone)).withColumn("trained", F.lit(falling(losses) and perplexity < 0.9 * alone))
 
 
 def languages_found(vectors: DataFrame, docs: DataFrame) -> bool:
@@ -728,6 +747,16 @@ def v03_nearest_label(spark, folder):
     )
 
 
+@query
+def v03_approximate(spark, folder):
+    """Nearest rows by lists; ``enough``: nine of ten rows are the exact ones."""
+    train, test = split_embeddings(spark, folder)
+    found = sentvec.nearest_label_approx(train, test).select("vec_id", F.col("nearest").alias("other"))
+    exact = sentvec.nearest_label(train, test).join(found, "vec_id", "left")
+    told = exact.agg(F.count("*").alias("n"), F.avg(F.coalesce(F.col("nearest") == F.col("other"), F.lit(False)).cast("double")).alias("recall"))
+    return told.select("n", (F.col("recall") >= 0.9).alias("enough"))
+
+
 @query
 def v04_confusion(spark, folder):
     counts = sentvec.confusion(sentvec.nearest_label(*split_embeddings(spark, folder)))
@@ -749,6 +778,17 @@ def v05_linear_probe(spark, folder):
     return scored.select("doc_id", "label", "predicted")
 
 
+@query
+def v05_probe_fit(spark, folder):
+    """A probe for the labels of the supplied vectors: rows told apart, the objective of its rounds falling, and
+    at its end no slope left."""
+    train, _ = split_embeddings(spark, folder)
+    probe = sentvec.fit_probe(train, "embedding")
+    scored = sentvec.apply_probe(train, probe, "embedding")
+    told = scored.groupBy(F.col("label").cast("bigint").alias("label")).agg(F.count("*").alias("n"))
+    return told.withColumn("trained", F.lit(falling(probe.losses) and probe.losses[-1] < probe.losses[0]))
+
+
 @query
 def v06_split(spark, folder):
     return rows.with_split(documents(spark, folder)).select("doc_id", "split")

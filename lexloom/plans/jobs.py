@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..functions.arrays import unnest
 from ..functions.hangul import to_jamo
 from ..functions.vectors import random_vector
-from ..operators import cooccur, embed, factorize, order, pairmerge, paragraph, pretrain, rows, sentences, sentvec, sets, skipgram, spacing, subword, tokenizers, unigram, vocab, wordscore
+from ..operators import cooccur, embed, factorize, lattice, order, pairmerge, paragraph, pretrain, rows, sentences, sentvec, sets, skipgram, spacing, subword, tokenizers, unigram, vocab, wordscore
+from ..operators import topics as topic_model
 from ..operators.swivel import pmi_factorize
 from ..session import cut_lineage
 from ..sources import corpora, sinks
@@ -76,6 +78,24 @@ def lexicon_tokenize(spark, input: str, lexicon: str, output: str, user: str | N
     sinks.write_lines(tagged.withColumn("tokens", F.transform("tagged", part)), output, KEYS, "tokens")
 
 
+def morph_costs(spark, input: str, output: str) -> None:
+    """Costs of words and of connections of tags from lines of ``morph/TAG``, as two tables; a line's space-separated
+    tokens are chains of morphs joined by ``+``."""
+    chains = _lines(spark, input).select(F.transform(tx.split_tokens(tx.strip_line("line")), lambda t: F.split(t, r"\+(?=[^+])")).alias("chains"))
+    pair = lambda m: F.struct(F.regexp_extract(m, "^(.*)/[^/]*$", 1).alias("morph"), F.substring_index(m, "/", -1).alias("tag"))
+    each = unnest(chains, [], F.transform("chains", lambda c: F.transform(c, pair)), "pieces")
+    words, connections = lattice.estimate_costs(each)
+    sinks.save_table(words, output + "/words")
+    sinks.save_table(connections, output + "/connections")
+
+
+def morph_tokenize(spark, input: str, costs: str, output: str, pos: bool = False) -> None:
+    """Least-cost morphs of every line under the tables ``words`` and ``connections`` of the folder ``costs``."""
+    lines = _lines(spark, input).withColumn("tokens", tx.split_tokens(tx.strip_line("line")))
+    tagged = lattice.lattice_tokenize(lines, sinks.load_table(spark, costs + "/words"), sinks.load_table(spark, costs + "/connections"), line_keys=KEYS)
+    sinks.write_lines(tagged.withColumn("tokens", rows.format_pos("tagged", pos)), output, KEYS, "tokens")
+
+
 def tokenize(spark, input: str, output: str, tokenizer: str) -> None:
     sinks.write_lines(tokenizers.tokenize(_lines(spark, input), tokenizer), output, KEYS, "tokens")
 
@@ -244,7 +264,9 @@ def lsa_tfidf(spark, input: str, output: str, dim: int = 100) -> None:
 
 def lda(spark, input: str, output: str, topics: int = 30) -> None:
     docs = cut_lineage(_keyed(spark, input).select("doc_id", "tokens"))
-    sinks.save_table(embed.lda(docs, topics).select("doc_id", "topics"), output)
+    shares, words, _, _ = topic_model.lda(docs, topics)
+    sinks.save_table(shares, output)
+    sinks.save_table(words, output + "_words")
 
 
 def doc2vec(spark, input: str, output: str, dim: int = 100) -> None:

@@ -583,7 +583,11 @@ ORACLES["m02_lsa_docs"] = sql(
     weights="""SELECT tf * ln((1 + (SELECT count(*) FROM documents)) / CAST(1 + df AS DOUBLE)) AS w FROM terms t
       JOIN (SELECT word, count(*) AS df FROM terms GROUP BY word) d ON d.word = t.word""",
 )
-ORACLES["m03_lda"] = "SELECT doc_id, CAST(30 AS BIGINT) AS k, true AS whole FROM documents"
+ORACLES["m03_lda"] = sql(
+    "doc_counts",
+    """SELECT doc_id, CAST(30 AS BIGINT) AS k, true AS whole,
+      (SELECT CAST(round(exp(ln(sum(cnt)) - sum(cnt * ln(cnt)) / sum(cnt))) AS BIGINT) FROM doc_counts) AS alone, true AS trained FROM documents""",
+)
 ORACLES["m04_word2vec"] = sql("vocab", f"SELECT word, {SHAPE}, true AS trained FROM vocab")
 ORACLES["m05_glove"] = sql(
     "tok vocab",
@@ -775,3 +779,6 @@ ORACLES["p07_span_masks"] = sql(
     spots="SELECT doc_id, direction, win, pass, unnest(range(b, b + span)) AS pos FROM fits WHERE r <= 45 // span",
     placed_spans="SELECT doc_id, direction, win, pass, string_agg(CAST(pos AS VARCHAR), ' ' ORDER BY pos) AS positions FROM spots GROUP BY doc_id, direction, win, pass",
 )
+
+ORACLES["v03_approximate"] = sql("test", "SELECT count(*) AS n, true AS enough FROM test")
+ORACLES["v05_probe_fit"] = sql("train", "SELECT CAST(label AS BIGINT) AS label, count(*) AS n, true AS trained FROM train GROUP BY label")

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexloom.functions.vectors import random_vector
-from lexloom.operators import cooccur, embed, factorize, grid, sentvec, skipgram, swivel
+from lexloom.operators import cooccur, embed, factorize, grid, sentvec, skipgram, swivel, topics
 from lexloom.plans import catalog
 from lexloom.session import BROADCAST_CONF
 
@@ -199,10 +199,72 @@ def test_evaluate_and_probe(spark):
     assert accuracy == 1.0 and scored.filter("label = predicted").count() == 80
 
 
-def test_lda_shapes(spark):
-    df = spark.createDataFrame([(i, ["x", "y", "z"][: i % 3 + 1] * 4) for i in range(30)], "doc_id int, tokens array<string>")
-    topics = embed.lda(df, k=2, max_iter=3).first().topics
-    assert len(topics) == 2 and sum(topics) == pytest.approx(1.0)
+def plain_topics(counts, theta, phi, iters, a=0.1, b=0.01):
+    """EM over a dense (documents, words) matrix: objectives and the tables at the end."""
+    losses = []
+    for _ in range(iters):
+        joint = theta[:, None, :] * phi[None, :, :]
+        total = joint.sum(axis=2)
+        losses.append(-(counts * np.log(total)).sum() - a * np.log(theta).sum() - b * np.log(phi).sum())
+        shares = joint * (counts / total)[:, :, None]
+        theta = shares.sum(axis=1) + a
+        theta /= theta.sum(axis=1, keepdims=True)
+        phi = shares.sum(axis=0) + b
+        phi /= phi.sum(axis=0)
+    return losses, theta, phi
+
+
+@pytest.mark.parametrize("sizes", [{}, {"ROWS": 5, "COLS": 4, "PACK": 7, "SLICE": 20}])
+def test_topics_equal_dense_em(spark, monkeypatch, sizes):
+    for name, value in sizes.items():
+        monkeypatch.setattr(grid, name, value)
+    rng = np.random.default_rng(1)
+    words = [f"{c}{i}" for c in "xy" for i in range(6)]
+    rows = [(d, [words[6 * (d % 2) + rng.integers(6)] for _ in range(20)]) for d in range(14)] + [(14, []), (15, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, tokens array<string>")
+    shares, named, losses, perplexity = topics.lda(df, 3, iters=4)
+    counts = np.array([[(t or []).count(w) for w in words] for _, t in rows[:14]], float)
+    start = spark.createDataFrame([(w,) for w in words], "word string").select("word", random_vector(F.col("word"), 3).alias("v")).collect()
+    phi = np.array([r.v for r in start]) + 1
+    want, theta, phi = plain_topics(counts, np.full((14, 3), 1 / 3), phi / phi.sum(axis=0), 4)
+    assert losses == pytest.approx(want) and all(b <= a for a, b in zip(losses, losses[1:]))
+    got = {r.doc_id: r.topics for r in shares.collect()}
+    assert all(np.allclose(got[d], theta[d]) for d in range(14)) and got[14] == got[15] == pytest.approx([1 / 3] * 3)
+    table = {r.word: r.vec for r in named.collect()}
+    assert all(np.allclose(table[w], phi[k]) for k, w in enumerate(words)) and 1 < perplexity < 12
+
+
+def test_probe_finds_the_least_objective(spark):
+    rng = np.random.default_rng(4)
+    rows = [((rng.normal(size=3) + [c, -c, 0.5 * c]).tolist(), "abc"[c]) for c in range(3) for _ in range(30)] + [(None, "a"), ([0.0, 0.0, 0.0], None)]
+    df = spark.createDataFrame(rows, "vec array<double>, label string")
+    probe = sentvec.fit_probe(df.repartition(5), ridge=0.01)
+    assert probe.labels == ["a", "b", "c"] and all(b <= a for a, b in zip(probe.losses, probe.losses[1:]))
+    x = np.array([[*v, 1.0] for v, y in rows if v and y])
+    for c, name in enumerate(probe.labels):
+        sign = np.array([1.0 if y == name else -1.0 for v, y in rows if v and y])
+        slope = -((sign / (1 + np.exp(sign * (x @ probe.weights[c]))))[:, None] * x).mean(axis=0) + np.array([0.01, 0.01, 0.01, 0]) * probe.weights[c]
+        assert np.abs(slope).max() < 1e-4
+    scored = sentvec.apply_probe(df, probe)
+    assert scored.filter("vec IS NULL").first().predicted is None
+    assert sentvec.fit_probe(df.filter("1 = 0")).labels == []
+
+
+def test_nearest_rows_by_lists(spark, monkeypatch):
+    """Exact when every list is asked, also when lists span blocks; most rows are found in a few lists."""
+    monkeypatch.setattr(sentvec, "TRAIN_BLOCK", 20)
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(12, 8))
+    rows = [(i, (centres[i % 12] + rng.normal(size=8) * 0.3).tolist(), i % 12) for i in range(900)]
+    rows += [(900 + i, rows[i][1], 11 - rows[i][2]) for i in range(20)] + [(990, None, 1), (997, None, 1)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>, label int")
+    train, test = df.filter("vec_id % 7 <> 0"), df.filter("vec_id % 7 = 0")
+    table = lambda f: {r.vec_id: (r.nearest, r.cosine, r.label, r.predicted) for r in f.collect()}
+    exact = table(sentvec.nearest_label(train, test))
+    assert table(sentvec.nearest_label_approx(train, test, lists=16, probes=16)) == exact
+    few = table(sentvec.nearest_label_approx(train.repartition(7), test, lists=16, probes=4))
+    assert sum(few[k][0] == exact[k][0] for k in exact) >= 0.9 * len(exact)
+    assert sentvec.nearest_label_approx(train.filter("1 = 0"), test).count() == 0
 
 
 def random_like(vectors, seed=99):

@@ -5,7 +5,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from lexloom.operators import cooccur, order, spacing, subword, tokenizers, vocab, wordscore
+from lexloom.operators import cooccur, lattice, order, spacing, subword, tokenizers, vocab, wordscore
 from lexloom.plans import catalog
 
 
@@ -160,3 +160,82 @@ def test_partition_count_does_not_matter(spark, data, name):
         results.append(sorted(map(str, catalog.QUERIES[name](spark, data).collect())))
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert results[0] == results[1] == results[2]
+
+
+# ---------------------------------------------------------------- least-cost morphs
+
+
+def every_path(token, words, unknown):
+    """All chains of lexicon and unknown words, with their costs by themselves."""
+    classes = [lattice.char_class(c) for c in token]
+
+    def paths(at):
+        if at == len(token):
+            yield [], 0
+            return
+        run = at + 1
+        while run < len(token) and classes[run] == classes[at]:
+            run += 1
+        rule = unknown[classes[at]]
+        options = [(end, tag, cost) for end in range(at + 1, len(token) + 1) for tag, cost in words.get(token[at:end], [])]
+        options += [(end, rule.tag, rule.cost + rule.per_character * (end - at)) for end in {at + 1, run}]
+        for end, tag, cost in options:
+            for rest, total in paths(end):
+                yield [(token[at:end], tag), *rest], cost + total
+
+    yield from paths(0)
+
+
+def test_cheapest_paths_by_enumeration():
+    rnd = random.Random(3)
+    for _ in range(300):
+        words = {"".join(rnd.choice("ab1가") for _ in range(rnd.randint(1, 3))): [(t, rnd.randint(1, 9) * 100) for t in rnd.sample("NJV", rnd.randint(1, 2))] for _ in range(8)}
+        tags = ["", "N", "J", "V", "UNK", "SL", "SN"]
+        costs = {(a, b): rnd.randint(0, 9) * 50 for a in tags for b in tags if rnd.random() < 0.8}
+        token = "".join(rnd.choice("ab1가!") for _ in range(rnd.randint(1, 6)))
+        found = lattice.cheapest_path(token, lattice.edges_of(token, words, 3, lattice.UNKNOWN), costs)
+
+        def cost(path, own):
+            chain = ["", *[t for _, t in path], ""]
+            return own + sum(costs.get(pair, lattice.UNSEEN) for pair in zip(chain, chain[1:]))
+
+        every = [(cost(path, own), path) for path, own in every_path(token, words, lattice.UNKNOWN)]
+        least = min(c for c, _ in every)
+        assert "".join(m for m, _ in found) == token and found in [path for c, path in every if c == least]
+    assert lattice.cheapest_path("", [[]], {}) == []
+
+
+def test_lattice_tokens(spark, request):
+    """Connections decide: after a noun the particle, at the end of a verb the ending; unknown runs stay whole."""
+    words = spark.createDataFrame(
+        [("나", "NP", 300), ("나", "VV", 400), ("는", "JX", 200), ("는", "ETM", 200), ("학교", "NNG", 500), ("에", "JKB", 100), ("날", "VV", 400)], "word string, tag string, cost int"
+    )
+    tags = [("", "NP", 50), ("NP", "JX", 50), ("JX", "", 10), ("", "VV", 200), ("VV", "ETM", 60), ("ETM", "", 400), ("", "NNG", 60), ("NNG", "JKB", 30), ("JKB", "", 10), ("SL", "", 100), ("", "SL", 100), ("SL", "JX", 100)]
+    pairs = spark.createDataFrame(tags, "before string, after string, cost int")
+    lines = token_frame(spark, "나는 학교에 iPhone는 는", "", "나는")
+    want = [
+        [("나", "NP"), ("는", "JX"), ("학교", "NNG"), ("에", "JKB"), ("iPhone", "SL"), ("는", "JX"), ("는", "JX")],
+        [],
+        [("나", "NP"), ("는", "JX")],
+    ]
+    for _ in range(2):
+        got = in_order(lattice.lattice_tokenize(lines.withColumn("tokens", F.filter("tokens", lambda t: t != "")), words, pairs), "tagged")
+        assert [[tuple(p) for p in line] for line in got] == want
+        request.getfixturevalue("joins_only")
+
+
+def test_costs_from_tagged_tokens(spark):
+    rows = [([("a", "N"), ("s", "J")],), ([("a", "N")],), ([("b", "N"), ("s", "J")],), ([],)]
+    tagged = spark.createDataFrame(rows, "pieces array<struct<morph: string, tag: string>>")
+    words, pairs = lattice.estimate_costs(tagged)
+    cost = lambda share: round(-100 * math.log(share))
+    assert {(r.word, r.tag): r.cost for r in words.collect()} == {("a", "N"): cost(2 / 3), ("b", "N"): cost(1 / 3), ("s", "J"): 0}
+    got = {(r.before, r.after): r.cost for r in pairs.collect()}
+    assert got == {("", "N"): cost(4 / 6), ("N", "J"): cost(3 / 6), ("N", ""): cost(2 / 6), ("J", ""): cost(3 / 5)}
+
+
+def test_lattice_query_keeps_every_character(spark, data):
+    got = {(r.doc_id, r.line_no): r.tagged for r in catalog.t02_lattice(spark, data).collect()}
+    for r in catalog.tokens(spark, data).collect():
+        morphs = [m.rsplit("/", 1)[0] for m in got[r.doc_id, r.line_no].split(" ") if m]
+        assert "".join(morphs) == "".join(r.tokens)
