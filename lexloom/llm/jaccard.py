@@ -430,8 +430,9 @@ def similar_documents(
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one document of each component of :func:`similar_documents`: that of the smallest key.
 
-    Among rows that share it, the smallest hash of the text stays; rows equal in key and text are one
-    document. A NULL key stays only where its component has no other. Texts without words stay.
+    Among rows that share it, the smallest hash of the text stays, and of rows equal in key and text
+    the smallest by their other columns (any of them where these have no order). A NULL key stays only
+    where its component has no other. Texts without words stay.
     """
     found = stored(similar_documents(docs, words, percent, key, text).filter("component is not null"), "components")
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
@@ -441,8 +442,20 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, key: str = "doc
     )
     gone = gone.select(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_gone_hash")).distinct()
     gone = stored(gone, "near-copies")
-    same = F.col(f"`{key}`").cast("bigint").eqNullSafe(F.col("_gone")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_gone_hash"))
-    return docs.join(gone, same, "left_anti")
+    own_key, own_hash = F.col(f"`{key}`").cast("bigint"), F.xxhash64(F.col(f"`{text}`"))
+    same = own_key.eqNullSafe(F.col("_gone")) & (own_hash == F.col("_gone_hash"))
+    kept = docs.join(gone, same, "left_anti")
+    repeated = found.groupBy(F.col("doc_id").alias("_gone"), F.col("text_hash").alias("_gone_hash")).count().filter("count > 1").drop("count")
+    repeated = stored(repeated, "repeated")
+    if not repeated.limit(1).count():
+        return kept
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    row = F.struct(*columns)
+    ordered = not any(kind in docs.schema.simpleString() for kind in ("map<", "variant", "interval"))
+    # The rows of one key and text combine before they meet.
+    one = kept.join(repeated, same, "left_semi").groupBy(own_key, own_hash).agg((F.min if ordered else F.first)(row).alias("_row"))
+    single = kept.join(repeated, same, "left_anti")
+    return single.unionByName(one.select("_row.*"))
 
 
 def _placed(members: DataFrame, labels: DataFrame) -> DataFrame:

@@ -34,7 +34,8 @@ NEAR = 48  # characters before a span in which its context is read, half as many
 
 # The contract's patterns.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+# A match starts where no digit precedes: from inside a run of digits the same would follow.
+_IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
@@ -42,6 +43,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOOSE = {
     0: re.compile(r"[A-Za-z0-9._%+-]{1,64} ?[(\[](?:at|AT)[)\]] ?[A-Za-z0-9-]+(?: ?(?:\.|[(\[](?:dot|DOT)[)\]]) ?[A-Za-z0-9-]+)+"),
     1: re.compile(r"(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"),
+    2: re.compile(r"(?<![0-9A-Za-z])[0-9](?:[\x20-]?[0-9])+(?![0-9A-Za-z])"),  # numbers of a card's length whose check sum fails
     3: re.compile(r"\(?[0-9]{2,4}\)?[ .-][0-9]{3,4}[ .-][0-9]{3,4}(?:[ .-][0-9]{2,4})?"),
     4: re.compile(r"[0-9]{3}-[0-9]{2}-[0-9]{4}"),
     5: re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"),
@@ -92,7 +94,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     if not re.search("[0-9]", text):
         return found
     for m in _IP.finditer(text):
-        if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split(".")):
+        parts = [p.lstrip("0") for p in m[0].split(".")]
+        if all(len(p) <= 3 and int(p or "0") <= 255 for p in parts):
             found.append((1, *m.span()))
     for m in _CARD.finditer(text):
         digits = _digits(m[0])
@@ -109,13 +112,15 @@ def candidate_spans(text: str, base: Sequence[tuple[int, int, int]]) -> list[tup
     found: list[tuple[int, int, int]] = []
     if not re.search(r"[0-9]|[(\[](?:at|AT)[)\]]", text):
         return found
-    taken = sorted((a, b) for _, a, b in base)
-    for kind in (5, 4, 1, 0, 3):
+    taken = bytearray(len(text))  # characters of a span: one look at each, however many spans there are
+    for _, a, b in base:
+        taken[a:b] = b"\1" * (b - a)
+    for kind in (5, 4, 1, 0, 2, 3):
         for m in _LOOSE[kind].finditer(text):
             a, b = m.span()
-            if not any(x < b and a < y for x, y in taken):
+            if taken.find(1, a, b) < 0 and (kind != 2 or 13 <= len(_digits(m[0])) <= 19):
                 found.append((kind, a, b))
-                taken.append((a, b))
+                taken[a:b] = b"\1" * (b - a)
     return sorted(found)
 
 

@@ -1,6 +1,7 @@
 """Secrets, quality and personal data: one text at a time, so rows are compared with plain Python."""
 
 import random
+import time
 import re
 
 import brute
@@ -82,6 +83,26 @@ def test_personal_data(spark, odd_docs):
         assert got == sorted((str(d), *brute.pii_base(t)[:2]) for d, t in rows_of(docs))
 
 
+@pytest.mark.parametrize("text", [
+    "1" * 1_000_000, "0" * 400_000 + ".1.2.3 " + "0." * 300_000, "1." * 500_000, "12 345 6789-" * 80_000, "+1 " * 300_000, "+1" + " " * 500_000,
+    "a" * 1_000_000, "a@" * 500_000, "a.b@c.d " * 120_000, "4111 1111 1111 1111," * 50_000, "555-010-9999 " * 80_000, "A1" * 500_000, "1:" * 500_000,
+])
+def test_a_million_characters_in_seconds(text):
+    start = time.time()
+    base = pii.base_spans(text)
+    more = pii.candidate_spans(text, base)
+    spans = sorted((a, b) for _, a, b in more)
+    assert all(x[1] <= y[0] for x, y in zip(spans, spans[1:]))
+    assert time.time() - start < 10
+
+
+def test_numbers_whose_check_sum_fails_are_candidates():
+    text = "card 4111 1111 1111 1112 and 4111111111111111, x12345678901234567"
+    base = pii.base_spans(text)
+    assert [text[a:b] for k, a, b in base if k == 2] == ["4111111111111111"]
+    assert [(k, text[a:b]) for k, a, b in pii.candidate_spans(text, base)] == [(2, "4111 1111 1111 1112")]
+
+
 def test_weak_labels_decide_on_candidates(spark):
     """Held-out accuracy: numbers that follow phone cues against the same form after version cues."""
     rnd = random.Random(5)

@@ -200,7 +200,19 @@ def test_similar_documents_of_odd_rows(spark, odd_docs, no_docs):
     assert jaccard.similar_documents(no_docs).count() == 0
     kept = jaccard.keep_one(odd_docs, 4, 85)
     assert kept.columns == odd_docs.columns
-    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted("1 3 4 5 6 8 8 8 9 None None".split())
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted("1 3 4 5 6 8 8 9 None".split())
+
+
+def test_one_row_of_those_that_repeat_key_and_text(spark):
+    """Of a third of all rows with one key and text, and of other repeated ones, a single row each stays."""
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(7, text, f"s{i}") for i in range(50)] + [(i, f"{text} {i} " * 3, "t") for i in range(100, 130)] + [(101, f"{text} 101 " * 3, "a")]
+    rows += [(3, "", "x"), (3, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    kept = [tuple(r) for r in jaccard.keep_one(docs, 5, 80).collect()]
+    assert [r for r in kept if r[0] == 7] == [(7, text, "s0")]
+    assert [r[2] for r in kept if r[0] == 101] in (["a"], []) and len([r for r in kept if r[0] == 3]) == 2
+    assert len({r[:2] for r in kept if r[1]}) == len([r for r in kept if r[1]])
 
 
 def test_components_of_a_chain(spark):
