@@ -80,28 +80,32 @@ def _mean_in_task(spark, table: pa.Table):
 
 # ---------------------------------------------------------------- nearest labelled row
 
-TRAIN_BLOCK, TEST_BLOCK = 8192, 2048  # rows of a block
+TRAIN_BLOCK, TEST_BLOCK = 8192, 2048  # rows of a block at most
+BLOCK_BYTES = 4 << 20  # and about its bytes at most
 
 
 def _blocks(df: DataFrame, key: str, vec: str, label: str, size: int) -> DataFrame:
-    """(block, dim, keys, labels, rows): up to ``size`` unit vectors of one length, written once."""
+    """(block, dim, keys, labels, rows): unit vectors of one length by key, written once; a block has at most
+    ``size`` rows and, but for a single longer row, ``BLOCK_BYTES``."""
     parts = max(1, -(-df.count() * 5 // (4 * size)))  # a little less than a block in each
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list] = {}
 
         def block(dim: int) -> pa.RecordBatch:
-            keys, labels, rows = zip(*held.pop(dim))
+            keys, labels, rows = zip(*sorted(held.pop(dim), key=lambda r: r[0]))
             columns = [pa.array([dim], pa.int32()), pa.array([keys], pa.list_(pa.int64())), pa.array([labels], pa.list_(pa.string()))]
             columns.append(pa.array([_unit_rows(np.stack(rows)).tobytes()], pa.binary()))
             return pa.RecordBatch.from_arrays(columns, names=["dim", "keys", "labels", "rows"])
 
         for batch in batches:
-            for k, v, t in zip(*[batch.column(i).to_pylist() for i in range(3)]):
+            for row in range(batch.num_rows):  # one vector at a time
+                k, v, t = (batch.column(c)[row].as_py() for c in range(3))
                 if v is None or k is None:
                     continue
-                held.setdefault(len(v), []).append((k, None if t is None else str(t), np.array(v, np.float64)))
-                if len(held[len(v)]) == size:
+                own = held.setdefault(len(v), [])
+                own.append((k, None if t is None else str(t), np.array(v, np.float64)))
+                if len(own) == size or len(own) * len(v) * 8 >= BLOCK_BYTES:
                     yield block(len(v))
         for dim in list(held):
             yield block(dim)
@@ -116,39 +120,32 @@ def nearest_label(
 ) -> DataFrame:
     """(key, nearest, cosine, label, predicted): each test row's most similar training row.
 
-    Both sides are packed into blocks of bounded size, and pairs of blocks meet in a join; no side
-    passes through the driver. A pair of blocks yields one best row per test row, and ``max_by``
-    joins them. Ties go to the smaller training key; only vectors of one length are compared.
+    Both sides are packed into blocks of bounded size. Every block of training rows moves once, to the
+    task that holds it while the blocks of test rows of its length pass by; no side passes through the
+    driver. A pair of blocks yields one best row per test row, and ``max_by`` joins them. Ties go to the
+    smaller training key; only vectors of one length are compared.
     """
     known = _blocks(train, key, vec, label, TRAIN_BLOCK)
-    asked = _blocks(test, key, vec, label, TEST_BLOCK).select(
-        "dim", F.col("block").alias("asked"), F.col("keys").alias("asked_keys"), F.col("rows").alias("asked_rows")
-    )
-    left = known.join(asked.select("dim", "asked"), "dim")
-    right = asked.join(known.select("dim", "block"), "dim").drop("dim")
-    pairs = left.join(right, ["block", "asked"]).select("dim", "keys", "labels", "rows", "asked_keys", "asked_rows")
+    asked = _blocks(test, key, vec, label, TEST_BLOCK).select("dim", F.col("block").alias("asks"), "keys", "labels", "rows")
+    asked = asked.join(known.select("dim", "block"), "dim")
+    none = F.lit(-1).cast("bigint").alias("asks")
+    met = known.select("block", none, "keys", "labels", "rows").unionByName(asked.drop("dim"))
+    met = met.repartition("block").sortWithinPartitions("block", "asks")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for pair in batch.to_pylist():
-                keys = np.array(pair["keys"])
-                order = np.argsort(keys, kind="stable")
-                rows = np.frombuffer(pair["rows"], np.float64).reshape(len(keys), -1)[order]
-                queries = np.frombuffer(pair["asked_rows"], np.float64).reshape(len(pair["asked_keys"]), -1)
-                sims = np.round(queries @ rows.T, 12)
-                top = sims.argmax(axis=1)
-                best = order[top]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(pair["asked_keys"], pa.int64()),
-                        pa.array(keys[best]),
-                        pa.array(sims[np.arange(len(top)), top]),
-                        pa.array([pair["labels"][i] for i in best.tolist()], pa.string()),
-                    ],
-                    names=[key, "nearest", "cosine", "predicted"],
-                )
-
-    found = pairs.mapInArrow(search, f"{key} bigint, nearest bigint, cosine double, predicted string")
+            for row in range(batch.num_rows):
+                asks, keys = batch.column(1)[row].as_py(), batch.column(2)[row].values.to_numpy()
+                rows = np.frombuffer(batch.column(4)[row].as_buffer(), np.float64).reshape(len(keys), -1)
+                if asks < 0:
+                    held = (keys.copy(), rows.copy(), batch.column(3)[row].values)
+                    continue
+                sims = np.round(rows @ held[1].T, 12)
+                top = sims.argmax(axis=1)  # rows by key: the first of equal ones is the smallest
+                columns = [pa.array(keys), pa.array(held[0][top]), pa.array(sims[np.arange(len(top)), top]), held[2].take(pa.array(top))]
+                yield pa.RecordBatch.from_arrays(columns, names=[key, "nearest", "cosine", "predicted"])
+
+    found = met.mapInArrow(search, f"{key} bigint, nearest bigint, cosine double, predicted string")
     rank = F.struct(F.col("cosine"), -F.col("nearest"))
     top = found.groupBy(key).agg(F.max_by(F.struct("nearest", "cosine", "predicted"), rank).alias("b"))
     return test.select(key, label).join(top.select(key, "b.*"), key)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_CONF = "spark.lexloom.broadcastBytes"
 BROADCAST_BYTES = 128 << 20
@@ -52,7 +53,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give an input with fewer splits than cores one partition per core; others stay as read."""
+    """Give an input with fewer splits than cores one partition per core; others stay as read.
+
+    For scans and checkpoints alone: counting the partitions of a plan with shuffles would run it.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
@@ -61,15 +65,30 @@ def broadcast_limit(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_CONF, str(BROADCAST_BYTES)))
 
 
+def _held_bytes(field: T.StructField) -> Column:
+    """About what a value takes in a worker's memory, from its type and length."""
+    col = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        size = F.octet_length(col) + 64
+    elif isinstance(field.dataType, T.ArrayType) and isinstance(field.dataType.elementType, T.NumericType):
+        size = F.size(col) * 8 + 64
+    elif isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
+        size = F.octet_length(F.to_json(F.struct(col))) * 4 + 64
+    else:
+        size = F.lit(32)
+    return F.coalesce(size.cast("bigint"), F.lit(16).cast("bigint"))
+
+
 def measured(df: DataFrame, limit: int | None = None):
     """(``df`` computed once, its Arrow table when its size is within the limit or ``None``).
 
-    The size is measured on the cluster first, so the driver never receives more than the limit.
+    The size is measured on the cluster first, so the driver never receives more than the limit. It is
+    the size that rows take as Python objects, by their types and lengths.
     """
     limit = broadcast_limit(df.sparkSession) if limit is None else limit
     if limit <= 0:
         return df, None
     df = cut_lineage(df)
-    row = F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
-    size = df.agg(F.sum(row.cast("bigint"))).first()[0] or 0
+    row = sum((_held_bytes(f) for f in df.schema.fields), F.lit(64).cast("bigint"))
+    size = df.agg(F.sum(row)).first()[0] or 0
     return df, df.toArrow() if size <= limit else None

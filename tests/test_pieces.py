@@ -91,7 +91,7 @@ def test_tied_pairs_by_joins(spark, monkeypatch, joins_only):
 
 
 def test_many_segments_mean_fewer_hot_pairs(spark, monkeypatch):
-    monkeypatch.setattr(pairmerge, "SEGMENT_BYTES", 400)
+    monkeypatch.setattr(pairmerge, "SEGMENT_BYTES", 2500)
     rnd = random.Random(9)
     text = " ".join("".join(rnd.choice("aaabbcde") for _ in range(rnd.randint(2, 8))) for _ in range(60))
     made, want = trained(spark, text, 30)
