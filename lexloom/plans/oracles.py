@@ -521,10 +521,10 @@ ORACLES["a14_shuffle"] = sql(
 )
 ORACLES["a15_pmi"] = sql(
     "tok vocab",
-    """SELECT c.i, c.j, round(x, 6) AS x, round(ln(x * (SELECT sum(x) FROM cell) / (r.total * s.total)), 6) AS pmi,
+    """SELECT c.i, c.j, round(x, 6) AS x, round(ln(x * (SELECT CAST(sum(CAST(x AS DECIMAL(28,10))) AS DOUBLE) FROM cell) / (r.total * s.total)), 6) AS pmi,
       c.i % 16 AS row_shard, c.j % 16 AS col_shard FROM cell c JOIN side r ON r.i = c.i JOIN side s ON s.i = c.j""",
     **cells(5),
-    side="SELECT i, sum(x) AS total FROM cell GROUP BY i",
+    side="SELECT i, CAST(sum(CAST(x AS DECIMAL(28,10))) AS DOUBLE) AS total FROM cell GROUP BY i",
 )
 ORACLES["a15_marginals"] = sql("tok vocab", "SELECT w1 AS word, round(sum(x), 6) AS total FROM cell GROUP BY w1", **cells(5))
 ORACLES["a16_tfidf"] = sql(
