@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import unnest
-from ..functions.vectors import mean_vectors
-from ..session import cut_lineage, measured
+from ..session import broadcast_limit, cut_lineage, heaviest, measured, row_bytes, stored
+from .lookup import missing_from
 
 LINE_KEYS = ("doc_id",)
 
@@ -34,26 +34,34 @@ def sentence_vectors(
 ) -> DataFrame:
     """Mean of the known words' vectors, weighted when ``weights`` (word, weight) is given.
 
-    NULL when no word is known. Vectors within the broadcast limit are averaged inside the task;
-    larger tables are joined to per-row word counts and averaged by a partial aggregate.
+    NULL when no word is known. Vectors within the broadcast limit are averaged inside the task. Of a
+    larger table the vectors of the most frequent words, as many as fit, are summed there, and the
+    other words meet their vectors in blocks; a row and a block have one sum.
     """
     words = vectors.select("word", "vec", F.lit(1.0).alias("weight"))
     if weights is not None:
         words = vectors.select("word", "vec").join(weights.select("word", "weight"), "word")
     words, small = measured(words)
     if small is not None:
-        return df.withColumn(out, _mean_in_task(df.sparkSession, small)(F.col(col)))
-    keys = list(keys)
-    counts = unnest(df, keys, col, "word").groupBy(*keys, "word").agg(F.count("*").alias("_n"))
-    rows = counts.join(words, "word").select(*keys, "vec", (F.col("_n") * F.col("weight")).alias("w"))
-    return df.join(mean_vectors(rows, keys, "vec", "w", out), keys, "left")
+        shared = _shared_vectors(df.sparkSession, small)
+        return df.withColumn(out, _in_task(shared, whole=True)(F.col(col)))
+    return _means_beyond(df, words, col, out)
 
 
-def _mean_in_task(spark, table: pa.Table):
-    index = {w: i for i, w in enumerate(table.column("word").to_pylist())}
-    flat = table.column("vec").combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    matrix = flat.reshape(len(index), -1) if index else np.zeros((0, 1))
-    shared = spark.sparkContext.broadcast((index, matrix, table.column("weight").to_numpy()))
+def _shared_vectors(spark, table: pa.Table):
+    """Broadcast (index, matrix, weights); a word without a vector has the index -1."""
+    known = table.column("vec").combine_chunks()
+    names, have = table.column("word").to_pylist(), known.is_valid().to_pylist()
+    places = np.cumsum(have) - 1
+    index = {w: int(place) if there else -1 for w, place, there in zip(names, places, have)}
+    flat = known.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+    matrix = flat.reshape(sum(have), -1) if any(have) else np.zeros((0, 1))
+    return spark.sparkContext.broadcast((index, matrix, table.column("weight").to_numpy()[np.array(have, dtype=bool)]))
+
+
+def _in_task(shared, whole: bool):
+    """Arrow function: the mean vector of the known words of every row or, not ``whole``, their sum and last
+    the sum of their weights."""
 
     def mean(col: pa.Array) -> pa.Array:
         index, matrix, weight = shared.value
@@ -72,12 +80,77 @@ def _mean_in_task(spark, table: pa.Table):
             end = cuts[start + 256] if start + 256 < len(cuts) else len(ids)
             block = matrix[ids[part[0] : end]] * w[part[0] : end, None]
             sums[owner[part]] = np.add.reduceat(block, part - part[0], axis=0)
-        means = [sums[r] / total[r] if total[r] > 0 else None for r in range(len(lengths))]
+        if whole:
+            means = [sums[r] / total[r] if total[r] > 0 else None for r in range(len(lengths))]
+        else:
+            means = [np.append(sums[r], total[r]) if total[r] > 0 else None for r in range(len(lengths))]
         return pa.array(means, pa.list_(pa.float64()))
 
     return F.arrow_udf(mean, returnType="array<double>")
 
 
+WORD_BLOCK_BYTES = 64 << 20  # of vectors that a task holds
+
+
+def _means_beyond(df: DataFrame, words: DataFrame, col: str, out: str) -> DataFrame:
+    spark = df.sparkSession
+    first = words.select(F.size("vec")).first()
+    width = first[0] if first else 0
+    counts = unnest(df, [], col, "word").groupBy("word").agg(F.count("*").alias("_n"))
+    held = words.select("word", row_bytes(words).alias("_bytes"))
+    used = cut_lineage(counts.join(held, "word", "left"))
+    least = heaviest(used, "_n", broadcast_limit(spark), F.coalesce("_bytes", F.octet_length("word") + F.lit(192)).cast("bigint"))
+    # Frequent words without a vector are known to have none.
+    head = used.filter(F.col("_n") >= least).join(words, "word", "left")
+    shared = _shared_vectors(spark, head.select("word", "vec", "weight").toArrow())
+    rest = F.transform(missing_from(shared, words.schema["word"].dataType)(F.col(col)), lambda e: e["key"])
+    marked = df.withColumns({"_sums": _in_task(shared, whole=False)(F.col(col)), "_rest": rest})
+    marked = stored(marked.withColumn("_row", F.monotonically_increasing_id()))
+    tail = used.filter((F.col("_n") < least) & F.col("_bytes").isNotNull()).select("word").join(words, "word").filter("vec is not null")
+    blocks = max(1, -(-tail.count() * width * 8 // WORD_BLOCK_BYTES))
+    none = lambda kind: F.lit(None).cast(kind)
+    block = F.pmod(F.xxhash64("word"), F.lit(blocks)).alias("block")
+    vectors = tail.select(block, none("bigint").alias("row"), "word", F.col("vec").cast("array<double>").alias("vec"), F.col("weight").cast("double").alias("weight"))
+    cells = unnest(marked, [F.col("_row").alias("row")], "_rest", "word").select(block, "row", "word", none("array<double>").alias("vec"), none("double").alias("weight"))
+    met = vectors.unionByName(cells).repartition("block").sortWithinPartitions("block", "row")  # vectors first
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, held, index, matrix = None, [], None, None
+        for batch in batches:
+            cuts = np.flatnonzero(np.diff(batch.column(0).to_numpy()) != 0) + 1
+            for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+                if low == high:
+                    continue
+                part = batch.slice(low, high - low)
+                if place != part.column(0)[0].as_py():
+                    place, held, index, matrix = part.column(0)[0].as_py(), [], None, None
+                n = part.column(1).null_count  # the first of the block, vectors
+                if n:
+                    flat = part.column(3).slice(0, n).flatten().to_numpy().reshape(n, -1)
+                    weight = part.column(4).slice(0, n).to_numpy()
+                    held.append((part.column(2).slice(0, n).to_pylist(), np.concatenate([flat * weight[:, None], weight[:, None]], axis=1)))
+                if n == part.num_rows or not held and matrix is None:
+                    continue
+                if matrix is None:
+                    index = {w: i for i, w in enumerate(w for names, _ in held for w in names)}
+                    matrix, held = np.concatenate([m for _, m in held]), []
+                coded = part.column(2).slice(n).dictionary_encode()
+                ids = np.array([index.get(w, -1) for w in coded.dictionary.to_pylist()], dtype=np.int64)[coded.indices.to_numpy()]
+                rows = part.column(1).slice(n).to_numpy()[ids >= 0]
+                ids = ids[ids >= 0]
+                if len(ids):
+                    starts = np.flatnonzero(np.diff(rows, prepend=rows[0] - 1))
+                    sums = np.add.reduceat(matrix[ids], starts, axis=0)
+                    yield pa.RecordBatch.from_arrays([pa.array(rows[starts]), pa.array(list(sums), pa.list_(pa.float64()))], ["_row", "_sums"])
+
+    parts = met.mapInArrow(add, "_row bigint, _sums array<double>")
+    both = marked.filter("_sums is not null").select("_row", "_sums").unionByName(parts)
+    sums = both.groupBy("_row").agg(*[F.sum(F.get("_sums", F.lit(i))).alias(f"_{i}") for i in range(width + 1)])
+    mean = F.array(*[F.col(f"_{i}") / F.col(f"_{width}") for i in range(width)]) if width else F.lit(None).cast("array<double>")
+    means = sums.select("_row", F.when(F.col(f"_{width}") > 0, mean).alias(out))
+    return marked.drop("_sums", "_rest").join(means, "_row", "left").drop("_row")
+
+
 # ---------------------------------------------------------------- nearest labelled row
 
 TRAIN_BLOCK, TEST_BLOCK = 8192, 2048  # rows of a block at most

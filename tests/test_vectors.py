@@ -25,6 +25,27 @@ def test_sentence_means(spark, request):
         request.getfixturevalue("joins_only")
 
 
+@pytest.mark.parametrize("limit", ["0", "400", "700"])
+def test_sentence_means_beyond_the_limit(spark, monkeypatch, limit):
+    """Frequent words in the task, others in blocks; keys may repeat or be NULL."""
+    rng = np.random.default_rng(5)
+    words = [f"w{i}" for i in range(12)]
+    lines = [[words[int(k)] for k in rng.zipf(1.5, 20) % 14 if k % 14 < 12] + ["unknown"] for _ in range(30)]
+    df = spark.createDataFrame([(None if i % 5 == 0 else i % 4, t) for i, t in enumerate([*lines, [], None, ["unknown"]])], "doc_id int, tokens array<string>")
+    vecs = spark.createDataFrame([(w, rng.normal(size=3).tolist()) for w in words], "word string, vec array<double>")
+    weights = spark.createDataFrame([(w, float(i + 1)) for i, w in enumerate(words)], "word string, weight double")
+    rows = lambda: sorted(((r.doc_id or -1, r.tokens or [], r.vec is not None), r.vec or []) for r in sentvec.sentence_vectors(df, vecs, weights).collect())
+    expected = rows()
+    monkeypatch.setattr(sentvec, "WORD_BLOCK_BYTES", 48)
+    spark.conf.set(BROADCAST_CONF, limit)
+    try:
+        got = rows()
+    finally:
+        spark.conf.unset(BROADCAST_CONF)
+    assert [k for k, _ in got] == [k for k, _ in expected]
+    np.testing.assert_allclose(np.array([v for _, v in got if v]), np.array([v for _, v in expected if v]), rtol=1e-12)
+
+
 def test_tag_and_subword_vectors(spark):
     df = spark.createDataFrame([("t", ["a", "a", "b"]), ("u", ["b"])], "tag string, tokens array<string>")
     tags = {r.tag: r.vec for r in embed.tag_vectors(df, vectors(spark), "tag").collect()}
