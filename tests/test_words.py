@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexloom.operators import cooccur, lattice, order, spacing, subword, tokenizers, vocab, wordscore
+from lexloom.operators.lookup import lookup
 from lexloom.plans import catalog
+from lexloom.session import BROADCAST_CONF
 
 
 def corpus(spark, *lines):
@@ -152,6 +154,22 @@ def test_joined_lookup_equals_in_task(spark, data, name, request):
     assert sorted(map(str, catalog.QUERIES[name](spark, data).collect())) == fast
 
 
+@pytest.mark.parametrize("limit", ["0", "200", "380", "500"])
+def test_lookup_beyond_the_limit_by_frequency(spark, limit):
+    """Frequent elements in the task, the others joined; keys may repeat or be NULL."""
+    words = [["a", "a", "b", None, "z"], ["a", "c", "b"], [], None, ["z", "d", "a"], ["a", "a"]]
+    df = spark.createDataFrame([(None if i == 1 else i % 2, w) for i, w in enumerate(words)], "doc_id int, tokens array<string>")
+    table = spark.createDataFrame([("a", [1, 2]), ("b", [3]), ("c", []), ("d", None), ("e", [5])], "word string, x array<int>")
+    found = lambda: sorted(str((r.doc_id, r.tokens, r.v)) for r in lookup(df, "tokens", table, "word", "x", "v", ["doc_id"]).collect())
+    expected = found()
+    assert str((0, ["z", "d", "a"], [None, None, [1, 2]])) in expected
+    spark.conf.set(BROADCAST_CONF, limit)
+    try:
+        assert found() == expected
+    finally:
+        spark.conf.unset(BROADCAST_CONF)
+
+
 @pytest.mark.parametrize("name", ["s13_shards", "a02_lm_vocab", "t04_l_tokens", "p03_sentence_pairs", "a15_pmi"])
 def test_partition_count_does_not_matter(spark, data, name):
     results = []
