@@ -83,8 +83,9 @@ def lda(df: DataFrame, k: int = 10, key: str = "doc_id", col: str = "tokens", it
     words = cut_lineage(with_ordinal(counts.select("word").distinct(), ["word"], "j"))
     cells = counts.join(docs, key).join(words, "word").select("i", "j", F.col("n").cast("double").alias("target"), F.lit(1.0).alias("weight"))
     cells = cut_lineage(cells)
-    forward = Grid(cells)
-    back = Grid(cells.select(F.col("j").alias("i"), F.col("i").alias("j"), "target", "weight"))
+    row = (2 * k + 1) * 8  # shares and sums
+    forward = Grid(cells, row_bytes=row)
+    back = Grid(cells.select(F.col("j").alias("i"), F.col("i").alias("j"), "target", "weight"), row_bytes=row)
     total = cells.agg(F.sum("target")).first()[0] or 1.0
     theta = docs.select(F.col("i").alias("id"), F.array_repeat(F.lit(1.0 / k), k).alias("vec"))
     start = F.transform(random_vector(F.col("word"), k, seed), lambda v: v + 1.0)

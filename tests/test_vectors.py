@@ -193,6 +193,31 @@ def test_svd_matches_numpy(spark):
     assert np.allclose(np.abs(got.T @ want) / (s[:6] ** 2)[:, None], np.eye(6), atol=0.05)
 
 
+def test_passes_without_matrices_have_wide_row_blocks(spark, monkeypatch):
+    """A factor is sent for as few row blocks as their sums allow, in every layout with the same result."""
+    rng = np.random.default_rng(4)
+    dense = np.where(rng.random((1500, 30)) < 0.2, rng.random((1500, 30)), 0.0)
+    cells = spark.createDataFrame([(int(i), int(j), float(dense[i, j])) for i, j in zip(*dense.nonzero())], "i bigint, j bigint, x double")
+    made, start = [], grid.Grid.__init__
+
+    def watched(self, *args, **options):
+        start(self, *args, **options)
+        made.append(self.n_rows)
+
+    monkeypatch.setattr(grid.Grid, "__init__", watched)
+    spark.conf.set(BROADCAST_CONF, "0")
+    try:
+        _, first = factorize.svd_vectors(cells, 3)
+        blocks = list(made)
+        monkeypatch.setattr(grid, "WIDE_BYTES", 0)
+        monkeypatch.setattr(grid, "WIDE_SLICE", 1000)
+        _, second = factorize.svd_vectors(cells, 3)
+    finally:
+        spark.conf.unset(BROADCAST_CONF)
+    assert blocks == [1, 1] and max(made[2:]) == 3
+    np.testing.assert_allclose(first, second, rtol=1e-9)
+
+
 def test_nearest_label_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(sentvec, "TRAIN_BLOCK", 40)
     monkeypatch.setattr(sentvec, "TEST_BLOCK", 10)
