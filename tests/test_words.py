@@ -122,6 +122,24 @@ def test_cooccurrence(spark):
     assert cells == {("a", "b"): 2.0, ("b", "a"): 2.0, ("a", "c"): 0.5, ("c", "a"): 0.5, ("b", "c"): 1.0, ("c", "b"): 1.0}
 
 
+def test_pmi_leaves_cells_in_place(spark):
+    """Marginals within the limit are broadcast, larger ones are merged, with the same result."""
+    cells = cooccur.cooccurrence(token_frame(spark, "a b a c", "b a"), spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "id bigint, word string"), 2)
+    found = lambda: cooccur.pmi(cells)
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        here = found()
+        assert "SortMergeJoin" not in plan(here)
+        spark.conf.set(BROADCAST_CONF, "0")
+        there = found()
+        assert "SortMergeJoin" in plan(there)
+        assert sorted(map(str, here.collect())) == sorted(map(str, there.collect()))
+    finally:
+        spark.conf.unset(BROADCAST_CONF)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_cooccurrence_across_blocks(spark, monkeypatch):
     monkeypatch.setattr(cooccur, "BLOCK", 64)
     n = 3 * cooccur.BLOCK + 7
