@@ -99,3 +99,18 @@ def test_reframe_keeps_sentences(spark):
     )
     row = pretrain.reframe(df).first()
     assert row.tokens == ["a", "##b", "c"] and row.sents == [0, 0, 1]
+
+
+def test_hashes_of_elements_begin_with_their_rows_keys_once(spark):
+    """The same numbers as from all parts at once, NULL keys too, and digits that sort like them."""
+    from lexloom.functions.arrays import once
+    from lexloom.functions.hashing import continued, hash32, joined, number, rank_text
+
+    rows = spark.createDataFrame([(1, "a", [5, 9, 0]), (None, "b", [3]), (None, None, []), (2, "c", None)], "k bigint, t string, at array<int>")
+    keys = (7, "pick", F.col("k"), F.col("t"))
+    whole = F.transform("at", lambda i: hash32(*keys, i))
+    start = joined(*keys)
+    parts = once(start, lambda p: F.transform("at", lambda i: number(continued(p, i))))
+    ranked = once(start, lambda p: F.transform("at", lambda i: F.conv(rank_text(continued(p, i)), 16, 10).cast("bigint")))
+    for r in rows.select(whole.alias("whole"), parts.alias("parts"), ranked.alias("ranked")).collect():
+        assert r.whole == r.parts == r.ranked
