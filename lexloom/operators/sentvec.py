@@ -155,6 +155,7 @@ def _means_beyond(df: DataFrame, words: DataFrame, col: str, out: str) -> DataFr
 
 TRAIN_BLOCK, TEST_BLOCK = 8192, 2048  # rows of a block at most
 BLOCK_BYTES = 4 << 20  # and about its bytes at most
+ASKED = 256  # test rows whose similarities are in memory at the same time
 
 
 def _blocks(df: DataFrame, key: str, vec: str, label: str, size: int) -> DataFrame:
@@ -213,10 +214,12 @@ def nearest_label(
                 if asks < 0:
                     held = (keys.copy(), rows.copy(), batch.column(3)[row].values)
                     continue
-                sims = np.round(rows @ held[1].T, 12)
-                top = sims.argmax(axis=1)  # rows by key: the first of equal ones is the smallest
-                columns = [pa.array(keys), pa.array(held[0][top]), pa.array(sims[np.arange(len(top)), top]), held[2].take(pa.array(top))]
-                yield pa.RecordBatch.from_arrays(columns, names=[key, "nearest", "cosine", "predicted"])
+                for low in range(0, len(keys), ASKED):
+                    sims = rows[low : low + ASKED] @ held[1].T
+                    np.round(sims, 12, out=sims)
+                    top = sims.argmax(axis=1)  # rows by key: the first of equal ones is the smallest
+                    columns = [pa.array(keys[low : low + ASKED]), pa.array(held[0][top]), pa.array(sims[np.arange(len(top)), top]), held[2].take(pa.array(top))]
+                    yield pa.RecordBatch.from_arrays(columns, names=[key, "nearest", "cosine", "predicted"])
 
     found = met.mapInArrow(search, f"{key} bigint, nearest bigint, cosine double, predicted string")
     rank = F.struct(F.col("cosine"), -F.col("nearest"))

@@ -336,3 +336,15 @@ def test_queries_tell_a_fit_that_learns_nothing(spark, data, monkeypatch, name):
     monkeypatch.setattr(factorize, "_solve_side", lambda cells, others, dim, ridge: (others, 1e30))
     monkeypatch.setattr(swivel, "_half_round", lambda grid, rows, cols, *rest: (rows, 1.0 + noise.random()))
     assert [r.trained for r in catalog.QUERIES[name](spark, data).select("trained").distinct().collect()] == [False]
+
+
+def test_nearest_rows_a_few_at_a_time(spark, monkeypatch):
+    """A task compares some rows of a test block at once; the results are those of all pairs."""
+    monkeypatch.setattr(sentvec, "ASKED", 3)
+    rng = np.random.default_rng(3)
+    known, asked = rng.normal(size=(40, 6)), rng.normal(size=(11, 6))
+    frame = lambda rows, first: spark.createDataFrame([(first + k, [float(x) for x in v], k % 4) for k, v in enumerate(rows)], "vec_id bigint, embedding array<double>, label int")
+    got = {r.vec_id: (r.nearest, r.predicted) for r in sentvec.nearest_label(frame(known, 0), frame(asked, 100)).collect()}
+    unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
+    best = (unit(asked) @ unit(known).T).argmax(axis=1)
+    assert got == {100 + k: (int(b), str(b % 4)) for k, b in enumerate(best)}
