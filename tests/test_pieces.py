@@ -4,11 +4,13 @@ import math
 import random
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from lexloom.functions import text as tx
 from lexloom.operators import pairmerge, subword, unigram, vocab
 from lexloom.plans import catalog
+from lexloom.session import BROADCAST_CONF
 
 
 def corpus(spark, *lines):
@@ -363,3 +365,32 @@ def test_nothing_to_train_on(spark):
     empty = corpus(spark, "x").filter("1 = 0")
     assert [r.piece for r in pairmerge.bpe_train(empty).orderBy("id").collect()] == ["<unk>", "<s>", "</s>"]
     assert unigram.unigram_train(empty).filter("kind = 'piece'").count() == 0
+
+
+def test_unigram_joins_words_with_pieces_once(spark, monkeypatch):
+    """A table of pieces beyond the limit, whose scores by number are within it, meets the words in one join."""
+    rnd = random.Random(3)
+    some = ["".join(rnd.choice("abcd") for _ in range(rnd.randint(1, 6))) for _ in range(60)]
+    text = " ".join(rnd.choice(some) for _ in range(300))
+    others = 3 + len(unigram.CONTROL_SYMBOLS) + len(unigram.USER_SYMBOLS)
+    joins, word_scores = [], unigram.word_scores
+    monkeypatch.setattr(unigram, "word_scores", lambda *given: joins.append(1) or word_scores(*given))
+    spark.conf.set(BROADCAST_CONF, "4096")
+    try:
+        made = unigram.unigram_train(corpus(spark, text), 45, coverage=1.0).filter("kind = 'piece'").collect()
+    finally:
+        spark.conf.unset(BROADCAST_CONF)
+    want = trained_pieces(Counter("▁" + w for w in text.split()), 45 - others)
+    total = math.log(sum(want.values()))
+    assert {r.piece: r.score for r in made} == pytest.approx({p: math.log(n) - total for p, n in want.items()}, abs=1e-3)
+    assert len(joins) == 2  # the words, and the pieces themselves
+
+
+def test_sums_by_number_are_exact_beyond_64_bits():
+    sums, told = unigram._NumberSums(3), Counter()
+    given = [([0, 1, -1], [999_999, 1_000_000, 5], [1 << 50, 3, 7]), ([1, 1], [7, 11], [1 << 44, 1 << 43]), ([2], [1], [1])]
+    batches = [b for ids, parts, times in given for b in sums.add(*(np.array(x, np.int64) for x in (ids, parts)), 1_000_001, np.array(times, np.int64))]
+    for batch in [*batches, sums.batch()]:
+        for row in batch.to_pylist():
+            told[row["id"]] += row["n"]
+    assert told == {0: 999_999 << 50, 1: 3_000_000 + (7 << 44) + (11 << 43), 2: 1}
