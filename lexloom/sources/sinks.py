@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.rows import format_labelled
+from ..session import stored
 
 
 def _line(df: DataFrame, col: str) -> Column:
@@ -16,10 +17,13 @@ def _line(df: DataFrame, col: str) -> Column:
 
 
 def write_lines(df: DataFrame, path: str, order: Sequence[str] = ("doc_id", "line_no"), col: str = "line") -> None:
-    """A line corpus in key order across and inside the part files; tokens are space-joined."""
-    order = [F.col(k) for k in order]
-    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    ranged.select(_line(df, col).alias("value")).write.mode("overwrite").text(path)
+    """A line corpus in key order across and inside the part files; tokens are space-joined.
+
+    The lines are stored first: sorting by range looks at its input twice, and would make them twice.
+    """
+    made = stored(df.select(*order, _line(df, col).alias("_value")))
+    ranged = made.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged.select(F.col("_value").alias("value")).write.mode("overwrite").text(path)
 
 
 def write_labelled_lines(

@@ -116,3 +116,17 @@ def test_jobs_from_lines_to_records(spark, data, tmp_path):
     assert sinks.load_table(spark, at("records")).count() > 0
     run("elmo-data", spark, inputs=at("tok"), output=at("elmo"))
     assert sinks.load_table(spark, at("elmo/vocab")).filter("id < 3").count() == 3
+
+
+def test_lines_are_made_once_when_they_are_written(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    def line(n):
+        made.add(1)
+        return f"line {n}"
+
+    rows = spark.range(40).select(F.lit(0).alias("doc_id"), F.col("id").alias("line_no"), F.udf(line, "string")("id").alias("line"))
+    sinks.write_lines(rows, str(tmp_path / "l"))
+    text = "".join(p.read_text() for p in sorted((tmp_path / "l").glob("part-*")))
+    assert text.splitlines() == [f"line {n}" for n in range(40)]
+    assert made.value == 40
