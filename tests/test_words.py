@@ -82,6 +82,23 @@ def test_lexicon(spark):
     ]
 
 
+def test_small_lexicon_is_applied_in_the_task(spark, monkeypatch, request):
+    """Tokens are neither collected nor looked up where the lexicon fits; joins tag them alike."""
+    base = spark.createDataFrame([("a", "J"), ("ab", "N"), ("cd", None), ("é🙂", "N"), (None, "N")], "word string, tag string")
+    lines = token_frame(spark, "abcd ab abx xab a cdab cd é🙂a", "").unionByName(
+        spark.createDataFrame([(0, 2, None, ["ab", None, ""]), (0, 3, None, None)], "doc_id bigint, line_no int, line string, tokens array<string>")
+    )
+    given = tokenizers.lookup
+    monkeypatch.setattr(tokenizers, "lookup", None)
+    got = in_order(tokenizers.lexicon_tokenize(lines, base), "tagged")
+    want = [("ab", "N"), ("cd", "UNK"), ("ab", "N"), ("ab", "N"), ("x", "UNK"), ("xab", "UNK"), ("a", "J"), ("cd", None), ("ab", "N"), ("cd", None)]
+    assert [tuple(p) for p in got[0]] == [*want, ("é🙂", "N"), ("a", "J")]
+    assert [tuple(p) for p in got[2]] == [("ab", "N"), (None, "UNK"), ("", "UNK")] and got[3] is None
+    monkeypatch.setattr(tokenizers, "lookup", given)
+    request.getfixturevalue("joins_only")
+    assert in_order(tokenizers.lexicon_tokenize(lines, base), "tagged") == got
+
+
 def test_tokenizer_registry(spark):
     lines = corpus(spark, " a1 b ")
     assert in_order(tokenizers.tokenize(lines, "whitespace")) == [["a", "1", "b"]]
