@@ -9,22 +9,25 @@ occurs.
 from __future__ import annotations
 
 import unicodedata
+import zlib
 from collections.abc import Iterator, Mapping, Sequence
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from ..functions.arrays import unnest
-from ..session import cut_lineage, measured
-from .lookup import lookup
+from ..session import broadcast_limit, cut_lineage, measured
+from .lookup import MORPHS, lookup, per_distinct
 from .tokenizers import distinct_tokens
 
 LINE_KEYS = ("doc_id", "line_no")
 SCALE = 100  # costs are hundredths of negative natural logarithms
 UNSEEN = 1500  # of a connection that the table does not have
+SLICE_BITS = 1 << 16  # of the table of bits that tells what is no word
 EDGE = ""  # the tag before the first and after the last word
 
 
@@ -109,7 +112,8 @@ def lattice_tokenize(
 
     ``lexicon``: (word, tag, cost), a word may have several tags; ``connections``: (before, after, cost)
     of tags, the empty tag standing for a token's edge. A lexicon within the broadcast limit goes to
-    the tasks; of a larger one every distinct token gets the entries inside it by a join. Tags are few:
+    the tasks; of a larger one every distinct token gets the entries inside it by a join, which substrings that are
+    surely no entry do not reach. Tags are few:
     their connections must fit the broadcast limit.
     """
     spark = df.sparkSession
@@ -131,12 +135,10 @@ def lattice_tokenize(
             words, joined = shared.value
             return [{"morph": m, "tag": t} for m, t in cheapest_path(token, edges_of(token, words, longest, rule), joined, unseen)]
 
-        return df.withColumn("_pieces", _per_token(segment)(F.col(col))).withColumn(out, F.flatten("_pieces")).drop("_pieces")
-    tokens = distinct_tokens(df, col)
-    starts = unnest(tokens.filter("token <> ''"), ["token"], F.sequence(F.lit(1), F.length("token")), "start")
-    reach = F.least(F.lit(longest), F.length("token") - F.col("start") + 1)
-    subs = unnest(starts, ["token", "start"], F.sequence(F.lit(1), reach), "n")
-    subs = subs.select("token", F.substr("token", F.col("start"), F.col("n")).alias("word")).distinct()
+        return df.withColumn("_pieces", per_distinct(segment, MORPHS)(F.col(col))).withColumn(out, F.flatten("_pieces")).drop("_pieces")
+    tokens = cut_lineage(distinct_tokens(df, col))
+    inside = _likely_words(by_word, longest)(F.col("token"))
+    subs = unnest(tokens.filter("token <> ''"), ["token"], inside, "word")
     own = subs.join(by_word, "word").groupBy("token").agg(F.collect_list(F.struct("word", "tags")).alias("words"))
     shared_costs = spark.sparkContext.broadcast(costs)
 
@@ -153,20 +155,43 @@ def lattice_tokenize(
     return lookup(df, col, found, "token", "pieces", "_pieces", line_keys).withColumn(out, F.flatten("_pieces")).drop("_pieces")
 
 
-_PIECES = pa.list_(pa.struct([("morph", pa.string()), ("tag", pa.string())]))
+_PIECES = to_arrow_type(MORPHS)
 
 
-def _per_token(segment):
-    """Arrow function: the pieces of every token of a list, each distinct token worked on once a batch."""
+def _likely_words(by_word: DataFrame, longest: int):
+    """Arrow function: the distinct substrings of a token but those that are surely no word.
 
-    def apply(col: pa.Array) -> pa.Array:
-        coded = pc.list_flatten(col).dictionary_encode()
-        made = pa.array([segment(w) for w in coded.dictionary.to_pylist()], _PIECES).take(coded.indices)
-        lengths = pc.fill_null(pc.list_value_length(col), 0)
-        offsets = pa.concat_arrays([pa.array([0], pa.int32()), pc.cumulative_sum(lengths.cast(pa.int32()))])
-        return pa.ListArray.from_arrays(offsets, made)
-
-    return F.arrow_udf(apply, returnType="array<array<struct<morph: string, tag: string>>>")
+    A table of bits, 16 a word and within the broadcast limit, is filled on the cluster slice by slice;
+    a substring whose bit is not set is none of the words.
+    """
+    spark = by_word.sparkSession
+    n = max(by_word.count(), 1)
+    most = max(broadcast_limit(spark), SLICE_BITS >> 3).bit_length() + 2  # whole powers of two, at most the limit
+    bits = 1 << max(SLICE_BITS.bit_length() - 1, min((16 * n).bit_length(), most, 32))
+    at = F.pmod(F.crc32(F.col("word").cast("binary")), F.lit(bits))
+    slices = by_word.select(F.floor(at / SLICE_BITS).cast("int").alias("slice"), (at % SLICE_BITS).cast("int").alias("bit"))
+
+    def fill(slice_: pa.Table) -> pa.Table:
+        held = np.zeros(SLICE_BITS, bool)
+        held[slice_.column("bit").to_numpy()] = True
+        return pa.table({"slice": slice_.column("slice")[:1], "held": pa.array([np.packbits(held, bitorder="little").tobytes()], pa.binary())})
+
+    made = slices.distinct().groupBy("slice").applyInArrow(fill, "slice int, held binary").toArrow()
+    table = np.zeros((bits // SLICE_BITS, SLICE_BITS >> 3), np.uint8)
+    for i, held in zip(made.column(0).to_pylist(), made.column(1).to_pylist(), strict=True):
+        table[i] = np.frombuffer(held, np.uint8)
+    shared = spark.sparkContext.broadcast(table.tobytes())
+
+    def words(col: pa.Array) -> pa.Array:
+        table, mask = shared.value, bits - 1
+        found = []
+        for token in col.to_pylist():
+            subs = {token[i:j] for i in range(len(token)) for j in range(i + 1, min(len(token), i + longest) + 1)}
+            places = ((s, zlib.crc32(s.encode()) & mask) for s in subs)
+            found.append([s for s, at in places if table[at >> 3] >> (at & 7) & 1])
+        return pa.array(found, pa.list_(pa.string()))
+
+    return F.arrow_udf(words, returnType="array<string>")
 
 
 # ---------------------------------------------------------------- costs
@@ -178,16 +203,17 @@ def estimate_costs(tagged: DataFrame, col: str = "pieces") -> tuple[DataFrame, D
     A word costs by its share in its tag, a connection by the share of the tag that follows, one more
     counted for every pair of tags.
     """
-    tokens = cut_lineage(tagged.select(F.col(col).alias("p")).filter(F.size("p") > 0))
-    words = unnest(tokens, [], "p", "m").groupBy(F.col("m.morph").alias("word"), F.col("m.tag").alias("tag")).agg(F.count("*").alias("n"))
+    tokens = tagged.select(F.col(col).alias("p")).filter(F.size("p") > 0)
+    tokens = cut_lineage(tokens.groupBy("p").agg(F.count("*").alias("times")))  # each distinct token once
+    words = unnest(tokens, ["times"], "p", "m").groupBy(F.col("m.morph").alias("word"), F.col("m.tag").alias("tag")).agg(F.sum("times").alias("n"))
     words = cut_lineage(words)
     of_tag = words.groupBy("tag").agg(F.sum("n").alias("total"))
     cost = lambda share: F.round(-SCALE * F.ln(share)).cast("bigint")
     lexicon = words.join(of_tag, "tag").select("word", "tag", cost(F.col("n") / F.col("total")).alias("cost"))
     tags = F.transform("p", lambda m: m["tag"])
     before, after = F.concat(F.array(F.lit(EDGE)), tags), F.concat(tags, F.array(F.lit(EDGE)))
-    pairs = unnest(tokens, [], F.zip_with(before, after, lambda a, b: F.struct(a.alias("before"), b.alias("after"))), "c").select("c.*")
-    seen = cut_lineage(pairs.groupBy("before", "after").agg(F.count("*").alias("n")))
+    pairs = unnest(tokens, ["times"], F.zip_with(before, after, lambda a, b: F.struct(a.alias("before"), b.alias("after"))), "c").select("times", "c.*")
+    seen = cut_lineage(pairs.groupBy("before", "after").agg(F.sum("times").alias("n")))
     n_tags = seen.select("after").distinct().count()
     totals = seen.groupBy("before").agg(F.sum("n").alias("total"))
     share = (F.col("n") + 1) / (F.col("total") + F.lit(n_tags))

@@ -277,6 +277,29 @@ def test_lattice_tokens(spark, request):
         request.getfixturevalue("joins_only")
 
 
+def test_only_likely_substrings_meet_a_large_lexicon(spark):
+    """No entry of the lexicon is lost; of other substrings few pass."""
+    rnd = random.Random(5)
+    entries = {"".join(rnd.choice("abcdé가🙂") for _ in range(rnd.randint(1, 6))) for _ in range(300)}
+    tokens = ["".join(rnd.choice("abcdé가🙂") for _ in range(30)) for _ in range(60)]
+    by_word = spark.createDataFrame([(w,) for w in sorted(entries)], "word string")
+    df = spark.createDataFrame([(t,) for t in [*tokens, ""]], "token string")
+    got = {r.token: r.found for r in df.select("token", lattice._likely_words(by_word, 6)("token").alias("found")).collect()}
+    every = {t: {t[i:j] for i in range(30) for j in range(i + 1, min(30, i + 6) + 1)} for t in tokens}
+    assert got[""] == [] and all(len(got[t]) == len(set(got[t])) for t in tokens)
+    assert all(every[t] & entries <= set(got[t]) <= every[t] for t in tokens)
+    assert sum(len(set(got[t]) - entries) for t in tokens) < 0.1 * sum(map(len, every.values()))
+
+
+def test_costs_count_distinct_tokens(spark, monkeypatch):
+    """What is stored of a tagged corpus grows with its distinct tokens."""
+    sizes = []
+    monkeypatch.setattr(lattice, "cut_lineage", lambda df: sizes.append(df.count()) or df)
+    tagged = spark.range(500).select(F.array(F.struct(F.lit("a").alias("morph"), F.lit("N").alias("tag"))).alias("pieces"))
+    words, pairs = lattice.estimate_costs(tagged)
+    assert [tuple(r) for r in words.collect()] == [("a", "N", 0)] and pairs.count() == 2 and max(sizes) <= 2
+
+
 def test_costs_from_tagged_tokens(spark):
     rows = [([("a", "N"), ("s", "J")],), ([("a", "N")],), ([("b", "N"), ("s", "J")],), ([],)]
     tagged = spark.createDataFrame(rows, "pieces array<struct<morph: string, tag: string>>")
