@@ -2,6 +2,7 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -315,3 +316,44 @@ def test_lattice_query_keeps_every_character(spark, data):
     for r in catalog.tokens(spark, data).collect():
         morphs = [m.rsplit("/", 1)[0] for m in got[r.doc_id, r.line_no].split(" ") if m]
         assert "".join(morphs) == "".join(r.tokens)
+
+
+def test_packed_pairs_give_the_sums_of_all_pairs(spark):
+    """Parts of few ids, wide ids, and a vocabulary of which only a part is broadcast."""
+    rng = np.random.default_rng(2)
+    ids = rng.integers(0, 40, 300)
+    for offset in (0, 1 << 30):  # beyond it ids and distance do not share a number
+        want = Counter()
+        for d in (1, 2, 3):
+            for a, b in zip(ids[:-d] + offset, ids[d:] + offset):
+                want[int(min(a, b)) << 32 | int(max(a, b))] += 6 // d
+        got = Counter()
+        for keys, sums in cooccur.pair_sums(ids + offset, np.zeros(300, int), [6, 3, 2]):
+            assert (np.diff(keys) > 0).all()
+            got.update(dict(zip(keys.tolist(), sums.tolist())))
+            packs = [cooccur._unpacked(p, n, data, 7) for p, n, data in cooccur._packed(keys, sums, 7)]
+            again = cooccur.summed_pairs(*(np.concatenate(c) for c in zip(*packs)))
+            assert len(packs) == 7 and all((x == y).all() for x, y in zip(again, (keys, sums)))
+        assert got == want
+    lines = [" ".join(f"w{i}" for i in rng.integers(0, 40, 25)) for _ in range(40)]
+    words = spark.createDataFrame([(i, f"w{i}") for i in range(38)], "id bigint, word string")
+    table = lambda: sorted(map(tuple, cooccur.cooccurrence(token_frame(spark, *lines).repartition(5), words, 3).collect()))
+    expected = table()
+    for limit in ("134217728", "1200", "0"):
+        spark.conf.set(BROADCAST_CONF, limit)
+        try:
+            assert table() == expected
+        finally:
+            spark.conf.unset(BROADCAST_CONF)
+
+
+def test_pairs_travel_packed(spark):
+    """No row for each pair is shuffled, and marginals add integers."""
+    words = spark.createDataFrame([(0, "a"), (1, "b")], "id bigint, word string")
+    cells = cooccur.cooccurrence_ids(token_frame(spark, "a b a", "b a"), words, 2)
+    plan = cooccur.cooc_marginals(cells, "i")._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(part" in plan and "hashpartitioning(pair" not in plan
+    xs = [1 / 3, 2.5e5 + 1 / 7, 0.1, 1e-11, 123456.00000000005] * 3
+    rows = spark.createDataFrame([("k", x) for x in xs], "w1 string, x double")
+    total = rows.selectExpr("cast(sum(cast(x as decimal(28,10))) as double) t").first().t
+    assert cooccur.cooc_marginals(rows).first().total == pytest.approx(total, abs=1e-9)
