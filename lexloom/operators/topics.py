@@ -2,64 +2,37 @@
 
 The topic-word table lies in blocks of words, the document-topic table in blocks of documents; blocks
 meet on the grid that holds the counts, and a task never sees more than one block of each. Both
-tables are renewed from the same shares of topics, so a round is one whole step of EM and the
-objective never rises. The driver sees one number for each topic.
+tables are renewed from the same shares of topics, in one pass over the counts, so a round is one whole
+step of EM and the objective never rises. The driver sees one number for each topic.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.arrays import unnest
 from ..functions.vectors import random_vector
-from ..session import cut_lineage
-from .grid import PASS_SCHEMA, Grid, as_stream, combined, stream, walk
+from ..session import cut_lineage, discard, spread, stored
+from .grid import Grid, added, sums_of
 from .order import with_ordinal
 
 DOC_PRIOR, WORD_PRIOR = 0.1, 0.01  # counts added for every topic of a document and every word of a topic
 
 
-def _shares(grid: Grid, own: DataFrame, others: DataFrame) -> DataFrame:
-    """(id, vec): for every row its expected count under each topic, and last the negative logarithm of the
-    likelihood of its cells."""
-    blocks = grid.pairs.join(grid.column_blocks(others), "cb")
-    places = grid.pairs.select("rb", "slice").distinct()
-    own_rows = places.join(grid.row_blocks(own), "rb").withColumn("cb", F.lit(-1).cast("bigint"))
-    parts = as_stream(own_rows, -1).unionByName(as_stream(blocks, 0)).unionByName(as_stream(grid.packs, 1))
-
-    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = ids = None
-
-        def result() -> pa.RecordBatch:
-            lists = pa.list_(pa.float64())
-            rows = [(i, sums, None, None) if place[1] < 0 else (i, None, [], sums) for i, sums in zip(ids.tolist(), found)]
-            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*rows), (pa.int64(), lists, lists, lists))], ["id", "vec", "gram", "rhs"])
-
-        for rb, part, _, kind, content in walk(batches):
-            if kind == -1:
-                if ids is not None:
-                    yield result()
-                place, (ids, mine) = (rb, part), content
-                found = np.zeros((len(ids), mine.shape[1] + 1))
-            elif kind == 0:
-                other_ids, theirs = content
-            else:
-                i, j, times, _ = content
-                row, col = np.searchsorted(ids, i), np.searchsorted(other_ids, j)
-                joint = mine[row] * theirs[col]
-                total = joint.sum(axis=1)
-                cuts = np.flatnonzero(np.diff(row, prepend=-1))
-                shares = np.concatenate([joint * (times / total)[:, None], -(times * np.log(total))[:, None]], axis=1)
-                found[row[cuts]] += np.add.reduceat(shares, cuts, axis=0)
-        if ids is not None:
-            yield result()
-
-    return cut_lineage(combined(stream(parts).mapInArrow(sweep, PASS_SCHEMA), lambda gram, sums: sums))
+def _shares(grid: Grid, docs: DataFrame, words: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """((id, vec) of documents and of words, their parts): the expected count under each topic, of documents also,
+    last, the negative logarithm of the likelihood of its cells. One pass makes both sides."""
+
+    def fold(mine: np.ndarray, theirs: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        joint = mine * theirs
+        total = joint.sum(axis=1)
+        joint *= (times / total)[:, None]
+        return np.concatenate([joint, -(times * np.log(total))[:, None]], axis=1), joint
+
+    parts = sums_of(grid, fold, docs, words)
+    return cut_lineage(added(grid, parts, "row")), cut_lineage(added(grid, parts, "col")), parts
 
 
 def _normal(vec: Column, k: int, prior: float) -> Column:
@@ -78,25 +51,27 @@ def lda(df: DataFrame, k: int = 10, key: str = "doc_id", col: str = "tokens", it
     the negative log-likelihood less the priors' logarithms; the perplexity is the last round's.
     Documents without words have equal shares.
     """
-    counts = cut_lineage(unnest(df, [key], col, "word").groupBy(key, "word").agg(F.count("*").alias("n")))
+    counts = stored(unnest(df, [key], col, "word").groupBy(key, "word").agg(F.count("*").alias("n")))
     docs = cut_lineage(with_ordinal(counts.select(key).distinct(), [key], "i"))
     words = cut_lineage(with_ordinal(counts.select("word").distinct(), ["word"], "j"))
     cells = counts.join(docs, key).join(words, "word").select("i", "j", F.col("n").cast("double").alias("target"), F.lit(1.0).alias("weight"))
-    cells = cut_lineage(cells)
+    cells = stored(cells)
     row = (2 * k + 1) * 8  # shares and sums
-    forward = Grid(cells, row_bytes=row)
-    back = Grid(cells.select(F.col("j").alias("i"), F.col("i").alias("j"), "target", "weight"), row_bytes=row)
+    grid = Grid(cells, row_bytes=row)
     total = cells.agg(F.sum("target")).first()[0] or 1.0
-    theta = docs.select(F.col("i").alias("id"), F.array_repeat(F.lit(1.0 / k), k).alias("vec"))
+    theta = cut_lineage(docs.select(F.col("i").alias("id"), F.array_repeat(F.lit(1.0 / k), k).alias("vec")))
     start = F.transform(random_vector(F.col("word"), k, seed), lambda v: v + 1.0)
-    phi = cut_lineage(_by_topic(words.select(F.col("j").alias("id"), start.alias("vec")), k))
+    phi = cut_lineage(_by_topic(spread(words).select(F.col("j").alias("id"), start.alias("vec")), k))
     losses, likelihood = [], 0.0
     for _ in range(iters):
-        own, theirs = _shares(forward, theta, phi), _shares(back, phi, theta)
+        own, theirs, parts = _shares(grid, theta, phi)
         likelihood = own.agg(F.sum(F.element_at("vec", -1))).first()[0] or 0.0
         losses.append(likelihood - _log_sum(theta, DOC_PRIOR) - _log_sum(phi, WORD_PRIOR))
+        last = (own, theirs, parts, theta, phi)
         theta = cut_lineage(own.select("id", _normal(F.col("vec"), k, DOC_PRIOR).alias("vec")))
-        phi = cut_lineage(_by_topic(theirs.select("id", F.transform(F.slice("vec", 1, k), lambda x: x + WORD_PRIOR).alias("vec")), k))
+        phi = cut_lineage(_by_topic(theirs.select("id", F.transform("vec", lambda x: x + WORD_PRIOR).alias("vec")), k))
+        for table in last:
+            discard(table)  # a round replaces what the one before it has left
     shares = docs.join(theta.withColumnRenamed("id", "i"), "i").select(key, F.col("vec").alias("topics"))
     every = df.select(key).join(shares, key, "left")
     equal = F.array_repeat(F.lit(1.0 / k), k)

@@ -348,3 +348,22 @@ def test_nearest_rows_a_few_at_a_time(spark, monkeypatch):
     unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
     best = (unit(asked) @ unit(known).T).argmax(axis=1)
     assert got == {100 + k: (int(b), str(b % 4)) for k, b in enumerate(best)}
+
+
+def test_a_pass_sends_only_columns_with_cells(spark, monkeypatch):
+    """Both directions of a product on one grid, of blocks and slices; a row block is sent no other column."""
+    for name, value in (("ROWS", 4), ("COLS", 5), ("PACK", 6), ("WIDE_BYTES", 0), ("WIDE_SLICE", 9), ("PIECE", 2), ("CHUNK", 3)):
+        monkeypatch.setattr(grid, name, value)
+    rng = np.random.default_rng(8)
+    dense = np.where(rng.random((15, 40)) < 0.15, rng.random((15, 40)), 0.0)
+    rows = [(int(i), int(j), float(dense[i, j]), 1.0) for i, j in zip(*dense.nonzero())]
+    made = grid.Grid(spark.createDataFrame(rows, "i bigint, j bigint, target double, weight double"), row_bytes=8)
+    assert made.n_rows == 4 and made.n_cols == 8 and made.pairs.filter("slice > 0").count()
+    side = lambda m: spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id bigint, vec array<double>")
+    left, right = rng.random((40, 3)), rng.random((15, 3))
+    for factors, of, want in ((left, made, dense @ left), (right, grid.Grid(None, of=made), dense.T @ right)):
+        got = {r.id: r.vec for r in factorize._multiply(of, side(factors)).collect()}
+        assert set(got) == set(np.flatnonzero(want.any(axis=1)).tolist())
+        assert all(np.allclose(got[i], want[i]) for i in got)
+    sent = sum(len(r.i) // 8 for r in grid._picked(made, side(left)).collect())
+    assert sent == sum(len({j for i, j, *_ in rows if i % 4 == b}) for b in range(4)) < 4 * 40
