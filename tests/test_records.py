@@ -114,3 +114,25 @@ def test_hashes_of_elements_begin_with_their_rows_keys_once(spark):
     ranked = once(start, lambda p: F.transform("at", lambda i: F.conv(rank_text(continued(p, i)), 16, 10).cast("bigint")))
     for r in rows.select(whole.alias("whole"), parts.alias("parts"), ranked.alias("ranked")).collect():
         assert r.whole == r.parts == r.ranked
+
+
+def test_random_words_beyond_the_limit_are_joined_without_counting(spark, monkeypatch):
+    """Records are worked out once; the masks are those of a small vocabulary."""
+    from lexloom.operators import lookup
+
+    rows = [(d, 0, c, ["[CLS]", *[f"t{d}_{i}" for i in range(40)], "[SEP]", None]) for d in range(6) for c in (1, 2)] + [(None, 0, 1, []), (7, 0, 1, None)]
+    records = spark.createDataFrame(rows, "doc_id bigint, seg bigint, copy int, tokens array<string>")
+    words = spark.createDataFrame([(i, f"w{i}") for i in range(50)], "id bigint, token string")
+    made = lambda: sorted(map(str, pretrain.mlm_masks(records, rate=0.5, vocab=words).collect()))
+    expected = made()
+    assert any("='w" in r or "'w" in r for r in expected)
+
+    def counted(*args):
+        raise AssertionError("elements are counted")
+
+    monkeypatch.setattr(lookup, "heaviest", counted)
+    spark.conf.set("spark.lexloom.broadcastBytes", "700")
+    try:
+        assert made() == expected
+    finally:
+        spark.conf.unset("spark.lexloom.broadcastBytes")

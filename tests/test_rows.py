@@ -4,6 +4,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from lexloom.functions import hashing
 from lexloom.functions import text as tx
 from lexloom.functions.hangul import LEADS, TAILS, VOWELS, loosen_echoes, normalize_repeats, to_jamo
 from lexloom.operators import rows, sentences
@@ -150,3 +151,16 @@ def test_learned_boundaries(spark):
     assert [r.sentence for r in plain][:3] == ["Dr.", "Han left.", "Nobody knew why."]
     odd = spark.createDataFrame([(1, None), (2, ""), (3, " \n "), (4, "x.")], "doc_id int, text string")
     assert [(r.doc_id, r.sentence) for r in sentences.to_sentences(odd).collect()] == [(4, "x.")]
+
+
+def test_many_hashes_of_a_row_equal_md5(spark):
+    """Starts of any length, beyond one block and not ASCII too, and numbers of one to six digits."""
+    starts = ["", "7|a", "값|é", "x" * 50, "y" * 53, "z" * 54, "w" * 80, None]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(starts)], "id int, s string").withColumn("start", hashing.joined(7, F.col("s")))
+    for places in ([0, 9, 10, 99, 100, 12345], [3, 70000], []):
+        at = F.array(*[F.lit(p) for p in places]).cast("array<int>")
+        for part in (df, df.filter("length(start) < 40")):
+            want = F.transform(at, lambda i: hashing.number(hashing.continued(F.col("start"), i)))
+            assert all(r.a == r.b for r in part.select(hashing.hashes_at(F.col("start"), at).alias("a"), want.alias("b")).collect())
+    units = F.array(*[hashing.unit_hash(7, F.col("s"), i) for i in range(12)])
+    assert all(r.a == r.b for r in df.select(hashing.unit_hashes(F.col("start"), 12).alias("a"), units.alias("b")).collect())
