@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.arrays import unnest
 from ..session import broadcast_limit, cut_lineage, heaviest, measured, row_bytes, stored
 from .lookup import missing_from
+from .order import with_ordinal
 
 LINE_KEYS = ("doc_id",)
 
@@ -31,12 +32,14 @@ def sentence_vectors(
     col: str = "tokens",
     out: str = "vec",
     keys: Sequence[str] = LINE_KEYS,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Mean of the known words' vectors, weighted when ``weights`` (word, weight) is given.
+    """Mean of the known words' vectors, weighted when ``weights`` (word, weight) is given, beside the columns
+    ``keep`` of ``df``, or all.
 
     NULL when no word is known. Vectors within the broadcast limit are averaged inside the task. Of a
     larger table the vectors of the most frequent words, as many as fit, are summed there, and the
-    other words meet their vectors in blocks; a row and a block have one sum.
+    other words meet their vectors in blocks by frequency; a row and a block that it has words of have one sum.
     """
     words = vectors.select("word", "vec", F.lit(1.0).alias("weight"))
     if weights is not None:
@@ -44,8 +47,8 @@ def sentence_vectors(
     words, small = measured(words)
     if small is not None:
         shared = _shared_vectors(df.sparkSession, small)
-        return df.withColumn(out, _in_task(shared, whole=True)(F.col(col)))
-    return _means_beyond(df, words, col, out)
+        return df.select(*(keep or df.columns), _in_task(shared, whole=True)(F.col(col)).alias(out))
+    return _means_beyond(df, words, col, out, keep or df.columns)
 
 
 def _shared_vectors(spark, table: pa.Table):
@@ -89,66 +92,116 @@ def _in_task(shared, whole: bool):
     return F.arrow_udf(mean, returnType="array<double>")
 
 
-WORD_BLOCK_BYTES = 64 << 20  # of vectors that a task holds
+WORD_BLOCK_BYTES = 128 << 20  # of vectors that a task holds
+BLOCK_CELLS = 1 << 22  # words of rows that a block of vectors meets in one task, about
 
 
-def _means_beyond(df: DataFrame, words: DataFrame, col: str, out: str) -> DataFrame:
+def _means_beyond(df: DataFrame, words: DataFrame, col: str, out: str, keep: Sequence[str]) -> DataFrame:
     spark = df.sparkSession
-    first = words.select(F.size("vec")).first()
+    first = words.filter("vec is not null").select(F.size("vec")).first()
     width = first[0] if first else 0
     counts = unnest(df, [], col, "word").groupBy("word").agg(F.count("*").alias("_n"))
-    held = words.select("word", row_bytes(words).alias("_bytes"))
+    held = words.select("word", row_bytes(words).alias("_bytes"), F.col("vec").isNotNull().alias("_has"))
     used = cut_lineage(counts.join(held, "word", "left"))
     least = heaviest(used, "_n", broadcast_limit(spark), F.coalesce("_bytes", F.octet_length("word") + F.lit(192)).cast("bigint"))
     # Frequent words without a vector are known to have none.
     head = used.filter(F.col("_n") >= least).join(words, "word", "left")
     shared = _shared_vectors(spark, head.select("word", "vec", "weight").toArrow())
     rest = F.transform(missing_from(shared, words.schema["word"].dataType)(F.col(col)), lambda e: e["key"])
-    marked = df.withColumns({"_sums": _in_task(shared, whole=False)(F.col(col)), "_rest": rest})
+    marked = df.select(*keep, _in_task(shared, whole=False)(F.col(col)).alias("_sums"), rest.alias("_rest"))
     marked = stored(marked.withColumn("_row", F.monotonically_increasing_id()))
-    tail = used.filter((F.col("_n") < least) & F.col("_bytes").isNotNull()).select("word").join(words, "word").filter("vec is not null")
-    blocks = max(1, -(-tail.count() * width * 8 // WORD_BLOCK_BYTES))
+    # Blocks by frequency: most of the rest of a row lies in the first blocks, so few blocks have a sum for it.
+    tail = with_ordinal(used.filter((F.col("_n") < least) & F.col("_has")).select("word", "_n"), [F.desc("_n"), "word"], "at")
+    size = max(1, WORD_BLOCK_BYTES // max(width * 8, 1))
+    tail = cut_lineage(tail.withColumn("block", F.floor(F.col("at") / size)))
+    # A block that many words of rows ask for goes to several tasks: a row for each block.
+    copies = tail.groupBy("block").agg(F.ceil(F.sum("_n") / BLOCK_CELLS).alias("copies"))
+    tail = tail.join(F.broadcast(copies), "block").select("word", "block", "copies", (F.col("at") % size).alias("at"))
     none = lambda kind: F.lit(None).cast(kind)
-    block = F.pmod(F.xxhash64("word"), F.lit(blocks)).alias("block")
-    vectors = tail.select(block, none("bigint").alias("row"), "word", F.col("vec").cast("array<double>").alias("vec"), F.col("weight").cast("double").alias("weight"))
-    cells = unnest(marked, [F.col("_row").alias("row")], "_rest", "word").select(block, "row", "word", none("array<double>").alias("vec"), none("double").alias("weight"))
-    met = vectors.unionByName(cells).repartition("block").sortWithinPartitions("block", "row")  # vectors first
+    vectors = unnest(tail.join(words, "word"), ["block", none("bigint").alias("row"), "at", "vec", "weight"], F.sequence(F.lit(0).cast("bigint"), F.col("copies") - 1), "copy")
+    vectors = vectors.select("block", "copy", "row", "at", F.col("vec").cast("array<double>").alias("vec"), F.col("weight").cast("double").alias("weight"))
+    cells = unnest(marked, [F.col("_row").alias("row")], "_rest", "word").join(tail, "word")
+    copy = F.pmod(F.xxhash64("row"), F.col("copies")).alias("copy")
+    cells = cells.select("block", copy, "row", "at", none("array<double>").alias("vec"), none("double").alias("weight"))
+    met = vectors.unionByName(cells).repartition("block", "copy").sortWithinPartitions("block", "copy", "row")  # vectors first
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, held, index, matrix = None, [], None, None
+        place, matrix, last = None, None, None
+
+        def made(rows: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+            flat = pa.array(sums.ravel())
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, sums.size + 1, width + 1), pa.int32()), flat)
+            return pa.RecordBatch.from_arrays([pa.array(rows), lists], ["_row", "_sums"])
+
         for batch in batches:
-            cuts = np.flatnonzero(np.diff(batch.column(0).to_numpy()) != 0) + 1
+            block, part = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            cuts = np.flatnonzero((np.diff(block) != 0) | (np.diff(part) != 0)) + 1
             for low, high in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
                 if low == high:
                     continue
-                part = batch.slice(low, high - low)
-                if place != part.column(0)[0].as_py():
-                    place, held, index, matrix = part.column(0)[0].as_py(), [], None, None
-                n = part.column(1).null_count  # the first of the block, vectors
+                own = batch.slice(low, high - low)
+                if place != (block[low], part[low]):
+                    if last is not None:
+                        yield made(*last)
+                    place, last = (block[low], part[low]), None
+                    matrix = np.zeros((0, width + 1))
+                at, n = own.column(3).to_numpy(), own.column(2).null_count
                 if n:
-                    flat = part.column(3).slice(0, n).flatten().to_numpy().reshape(n, -1)
-                    weight = part.column(4).slice(0, n).to_numpy()
-                    held.append((part.column(2).slice(0, n).to_pylist(), np.concatenate([flat * weight[:, None], weight[:, None]], axis=1)))
-                if n == part.num_rows or not held and matrix is None:
+                    top = int(at[:n].max()) + 1
+                    if top > len(matrix):
+                        matrix = np.concatenate([matrix, np.zeros((min(size, max(top, 2 * len(matrix))) - len(matrix), width + 1))])
+                    weight = own.column(5).slice(0, n).to_numpy()
+                    matrix[at[:n], :-1] = own.column(4).slice(0, n).flatten().to_numpy().reshape(n, -1) * weight[:, None]
+                    matrix[at[:n], -1] = weight
+                if n == own.num_rows:
                     continue
-                if matrix is None:
-                    index = {w: i for i, w in enumerate(w for names, _ in held for w in names)}
-                    matrix, held = np.concatenate([m for _, m in held]), []
-                coded = part.column(2).slice(n).dictionary_encode()
-                ids = np.array([index.get(w, -1) for w in coded.dictionary.to_pylist()], dtype=np.int64)[coded.indices.to_numpy()]
-                rows = part.column(1).slice(n).to_numpy()[ids >= 0]
-                ids = ids[ids >= 0]
-                if len(ids):
-                    starts = np.flatnonzero(np.diff(rows, prepend=rows[0] - 1))
-                    sums = np.add.reduceat(matrix[ids], starts, axis=0)
-                    yield pa.RecordBatch.from_arrays([pa.array(rows[starts]), pa.array(list(sums), pa.list_(pa.float64()))], ["_row", "_sums"])
+                rows = own.column(2).slice(n).to_numpy()
+                cut = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+                sums = np.add.reduceat(matrix[at[n:]], cut, axis=0)
+                rows = rows[cut]
+                if last is not None:
+                    if last[0][0] == rows[0]:  # a row that two batches hold a part of
+                        sums[0] += last[1][0]
+                    else:
+                        yield made(*last)
+                if len(rows) > 1:
+                    yield made(rows[:-1], sums[:-1])
+                last = rows[-1:], sums[-1:]
+        if last is not None:
+            yield made(*last)
 
     parts = met.mapInArrow(add, "_row bigint, _sums array<double>")
     both = marked.filter("_sums is not null").select("_row", "_sums").unionByName(parts)
-    sums = both.groupBy("_row").agg(*[F.sum(F.get("_sums", F.lit(i))).alias(f"_{i}") for i in range(width + 1)])
-    mean = F.array(*[F.col(f"_{i}") / F.col(f"_{width}") for i in range(width)]) if width else F.lit(None).cast("array<double>")
-    means = sums.select("_row", F.when(F.col(f"_{width}") > 0, mean).alias(out))
-    return marked.drop("_sums", "_rest").join(means, "_row", "left").drop("_row")
+
+    def divide(rows: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
+        known = sums[:, -1] > 0
+        made = sums[known, :-1] / sums[known, -1:]
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, made.size + 1, max(width, 1)), pa.int32()), pa.array(made.ravel()))
+        return pa.RecordBatch.from_arrays([pa.array(rows[known]), lists], ["_row", out])
+
+    def mean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = batch.column(0).to_numpy()
+            cut = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
+            sums = np.add.reduceat(batch.column(1).flatten().to_numpy().reshape(len(rows), -1), cut, axis=0)
+            rows = rows[cut]
+            if last is not None:
+                if last[0][0] == rows[0]:  # a row that two batches hold a part of
+                    sums[0] += last[1][0]
+                else:
+                    yield divide(*last)
+            if len(rows) > 1:
+                yield divide(rows[:-1], sums[:-1])
+            last = rows[-1:], sums[-1:]
+        if last is not None:
+            yield divide(*last)
+
+    # In numpy: a hundred sums side by side are too many for one aggregate.
+    means = both.repartition("_row").sortWithinPartitions("_row").mapInArrow(mean, f"_row bigint, `{out}` array<double>") if width else both.select("_row", F.col("_sums").alias(out)).limit(0)
+    return marked.select(*keep, "_row").join(means, "_row", "left").drop("_row")
 
 
 # ---------------------------------------------------------------- nearest labelled row

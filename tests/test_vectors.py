@@ -367,3 +367,28 @@ def test_a_pass_sends_only_columns_with_cells(spark, monkeypatch):
         assert all(np.allclose(got[i], want[i]) for i in got)
     sent = sum(len(r.i) // 8 for r in grid._picked(made, side(left)).collect())
     assert sent == sum(len({j for i, j, *_ in rows if i % 4 == b}) for b in range(4)) < 4 * 40
+
+
+def test_rare_words_meet_rows_in_blocks_by_frequency(spark, monkeypatch):
+    """A row's rest lies in few blocks, a block that many rows ask for is cut, and only asked columns are stored."""
+    rng = np.random.default_rng(6)
+    words = [f"w{i:02}" for i in range(40)]
+    lines = [[words[k] for k in rng.zipf(1.3, 30) if k < 40] for _ in range(60)]
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate(lines)], "doc_id int, tokens array<string>, more string")
+    vecs = spark.createDataFrame([(w, rng.normal(size=3).tolist() if i % 9 else None) for i, w in enumerate(words)], "word string, vec array<double>")
+    rows = lambda: {r.doc_id: r for r in sentvec.sentence_vectors(df, vecs, keep=["doc_id"]).collect()}
+    expected = rows()
+    monkeypatch.setattr(sentvec, "WORD_BLOCK_BYTES", 4 * 24)
+    monkeypatch.setattr(sentvec, "BLOCK_CELLS", 20)
+    kept = []
+    own = sentvec.stored
+    monkeypatch.setattr(sentvec, "stored", lambda t: kept.append(own(t)) or kept[-1])
+    spark.conf.set(BROADCAST_CONF, "700")
+    try:
+        got = rows()
+    finally:
+        spark.conf.unset(BROADCAST_CONF)
+    assert set(kept[0].columns) == {"doc_id", "_sums", "_rest", "_row"}
+    assert got.keys() == expected.keys() and set(got[0].asDict()) == {"doc_id", "vec"}
+    for k, r in expected.items():
+        assert (r.vec is None) == (got[k].vec is None) and (r.vec is None or np.allclose(r.vec, got[k].vec))
