@@ -357,3 +357,13 @@ def test_pairs_travel_packed(spark):
     rows = spark.createDataFrame([("k", x) for x in xs], "w1 string, x double")
     total = rows.selectExpr("cast(sum(cast(x as decimal(28,10))) as double) t").first().t
     assert cooccur.cooc_marginals(rows).first().total == pytest.approx(total, abs=1e-9)
+
+
+def test_pmi_stores_no_second_copy_of_its_cells(spark, data, monkeypatch):
+    kept, own = [], cooccur.stored
+    monkeypatch.setattr(cooccur, "stored", lambda df: kept.append(df.columns) or own(df))
+    catalog.a15_pmi(spark, data)
+    assert kept == [["i", "j", "x"]]
+    kept.clear()
+    catalog.a15_marginals(spark, data)
+    assert kept == []
